@@ -164,12 +164,14 @@ def normalised_counts(df: DataFrame, label: str) -> DataFrame:
 
 # ---------------------------------------------------------------- ratio / approval
 def ratio_buckets(nb: DataFrame) -> DataFrame:
+    """Counts per ratio bucket and share of the bucketed rows (a ratio of 0 or
+    above 20 has no bucket and is left out, like ``value_counts``)."""
     r = F.col("actual_vs_est_ratio")
-    b = nb.where(r.isNotNull()).select(
-        bucketize(r, L.RATIO_EDGES, L.RATIO_LABELS).alias("ratio_bucket"),
-        bucket_ord(r, L.RATIO_EDGES).alias("bucket_ord"))
-    out = b.groupBy("bucket_ord", "ratio_bucket").agg(F.count(F.lit(1)).alias("n"))
-    total = nb.where(r.isNotNull()).agg(F.count(F.lit(1)).alias("_t"))
+    b = nb.select(bucketize(r, L.RATIO_EDGES, L.RATIO_LABELS).alias("ratio_bucket"),
+                  bucket_ord(r, L.RATIO_EDGES).alias("bucket_ord"))
+    out = (b.where(F.col("bucket_ord").isNotNull())
+           .groupBy("bucket_ord", "ratio_bucket").agg(F.count(F.lit(1)).alias("n")))
+    total = out.agg(F.sum("n").alias("_t"))
     return out.crossJoin(F.broadcast(total)).select(
         "bucket_ord", "ratio_bucket", "n", (F.col("n") * 100.0 / F.col("_t")).alias("share_pct"))
 

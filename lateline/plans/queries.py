@@ -249,3 +249,403 @@ FROM (
 def _kpi_summary(c: Ctx):
     """Five KPIs with target, displayed operator and status."""
     return kpi.kpi_summary(c.fact, CFG)
+
+
+# =================================================================== notebook breakdowns
+def _lr(prefix: str = "") -> str:
+    return (f"CAST(count(order_id) AS BIGINT) AS {prefix}total_orders, "
+            f"CAST(sum(is_late) AS BIGINT) AS {prefix}late_orders, "
+            f"{r4('avg(is_late)', prefix + 'late_rate')}")
+
+
+def _sev(expr: str, hi: float, mid: float) -> str:
+    return (f"CASE WHEN {expr} >= {hi} THEN 'red' WHEN {expr} >= {mid} THEN 'orange' "
+            f"WHEN {expr} IS NOT NULL THEN 'green' END")
+
+
+@register("order_status_distribution", """
+SELECT order_status, CAST(count(*) AS BIGINT) AS n_orders,
+  round(count(*) * 100.0 / sum(count(*)) OVER (), 4) AS share_pct
+FROM src_orders GROUP BY order_status""")
+def _status_dist(c: Ctx):
+    return B.order_status_distribution(c.t.orders)
+
+
+@register("delivered_summary", f"""
+SELECT CAST(count(*) AS BIGINT) AS delivered, CAST(sum(is_late) AS BIGINT) AS late_orders,
+  {r4('avg(is_late) * 100', 'late_pct')}, CAST(sum(1 - is_late) AS BIGINT) AS on_time_orders,
+  {r4('avg(1 - is_late) * 100', 'on_time_pct')}
+FROM nb""")
+def _delivered_summary(c: Ctx):
+    return B.delivered_summary(c.nb)
+
+
+_DESC_COLS = ["t1_approval_h", "t2_processing_h", "t3_shipping_h", "delivery_days",
+              "estimated_days", "days_late", "actual_vs_est_ratio", "is_late"]
+_DESC_LONG = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM nb" for c in _DESC_COLS)
+
+
+@register("describe_columns", f"""
+SELECT "column", CAST(count(value) AS BIGINT) AS count, {r4('avg(value)', 'mean')},
+  {r4('stddev_samp(value)', 'std')}, {r4('min(value)', 'min')},
+  {r4('quantile_cont(value, 0.25)', 'q25')}, {r4('quantile_cont(value, 0.5)', 'q50')},
+  {r4('quantile_cont(value, 0.75)', 'q75')}, {r4('max(value)', 'max')}
+FROM ({_DESC_LONG}) l GROUP BY "column" """)
+def _describe(c: Ctx):
+    """count/mean/std/min/quartiles/max of the eight derived columns."""
+    return B.describe_columns(c.nb, _DESC_COLS)
+
+
+_STAGE_LONG = " UNION ALL ".join(
+    f"SELECT '{s}' AS stage, is_late, CAST({s} AS DOUBLE) AS value FROM nb" for s in B.STAGES)
+
+
+@register("stage_stats", f"""
+SELECT stage, CAST(count(value) AS BIGINT) AS n, {r4('avg(value)', 'mean_h')},
+  {r4('quantile_cont(value, 0.5)', 'median_h')}, {r4('quantile_cont(value, 0.95)', 'p95_h')},
+  {r4('max(value)', 'max_h')}, {r4('round_even(max(value) / 24.0, 1)', 'max_days')}
+FROM ({_STAGE_LONG}) l WHERE value >= 0 GROUP BY stage""")
+def _stage_stats(c: Ctx):
+    """Mean, median, P95 and max per stage over non-negative hours."""
+    return B.stage_stats(c.nb)
+
+
+@register("stage_late_vs_ontime", f"""
+SELECT stage, {r4('avg(CASE WHEN is_late = 1 THEN value END)', 'late_mean_h')},
+  {r4('avg(CASE WHEN is_late = 0 THEN value END)', 'on_time_mean_h')},
+  {r4('avg(CASE WHEN is_late = 1 THEN value END) - avg(CASE WHEN is_late = 0 THEN value END)', 'diff_h')},
+  {r4('round_even((avg(CASE WHEN is_late = 1 THEN value END) - avg(CASE WHEN is_late = 0 THEN value END)) / 24.0, 1)', 'diff_days')}
+FROM ({_STAGE_LONG}) l GROUP BY stage""")
+def _stage_late(c: Ctx):
+    return B.stage_late_vs_ontime(c.nb)
+
+
+_MONTHS = "['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec']"
+_DAYS = "['Senin','Selasa','Rabu','Kamis','Jumat','Sabtu','Minggu']"
+
+
+@register("late_by_month", f"""
+SELECT purchase_month, {_lr()}, {r4('avg(delivery_days)', 'avg_days')},
+  {r4('avg(is_late) * 100', 'late_pct')}, {_MONTHS}[purchase_month] AS month_name,
+  {_sev('avg(is_late) * 100', 15.0, 8.0)} AS severity
+FROM nb GROUP BY purchase_month""")
+def _late_by_month(c: Ctx):
+    return B.late_by_month(c.nb)
+
+
+@register("late_by_dow", f"""
+SELECT purchase_dayofweek, {_lr()}, {r4('avg(is_late) * 100', 'late_pct')}
+FROM nb GROUP BY purchase_dayofweek""")
+def _late_by_dow(c: Ctx):
+    return B.late_by_dow(c.nb)
+
+
+@register("late_by_hour", f"""
+SELECT purchase_hour, {_lr()}, {r4('avg(is_late) * 100', 'late_pct')}
+FROM nb GROUP BY purchase_hour""")
+def _late_by_hour(c: Ctx):
+    return B.late_by_hour(c.nb)
+
+
+@register("dow_detail", f"""
+SELECT purchase_dayofweek, {_DAYS}[purchase_dayofweek + 1] AS day_name, {_lr()},
+  {r4('avg(is_late) * 100', 'late_pct')}
+FROM nb GROUP BY 1, 2""")
+def _dow_detail(c: Ctx):
+    return B.dow_detail(c.nb)
+
+
+@register("weekend_vs_workday", f"""
+SELECT CAST(purchase_dayofweek >= 5 AS INTEGER) AS is_weekend, {_lr()},
+  CASE WHEN purchase_dayofweek >= 5 THEN 'Weekend' ELSE 'Hari Kerja' END AS category,
+  {r4('avg(is_late) * 100', 'late_pct')}
+FROM nb GROUP BY is_weekend, category""")
+def _weekend(c: Ctx):
+    return B.weekend_vs_workday(c.nb)
+
+
+_PERIOD_ORD = ("CASE WHEN purchase_hour >= 6 AND purchase_hour < 12 THEN 1 "
+               "WHEN purchase_hour >= 12 AND purchase_hour < 18 THEN 2 "
+               "WHEN purchase_hour >= 18 AND purchase_hour < 24 THEN 3 ELSE 0 END")
+_PERIOD = ("CASE WHEN purchase_hour >= 6 AND purchase_hour < 12 THEN 'Pagi (06-12)' "
+           "WHEN purchase_hour >= 12 AND purchase_hour < 18 THEN 'Siang (12-18)' "
+           "WHEN purchase_hour >= 18 AND purchase_hour < 24 THEN 'Malam (18-24)' "
+           "ELSE 'Dini Hari (00-06)' END")
+
+
+@register("late_by_time_period", f"""
+SELECT {_PERIOD_ORD} AS period_ord, {_PERIOD} AS time_period, {_lr()},
+  {r4('avg(is_late) * 100', 'late_pct')}
+FROM nb GROUP BY 1, 2""")
+def _time_period(c: Ctx):
+    return B.late_by_time_period(c.nb)
+
+
+@register("november_daily", f"""
+SELECT purchase_day AS day, {_lr()}, {r4('avg(is_late) * 100', 'late_pct')},
+  CAST(purchase_day = 24 AS INTEGER) AS is_event_day
+FROM nb WHERE purchase_month = 11 GROUP BY purchase_day""")
+def _november(c: Ctx):
+    return B.november_daily(c.nb, CFG)
+
+
+@register("group_rate_benchmark", f"""
+SELECT {r4('avg(late_rate)', 'mean_group_rate')}, CAST(count(*) AS BIGINT) AS n_groups
+FROM (SELECT purchase_month, avg(is_late) AS late_rate FROM nb GROUP BY purchase_month) g""")
+def _benchmark(c: Ctx):
+    """Unweighted mean of the monthly late rates (reference line of the charts)."""
+    return B.group_rate_benchmark(B.late_by_month(c.nb))
+
+
+_RATIO_ORD = ("CASE WHEN r > 0 AND r <= 0.5 THEN 0 WHEN r > 0.5 AND r <= 0.75 THEN 1 "
+              "WHEN r > 0.75 AND r <= 1.0 THEN 2 WHEN r > 1.0 AND r <= 1.5 THEN 3 "
+              "WHEN r > 1.5 AND r <= 20 THEN 4 END")
+_RATIO_LBL = ("CASE WHEN r > 0 AND r <= 0.5 THEN '<50%' WHEN r > 0.5 AND r <= 0.75 THEN '50-75%' "
+              "WHEN r > 0.75 AND r <= 1.0 THEN '75-100%' WHEN r > 1.0 AND r <= 1.5 THEN '100-150%' "
+              "WHEN r > 1.5 AND r <= 20 THEN '>150%' END")
+
+
+@register("ratio_buckets", f"""
+SELECT bucket_ord, ratio_bucket, n, round(n * 100.0 / sum(n) OVER (), 4) AS share_pct FROM (
+  SELECT {_RATIO_ORD} AS bucket_ord, {_RATIO_LBL} AS ratio_bucket, CAST(count(*) AS BIGINT) AS n
+  FROM (SELECT actual_vs_est_ratio AS r FROM nb WHERE actual_vs_est_ratio IS NOT NULL) x
+  GROUP BY 1, 2) b WHERE bucket_ord IS NOT NULL""")
+def _ratio_buckets(c: Ctx):
+    """Counts per actual/estimate ratio bucket; ratio 0 and > 20 have no bucket."""
+    return B.ratio_buckets(c.nb)
+
+
+@register("ratio_shares", f"""
+SELECT CAST(count_if(r < 0.5) AS BIGINT) AS n_under_half,
+  {r4('avg(CAST(r < 0.5 AS INTEGER)) * 100', 'pct_under_half')},
+  CAST(count_if(r > 1.0) AS BIGINT) AS n_over_one,
+  {r4('avg(CAST(r > 1.0 AS INTEGER)) * 100', 'pct_over_one')}
+FROM (SELECT actual_vs_est_ratio AS r FROM nb WHERE actual_vs_est_ratio IS NOT NULL) x""")
+def _ratio_shares(c: Ctx):
+    return B.ratio_shares(c.nb)
+
+
+_APPR = [(0, 1, '<1h'), (1, 12, '1-12h'), (12, 24, '12-24h'), (24, 48, '24-48h'),
+         (48, 100, '48-100h'), (100, None, '>100h')]
+
+
+def _appr_case(kind: str) -> str:
+    parts = []
+    for i, (lo, hi, lbl) in enumerate(_APPR):
+        hi_s = "mx" if hi is None else str(hi)
+        parts.append(f"WHEN t1 > {lo} AND t1 <= {hi_s} THEN " + (f"'{lbl}'" if kind == "l" else str(i)))
+    return "CASE " + " ".join(parts) + " END"
+
+
+@register("approval_buckets", f"""
+SELECT bucket_ord, approval_bucket, CAST(count(*) AS BIGINT) AS n,
+  {r4('avg(is_late) * 100', 'late_pct')}
+FROM (SELECT {_appr_case('o')} AS bucket_ord, {_appr_case('l')} AS approval_bucket, is_late
+      FROM (SELECT t1_approval_h AS t1, is_late FROM nb WHERE t1_approval_h IS NOT NULL) a
+      CROSS JOIN (SELECT max(t1_approval_h) AS mx FROM nb) m) b
+WHERE bucket_ord IS NOT NULL GROUP BY 1, 2""")
+def _approval_buckets(c: Ctx):
+    return B.approval_buckets(c.nb)
+
+
+@register("approval_tail", f"""
+SELECT {r4('max(t1)', 'max_h')}, CAST(count(*) AS BIGINT) AS n_known,
+  CAST(count_if(t1 > 24) AS BIGINT) AS n_over_24, {r4('avg(CAST(t1 > 24 AS INTEGER)) * 100', 'pct_over_24')},
+  CAST(count_if(t1 > 100) AS BIGINT) AS n_over_100, {r4('avg(CAST(t1 > 100 AS INTEGER)) * 100', 'pct_over_100')},
+  CAST(count_if(t1 > 200) AS BIGINT) AS n_over_200, {r4('avg(CAST(t1 > 200 AS INTEGER)) * 100', 'pct_over_200')},
+  CAST(count_if(t1 > 500) AS BIGINT) AS n_over_500, {r4('avg(CAST(t1 > 500 AS INTEGER)) * 100', 'pct_over_500')},
+  CAST(count_if(t1 = (SELECT max(t1_approval_h) FROM nb)) AS BIGINT) AS n_at_max,
+  {r4('round_even(max(t1) / 24.0, 1)', 'max_days')}
+FROM (SELECT t1_approval_h AS t1 FROM nb WHERE t1_approval_h IS NOT NULL) x""")
+def _approval_tail(c: Ctx):
+    return B.approval_tail(c.nb)
+
+
+_OI = "(SELECT * FROM nb JOIN src_items USING (order_id))"
+_SELLER_ITEMS_SQL = f"""
+SELECT seller_id, CAST(count(DISTINCT order_id) AS BIGINT) AS total_orders,
+  {r4('avg(is_late)', 'late_rate')}, {r4('avg(t2_processing_h)', 'avg_t2')},
+  {r4('avg(delivery_days)', 'avg_delivery')},
+  {r4('sum(CAST(price AS DECIMAL(18,2)))', 'total_revenue')},
+  {r4('avg(is_late) * 100', 'late_pct')}
+FROM {_OI} oi GROUP BY seller_id"""
+
+
+@register("seller_perf_items", _SELLER_ITEMS_SQL)
+def _seller_items(c: Ctx):
+    """Item-grain seller performance (notebook population)."""
+    return B.seller_perf_items(c.oi)
+
+
+@register("seller_perf_summary", """
+SELECT CAST(count(*) AS BIGINT) AS sellers, CAST(count_if(total_orders >= 95) AS BIGINT) AS active_sellers,
+  CAST(count_if(total_orders >= 95 AND late_rate = 0) AS BIGINT) AS perfect_sellers,
+  CAST(count_if(total_orders >= 95 AND late_rate > 0.12) AS BIGINT) AS chronic_sellers
+FROM (SELECT seller_id, count(DISTINCT order_id) AS total_orders, avg(is_late) AS late_rate
+      FROM nb JOIN src_items USING (order_id) GROUP BY seller_id) s""")
+def _seller_summary(c: Ctx):
+    return B.seller_perf_summary(B.seller_perf_items(c.oi), CFG)
+
+
+_CAT_ITEMS = """(SELECT nb.*, oi.product_id, coalesce(ct.product_category_name_english, p.product_category_name) AS category_en
+  FROM nb JOIN src_items oi USING (order_id)
+  JOIN src_products p ON p.product_id = oi.product_id
+  LEFT JOIN src_cat_trans ct ON ct.product_category_name = p.product_category_name)"""
+_CAT_SQL = f"""
+SELECT category_en, CAST(count(DISTINCT order_id) AS BIGINT) AS total_orders,
+  {r4('avg(is_late)', 'late_rate')}, {r4('avg(delivery_days)', 'avg_days')},
+  {r4('avg(is_late) * 100', 'late_pct')}
+FROM {_CAT_ITEMS} ci WHERE category_en IS NOT NULL GROUP BY category_en
+HAVING count(DISTINCT order_id) >= 100"""
+
+
+@register("late_by_category", _CAT_SQL)
+def _late_by_category(c: Ctx):
+    return B.late_by_category(B.category_items(c.oi, c.t.products, c.t.cat_trans), CFG)
+
+
+_ORR = "(SELECT nb.*, r.review_score FROM nb JOIN src_reviews r USING (order_id))"
+
+
+@register("review_late_vs_ontime", f"""
+SELECT is_late, CAST(count(*) AS BIGINT) AS n, {r4('avg(review_score)', 'mean_score')},
+  {r4('min(review_score)', 'min_score')}, {r4('max(review_score)', 'max_score')},
+  CAST(count_if(review_score >= 4) AS BIGINT) AS n_score_4_5,
+  {r4('avg(CAST(review_score >= 4 AS INTEGER)) * 100', 'pct_score_4_5')},
+  {r4('quantile_cont(review_score, 0.25)', 'q25')}, {r4('quantile_cont(review_score, 0.5)', 'median')},
+  {r4('quantile_cont(review_score, 0.75)', 'q75')}
+FROM {_ORR} r GROUP BY is_late""")
+def _review_late(c: Ctx):
+    return B.review_late_vs_ontime(c.orr)
+
+
+def _case(col: str, edges, labels, kind: str) -> str:
+    parts = []
+    for i, lbl in enumerate(labels):
+        out = f"'{lbl}'" if kind == "l" else str(i)
+        parts.append(f"WHEN {col} > {edges[i]} AND {col} <= {edges[i + 1]} THEN {out}")
+    return "CASE " + " ".join(parts) + " END"
+
+
+_DEL_E, _DEL_L = [0, 7, 14, 21, 30, 200], ['<7d', '7-14d', '14-21d', '21-30d', '>30d']
+_DL_E, _DL_L = [0, 3, 7, 14, 30, 200], ['1-3d late', '4-7d late', '8-14d late', '15-30d late', '>30d late']
+
+
+@register("review_by_delivery_bucket", f"""
+SELECT * FROM (
+  SELECT {_case('delivery_days', _DEL_E, _DEL_L, 'o')} AS bucket_ord,
+    {_case('delivery_days', _DEL_E, _DEL_L, 'l')} AS delivery_bucket,
+    {r4('avg(review_score)', 'mean_score')}, CAST(count(*) AS BIGINT) AS n
+  FROM {_ORR} r GROUP BY 1, 2) x WHERE bucket_ord IS NOT NULL""")
+def _review_delivery(c: Ctx):
+    return B.review_by_delivery_bucket(c.orr)
+
+
+@register("score_crosstab", f"""
+SELECT is_late,
+  {', '.join(f'CAST(count_if(review_score = {s}) AS BIGINT) AS n_{s}' for s in range(1, 6))},
+  {', '.join(r4(f'count_if(review_score = {s}) * 100.0 / count(*)', f'pct_{s}') for s in range(1, 6))}
+FROM {_ORR} r WHERE review_score IN (1, 2, 3, 4, 5) GROUP BY is_late""")
+def _crosstab(c: Ctx):
+    """is_late x review score counts and row percentages."""
+    return B.score_crosstab(c.orr)
+
+
+@register("review_tolerance", f"""
+SELECT * FROM (
+  SELECT {_case('days_late', _DL_E, _DL_L, 'o')} AS bucket_ord,
+    {_case('days_late', _DL_E, _DL_L, 'l')} AS late_bucket,
+    {r4('avg(review_score)', 'mean_score')}, CAST(count(*) AS BIGINT) AS n
+  FROM {_ORR} r WHERE is_late = 1 GROUP BY 1, 2) x WHERE bucket_ord IS NOT NULL""")
+def _tolerance(c: Ctx):
+    return B.review_tolerance(c.orr)
+
+
+_FIRST = f"""(SELECT seller_id,
+    CAST(year(make_timestamp(min(ps) * 1000000)) AS VARCHAR) || 'Q' ||
+    CAST(quarter(make_timestamp(min(ps) * 1000000)) AS VARCHAR) AS cohort
+  FROM {_OI} oi GROUP BY seller_id)"""
+
+
+@register("cohort_sizes", f"""
+SELECT cohort, CAST(count(*) AS BIGINT) AS n_sellers FROM {_FIRST} f GROUP BY cohort""")
+def _cohort_sizes(c: Ctx):
+    return B.cohort_sizes(c.oi)
+
+
+@register("cohort_perf_items", f"""
+SELECT cohort, CAST(count(DISTINCT order_id) AS BIGINT) AS total_orders,
+  CAST(sum(is_late) AS BIGINT) AS late_items, {r4('avg(is_late)', 'late_rate')},
+  CAST(count(DISTINCT seller_id) AS BIGINT) AS n_sellers, {r4('avg(is_late) * 100', 'late_pct')},
+  {_sev('avg(is_late) * 100', 10.0, 7.0)} AS severity
+FROM {_OI} oi JOIN {_FIRST} f USING (seller_id) GROUP BY cohort""")
+def _cohort_perf(c: Ctx):
+    return B.cohort_perf_items(c.oi)
+
+
+_OF = f"""(SELECT order_id,
+    CAST(coalesce(sum(CAST(freight_value AS DECIMAL(18,2))), 0) AS DOUBLE) AS total_freight,
+    CAST(coalesce(sum(CAST(price AS DECIMAL(18,2))), 0) AS DOUBLE) AS total_price,
+    max(is_late) AS is_late
+  FROM {_OI} oi GROUP BY order_id)"""
+
+
+@register("order_freight", f"""
+SELECT order_id, {r4('total_freight', 'total_freight')}, {r4('total_price', 'total_price')},
+  is_late, {r4('total_freight / nullif(total_price, 0)', 'freight_ratio')}
+FROM {_OF} o""")
+def _order_freight(c: Ctx):
+    return B.order_freight(c.oi)
+
+
+@register("order_freight_summary", f"""
+SELECT CAST(count(*) AS BIGINT) AS n_orders, {r4('avg(total_freight)', 'mean_freight')},
+  {r4('avg(total_price)', 'mean_price')}, {r4('avg(total_freight / nullif(total_price, 0))', 'mean_ratio')}
+FROM {_OF} o""")
+def _order_freight_summary(c: Ctx):
+    return B.order_freight_summary(B.order_freight(c.oi))
+
+
+_FREIGHT_L = ['Sangat murah', 'Murah', 'Sedang', 'Mahal', 'Sangat mahal']
+
+
+def _qcut(kind: str) -> str:
+    parts = []
+    for i, lbl in enumerate(_FREIGHT_L):
+        lo = f"total_freight >= e[1]" if i == 0 else f"total_freight > e[{i + 1}]"
+        out = f"'{lbl}'" if kind == "l" else str(i)
+        parts.append(f"WHEN {lo} AND total_freight <= e[{i + 2}] THEN {out}")
+    return "CASE " + " ".join(parts) + " END"
+
+
+@register("late_by_freight", f"""
+SELECT bucket_ord, freight_bucket, CAST(count(*) AS BIGINT) AS total_orders,
+  {r4('avg(is_late)', 'late_rate')}, {r4('avg(total_freight)', 'avg_freight')},
+  {r4('avg(is_late) * 100', 'late_pct')}, {_sev('avg(is_late) * 100', 10.0, 7.0)} AS severity
+FROM (SELECT {_qcut('o')} AS bucket_ord, {_qcut('l')} AS freight_bucket, is_late, total_freight
+      FROM {_OF} o CROSS JOIN (SELECT quantile_cont(total_freight, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS e
+                               FROM {_OF} o2) q) b
+WHERE bucket_ord IS NOT NULL GROUP BY 1, 2""")
+def _late_by_freight(c: Ctx):
+    """Order-grain freight quintiles: orders, late rate, mean freight."""
+    return B.late_by_freight(B.order_freight(c.oi))
+
+
+_STATE_SQL = "(SELECT nb.*, c.customer_state FROM nb JOIN src_customers c USING (customer_id))"
+
+
+@register("delivery_estimate_by_state", f"""
+SELECT customer_state, CAST(NULL AS VARCHAR) AS state_name,
+  {r4('quantile_cont(estimated_days, 0.5)', 'median_estimate')},
+  {r4('quantile_cont(delivery_days, 0.5)', 'median_actual')},
+  {r4('quantile_cont(delivery_days, 0.75)', 'p75_actual')},
+  {r4('quantile_cont(delivery_days, 0.9)', 'p90_actual')},
+  CAST(count(order_id) AS BIGINT) AS total_orders,
+  CAST(floor(quantile_cont(delivery_days, 0.75)) + 1 AS INTEGER) AS recommended_days,
+  {r4('quantile_cont(estimated_days, 0.5) - quantile_cont(delivery_days, 0.5)', 'estimate_gap')}
+FROM {_STATE_SQL} s WHERE customer_state IS NOT NULL GROUP BY customer_state""")
+def _estimates(c: Ctx):
+    """Per state: median estimate vs actual, P75/P90, recommended estimate.
+    (Synthetic states are nation names, so the state-name lookup is null.)"""
+    return B.delivery_estimate_by_state(c.oc)
