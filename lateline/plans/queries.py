@@ -649,3 +649,256 @@ def _estimates(c: Ctx):
     """Per state: median estimate vs actual, P75/P90, recommended estimate.
     (Synthetic states are nation names, so the state-name lookup is null.)"""
     return B.delivery_estimate_by_state(c.oc)
+
+
+# =================================================================== statistics
+from lateline.operators import stats as ST, topk as TK  # noqa: E402
+
+_IQR_LONG = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM nb" for c in ST.IQR_COLS)
+
+
+@register("iqr_outliers", f"""
+WITH l AS (SELECT * FROM ({_IQR_LONG}) x WHERE value >= 0),
+f AS (SELECT "column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+      FROM l GROUP BY "column")
+SELECT "column", {r4('q1', 'q1')}, {r4('q3', 'q3')}, {r4('q3 - q1', 'iqr')},
+  {r4('q1 - 1.5 * (q3 - q1)', 'lower')}, {r4('q3 + 1.5 * (q3 - q1)', 'upper')},
+  CAST(count_if(value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS n_outliers,
+  {r4('avg(CAST(value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1) AS INTEGER)) * 100', 'outlier_pct')},
+  {r4('max(value)', 'max')}, CAST(count(value) AS BIGINT) AS n
+FROM l JOIN f USING ("column") GROUP BY "column", q1, q3""")
+def _iqr(c: Ctx):
+    """Q1, Q3, fences, outlier counts per stage/day column (non-negative values)."""
+    return ST.iqr_outliers(c.nb)
+
+
+@register("extreme_rows", f"""
+SELECT order_id, customer_id, {TS_TXT.format(c='ps')} AS order_purchase_timestamp,
+  {r4('t3_shipping_h', 't3_shipping_h')}, is_late,
+  {TS_TXT.format(c='cs')} AS order_delivered_carrier_date,
+  {TS_TXT.format(c='ds')} AS order_delivered_customer_date, delivery_days
+FROM nb WHERE t3_shipping_h > 3000""")
+def _extreme(c: Ctx):
+    """Orders with shipping above 3000 h, with their dates."""
+    return ST.extreme_rows(c.nb, "t3_shipping_h", 3000.0,
+                           ["order_delivered_carrier_date", "order_delivered_customer_date",
+                            "delivery_days"])
+
+
+_EXT = " UNION ALL ".join(
+    f"SELECT '{s}' AS rule, {thr} AS threshold_h, order_id, "
+    f"CAST(make_timestamp({col} * 1000000) AS DATE) AS event_date FROM nb WHERE {s} > {thr}"
+    for s, thr, col in [("t1_approval_h", 700.0, "aps"), ("t3_shipping_h", 3000.0, "ds"),
+                        ("t2_processing_h", 2000.0, "cs")])
+
+
+@register("outlier_decision_evidence", f"""
+WITH e AS ({_EXT}),
+r AS (SELECT rule, threshold_h, count(*) AS n_rows FROM e GROUP BY rule, threshold_h),
+d AS (SELECT rule, count(*) AS distinct_dates, max(n_day) AS modal_date_rows
+      FROM (SELECT rule, event_date, count(*) AS n_day FROM e GROUP BY rule, event_date) x GROUP BY rule),
+s AS (SELECT rule, count(DISTINCT seller_id) AS distinct_sellers
+      FROM e JOIN src_items USING (order_id) GROUP BY rule)
+SELECT rule, {r4('threshold_h', 'threshold_h')}, CAST(n_rows AS BIGINT) AS n_rows,
+  CAST(coalesce(distinct_sellers, 0) AS BIGINT) AS distinct_sellers,
+  CAST(distinct_dates AS BIGINT) AS distinct_dates, CAST(modal_date_rows AS BIGINT) AS modal_date_rows,
+  {r4('modal_date_rows * 100.0 / n_rows', 'modal_date_pct')}
+FROM r LEFT JOIN d USING (rule) LEFT JOIN s USING (rule)""")
+def _evidence(c: Ctx):
+    """Per outlier rule: rows, sellers, distinct dates, share on the modal date."""
+    return ST.outlier_decision_evidence(c.nb, c.t.items)
+
+
+@register("outlier_dates", """
+SELECT strftime(CAST(make_timestamp(ds * 1000000) AS DATE), '%Y-%m-%d') AS event_date,
+  CAST(count(*) AS BIGINT) AS n
+FROM nb WHERE t3_shipping_h > 3000 GROUP BY 1 ORDER BY n DESC, event_date LIMIT 10""")
+def _outlier_dates(c: Ctx):
+    """Top-10 delivery dates among shipping outliers."""
+    return ST.outlier_dates(c.nb, "t3_shipping_h", 3000.0, "order_delivered_customer_date")
+
+
+@register("outlier_unique_sellers", """
+SELECT CAST(count(DISTINCT seller_id) AS BIGINT) AS distinct_sellers, CAST(count(*) AS BIGINT) AS n_item_rows
+FROM nb JOIN src_items USING (order_id) WHERE t3_shipping_h > 3000""")
+def _outlier_sellers(c: Ctx):
+    return ST.outlier_unique_sellers(c.nb, c.t.items, "t3_shipping_h", 3000.0)
+
+
+_CORR_PAIRS = [(a, b) for i, a in enumerate(ST.CORR_COLS) for b in ST.CORR_COLS[i + 1:]]
+
+
+@register("correlation_matrix", "SELECT col_a, col_b, round(r, 4) AS r FROM (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r "
+    f"FROM (SELECT nb.*, rv.review_score FROM nb LEFT JOIN src_reviews rv USING (order_id)) x"
+    for a, b in _CORR_PAIRS) + ") m")
+def _corr(c: Ctx):
+    """55 pairwise Pearson correlations (delivered x reviews, left join)."""
+    return ST.correlation_matrix(c.orr)
+
+
+@register("histogram", """
+WITH d AS (SELECT actual_vs_est_ratio AS v FROM nb WHERE actual_vs_est_ratio IS NOT NULL
+           AND actual_vs_est_ratio <= 3),
+m AS (SELECT min(v) AS lo, max(v) AS hi FROM d)
+SELECT bin, round(lo + bin * (hi - lo) / 40, 4) AS bin_lo, round(lo + (bin + 1) * (hi - lo) / 40, 4) AS bin_hi,
+  CAST(count(*) AS BIGINT) AS n
+FROM (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / ((hi - lo) / 40)), 39) END AS INTEGER) AS bin,
+             lo, hi FROM d CROSS JOIN m) b
+GROUP BY bin, lo, hi""")
+def _hist(c: Ctx):
+    """40 equal-width bins of the ratio, capped at 3 like the notebook chart."""
+    return ST.histogram(c.nb, "actual_vs_est_ratio", 40, cap=3.0)
+
+
+@register("five_number_summary", f"""
+WITH d AS (SELECT is_late, CAST(review_score AS DOUBLE) AS v FROM {_ORR} r),
+q AS (SELECT is_late, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+             quantile_cont(v, 0.75) AS q3 FROM d GROUP BY is_late)
+SELECT is_late, {r4('q1', 'q1')}, {r4('median', 'median')}, {r4('q3', 'q3')},
+  {r4('min(CASE WHEN v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1) THEN v END)', 'whisker_low')},
+  {r4('max(CASE WHEN v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1) THEN v END)', 'whisker_high')},
+  CAST(count_if(NOT (v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1))) AS BIGINT) AS n_outside,
+  CAST(count(*) AS BIGINT) AS n
+FROM d JOIN q USING (is_late) GROUP BY is_late, q1, median, q3""")
+def _five(c: Ctx):
+    """Box-plot numbers of review score, late vs on time."""
+    return ST.five_number_summary(c.orr.where(F.col("review_score").isNotNull()),
+                                  "review_score", by=["is_late"])
+
+
+CHI2_CRIT_DOF1 = 3.841458820694124  # chi-square(1) quantile at 0.95: p < .05 <=> chi2 > this
+
+
+def _chi2_sql(counts_sql: str) -> str:
+    return f"""
+WITH t AS ({counts_sql}),
+z AS (SELECT *, CAST(a AS DOUBLE) + b + c + d AS n, CAST(a AS DOUBLE) + b AS r1, CAST(c AS DOUBLE) + d AS r2,
+             CAST(a AS DOUBLE) + c AS c1, CAST(b AS DOUBLE) + d AS c2 FROM t),
+y AS (SELECT *, CASE WHEN r1 * r2 * c1 * c2 > 0 THEN
+        n * pow(greatest(abs(CAST(a AS DOUBLE) * d - CAST(b AS DOUBLE) * c) - n / 2, 0), 2) / (r1 * r2 * c1 * c2) END AS chi2
+      FROM z)
+SELECT CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b, CAST(c AS BIGINT) AS c, CAST(d AS BIGINT) AS d,
+  round(chi2, 4) AS chi2, 1 AS dof, round(r1 * c1 / n, 4) AS exp_a, round(r1 * c2 / n, 4) AS exp_b,
+  round(r2 * c1 / n, 4) AS exp_c, round(r2 * c2 / n, 4) AS exp_d,
+  CAST(chi2 > {CHI2_CRIT_DOF1} AS INTEGER) AS significant
+FROM y"""
+
+
+def _late_counts(src: str, g: str, x: str, y: str) -> str:
+    return (f"SELECT count_if({g} = {x} AND is_late = 0) AS a, count_if({g} = {x} AND is_late = 1) AS b, "
+            f"count_if({g} = {y} AND is_late = 0) AS c, count_if({g} = {y} AND is_late = 1) AS d FROM {src}")
+
+
+def _chi2_view(df: DataFrame) -> DataFrame:
+    # p-value is in the operator; the twin checks chi2 and the verdict
+    return df.drop("p_value")
+
+
+@register("chi2_state_pair", _chi2_sql(_late_counts(_STATE_SQL + " s", "customer_state",
+                                                    "'NATION_0'", "'NATION_1'")))
+def _chi2_state(c: Ctx):
+    """Yates chi-square, late vs on time, for two customer states."""
+    return _chi2_view(ST.chi2_state_pair(c.oc, "NATION_0", "NATION_1"))
+
+
+@register("chi2_month_pair", _chi2_sql(_late_counts("nb", "purchase_month", "3", "6")))
+def _chi2_month(c: Ctx):
+    """March vs June."""
+    return _chi2_view(ST.chi2_month_pair(c.nb, 3, 6))
+
+
+@register("chi2_chronic_normal", _chi2_sql(f"""
+SELECT sum(CASE WHEN late_rate > 0.12 THEN total_orders END) - floor(sum(CASE WHEN late_rate > 0.12 THEN total_orders * late_rate END)) AS a,
+  floor(sum(CASE WHEN late_rate > 0.12 THEN total_orders * late_rate END)) AS b,
+  sum(CASE WHEN late_rate <= 0.12 THEN total_orders END) - floor(sum(CASE WHEN late_rate <= 0.12 THEN total_orders * late_rate END)) AS c,
+  floor(sum(CASE WHEN late_rate <= 0.12 THEN total_orders * late_rate END)) AS d
+FROM (SELECT seller_id, count(DISTINCT order_id) AS total_orders, avg(is_late) AS late_rate
+      FROM {_OI} oi GROUP BY seller_id) s WHERE total_orders >= 95"""))
+def _chi2_chronic(c: Ctx):
+    """Chronic vs normal active sellers (late counts rebuilt from rates)."""
+    return _chi2_view(ST.chi2_chronic_normal(B.seller_perf_items(c.oi), CFG))
+
+
+@register("chi2_freight_pair", _chi2_sql(_late_counts(f"""(SELECT {_qcut('l')} AS freight_bucket, is_late
+      FROM {_OF} o CROSS JOIN (SELECT quantile_cont(total_freight, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS e
+                               FROM {_OF} o2) q) b""", "freight_bucket", "'Sangat murah'", "'Sangat mahal'")))
+def _chi2_freight(c: Ctx):
+    """Cheapest vs dearest order-freight quintile."""
+    return _chi2_view(ST.chi2_freight_pair(B.freight_qcut(B.order_freight(c.oi))))
+
+
+@register("sample_fixed")
+def _sample(c: Ctx):
+    """5,000 delivered orders chosen by a seeded hash (repeatable)."""
+    return ST.sample_fixed(c.nb.select("order_id", "is_late", "delivery_days"), CFG.sample_n, CFG.seed)
+
+
+# =================================================================== top-k
+@register("worst_approvals", f"""
+SELECT order_id, {TS_TXT.format(c='ps')} AS order_purchase_timestamp,
+  {TS_TXT.format(c='aps')} AS order_approved_at, {r4('t1_approval_h', 't1_approval_h')}, is_late,
+  {r4('round_even(t1_approval_h / 24.0, 1)', 't1_days')}
+FROM nb WHERE t1_approval_h IS NOT NULL ORDER BY t1_approval_h DESC, order_id LIMIT 5""")
+def _worst_approvals(c: Ctx):
+    return TK.worst_approvals(c.nb)
+
+
+_SELLER_TOP = f"""SELECT seller_id, substr(seller_id, 1, 8) || '...' AS seller_short, total_orders,
+  late_pct, avg_t2 FROM ({_SELLER_ITEMS_SQL}) s WHERE total_orders >= 95"""
+
+
+@register("worst_sellers", _SELLER_TOP + " ORDER BY late_pct DESC, seller_id LIMIT 10")
+def _worst_sellers(c: Ctx):
+    return TK.worst_sellers(B.seller_perf_items(c.oi), CFG)
+
+
+@register("best_sellers", _SELLER_TOP + " AND total_orders >= 50 ORDER BY late_pct ASC, seller_id LIMIT 10")
+def _best_sellers(c: Ctx):
+    return TK.best_sellers(B.seller_perf_items(c.oi), CFG)
+
+
+_CAT_ALL = _CAT_SQL.replace("HAVING count(DISTINCT order_id) >= 100", "")
+
+
+@register("worst_categories", f"SELECT * FROM ({_CAT_ALL}) c ORDER BY late_pct DESC, category_en LIMIT 15")
+def _worst_categories(c: Ctx):
+    """Highest late rate categories (no minimum: synthetic categories are few)."""
+    return TK.worst_categories(B.late_by_category(
+        B.category_items(c.oi, c.t.products, c.t.cat_trans), CFG.with_(category_min_orders=0)))
+
+
+@register("best_categories", f"SELECT * FROM ({_CAT_ALL}) c ORDER BY late_pct ASC, category_en LIMIT 15")
+def _best_categories(c: Ctx):
+    return TK.best_categories(B.late_by_category(
+        B.category_items(c.oi, c.t.products, c.t.cat_trans), CFG.with_(category_min_orders=0)))
+
+
+_STATES_FULL = f"""
+SELECT customer_state, CAST(count(order_id) AS BIGINT) AS total_orders,
+  CAST(sum(is_late) AS BIGINT) AS late_orders, {r4('avg(is_late)', 'late_rate')},
+  {r4('avg(delivery_days)', 'avg_days')}, {r4('avg(t3_shipping_h)', 'avg_t3')},
+  avg(is_late) * 100 AS late_pct_raw,
+  CASE WHEN avg(is_late) * 100 >= 15 THEN 'red' WHEN avg(is_late) * 100 >= 8 THEN 'orange'
+       ELSE 'green' END AS severity
+FROM {_STATE_SQL} s WHERE customer_state IS NOT NULL GROUP BY customer_state"""
+
+
+@register("top_bottom_states", f"""
+SELECT customer_state, total_orders, late_orders, late_rate, avg_days, avg_t3,
+  round(late_pct_raw, 4) AS late_pct, severity, position FROM (
+  (SELECT *, 'top' AS position FROM ({_STATES_FULL}) s ORDER BY late_pct_raw DESC, customer_state LIMIT 5)
+  UNION ALL
+  (SELECT *, 'bottom' AS position FROM ({_STATES_FULL}) s ORDER BY late_pct_raw ASC, customer_state DESC LIMIT 5)) u""")
+def _top_bottom(c: Ctx):
+    """Five worst and five best states by late rate."""
+    return TK.top_bottom_states(B.late_by_state(c.oc))
+
+
+@register("state_days_ranking", f"""
+SELECT customer_state, total_orders, late_orders, late_rate, avg_days, avg_t3,
+  round(late_pct_raw, 4) AS late_pct, severity FROM ({_STATES_FULL}) s""")
+def _state_days(c: Ctx):
+    """States sorted by mean delivery days (descending)."""
+    return B.state_days_ranking(B.late_by_state(c.oc))
