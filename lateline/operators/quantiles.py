@@ -89,3 +89,27 @@ def builtin_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seq
     g = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     agg = (g.groupBy(*by) if by else g).agg(arr.alias("_q"))
     return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+
+
+def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
+                   by: Sequence[str] = ()) -> DataFrame:
+    """Exclusive running sums of ``sum_cols`` in ``order_col`` order (per
+    ``by`` group) without a single-partition window: range partitioning splits
+    the order over tasks, each task sums locally, and a table of at most
+    partitions x groups rows supplies the offsets.  Adds ``<col>_before``."""
+    by = list(by)
+    ranged = (df.repartitionByRange(*[F.col(b) for b in by], F.col(order_col))
+              .withColumn("_pid", F.spark_partition_id()))
+    key = ["_pid", *by]
+    w_in = Window.partitionBy(*key).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.select("*", *[F.coalesce(F.sum(c).over(w_in), F.lit(0)).alias(f"_in_{c}")
+                                 for c in sum_cols])
+    part = local.groupBy(*key).agg(*[F.sum(c).alias(f"_pt_{c}") for c in sum_cols])
+    w_grp = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_pid")
+    part = part.select(*key, *[F.coalesce(F.sum(f"_pt_{c}").over(
+        w_grp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_off_{c}")
+        for c in sum_cols])
+    out = local.join(part, key)
+    return out.select(*[c for c in df.columns],
+                      *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"{c}_before")
+                        for c in sum_cols])

@@ -902,3 +902,392 @@ SELECT customer_state, total_orders, late_orders, late_rate, avg_days, avg_t3,
 def _state_days(c: Ctx):
     """States sorted by mean delivery days (descending)."""
     return B.state_days_ranking(B.late_by_state(c.oc))
+
+
+# =================================================================== profiles
+from lateline.operators import profile as PR  # noqa: E402
+
+_SRC_COLS = {
+    "orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+               "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date"],
+    "items": ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"],
+    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+    "customers": ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city",
+                  "customer_state"],
+    "reviews": ["order_id", "review_score"],
+    "products": ["product_id", "product_category_name", "product_weight_g", "product_length_cm",
+                 "product_height_cm", "product_width_cm"],
+    "cat_trans": ["product_category_name", "product_category_name_english"],
+}
+_ORDERS_TS = """(SELECT order_id, customer_id, order_status, ps AS order_purchase_timestamp,
+  aps AS order_approved_at, cs AS order_delivered_carrier_date, ds AS order_delivered_customer_date,
+  es AS order_estimated_delivery_date FROM src_orders)"""
+
+
+def _src(t: str) -> str:
+    return _ORDERS_TS if t == "orders" else f"src_{t}"
+
+
+@register("table_profile", " UNION ALL ".join(
+    f"""SELECT '{t}' AS "table", CAST(count(*) AS BIGINT) AS rows, {len(cs)} AS n_columns,
+  CAST({' + '.join(f'count_if({c} IS NULL)' for c in cs)} AS BIGINT) AS null_total,
+  round(({' + '.join(f'count_if({c} IS NULL)' for c in cs)}) * 100.0 / (count(*) * {len(cs)}), 4) AS null_pct,
+  CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {_src(t)} d) x) AS BIGINT) AS duplicate_rows
+FROM {_src(t)} s""" for t, cs in _SRC_COLS.items()))
+def _table_profile(c: Ctx):
+    """Rows, columns, nulls and duplicate rows of the seven sources."""
+    return PR.table_profile(c.t.as_dict())
+
+
+@register("null_profile", f"""
+SELECT * FROM (SELECT 'orders' AS "table", "column", nulls, round(nulls * 100.0 / n, 4) AS null_pct,
+  CASE WHEN nulls * 100.0 / n >= 20 THEN 'red' WHEN nulls * 100.0 / n >= 5 THEN 'orange' ELSE 'green' END AS severity
+FROM (SELECT count(*) AS n, {', '.join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in _SRC_COLS['orders'])}
+      FROM {_ORDERS_TS} o) UNPIVOT (nulls FOR "column" IN ({', '.join(_SRC_COLS['orders'])}))) z
+WHERE nulls > 0""")
+def _null_profile(c: Ctx):
+    """Columns of the orders source with nulls, and their share."""
+    return PR.null_profile(c.t.orders, "orders")
+
+
+@register("schema_profile")
+def _schema_profile(c: Ctx):
+    """Column types of the seven sources (metadata)."""
+    return PR.schema_profile(c.t.as_dict())
+
+
+# =================================================================== risk model
+from lateline.operators import risk as R  # noqa: E402
+
+_MODELS: dict = {}
+
+
+def _model(c: Ctx, kind: str):
+    """Fitted pipelines are reused within a session (training is the cost)."""
+    key = (id(c.spark.sparkContext), c.sf_dir, kind)
+    if key not in _MODELS:
+        rows = R.ml_features(c.fact)
+        if kind == "boosted_all":
+            _MODELS[key] = R.train_boosted(rows, CFG)
+        else:
+            train, _ = R.stratified_split(rows, CFG.test_fraction, CFG.seed)
+            _MODELS[key] = (R.train_boosted(train, CFG) if kind == "boosted"
+                            else R.train_forest(train, CFG))
+    return _MODELS[key]
+
+
+def _test_rows(c: Ctx):
+    return R.stratified_split(R.ml_features(c.fact), CFG.test_fraction, CFG.seed)[1]
+
+
+@register("fact_late_risk")
+def _fact_late_risk(c: Ctx):
+    """Boosted model fitted on all feature rows, scoring the same rows."""
+    return R.fact_late_risk(c.fact, CFG, _model(c, "boosted_all"))
+
+
+@register("risk_distribution")
+def _risk_dist(c: Ctx):
+    return R.risk_distribution(R.fact_late_risk(c.fact, CFG, _model(c, "boosted_all")))
+
+
+@register("stratified_split", f"""
+WITH f AS (SELECT DISTINCT * FROM (SELECT customer_state, seller_state, purchase_month, purchase_dayofweek,
+             purchase_hour, freight_bucket, seller_cohort, order_id, is_late FROM fact) x
+           WHERE customer_state IS NOT NULL AND seller_state IS NOT NULL AND freight_bucket IS NOT NULL
+             AND seller_cohort IS NOT NULL)
+SELECT CAST(sum(n) AS BIGINT) AS n, split FROM (
+  SELECT is_late, count(*) AS n,
+    'train' AS split FROM (SELECT is_late, row_number() OVER (PARTITION BY is_late ORDER BY order_id) AS rn,
+       count(*) OVER (PARTITION BY is_late) AS cnt FROM f) z
+  WHERE rn <= floor((cnt - 1) * 0.8) + 1 GROUP BY is_late
+  UNION ALL
+  SELECT is_late, count(*) - (floor((count(*) - 1) * 0.8) + 1), 'test' FROM f GROUP BY is_late) s
+GROUP BY split""")
+def _split(c: Ctx):
+    """Sizes of the stratified 80/20 split (per-class exact proportions)."""
+    tr, te = R.stratified_split(R.ml_features(c.fact).distinct(), CFG.test_fraction, CFG.seed)
+    return R.split_report(tr, te).select(F.col("n").cast("long").alias("n"), "split")
+
+
+@register("model_comparison")
+def _model_comparison(c: Ctx):
+    """Hold-out AUC, recall, precision and counts of both models."""
+    return R.model_comparison(_model(c, "boosted"), _model(c, "forest"), _test_rows(c))
+
+
+@register("roc_auc")
+def _roc_auc(c: Ctx):
+    return R.roc_auc_exact(R.score_risk(_model(c, "boosted"), _test_rows(c)))
+
+
+@register("classification_report")
+def _class_report(c: Ctx):
+    return R.classification_report(R.score_risk(_model(c, "boosted"), _test_rows(c)))
+
+
+@register("confusion_matrix")
+def _confusion(c: Ctx):
+    return R.confusion_matrix(R.score_risk(_model(c, "boosted"), _test_rows(c)))
+
+
+@register("feature_importance")
+def _importance(c: Ctx):
+    return R.feature_importance(_model(c, "boosted"), "boosted").unionByName(
+        R.feature_importance(_model(c, "forest"), "forest"))
+
+
+@register("top_features")
+def _top_features(c: Ctx):
+    return R.top_features(R.feature_importance(_model(c, "boosted"), "boosted"))
+
+
+@register("chi2_risk_pair")
+def _chi2_risk(c: Ctx):
+    """High vs Low risk on the hold-out rows."""
+    return ST.chi2_risk_pair(R.score_risk(_model(c, "boosted"), _test_rows(c)))
+
+
+@register("attribution")
+def _attribution(c: Ctx):
+    """Exact single-baseline Shapley contributions on the hold-out rows."""
+    return R.attribution(_model(c, "boosted"), _test_rows(c))
+
+
+@register("attribution_global")
+def _attribution_global(c: Ctx):
+    return R.attribution_global(R.attribution(_model(c, "boosted"), _test_rows(c)))
+
+
+# =================================================================== quality
+from lateline.operators import dash as DS, impact as IM, quality as Q  # noqa: E402
+
+
+def _published(c: Ctx, with_risk: bool = True) -> dict:
+    f = c.fact
+    out = {"fact_deliveries": f, "dim_sellers": FT.dim_sellers(c.t.sellers),
+           "dim_customers": FT.dim_customers(c.t.customers),
+           "dim_products": FT.dim_products(c.t.products, c.t.cat_trans),
+           "agg_seller_performance": marts.agg_seller_performance(f, CFG),
+           "agg_regional_stats": marts.agg_regional_stats(f),
+           "agg_monthly_trend": marts.agg_monthly_trend(f),
+           "agg_cohort_performance": marts.agg_cohort_performance(f),
+           "kpi_summary": kpi.kpi_summary(f, CFG)}
+    if with_risk:
+        out["fact_late_risk"] = R.fact_late_risk(f, CFG, _model(c, "boosted_all"))
+    return out
+
+
+@register("quality_expectations", f"""
+SELECT * FROM (
+  SELECT 'expect_not_null_order_id' AS "check", 'fact_deliveries' AS "table", 'order_id' AS "column",
+    'not_null' AS kind, CAST(count_if(order_id IS NULL) AS DOUBLE) AS observed, '0 nulls' AS expected,
+    CASE WHEN count_if(order_id IS NULL) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM fact
+  UNION ALL SELECT 'expect_in_set_is_late', 'fact_deliveries', 'is_late', 'in_set',
+    CAST(count_if(is_late IS NOT NULL AND is_late NOT IN (0, 1)) AS DOUBLE), 'in {{0,1}}',
+    CASE WHEN count_if(is_late IS NOT NULL AND is_late NOT IN (0, 1)) = 0 THEN 'PASS' ELSE 'FAIL' END FROM fact
+  UNION ALL SELECT 'expect_mean_between_is_late', 'fact_deliveries', 'is_late', 'mean_between',
+    round(avg(is_late), 4), '[0.06, 0.12]',
+    CASE WHEN avg(is_late) BETWEEN 0.06 AND 0.12 THEN 'PASS' ELSE 'FAIL' END FROM fact
+  UNION ALL SELECT 'expect_between_purchase_month', 'fact_deliveries', 'purchase_month', 'between',
+    CAST(count_if(purchase_month IS NOT NULL AND NOT purchase_month BETWEEN 1 AND 12) AS DOUBLE), '[1, 12]',
+    CASE WHEN count_if(purchase_month IS NOT NULL AND NOT purchase_month BETWEEN 1 AND 12) = 0 THEN 'PASS' ELSE 'FAIL' END FROM fact
+  UNION ALL SELECT 'expect_between_mostly_t1_approval_h', 'fact_deliveries', 't1_approval_h', 'between_mostly',
+    round(coalesce(avg(CASE WHEN t1_approval_h IS NOT NULL THEN CAST(t1_approval_h BETWEEN 0 AND 700 AS INTEGER) END), 1.0), 4),
+    '[0, 700.0] mostly 0.999',
+    CASE WHEN coalesce(avg(CASE WHEN t1_approval_h IS NOT NULL THEN CAST(t1_approval_h BETWEEN 0 AND 700 AS INTEGER) END), 1.0) >= 0.999 THEN 'PASS' ELSE 'FAIL' END FROM fact
+  UNION ALL SELECT 'expect_between_mostly_t3_shipping_h', 'fact_deliveries', 't3_shipping_h', 'between_mostly',
+    round(coalesce(avg(CASE WHEN t3_shipping_h IS NOT NULL THEN CAST(t3_shipping_h BETWEEN 0 AND 3000 AS INTEGER) END), 1.0), 4),
+    '[0, 3000.0] mostly 0.999',
+    CASE WHEN coalesce(avg(CASE WHEN t3_shipping_h IS NOT NULL THEN CAST(t3_shipping_h BETWEEN 0 AND 3000 AS INTEGER) END), 1.0) >= 0.999 THEN 'PASS' ELSE 'FAIL' END FROM fact
+  UNION ALL SELECT 'expect_row_count_between', 'fact_deliveries', '*', 'row_count', CAST(count(*) AS DOUBLE),
+    '[90000, 100000]', CASE WHEN count(*) BETWEEN 90000 AND 100000 THEN 'PASS' ELSE 'FAIL' END FROM fact
+  UNION ALL SELECT 'expect_not_null_seller_cohort', 'fact_deliveries', 'seller_cohort', 'not_null',
+    CAST(count_if(seller_cohort IS NULL) AS DOUBLE), '0 nulls',
+    CASE WHEN count_if(seller_cohort IS NULL) = 0 THEN 'PASS' ELSE 'FAIL' END FROM fact
+  UNION ALL SELECT 'expect_in_set_freight_bucket', 'fact_deliveries', 'freight_bucket', 'in_set',
+    CAST(count_if(freight_bucket IS NOT NULL AND freight_bucket NOT IN ('Sangat murah', 'Murah', 'Sedang', 'Mahal', 'Sangat mahal')) AS DOUBLE),
+    '5 labels', CASE WHEN count_if(freight_bucket IS NOT NULL AND freight_bucket NOT IN ('Sangat murah', 'Murah', 'Sedang', 'Mahal', 'Sangat mahal')) = 0 THEN 'PASS' ELSE 'FAIL' END FROM fact
+) e""")
+def _expectations(c: Ctx):
+    """The nine expectations on the fact (nulls skipped in set/range tests)."""
+    return Q.run_checks({"fact_deliveries": c.fact}, Q.expectations(CFG))
+
+
+@register("quality_hard_checks")
+def _hard_checks(c: Ctx):
+    """The hard checks over the ten published tables (one scan per table).
+    Reference row-count bounds belong to its dataset, so several FAIL here."""
+    return Q.run_checks(_published(c), Q.hard_checks(CFG))
+
+
+@register("quality_summary")
+def _quality_summary(c: Ctx):
+    return Q.summary(Q.run_checks(_published(c, with_risk=False),
+                                  [k for k in Q.hard_checks(CFG) if k.table != "fact_late_risk"]))
+
+
+# =================================================================== impact
+_NB_OI_SELLERS = f"""(SELECT seller_id, count(DISTINCT order_id) AS total_orders, avg(is_late) AS late_rate,
+  sum(CAST(price AS DECIMAL(18,2))) AS total_revenue FROM {_OI} oi GROUP BY seller_id)"""
+_SAVED = """(SELECT count(*) AS total_orders, avg(is_late) AS late_rate_actual,
+  CAST(floor(count(*) * avg(is_late)) AS BIGINT) AS late_orders_actual,
+  CAST(floor(count(*) * 0.05) AS BIGINT) AS late_orders_target FROM nb)"""
+_AOV = f"""(SELECT avg(CAST(v AS DOUBLE)) AS avg_order_value FROM
+  (SELECT order_id, sum(CAST(price AS DECIMAL(18,2))) AS v FROM {_OI} oi GROUP BY order_id) x)"""
+
+
+@register("impact_orders_saved", f"""
+SELECT CAST(total_orders AS BIGINT) AS total_orders, round(late_rate_actual, 4) AS late_rate_actual,
+  0.05 AS late_rate_target, late_orders_actual, late_orders_target,
+  late_orders_actual - late_orders_target AS orders_saved FROM {_SAVED} s""")
+def _impact_saved(c: Ctx):
+    return IM.impact_orders_saved(c.nb, CFG)
+
+
+@register("avg_order_value", f"SELECT round(avg_order_value, 4) AS avg_order_value FROM {_AOV} a")
+def _aov(c: Ctx):
+    return IM.avg_order_value(c.oi)
+
+
+@register("impact_revenue_at_risk", f"""
+SELECT round(avg_order_value, 4) AS avg_order_value, round(late_orders_actual * avg_order_value, 4) AS revenue_at_risk,
+  round((late_orders_actual - late_orders_target) * avg_order_value, 4) AS revenue_saved
+FROM {_SAVED} s CROSS JOIN {_AOV} a""")
+def _impact_revenue(c: Ctx):
+    saved = IM.impact_orders_saved(c.nb, CFG)
+    return IM.impact_revenue_at_risk(saved, IM.avg_order_value(c.oi))
+
+
+@register("impact_review_score", f"""
+WITH sc AS (SELECT avg(CASE WHEN is_late = 0 THEN review_score END) AS score_on_time,
+                   avg(CASE WHEN is_late = 1 THEN review_score END) AS score_late FROM {_ORR} r)
+SELECT round(score_on_time, 4) AS score_on_time, round(score_late, 4) AS score_late,
+  round(((total_orders - late_orders_actual) * score_on_time + late_orders_actual * score_late) / total_orders, 4) AS score_before,
+  round(((total_orders - late_orders_target) * score_on_time + late_orders_target * score_late) / total_orders, 4) AS score_after,
+  round(((total_orders - late_orders_target) * score_on_time + late_orders_target * score_late) / total_orders
+      - ((total_orders - late_orders_actual) * score_on_time + late_orders_actual * score_late) / total_orders, 4) AS score_gain
+FROM {_SAVED} s CROSS JOIN sc""")
+def _impact_review(c: Ctx):
+    saved = IM.impact_orders_saved(c.nb, CFG)
+    return IM.impact_review_score(saved, IM.review_score_means(c.orr))
+
+
+@register("impact_chronic_sellers", f"""
+SELECT CAST(count(*) AS BIGINT) AS chronic_sellers,
+  CAST(coalesce(floor(sum(total_orders) * avg(late_rate)), 0) AS BIGINT) AS chronic_late_orders,
+  round(coalesce(CAST(sum(total_revenue) AS DOUBLE) * avg(late_rate), 0.0), 4) AS chronic_revenue_at_risk
+FROM {_NB_OI_SELLERS} s WHERE total_orders >= 95 AND late_rate > 0.12""")
+def _impact_chronic(c: Ctx):
+    return IM.impact_chronic_sellers(B.seller_perf_items(c.oi), CFG)
+
+
+@register("business_impact")
+def _business_impact(c: Ctx):
+    """Every impact figure in one row."""
+    return IM.business_impact(c.nb, c.t.items, c.t.reviews, CFG)
+
+
+@register("kpi_sla_in_range", f"""
+SELECT {r4('avg(actual_vs_est_ratio)', 'mean_ratio')},
+  {r4('avg(CAST(actual_vs_est_ratio BETWEEN 0.8 AND 1.0 AS INTEGER)) * 100', 'in_range_pct')},
+  CASE WHEN avg(CAST(actual_vs_est_ratio BETWEEN 0.8 AND 1.0 AS INTEGER)) * 100 >= 50 THEN '✅' ELSE '❌' END AS status
+FROM fact WHERE actual_vs_est_ratio IS NOT NULL""")
+def _kpi_sla_range(c: Ctx):
+    """SLA variant: share of ratios in [0.8, 1.0] (pipeline fact)."""
+    return kpi.kpi_sla_in_range(c.fact, CFG)
+
+
+@register("kpi_seller_strict", f"""
+SELECT {r4('avg(CASE WHEN total_orders >= 95 THEN late_rate END) * 100', 'avg_seller_late_pct')},
+  CAST(count_if(total_orders >= 95 AND late_rate > 0.12) AS BIGINT) AS chronic_active,
+  CAST(count_if(total_orders < 95 AND late_rate = 1.0) AS BIGINT) AS new_problem,
+  CASE WHEN avg(CASE WHEN total_orders >= 95 THEN late_rate END) * 100 <= 5
+        AND count_if(total_orders >= 95 AND late_rate > 0.12) = 0 THEN '✅' ELSE '❌' END AS status
+FROM {_NB_OI_SELLERS} s""")
+def _kpi_seller_strict(c: Ctx):
+    """Seller variant: mean <= 5 % and no chronic active seller (item grain)."""
+    return kpi.kpi_seller_strict(B.seller_perf_items(c.oi), CFG)
+
+
+@register("kpi_notebook", f"""
+SELECT {r4('avg(1 - is_late) * 100', 'on_time_pct')},
+  {r4('avg(coalesce(CAST(days_late > 3 AS INTEGER), 0)) * 100', 'breach_pct')},
+  {r4('avg(CASE WHEN t2_processing_h >= 0 THEN CAST(t2_processing_h <= 48 AS INTEGER) END) * 100', 'processing_pct')}
+FROM nb""")
+def _kpi_notebook(c: Ctx):
+    """On-time, breach, processing on the unfiltered, unclipped population."""
+    return kpi.kpi_notebook(c.nb, CFG)
+
+
+@register("sla_whatif", f"""
+WITH s AS (SELECT customer_state, CAST(floor(quantile_cont(delivery_days, 0.75)) + 1 AS INTEGER) AS rec
+           FROM {_STATE_SQL} x WHERE customer_state IS NOT NULL GROUP BY customer_state)
+SELECT {r4('avg(actual_vs_est_ratio)', 'current_ratio')}, {r4('avg(delivery_days / nullif(rec, 0))', 'whatif_ratio')}
+FROM {_STATE_SQL} o JOIN s USING (customer_state)""")
+def _sla_whatif(c: Ctx):
+    """Mean ratio if each state's estimate were its P75-based recommendation."""
+    return IM.sla_whatif(c.oc)
+
+
+# =================================================================== dashboard
+_SELLER_CLASS = f"""(SELECT seller_id, CASE WHEN is_chronic = 1 THEN 'chronic' WHEN total_orders >= 95 THEN 'normal'
+  WHEN is_new_problem = 1 THEN 'new_problem' ELSE 'other' END AS seller_class FROM ({_SELLER_ALL_SQL}) a)"""
+
+
+@register("dash_headline", f"""
+WITH v AS (SELECT avg(1 - is_late) * 100 AS on_time, avg(CAST(coalesce(days_late, 0) > 3 AS INTEGER)) * 100 AS breach,
+             avg(actual_vs_est_ratio) AS sla, avg(CAST(t2_processing_h <= 48 AS INTEGER)) * 100 AS processing,
+             CAST(sum(is_late) AS BIGINT) AS late_orders,
+             CAST(sum(CASE WHEN is_late = 1 THEN CAST(price AS DECIMAL(18,2)) END) AS DOUBLE) AS late_revenue FROM fact),
+s AS (SELECT avg(late_rate) * 100 AS seller_late FROM (SELECT seller_id, count(DISTINCT order_id) AS n,
+        avg(is_late) AS late_rate FROM fact WHERE seller_id IS NOT NULL GROUP BY seller_id) WHERE n >= 95),
+ch AS (SELECT CAST(sum(is_chronic) AS BIGINT) AS chronic_sellers FROM ({_SELLER_ALL_SQL}) a)
+SELECT round(on_time, 4) AS on_time, round(breach, 4) AS breach, round(sla, 4) AS sla,
+  round(processing, 4) AS processing, round(seller_late, 4) AS seller_late, late_orders,
+  round(late_revenue, 4) AS late_revenue, chronic_sellers FROM v CROSS JOIN s CROSS JOIN ch""")
+def _dash_headline(c: Ctx):
+    """KPI actuals, late orders, late revenue, chronic seller count."""
+    return DS.dash_headline(c.fact, CFG)
+
+
+@register("dash_chronic_list", "SELECT * FROM (" + _SELLER_ALL_SQL + ") a WHERE is_chronic = 1")
+def _dash_chronic(c: Ctx):
+    return DS.dash_chronic_list(c.fact, CFG)
+
+
+@register("dash_seller_categories", f"""
+SELECT seller_class, CAST(count(*) AS BIGINT) AS n_sellers FROM {_SELLER_CLASS} s GROUP BY seller_class""")
+def _dash_categories(c: Ctx):
+    return DS.dash_seller_categories(c.fact, CFG)
+
+
+@register("dash_seller_class_by_state", f"""
+SELECT seller_class, customer_state, CAST(count(*) AS BIGINT) AS n_rows, {r4('avg(is_late)', 'late_rate')}
+FROM fact JOIN {_SELLER_CLASS} s USING (seller_id) WHERE customer_state IS NOT NULL
+GROUP BY seller_class, customer_state""")
+def _dash_class_state(c: Ctx):
+    return DS.dash_seller_class_by_state(c.fact, CFG)
+
+
+@register("dash_freight", f"""
+SELECT freight_bucket, CAST(count(*) AS BIGINT) AS n_rows, {r4('avg(is_late)', 'late_rate')}
+FROM fact WHERE freight_bucket IS NOT NULL GROUP BY freight_bucket""")
+def _dash_freight(c: Ctx):
+    return DS.dash_freight(c.fact)
+
+
+@register("dash_category_revenue_at_risk", """
+SELECT product_category_name_en,
+  round(CAST(coalesce(sum(CASE WHEN is_late = 1 THEN CAST(price AS DECIMAL(18,2)) END), 0) AS DOUBLE), 4) AS late_revenue,
+  CAST(count_if(is_late = 1) AS BIGINT) AS late_rows
+FROM fact GROUP BY product_category_name_en""")
+def _dash_cat_rev(c: Ctx):
+    return DS.dash_category_revenue_at_risk(c.fact)
+
+
+@register("dash_reviews", f"""
+SELECT is_late, {r4('avg(review_score)', 'mean_score')}, CAST(count(*) AS BIGINT) AS n_rows
+FROM fact GROUP BY is_late""")
+def _dash_reviews(c: Ctx):
+    return DS.dash_reviews(c.fact)
