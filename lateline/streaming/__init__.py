@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analyses this library re-expresses are a weekly batch with no catch-up:
+there is no watermark, window, state or late-data operator to build ("late"
+always means a late *delivery*).  Incremental runs are expressed as batch
+reads of one extract snapshot (``lateline.sources.read_snapshot``), which
+prunes to that partition.  This package is intentionally empty.
+"""
