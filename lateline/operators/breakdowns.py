@@ -418,3 +418,38 @@ def delivery_estimate_by_state(oc: DataFrame) -> DataFrame:
                        C.recommended_days("p75_actual").alias("recommended_days"),
                        (F.col("median_estimate") - F.col("median_actual")).alias("estimate_gap"))
             .orderBy(F.desc("p75_actual"), "customer_state"))
+
+
+# ---------------------------------------------------------------- filters as reports
+def split_late(nb: DataFrame) -> DataFrame:
+    """Late and on-time subsets summarised in one pass (conditional aggregates)."""
+    late = F.col("is_late") == 1
+    return nb.agg(
+        F.count_if(late).alias("late_orders"), F.count_if(~late).alias("on_time_orders"),
+        F.avg(F.when(late, F.col("delivery_days"))).alias("late_mean_days"),
+        F.avg(F.when(~late, F.col("delivery_days"))).alias("on_time_mean_days"))
+
+
+def seller_segments(seller_items: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    """Per seller: active, chronic, normal, new-problem and perfect flags."""
+    n, r = F.col("total_orders"), F.col("late_rate")
+    active = n >= cfg.active_min_orders
+    return seller_items.select(
+        "seller_id", "total_orders", "late_rate",
+        active.cast("int").alias("is_active"),
+        (active & (r > cfg.chronic_rate)).cast("int").alias("is_chronic"),
+        (active & (r <= cfg.chronic_rate)).cast("int").alias("is_normal"),
+        (~active & (r == 1.0)).cast("int").alias("is_new_problem"),
+        (active & (r == 0)).cast("int").alias("is_perfect"))
+
+
+def capped(df: DataFrame, col: str, cap: float, strict: bool = True) -> DataFrame:
+    """Rows under a cap for a view (``< cap`` or ``<= cap``)."""
+    c = F.col(col)
+    return df.where(c < cap if strict else c <= cap)
+
+
+def capped_at_quantile(df: DataFrame, col: str, q: float = 0.95) -> DataFrame:
+    """Rows at or below the column's exact q-quantile (one-row broadcast)."""
+    cut = exact_quantiles(df, col, [q], names=["_cap"])
+    return df.crossJoin(F.broadcast(cut)).where(F.col(col) <= F.col("_cap")).drop("_cap")

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from lateline.config import DEFAULT_CONFIG, Config
 from lateline.functions import columns as C
 from lateline.functions import labels as L
-from lateline.operators import marts
 
 
 def kpi_values(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
@@ -27,7 +26,10 @@ def kpi_values(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
         (F.avg((F.col("t2_processing_h") <= cfg.processing_limit_h).cast("int")) * 100)
         .alias("processing"),
     )
-    sellers = (marts.seller_performance_all(fact, cfg)
+    # only the two measures the KPI needs (distinct orders, row-level rate)
+    sellers = (fact.where(F.col("seller_id").isNotNull()).groupBy("seller_id")
+               .agg(F.countDistinct("order_id").alias("total_orders"),
+                    F.avg("is_late").alias("late_rate"))
                .where(F.col("total_orders") >= cfg.active_min_orders)
                .agg((F.avg("late_rate") * 100).alias("seller_late")))
     return glob.crossJoin(sellers)

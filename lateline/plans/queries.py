@@ -1291,3 +1291,150 @@ SELECT is_late, {r4('avg(review_score)', 'mean_score')}, CAST(count(*) AS BIGINT
 FROM fact GROUP BY is_late""")
 def _dash_reviews(c: Ctx):
     return DS.dash_reviews(c.fact)
+
+
+# =================================================================== enriched rows, filters, joins
+_ENR_COLS = ["order_id", "customer_id", "t1_approval_h", "t2_processing_h", "t3_shipping_h",
+             "delivery_days", "estimated_days", "days_late", "is_late", "actual_vs_est_ratio",
+             "purchase_month", "purchase_dayofweek", "purchase_hour"]
+
+
+def _enr_sql(src: str) -> str:
+    return f"""
+SELECT order_id, customer_id, {TS_TXT.format(c='ps')} AS order_purchase_timestamp,
+  {r4('t1_approval_h', 't1_approval_h')}, {r4('t2_processing_h', 't2_processing_h')},
+  {r4('t3_shipping_h', 't3_shipping_h')}, CAST(delivery_days AS DOUBLE) AS delivery_days, estimated_days,
+  CAST(days_late AS DOUBLE) AS days_late, is_late,
+  {r4('actual_vs_est_ratio', 'actual_vs_est_ratio')}, purchase_month, purchase_dayofweek, purchase_hour
+FROM {src}"""
+
+
+def _nullable_ints_as_double(df, cols=("delivery_days", "days_late", "review_score")):
+    # integer columns that hold nulls are presented as DOUBLE on both sides, so
+    # pandas (float64 + NaN) and nullable-integer conversions compare alike
+    return df.withColumns({c: F.col(c).cast("double") for c in cols if c in df.columns})
+
+
+@register("enrich_orders", _enr_sql("nb"))
+def _enrich(c: Ctx):
+    """Every derived column of delivered orders, raw (notebook population)."""
+    return _nullable_ints_as_double(c.nb.select(*_ENR_COLS[:2], "order_purchase_timestamp", *_ENR_COLS[2:]))
+
+
+@register("pipeline_orders", _enr_sql("kept"))
+def _pipeline_orders(c: Ctx):
+    """Delivered, clipped, outlier-filtered orders (population of the marts)."""
+    return _nullable_ints_as_double(c.kept.select(*_ENR_COLS[:2], "order_purchase_timestamp", *_ENR_COLS[2:]))
+
+
+@register("split_late", f"""
+SELECT CAST(count_if(is_late = 1) AS BIGINT) AS late_orders, CAST(count_if(is_late = 0) AS BIGINT) AS on_time_orders,
+  {r4('avg(CASE WHEN is_late = 1 THEN delivery_days END)', 'late_mean_days')},
+  {r4('avg(CASE WHEN is_late = 0 THEN delivery_days END)', 'on_time_mean_days')}
+FROM nb""")
+def _split_late(c: Ctx):
+    return B.split_late(c.nb)
+
+
+@register("seller_segments", f"""
+SELECT seller_id, total_orders, late_rate,
+  CAST(total_orders >= 95 AS INTEGER) AS is_active,
+  CAST(total_orders >= 95 AND late_rate > 0.12 AS INTEGER) AS is_chronic,
+  CAST(total_orders >= 95 AND late_rate <= 0.12 AS INTEGER) AS is_normal,
+  CAST(total_orders < 95 AND late_rate = 1.0 AS INTEGER) AS is_new_problem,
+  CAST(total_orders >= 95 AND late_rate = 0 AS INTEGER) AS is_perfect
+FROM ({_SELLER_ITEMS_SQL}) s""")
+def _segments(c: Ctx):
+    """Active / chronic / normal / new-problem / perfect seller flags (item grain)."""
+    return B.seller_segments(B.seller_perf_items(c.oi), CFG)
+
+
+@register("ratio_capped", f"""
+SELECT CAST(count(*) AS BIGINT) AS n, {r4('avg(actual_vs_est_ratio)', 'mean_ratio')},
+  {r4('max(actual_vs_est_ratio)', 'max_ratio')}
+FROM nb WHERE actual_vs_est_ratio < 3""")
+def _ratio_capped(c: Ctx):
+    """The ratio view capped below 3 (chart input)."""
+    return B.capped(c.nb, "actual_vs_est_ratio", 3.0).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("actual_vs_est_ratio").alias("mean_ratio"),
+        F.max("actual_vs_est_ratio").alias("max_ratio"))
+
+
+@register("approval_capped_p95", f"""
+WITH q AS (SELECT quantile_cont(t1_approval_h, 0.95) AS cap FROM nb)
+SELECT CAST(count(*) AS BIGINT) AS n, {r4('max(t1_approval_h)', 'max_h')}
+FROM nb CROSS JOIN q WHERE t1_approval_h <= cap""")
+def _approval_p95(c: Ctx):
+    """Approval delay capped at its own P95."""
+    return B.capped_at_quantile(c.nb.where(F.col("t1_approval_h").isNotNull()), "t1_approval_h", 0.95).agg(
+        F.count(F.lit(1)).alias("n"), F.max("t1_approval_h").alias("max_h"))
+
+
+@register("orders_items", f"""
+SELECT order_id, seller_id, product_id, order_item_id, {r4('price', 'price')},
+  {r4('freight_value', 'freight_value')}, is_late, CAST(delivery_days AS DOUBLE) AS delivery_days
+FROM nb JOIN src_items USING (order_id)""")
+def _orders_items(c: Ctx):
+    """Delivered x items, inner, item grain."""
+    return _nullable_ints_as_double(c.oi.select("order_id", "seller_id", "product_id", "order_item_id",
+                                                "price", "freight_value", "is_late", "delivery_days"))
+
+
+@register("orders_reviews", """
+SELECT order_id, is_late, CAST(review_score AS DOUBLE) AS review_score FROM nb LEFT JOIN src_reviews USING (order_id)""")
+def _orders_reviews(c: Ctx):
+    """Delivered x reviews, left (fan-out kept, missing score null)."""
+    return _nullable_ints_as_double(c.orr.select("order_id", "is_late", "review_score"))
+
+
+@register("items_products", """
+SELECT order_id, oi.product_id, p.product_category_name,
+  coalesce(ct.product_category_name_english, p.product_category_name) AS category_en
+FROM nb JOIN src_items oi USING (order_id) JOIN src_products p ON p.product_id = oi.product_id
+LEFT JOIN src_cat_trans ct ON ct.product_category_name = p.product_category_name""")
+def _items_products(c: Ctx):
+    """Items with product category (inner) and English name (left)."""
+    return B.category_items(c.oi, c.t.products, c.t.cat_trans).select(
+        "order_id", "product_id", "product_category_name", "category_en")
+
+
+@register("cohort_back_join", f"""
+SELECT order_id, seller_id, cohort FROM {_OI} oi JOIN {_FIRST} f USING (seller_id)""")
+def _cohort_back(c: Ctx):
+    """Item rows with their seller's first-order quarter (item grain)."""
+    first = B.seller_first_order(c.oi).select("seller_id", "cohort")
+    return c.oi.join(first, "seller_id").select("order_id", "seller_id", "cohort")
+
+
+@register("outlier_sellers", f"""
+SELECT order_id, seller_id, {r4('t3_shipping_h', 't3_shipping_h')}, delivery_days
+FROM nb JOIN src_items USING (order_id) WHERE t3_shipping_h > 3000""")
+def _outlier_sellers_rows(c: Ctx):
+    """Shipping outliers joined to their items' sellers."""
+    ext = ST.extreme_rows(c.nb, "t3_shipping_h", 3000.0, ["delivery_days"])
+    return ext.join(c.t.items.select("order_id", "seller_id"), "order_id").select(
+        "order_id", "seller_id", "t3_shipping_h", "delivery_days")
+
+
+@register("normalised_counts", f"""
+SELECT freight_bucket, CAST(count(*) AS BIGINT) AS n, round(count(*) * 1.0 / sum(count(*)) OVER (), 4) AS share
+FROM fact GROUP BY freight_bucket""")
+def _normalised(c: Ctx):
+    """Share of fact rows per freight bucket (value_counts normalised)."""
+    return B.normalised_counts(c.fact, "freight_bucket")
+
+
+@register("limit_n", f"""
+SELECT order_id, is_late, delivery_days FROM nb ORDER BY order_id LIMIT 5""")
+def _limit(c: Ctx):
+    """First five delivered orders by id (head with a declared order)."""
+    return TK.limit_n(c.nb.select("order_id", "is_late", "delivery_days"), 5, ["order_id"])
+
+
+# dashboard aliases of existing data sets
+for _alias, _src in [("dash_bottleneck", "stage_late_vs_ontime"), ("dash_trend", "agg_monthly_trend"),
+                     ("dash_cohorts", "agg_cohort_performance"), ("dash_regional", "agg_regional_stats"),
+                     ("dash_estimates", "delivery_estimate_by_state"), ("dash_risk", "risk_distribution")]:
+    QUERIES[_alias] = QUERIES[_src]
+    if _src in SQL:
+        SQL[_alias] = SQL[_src]
