@@ -27,6 +27,7 @@ from lateline.functions import labels as L
 from lateline.functions.buckets import bucketize
 from lateline.operators import enrich
 from lateline.operators.quantiles import exact_quantiles
+from lateline.session import ensure_checkpoint_dir
 from lateline.sources.files import Tables
 
 FREIGHT_PROBS = [0.2, 0.4, 0.6, 0.8]
@@ -136,7 +137,16 @@ def fact_base(tables: Tables, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
 
 
 def fact_deliveries(tables: Tables, cfg: Config = DEFAULT_CONFIG,
-                    base: DataFrame | None = None) -> DataFrame:
-    """The 31-column wide fact in declared column order (compute types)."""
-    base = fact_base(tables, cfg) if base is None else base
+                    base: DataFrame | None = None, materialize: bool = True) -> DataFrame:
+    """The 31-column wide fact in declared column order (compute types).
+
+    The freight quintiles are a global statistic of the fact itself, so the
+    fact is consumed twice (edges, then labels).  With ``materialize`` the
+    joined fact is written once to the session's checkpoint folder and both
+    consumers read it, instead of re-running every join and scan twice."""
+    if base is None:
+        base = fact_base(tables, cfg)
+        if materialize:
+            ensure_checkpoint_dir(base.sparkSession)
+            base = base.checkpoint(eager=True)
     return add_freight_bucket(base).select(*schemas.FACT_COLS)

@@ -27,6 +27,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+_TABLES: dict = {}
+
+
+def _tables(spark: SparkSession, sf_dir: str):
+    """Source relations resolved once per session and folder (file listing
+    and footers); the DataFrames stay lazy, every query still scans."""
+    key = (id(spark), sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = synthetic_tables(spark, sf_dir)
+    return _TABLES[key]
+
+
 @dataclass
 class Ctx:
     spark: SparkSession
@@ -34,7 +46,7 @@ class Ctx:
 
     @cached_property
     def t(self):
-        return synthetic_tables(self.spark, self.sf_dir)
+        return _tables(self.spark, self.sf_dir)
 
     @cached_property
     def nb(self):

@@ -19,6 +19,11 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # wide single-pass aggregates (all checks of a table, 55 correlations)
+    # exceed the default 100-field limit and would lose whole-stage codegen
+    "spark.sql.codegen.maxFields": "1000",
+    # checkpoint files of a finished query are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -50,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # local sessions only (tests, bench): a scratch folder of this machine
         configured = tempfile.mkdtemp(prefix="lateline-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
