@@ -1450,3 +1450,47 @@ for _alias, _src in [("dash_bottleneck", "stage_late_vs_ontime"), ("dash_trend",
     QUERIES[_alias] = QUERIES[_src]
     if _src in SQL:
         SQL[_alias] = SQL[_src]
+
+
+# =================================================================== scalar functions, one query
+@register("calendar_labels", f"""
+SELECT order_id, purchase_month, purchase_dayofweek, purchase_hour, purchase_day AS day_of_month,
+  strftime(CAST(make_timestamp(ps * 1000000) AS DATE), '%Y-%m-%d') AS order_date,
+  CAST(year(make_timestamp(ps * 1000000)) AS VARCHAR) || 'Q' || CAST(quarter(make_timestamp(ps * 1000000)) AS VARCHAR) AS quarter_label,
+  strftime(make_timestamp(ps * 1000000), '%Y-%m') AS year_month,
+  strftime(make_timestamp(ps * 1000000), '%Y-W%W') AS week_label,
+  strftime(make_timestamp(ps * 1000000), '%Y%m%d_%H%M%S') AS snapshot_label,
+  {_MONTHS}[purchase_month] AS month_name, {_DAYS}[purchase_dayofweek + 1] AS day_name,
+  CAST(purchase_dayofweek >= 5 AS INTEGER) AS is_weekend,
+  CASE WHEN purchase_dayofweek >= 5 THEN 'Weekend' ELSE 'Hari Kerja' END AS weekend_label,
+  {_PERIOD} AS time_period, substr(order_id, 1, 8) || '...' AS short_id,
+  {r4('round_even(t1_approval_h / 24.0, 1)', 't1_days')}, {r4('avg_pct', 'late_pct_of_month')}
+FROM nb JOIN (SELECT purchase_month AS m, avg(is_late) * 100 AS avg_pct FROM nb GROUP BY 1) mm
+  ON mm.m = nb.purchase_month""")
+def _calendar(c: Ctx):
+    """Every calendar/label scalar on each delivered order (+ a percent join-back)."""
+    from lateline.functions import columns as Cf
+    ts = F.col("order_purchase_timestamp")
+    month_pct = (c.nb.groupBy(F.col("purchase_month").alias("_m"))
+                 .agg(Cf.percent(F.avg("is_late")).alias("late_pct_of_month")))
+    return c.nb.join(month_pct, F.col("_m") == F.col("purchase_month")).select(
+        "order_id", "purchase_month", "purchase_dayofweek", "purchase_hour",
+        F.dayofmonth(ts).alias("day_of_month"), F.to_date(ts).alias("order_date"),
+        Cf.quarter_label(ts).alias("quarter_label"), Cf.year_month(ts).alias("year_month"),
+        Cf.week_label(ts).alias("week_label"), Cf.snapshot_label(ts).alias("snapshot_label"),
+        Cf.month_name("purchase_month").alias("month_name"), Cf.day_name("purchase_dayofweek").alias("day_name"),
+        Cf.weekend_flag("purchase_dayofweek").alias("is_weekend"),
+        Cf.weekend_label(Cf.weekend_flag("purchase_dayofweek")).alias("weekend_label"),
+        Cf.time_period("purchase_hour").alias("time_period"), Cf.short_id("order_id").alias("short_id"),
+        Cf.hours_to_days("t1_approval_h").alias("t1_days"), "late_pct_of_month")
+
+
+@register("kpi_components", """
+SELECT round(avg(1 - is_late) * 100, 4) AS on_time, round(avg(CAST(coalesce(days_late, 0) > 3 AS INTEGER)) * 100, 4) AS breach,
+  round(avg(actual_vs_est_ratio), 4) AS sla, round(avg(CAST(t2_processing_h <= 48 AS INTEGER)) * 100, 4) AS processing,
+  (SELECT round(avg(late_rate) * 100, 4) FROM (SELECT seller_id, count(DISTINCT order_id) AS n, avg(is_late) AS late_rate
+     FROM fact WHERE seller_id IS NOT NULL GROUP BY seller_id) s WHERE n >= 95) AS seller_late
+FROM fact""")
+def _kpi_components(c: Ctx):
+    """The five KPI actuals, unrounded (kpi_on_time ... kpi_processing)."""
+    return kpi.kpi_values(c.fact, CFG)
