@@ -255,9 +255,14 @@ def attribution_global(contrib: DataFrame) -> DataFrame:
             .orderBy(F.desc("mean_abs_contribution"), "feature"))
 
 
-def attribution_row(contrib: DataFrame, rows: DataFrame, order_id: str) -> DataFrame:
-    """One order's feature values (decoded labels) with their contributions."""
-    one = rows.where(F.col("order_id") == order_id).select(
-        "order_id", *[F.col(c).cast("string").alias(c) for c in FEATURES])
+def attribution_row(contrib: DataFrame, rows: DataFrame, order_id) -> DataFrame:
+    """One order's feature values (decoded labels, not codes) with their
+    contributions.  ``order_id`` is a value or a one-row DataFrame of it."""
+    if isinstance(order_id, DataFrame):
+        pick = order_id.select("order_id")
+    else:
+        pick = rows.sparkSession.createDataFrame([(str(order_id),)], "order_id string")
+    one = rows.join(F.broadcast(pick), "order_id").select(
+        "order_id", *[F.col(c).cast("string").alias(c) for c in FEATURES]).distinct()
     vals = one.unpivot(["order_id"], FEATURES, "feature", "feature_value")
-    return contrib.where(F.col("order_id") == order_id).join(vals, ["order_id", "feature"])
+    return contrib.join(F.broadcast(pick), "order_id").join(vals, ["order_id", "feature"])

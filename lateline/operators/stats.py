@@ -135,7 +135,9 @@ def five_number_summary(df: DataFrame, col: str, by: Sequence[str] = ()) -> Data
     qs = exact_quantiles(d, "_v", [0.25, 0.5, 0.75], by=by, names=["q1", "median", "q3"])
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-    j = d.join(F.broadcast(qs), by, "inner") if by else d.crossJoin(F.broadcast(qs))
+    # one quantile row per group: broadcast only the global (one-row) case;
+    # with groups the size grows with them and Spark decides the strategy
+    j = d.join(qs, by, "inner") if by else d.crossJoin(F.broadcast(qs))
     inside = (F.col("_v") >= lo) & (F.col("_v") <= hi)
     keys = by + ["q1", "median", "q3"]
     return (j.groupBy(*keys).agg(

@@ -1066,6 +1066,15 @@ def _attribution(c: Ctx):
     return R.attribution(_model(c, "boosted"), _test_rows(c))
 
 
+@register("attribution_row")
+def _attribution_row(c: Ctx):
+    """Contributions and decoded values of one hold-out order (smallest id)."""
+    test = _test_rows(c)
+    pick = test.agg(F.min("order_id").alias("order_id"))
+    contrib = R.attribution(_model(c, "boosted"), test.join(F.broadcast(pick), "order_id"))
+    return R.attribution_row(contrib, test, pick)
+
+
 @register("attribution_global")
 def _attribution_global(c: Ctx):
     return R.attribution_global(R.attribution(_model(c, "boosted"), _test_rows(c)))
