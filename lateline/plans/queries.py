@@ -76,6 +76,8 @@ class Ctx:
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # timestamps carry no zone: every derived hour/day/month is UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return present(fn(Ctx(spark, sf_dir)))
         run.__name__ = name
         run.__doc__ = fn.__doc__

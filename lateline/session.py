@@ -36,6 +36,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("LATELINE_DRIVER_MEMORY", "16g")
+    if master and master.startswith("local"):
+        # Generated code of wide expressions (the adapter's timestamps inlined
+        # into pushed-down filters) exceeds HotSpot's 8000-byte JIT limit and
+        # would run interpreted.  Only for JVMs we launch; clusters set this in
+        # spark.{driver,executor}.extraJavaOptions themselves.
+        conf["spark.driver.extraJavaOptions"] = "-XX:-DontCompileHugeMethods"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
