@@ -229,7 +229,8 @@ def attribution(model: PipelineModel, rows: DataFrame, baseline: DataFrame | Non
     m = len(FEATURES)
     baseline = baseline_row(rows) if baseline is None else baseline
     mask = F.col("_mask")
-    x = (rows.select("order_id", *FEATURES).crossJoin(F.broadcast(baseline))
+    # one row per order: fan-out copies (one per review) carry identical features
+    x = (rows.select("order_id", *FEATURES).distinct().crossJoin(F.broadcast(baseline))
          .withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2 ** m - 1)))))
     x = x.select("order_id", "_mask", *[
         F.when((mask.bitwiseAND(F.lit(1 << i))) != 0, F.col(c)).otherwise(F.col(f"_base_{c}")).alias(c)

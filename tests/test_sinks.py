@@ -46,3 +46,22 @@ def test_snapshot_replay(spark):
     W.write_snapshot(spark.createDataFrame([(2,), (3,)], "x int"), f"{d}/orders", "20260108_000000")
     assert read_snapshot(spark, f"{d}/orders").count() == 2
     assert read_snapshot(spark, f"{d}/orders", "20260101_000000").first().x == 1
+
+
+def test_extract_then_replay(spark):
+    import datetime as dt
+    from lateline.plans.extract import extract, replay
+    from lateline.sources import synthetic_tables
+    d = tempfile.mkdtemp(prefix="ext-", dir="/tmp")
+    t = synthetic_tables(spark, "/root/testdata/sf0.001")
+    paths = {}
+    for name, df in t.as_dict().items():
+        paths[name] = f"{d}/src/{name}"
+        df.write.parquet(paths[name])
+    l1 = extract(spark, paths, f"{d}/lake", f"{d}/raw", dt.datetime(2026, 1, 1), fmt="parquet")
+    l2 = extract(spark, paths, f"{d}/lake", f"{d}/raw", dt.datetime(2026, 1, 8), fmt="parquet")
+    assert (l1, l2) == ("20260101_000000", "20260108_000000")
+    r = replay(spark, f"{d}/lake", l1)
+    assert r.orders.count() == t.orders.count()
+    assert spark.read.parquet(f"{d}/lake/orders").select("snapshot_ts").distinct().count() == 2
+    assert spark.read.parquet(f"{d}/raw/orders").count() == t.orders.count()
