@@ -1205,7 +1205,27 @@ def _impact_chronic(c: Ctx):
     return IM.impact_chronic_sellers(B.seller_perf_items(c.oi), CFG)
 
 
-@register("business_impact")
+@register("business_impact", f"""
+WITH sc AS (SELECT avg(CASE WHEN is_late = 0 THEN review_score END) AS score_on_time,
+                   avg(CASE WHEN is_late = 1 THEN review_score END) AS score_late FROM {_ORR} r),
+sv AS (SELECT * FROM {_SAVED} s),
+ch AS (SELECT count(*) AS chronic_sellers,
+         CAST(coalesce(floor(sum(total_orders) * avg(late_rate)), 0) AS BIGINT) AS chronic_late_orders,
+         coalesce(CAST(sum(total_revenue) AS DOUBLE) * avg(late_rate), 0.0) AS chronic_revenue_at_risk
+       FROM {_NB_OI_SELLERS} s WHERE total_orders >= 95 AND late_rate > 0.12)
+SELECT CAST(total_orders AS BIGINT) AS total_orders, round(late_rate_actual, 4) AS late_rate_actual,
+  0.05 AS late_rate_target, late_orders_actual, late_orders_target,
+  late_orders_actual - late_orders_target AS orders_saved,
+  round(score_on_time, 4) AS score_on_time, round(score_late, 4) AS score_late,
+  round(((total_orders - late_orders_actual) * score_on_time + late_orders_actual * score_late) / total_orders, 4) AS score_before,
+  round(((total_orders - late_orders_target) * score_on_time + late_orders_target * score_late) / total_orders, 4) AS score_after,
+  round(((total_orders - late_orders_target) * score_on_time + late_orders_target * score_late) / total_orders
+      - ((total_orders - late_orders_actual) * score_on_time + late_orders_actual * score_late) / total_orders, 4) AS score_gain,
+  round(avg_order_value, 4) AS avg_order_value, round(late_orders_actual * avg_order_value, 4) AS revenue_at_risk,
+  round((late_orders_actual - late_orders_target) * avg_order_value, 4) AS revenue_saved,
+  CAST(chronic_sellers AS BIGINT) AS chronic_sellers, chronic_late_orders,
+  round(chronic_revenue_at_risk, 4) AS chronic_revenue_at_risk
+FROM sv CROSS JOIN sc CROSS JOIN {_AOV} a CROSS JOIN ch""")
 def _business_impact(c: Ctx):
     """Every impact figure in one row."""
     return IM.business_impact(c.nb, c.t.items, c.t.reviews, CFG)
