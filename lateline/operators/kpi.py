@@ -95,3 +95,20 @@ def kpi_notebook(orders_nb: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFram
         (F.avg(F.when(t2 >= 0, (t2 <= cfg.processing_limit_h).cast("int"))) * 100)
         .alias("processing_pct"),
     )
+
+
+def kpi_sla_variants(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    """The three SLA rules side by side (S28): pipeline ``mean >= 0.8``;
+    notebook ``share of ratios in [0.8, 1.0] >= 50 %``; README ``mean in
+    [0.8, 1.0]``.  One aggregate over the non-null ratios."""
+    r = F.col("actual_vs_est_ratio")
+    lo, hi = cfg.target_sla, cfg.target_sla_upper
+    one = fact.where(r.isNotNull()).agg(
+        F.avg(r).alias("mean_ratio"),
+        (F.avg(r.between(lo, hi).cast("int")) * 100).alias("in_range_pct"))
+    m = F.col("mean_ratio")
+    return one.select(
+        "mean_ratio", "in_range_pct",
+        C.status_mark(m >= lo).alias("status_pipeline"),
+        C.status_mark(F.col("in_range_pct") >= cfg.sla_in_range_share).alias("status_notebook"),
+        C.status_mark((m >= lo) & (m <= hi)).alias("status_readme"))

@@ -1525,3 +1525,15 @@ FROM fact""")
 def _kpi_components(c: Ctx):
     """The five KPI actuals, unrounded (kpi_on_time ... kpi_processing)."""
     return kpi.kpi_values(c.fact, CFG)
+
+
+@register("kpi_sla_variants", f"""
+SELECT {r4('avg(actual_vs_est_ratio)', 'mean_ratio')},
+  {r4('avg(CAST(actual_vs_est_ratio BETWEEN 0.8 AND 1.0 AS INTEGER)) * 100', 'in_range_pct')},
+  CASE WHEN avg(actual_vs_est_ratio) >= 0.8 THEN '✅' ELSE '❌' END AS status_pipeline,
+  CASE WHEN avg(CAST(actual_vs_est_ratio BETWEEN 0.8 AND 1.0 AS INTEGER)) * 100 >= 50 THEN '✅' ELSE '❌' END AS status_notebook,
+  CASE WHEN avg(actual_vs_est_ratio) BETWEEN 0.8 AND 1.0 THEN '✅' ELSE '❌' END AS status_readme
+FROM fact WHERE actual_vs_est_ratio IS NOT NULL""")
+def _kpi_sla_variants(c: Ctx):
+    """Pipeline, notebook and README rules of the SLA KPI in one row."""
+    return kpi.kpi_sla_variants(c.fact, CFG)
