@@ -81,25 +81,31 @@ def describe_columns(df: DataFrame, cols) -> DataFrame:
 
 
 def stage_stats(nb: DataFrame) -> DataFrame:
-    """Per stage over non-negative values: mean, median, P95, max hours and days."""
+    """Per stage over non-negative values: mean, median, P95, max hours and max
+    days, rounded to one decimal (half-even) like the notebook's table."""
     long = unpivot(nb, STAGES, name="stage").where(F.col("value") >= 0)
-    basic = long.groupBy("stage").agg(F.avg("value").alias("mean_h"),
-                                      F.max("value").alias("max_h"),
+    basic = long.groupBy("stage").agg(F.avg("value").alias("_mean"),
+                                      F.max("value").alias("_max"),
                                       F.count("value").alias("n"))
-    qs = exact_quantiles(long, "value", [0.5, 0.95], by=["stage"], names=["median_h", "p95_h"])
+    qs = exact_quantiles(long, "value", [0.5, 0.95], by=["stage"], names=["_median", "_p95"])
+    r1 = lambda c: F.bround(F.col(c), 1)
     return (basic.join(qs, "stage")
-            .select("stage", "n", "mean_h", "median_h", "p95_h", "max_h",
-                    C.hours_to_days("max_h").alias("max_days")))
+            .select("stage", "n", r1("_mean").alias("mean_h"), r1("_median").alias("median_h"),
+                    r1("_p95").alias("p95_h"), r1("_max").alias("max_h"),
+                    C.hours_to_days("_max").alias("max_days")))
 
 
 def stage_late_vs_ontime(nb: DataFrame) -> DataFrame:
-    """Mean hours per stage for late and on-time orders, and the gap (h, days)."""
+    """Mean hours per stage for late and on-time orders and the gap (h, days);
+    one decimal, the day gap taken from the unrounded hour gap."""
     long = unpivot(nb, STAGES, ids=["is_late"], name="stage")
     out = long.groupBy("stage").agg(
-        F.avg(F.when(F.col("is_late") == 1, F.col("value"))).alias("late_mean_h"),
-        F.avg(F.when(F.col("is_late") == 0, F.col("value"))).alias("on_time_mean_h"))
-    diff = F.col("late_mean_h") - F.col("on_time_mean_h")
-    return out.select("*", diff.alias("diff_h"), C.hours_to_days(diff).alias("diff_days"))
+        F.avg(F.when(F.col("is_late") == 1, F.col("value"))).alias("_late"),
+        F.avg(F.when(F.col("is_late") == 0, F.col("value"))).alias("_on"))
+    diff = F.col("_late") - F.col("_on")
+    return out.select("stage", F.bround("_late", 1).alias("late_mean_h"),
+                      F.bround("_on", 1).alias("on_time_mean_h"), F.bround(diff, 1).alias("diff_h"),
+                      C.hours_to_days(diff).alias("diff_days"))
 
 
 # ---------------------------------------------------------------- calendar

@@ -316,9 +316,9 @@ _STAGE_LONG = " UNION ALL ".join(
 
 
 @register("stage_stats", f"""
-SELECT stage, CAST(count(value) AS BIGINT) AS n, {r4('avg(value)', 'mean_h')},
-  {r4('quantile_cont(value, 0.5)', 'median_h')}, {r4('quantile_cont(value, 0.95)', 'p95_h')},
-  {r4('max(value)', 'max_h')}, {r4('round_even(max(value) / 24.0, 1)', 'max_days')}
+SELECT stage, CAST(count(value) AS BIGINT) AS n, {r4('round_even(avg(value), 1)', 'mean_h')},
+  {r4('round_even(quantile_cont(value, 0.5), 1)', 'median_h')}, {r4('round_even(quantile_cont(value, 0.95), 1)', 'p95_h')},
+  {r4('round_even(max(value), 1)', 'max_h')}, {r4('round_even(max(value) / 24.0, 1)', 'max_days')}
 FROM ({_STAGE_LONG}) l WHERE value >= 0 GROUP BY stage""")
 def _stage_stats(c: Ctx):
     """Mean, median, P95 and max per stage over non-negative hours."""
@@ -326,9 +326,9 @@ def _stage_stats(c: Ctx):
 
 
 @register("stage_late_vs_ontime", f"""
-SELECT stage, {r4('avg(CASE WHEN is_late = 1 THEN value END)', 'late_mean_h')},
-  {r4('avg(CASE WHEN is_late = 0 THEN value END)', 'on_time_mean_h')},
-  {r4('avg(CASE WHEN is_late = 1 THEN value END) - avg(CASE WHEN is_late = 0 THEN value END)', 'diff_h')},
+SELECT stage, {r4('round_even(avg(CASE WHEN is_late = 1 THEN value END), 1)', 'late_mean_h')},
+  {r4('round_even(avg(CASE WHEN is_late = 0 THEN value END), 1)', 'on_time_mean_h')},
+  {r4('round_even(avg(CASE WHEN is_late = 1 THEN value END) - avg(CASE WHEN is_late = 0 THEN value END), 1)', 'diff_h')},
   {r4('round_even((avg(CASE WHEN is_late = 1 THEN value END) - avg(CASE WHEN is_late = 0 THEN value END)) / 24.0, 1)', 'diff_days')}
 FROM ({_STAGE_LONG}) l GROUP BY stage""")
 def _stage_late(c: Ctx):
