@@ -39,7 +39,7 @@ def review_score_means(orr: DataFrame) -> DataFrame:
 
 def impact_review_score(saved: DataFrame, scores: DataFrame) -> DataFrame:
     """Order-weighted mean score now and at the target late rate."""
-    n = F.col("total_orders")
+    n = F.nullif(F.col("total_orders"), F.lit(0))
     on, late = F.col("score_on_time"), F.col("score_late")
     before = ((n - F.col("late_orders_actual")) * on + F.col("late_orders_actual") * late) / n
     after = ((n - F.col("late_orders_target")) * on + F.col("late_orders_target") * late) / n

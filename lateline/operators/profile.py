@@ -22,7 +22,7 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
         part = nulls.crossJoin(dups).select(
             F.lit(name).alias("table"), "rows", F.lit(len(cols)).alias("n_columns"),
             F.col("null_total").cast("long").alias("null_total"),
-            (F.col("null_total") * 100.0 / (F.col("rows") * len(cols))).alias("null_pct"),
+            (F.col("null_total") * 100.0 / F.nullif(F.col("rows") * len(cols), F.lit(0))).alias("null_pct"),
             F.col("duplicate_rows").cast("long").alias("duplicate_rows"))
         out = part if out is None else out.unionByName(part)
     return out

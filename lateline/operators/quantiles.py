@@ -94,7 +94,8 @@ def builtin_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seq
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    by: Sequence[str] = ()) -> DataFrame:
     """Exclusive running sums of ``sum_cols`` in ``order_col`` order (per
-    ``by`` group) without a single-partition window: range partitioning splits
+    ``by`` group; ``order_col`` should be unique within a group, e.g. after a
+    group-by on it) without a single-partition window: range partitioning splits
     the order over tasks, each task sums locally, and a table of at most
     partitions x groups rows supplies the offsets.  Adds ``<col>_before``."""
     by = list(by)

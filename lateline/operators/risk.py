@@ -53,7 +53,8 @@ def with_class_weight(df: DataFrame, mode: str = "positive") -> DataFrame:
     y = F.col("is_late")
     cnt = df.agg(F.count_if(y == 0).alias("_neg"), F.count_if(y == 1).alias("_pos"))
     j = df.crossJoin(F.broadcast(cnt))
-    neg, pos = F.col("_neg").cast("double"), F.col("_pos").cast("double")
+    neg = F.nullif(F.col("_neg").cast("double"), F.lit(0.0))
+    pos = F.nullif(F.col("_pos").cast("double"), F.lit(0.0))
     if mode == "balanced":
         w = F.when(y == 1, (neg + pos) / (2 * pos)).otherwise((neg + pos) / (2 * neg))
     else:
@@ -133,7 +134,7 @@ def roc_auc_exact(scored: DataFrame, score: str = "late_probability", label: str
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     run = running_totals(per, "_s", ["neg"])
     return run.agg(((F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))))
-                    / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"),
+                    / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("roc_auc"),
                    F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
 
 
@@ -159,7 +160,7 @@ def classification_report(scored: DataFrame) -> DataFrame:
     tp, fp, fn, tn = (F.col(x).cast("double") for x in ("tp", "fp", "fn", "tn"))
     p1, r1, f1, s1 = cls("1", tp, fp, fn)
     p0, r0, f0, s0 = cls("0", tn, fn, fp)
-    n = s0 + s1
+    n = F.nullif(s0 + s1, F.lit(0.0))
 
     def row(label, pr, rc, f, s):
         return F.struct(F.lit(label).alias("label"), pr.alias("precision"), rc.alias("recall"),
@@ -181,8 +182,9 @@ def evaluate(model: PipelineModel, test: DataFrame, name: str) -> DataFrame:
     auc = roc_auc_exact(s).select("roc_auc")
     out = c.crossJoin(auc).withColumn("model", F.lit(name))
     tp, fn, fp = (F.col(x).cast("double") for x in ("true_positives", "misses", "false_alarms"))
-    return out.select("model", "roc_auc", (tp / (tp + fn)).alias("recall"),
-                      (tp / (tp + fp)).alias("precision"), "true_positives", "misses", "false_alarms")
+    return out.select("model", "roc_auc", (tp / F.nullif(tp + fn, F.lit(0.0))).alias("recall"),
+                      (tp / F.nullif(tp + fp, F.lit(0.0))).alias("precision"),
+                      "true_positives", "misses", "false_alarms")
 
 
 def model_comparison(boosted: PipelineModel, forest: PipelineModel, test: DataFrame) -> DataFrame:

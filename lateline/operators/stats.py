@@ -163,10 +163,11 @@ def chi2_from_counts(counts: DataFrame) -> DataFrame:
     diff = F.abs(a * d - b * c)
     corrected = F.greatest(diff - n / 2, F.lit(0.0))
     chi2 = F.when((r1 * r2 * c1 * c2) > 0, n * corrected * corrected / (r1 * r2 * c1 * c2))
+    nz = F.nullif(n, F.lit(0.0))   # ANSI: an empty table gives nulls, not an error
     out = counts.select(
         "*", chi2.alias("chi2"), F.lit(1).alias("dof"),
-        (r1 * c1 / n).alias("exp_a"), (r1 * c2 / n).alias("exp_b"),
-        (r2 * c1 / n).alias("exp_c"), (r2 * c2 / n).alias("exp_d"))
+        (r1 * c1 / nz).alias("exp_a"), (r1 * c2 / nz).alias("exp_b"),
+        (r2 * c1 / nz).alias("exp_c"), (r2 * c2 / nz).alias("exp_d"))
     return (out.withColumn("p_value", _chi2_sf_dof1(F.col("chi2")))
             .withColumn("significant", (F.col("p_value") < 0.05).cast("int")))
 

@@ -590,8 +590,8 @@ def _cohort_sizes(c: Ctx):
 
 @register("cohort_perf_items", f"""
 SELECT cohort, CAST(count(DISTINCT order_id) AS BIGINT) AS total_orders,
-  CAST(sum(is_late) AS BIGINT) AS late_items, {r4('avg(is_late)', 'late_rate')},
-  CAST(count(DISTINCT seller_id) AS BIGINT) AS n_sellers, {r4('avg(is_late) * 100', 'late_pct')},
+  CAST(sum(is_late) AS BIGINT) AS late_orders, {r4('avg(is_late)', 'late_rate')},
+  CAST(count(DISTINCT seller_id) AS BIGINT) AS seller_count, {r4('avg(is_late) * 100', 'late_pct')},
   {_sev('avg(is_late) * 100', 10.0, 7.0)} AS severity
 FROM {_OI} oi JOIN {_FIRST} f USING (seller_id) GROUP BY cohort""")
 def _cohort_perf(c: Ctx):

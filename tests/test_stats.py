@@ -40,3 +40,12 @@ def test_sample_fixed_repeatable(spark):
     a = sorted(r.order_id for r in ST.sample_fixed(df.repartition(3), 50).collect())
     b = sorted(r.order_id for r in ST.sample_fixed(df.repartition(11), 50).collect())
     assert a == b and len(a) == 50
+
+
+def test_empty_inputs_do_not_raise_under_ansi(spark):
+    from lateline.operators import profile as PR, risk as R
+    empty = spark.createDataFrame([], "a long, b long, c long, d long")
+    assert ST.chi2_from_counts(spark.createDataFrame([(0, 0, 0, 0)], "a long, b long, c long, d long")).first().chi2 is None
+    assert PR.table_profile({"t": empty}).first().null_pct is None
+    none = spark.createDataFrame([(0.5, 0)], "late_probability double, is_late int")
+    assert R.roc_auc_exact(none).first().roc_auc is None
