@@ -39,6 +39,18 @@ def _tables(spark: SparkSession, sf_dir: str):
     return _TABLES[key]
 
 
+_LAZY: dict = {}
+
+
+def _memo(ctx: "Ctx", name: str, build):
+    """Lazy DataFrames (plans, no data) shared per session and folder; the
+    fact, which holds checkpointed data, is built per query instead."""
+    key = (id(ctx.spark), ctx.sf_dir, name)
+    if key not in _LAZY:
+        _LAZY[key] = build()
+    return _LAZY[key]
+
+
 @dataclass
 class Ctx:
     spark: SparkSession
@@ -50,11 +62,11 @@ class Ctx:
 
     @cached_property
     def nb(self):
-        return enrich.notebook_orders(self.t.orders)
+        return _memo(self, "nb", lambda: enrich.notebook_orders(self.t.orders))
 
     @cached_property
     def kept(self):
-        return enrich.pipeline_orders(self.t.orders, CFG)
+        return _memo(self, "kept", lambda: enrich.pipeline_orders(self.t.orders, CFG))
 
     @cached_property
     def fact(self):
@@ -62,15 +74,15 @@ class Ctx:
 
     @cached_property
     def oi(self):
-        return B.orders_items(self.nb, self.t.items)
+        return _memo(self, "oi", lambda: B.orders_items(self.nb, self.t.items))
 
     @cached_property
     def oc(self):
-        return B.orders_customers(self.nb, self.t.customers)
+        return _memo(self, "oc", lambda: B.orders_customers(self.nb, self.t.customers))
 
     @cached_property
     def orr(self):
-        return B.orders_reviews(self.nb, self.t.reviews)
+        return _memo(self, "orr", lambda: B.orders_reviews(self.nb, self.t.reviews))
 
 
 def register(name: str, sql: str | None = None):
