@@ -17,7 +17,7 @@ __all__ = [
     "month_name", "day_name", "weekend_flag", "weekend_label", "time_period",
     "time_period_ord", "fill_unknown", "translate_category", "percent",
     "hours_to_days", "short_id", "recommended_days", "status_mark", "round4",
-    "money",
+    "money", "scalars", "with_scalars",
 ]
 
 
@@ -146,6 +146,18 @@ def round4(c) -> Column:
     return F.round(col_of(c), 4)
 
 
+def scalars(one_row) -> dict:
+    """Columns of a one-row DataFrame (a global aggregate) as scalar
+    subqueries.  Spark computes them once (identical subqueries are merged
+    and reused) and attaches the values to every row: no join, no shuffle."""
+    return {c: one_row.select(F.col(f"`{c}`")).scalar() for c in one_row.columns}
+
+
+def with_scalars(df, one_row):
+    """``df`` with the values of a one-row DataFrame added as columns."""
+    return df.withColumns(scalars(one_row))
+
+
 def money(c) -> Column:
     """Exact money: cents as decimal so summation order cannot matter."""
     return col_of(c).cast("decimal(18,2)")

@@ -47,7 +47,7 @@ def order_status_distribution(orders: DataFrame) -> DataFrame:
     """Count per status with its share of all orders (share via a one-row total)."""
     counts = orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("n_orders"))
     total = counts.agg(F.sum("n_orders").alias("_t"))
-    return (counts.crossJoin(F.broadcast(total))
+    return (C.with_scalars(counts, total)
             .select("order_status", "n_orders",
                     (F.col("n_orders") * 100.0 / F.col("_t")).alias("share_pct")))
 
@@ -164,7 +164,7 @@ def group_rate_benchmark(groups: DataFrame, rate_col: str = "late_rate") -> Data
 def normalised_counts(df: DataFrame, label: str) -> DataFrame:
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("_t"))
-    return counts.crossJoin(F.broadcast(total)).select(
+    return C.with_scalars(counts, total).select(
         label, "n", (F.col("n") / F.col("_t")).alias("share"))
 
 
@@ -178,7 +178,7 @@ def ratio_buckets(nb: DataFrame) -> DataFrame:
     out = (b.where(F.col("bucket_ord").isNotNull())
            .groupBy("bucket_ord", "ratio_bucket").agg(F.count(F.lit(1)).alias("n")))
     total = out.agg(F.sum("n").alias("_t"))
-    return out.crossJoin(F.broadcast(total)).select(
+    return C.with_scalars(out, total).select(
         "bucket_ord", "ratio_bucket", "n", (F.col("n") * 100.0 / F.col("_t")).alias("share_pct"))
 
 
@@ -198,7 +198,7 @@ def approval_buckets(nb: DataFrame) -> DataFrame:
     d = nb.where(t1.isNotNull())
     mx = d.agg(F.max(t1).alias("_max"))
     edges = [F.lit(e) for e in L.APPROVAL_EDGES] + [F.col("_max")]
-    b = d.crossJoin(F.broadcast(mx)).select(
+    b = C.with_scalars(d, mx).select(
         bucketize(t1, edges, L.APPROVAL_LABELS).alias("approval_bucket"),
         bucket_ord(t1, edges).alias("bucket_ord"), "is_late")
     return (b.where(F.col("bucket_ord").isNotNull())
@@ -216,7 +216,7 @@ def approval_tail(nb: DataFrame) -> DataFrame:
         k = int(hrs)
         aggs += [F.count_if(t1 > hrs).alias(f"n_over_{k}"),
                  (F.avg((t1 > hrs).cast("int")) * 100).alias(f"pct_over_{k}")]
-    return (d.crossJoin(F.broadcast(mx)).groupBy("max_h")
+    return (C.with_scalars(d, mx).groupBy("max_h")
             .agg(*aggs, F.count_if(t1 == F.col("max_h")).alias("n_at_max"))
             .withColumn("max_days", C.hours_to_days("max_h")))
 
@@ -384,7 +384,7 @@ def freight_qcut(of: DataFrame) -> DataFrame:
                          names=["_e0", "_e1", "_e2", "_e3", "_e4", "_e5"])
     edges = [F.col(f"_e{i}") for i in range(6)]
     tf = F.col("total_freight")
-    return (of.crossJoin(F.broadcast(qs))
+    return (C.with_scalars(of, qs)
             .withColumn("freight_bucket", bucketize(tf, edges, L.FREIGHT_LABELS, include_lowest=True))
             .withColumn("bucket_ord", bucket_ord(tf, edges, include_lowest=True))
             .drop(*[f"_e{i}" for i in range(6)]))
@@ -458,4 +458,4 @@ def capped(df: DataFrame, col: str, cap: float, strict: bool = True) -> DataFram
 def capped_at_quantile(df: DataFrame, col: str, q: float = 0.95) -> DataFrame:
     """Rows at or below the column's exact q-quantile (one-row broadcast)."""
     cut = exact_quantiles(df, col, [q], names=["_cap"])
-    return df.crossJoin(F.broadcast(cut)).where(F.col(col) <= F.col("_cap")).drop("_cap")
+    return C.with_scalars(df, cut).where(F.col(col) <= F.col("_cap")).drop("_cap")

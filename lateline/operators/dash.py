@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateline.config import DEFAULT_CONFIG, Config
+from lateline.functions import columns as C
 from lateline.operators import kpi, marts
 
 CHRONIC, NORMAL, NEW_PROBLEM, OTHER = "chronic", "normal", "new_problem", "other"
@@ -30,7 +31,7 @@ def dash_headline(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
                     .cast("double").alias("late_revenue"))
     chronic = (marts.seller_performance_all(fact, cfg)
                .agg(F.sum("is_chronic").cast("long").alias("chronic_sellers")))
-    return v.crossJoin(late).crossJoin(chronic)
+    return C.with_scalars(C.with_scalars(v, late), chronic)
 
 
 def dash_chronic_list(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:

@@ -98,11 +98,11 @@ def freight_bucket_edges(fact: DataFrame) -> DataFrame:
 
 
 def add_freight_bucket(fact: DataFrame, edges: DataFrame | None = None) -> DataFrame:
-    """Label by quintile; the one-row edge table is broadcast (size 1)."""
+    """Label by quintile; the four edges are scalar subqueries (one row)."""
     edges = freight_bucket_edges(fact) if edges is None else edges
     e = [F.lit(float("-inf")), F.col("_f20"), F.col("_f40"), F.col("_f60"), F.col("_f80"),
          F.lit(float("inf"))]
-    return (fact.crossJoin(F.broadcast(edges))
+    return (C.with_scalars(fact, edges)
             .withColumn("freight_bucket", bucketize("freight_value", e, L.FREIGHT_LABELS))
             .drop("_f20", "_f40", "_f60", "_f80"))
 

@@ -43,7 +43,7 @@ def impact_review_score(saved: DataFrame, scores: DataFrame) -> DataFrame:
     on, late = F.col("score_on_time"), F.col("score_late")
     before = ((n - F.col("late_orders_actual")) * on + F.col("late_orders_actual") * late) / n
     after = ((n - F.col("late_orders_target")) * on + F.col("late_orders_target") * late) / n
-    return (saved.crossJoin(scores)
+    return (C.with_scalars(saved, scores)
             .select("score_on_time", "score_late", before.alias("score_before"),
                     after.alias("score_after"), (after - before).alias("score_gain")))
 
@@ -61,7 +61,7 @@ def avg_order_value(oi: DataFrame) -> DataFrame:
 
 def impact_revenue_at_risk(saved: DataFrame, aov: DataFrame) -> DataFrame:
     a = F.col("avg_order_value")
-    return saved.crossJoin(aov).select(
+    return C.with_scalars(saved, aov).select(
         "avg_order_value", (F.col("late_orders_actual") * a).alias("revenue_at_risk"),
         (F.col("orders_saved") * a).alias("revenue_saved"))
 
@@ -85,9 +85,9 @@ def business_impact(nb: DataFrame, items: DataFrame, reviews: DataFrame,
     oi = B.orders_items(nb, items)
     saved = impact_orders_saved(nb, cfg)
     scores = review_score_means(B.orders_reviews(nb, reviews)) if scores is None else scores
-    return (saved.crossJoin(impact_review_score(saved, scores))
-            .crossJoin(impact_revenue_at_risk(saved, avg_order_value(oi)))
-            .crossJoin(impact_chronic_sellers(B.seller_perf_items(oi), cfg)))
+    out = C.with_scalars(saved, impact_review_score(saved, scores))
+    out = C.with_scalars(out, impact_revenue_at_risk(saved, avg_order_value(oi)))
+    return C.with_scalars(out, impact_chronic_sellers(B.seller_perf_items(oi), cfg))
 
 
 def sla_whatif(oc: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def kpi_values(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
                     F.avg("is_late").alias("late_rate"))
                .where(F.col("total_orders") >= cfg.active_min_orders)
                .agg((F.avg("late_rate") * 100).alias("seller_late")))
-    return glob.crossJoin(sellers)
+    return C.with_scalars(glob, sellers)
 
 
 def kpi_summary(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:

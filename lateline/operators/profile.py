@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lateline.functions import columns as C
 from lateline.functions import labels as L
 from lateline.functions.buckets import severity_band
 
@@ -19,7 +20,7 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
                        sum(F.count_if(F.col(f"`{c}`").isNull()) for c in cols).alias("null_total"))
         dups = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
                 .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows")))
-        part = nulls.crossJoin(dups).select(
+        part = C.with_scalars(nulls, dups).select(
             F.lit(name).alias("table"), "rows", F.lit(len(cols)).alias("n_columns"),
             F.col("null_total").cast("long").alias("null_total"),
             (F.col("null_total") * 100.0 / F.nullif(F.col("rows") * len(cols), F.lit(0))).alias("null_pct"),

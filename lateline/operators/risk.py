@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from lateline.config import DEFAULT_CONFIG, Config
 from lateline.functions.buckets import risk_level
+from lateline.functions.columns import with_scalars
 from lateline.operators.quantiles import exact_quantiles, running_totals
 
 FEATURES = ["customer_state", "seller_state", "purchase_month", "purchase_dayofweek",
@@ -52,7 +53,7 @@ def with_class_weight(df: DataFrame, mode: str = "positive") -> DataFrame:
     ``balanced``: n / (2 n_class).  Counts come from one aggregate."""
     y = F.col("is_late")
     cnt = df.agg(F.count_if(y == 0).alias("_neg"), F.count_if(y == 1).alias("_pos"))
-    j = df.crossJoin(F.broadcast(cnt))
+    j = with_scalars(df, cnt)
     neg = F.nullif(F.col("_neg").cast("double"), F.lit(0.0))
     pos = F.nullif(F.col("_pos").cast("double"), F.lit(0.0))
     if mode == "balanced":
@@ -69,18 +70,28 @@ def _stages(classifier):
     return Pipeline(stages=[idx, asm, classifier])
 
 
+def _fit(stages: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fitting passes over the input several times (indexer, assembler, tree
+    levels): keep the weighted rows cached for the fit only."""
+    train = train.persist()
+    try:
+        return stages.fit(train)
+    finally:
+        train.unpersist()
+
+
 def train_boosted(train: DataFrame, cfg: Config = DEFAULT_CONFIG) -> PipelineModel:
     gbt = GBTClassifier(labelCol="is_late", featuresCol="features", weightCol="weight",
                         maxIter=cfg.gbt_trees, maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step,
                         seed=cfg.seed, maxBins=64)
-    return _stages(gbt).fit(with_class_weight(train, "positive"))
+    return _fit(_stages(gbt), with_class_weight(train, "positive"))
 
 
 def train_forest(train: DataFrame, cfg: Config = DEFAULT_CONFIG) -> PipelineModel:
     rf = RandomForestClassifier(labelCol="is_late", featuresCol="features", weightCol="weight",
                                 numTrees=cfg.forest_trees, maxDepth=cfg.forest_depth,
                                 seed=cfg.seed, maxBins=64)
-    return _stages(rf).fit(with_class_weight(train, "balanced"))
+    return _fit(_stages(rf), with_class_weight(train, "balanced"))
 
 
 def score_risk(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -180,7 +191,7 @@ def evaluate(model: PipelineModel, test: DataFrame, name: str) -> DataFrame:
               F.count_if((y == 1) & (p == 0)).alias("misses"),
               F.count_if((y == 0) & (p == 1)).alias("false_alarms"))
     auc = roc_auc_exact(s).select("roc_auc")
-    out = c.crossJoin(auc).withColumn("model", F.lit(name))
+    out = with_scalars(c, auc).withColumn("model", F.lit(name))
     tp, fn, fp = (F.col(x).cast("double") for x in ("true_positives", "misses", "false_alarms"))
     return out.select("model", "roc_auc", (tp / F.nullif(tp + fn, F.lit(0.0))).alias("recall"),
                       (tp / F.nullif(tp + fp, F.lit(0.0))).alias("precision"),
@@ -210,7 +221,7 @@ def top_features(importances: DataFrame, n: int = 3) -> DataFrame:
 def risk_distribution(scored: DataFrame) -> DataFrame:
     counts = scored.groupBy("risk_level").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("_t"))
-    return counts.crossJoin(F.broadcast(total)).select(
+    return with_scalars(counts, total).select(
         "risk_level", "n", (F.col("n") / F.col("_t")).alias("share"))
 
 
@@ -232,7 +243,7 @@ def attribution(model: PipelineModel, rows: DataFrame, baseline: DataFrame | Non
     baseline = baseline_row(rows) if baseline is None else baseline
     mask = F.col("_mask")
     # one row per order: fan-out copies (one per review) carry identical features
-    x = (rows.select("order_id", *FEATURES).distinct().crossJoin(F.broadcast(baseline))
+    x = (with_scalars(rows.select("order_id", *FEATURES).distinct(), baseline)
          .withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2 ** m - 1)))))
     x = x.select("order_id", "_mask", *[
         F.when((mask.bitwiseAND(F.lit(1 << i))) != 0, F.col(c)).otherwise(F.col(f"_base_{c}")).alias(c)

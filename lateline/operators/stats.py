@@ -119,7 +119,7 @@ def histogram(df: DataFrame, col: str, bins: int, cap: float | None = None) -> D
     width = (F.col("_hi") - F.col("_lo")) / bins
     idx = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
         F.least(F.floor((v - F.col("_lo")) / width), F.lit(bins - 1))).cast("int")
-    out = (d.crossJoin(F.broadcast(mm)).groupBy(idx.alias("bin"), "_lo", "_hi")
+    out = (C.with_scalars(d, mm).groupBy(idx.alias("bin"), "_lo", "_hi")
            .agg(F.count(F.lit(1)).alias("n")))
     w = (F.col("_hi") - F.col("_lo")) / bins
     return out.select("bin", (F.col("_lo") + F.col("bin") * w).alias("bin_lo"),
@@ -135,9 +135,9 @@ def five_number_summary(df: DataFrame, col: str, by: Sequence[str] = ()) -> Data
     qs = exact_quantiles(d, "_v", [0.25, 0.5, 0.75], by=by, names=["q1", "median", "q3"])
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-    # one quantile row per group: broadcast only the global (one-row) case;
-    # with groups the size grows with them and Spark decides the strategy
-    j = d.join(qs, by, "inner") if by else d.crossJoin(F.broadcast(qs))
+    # one quantile row per group: an equi-join on the group keys (Spark picks
+    # the strategy from its size); globally the quartiles are scalar subqueries
+    j = d.join(qs, by, "inner") if by else C.with_scalars(d, qs)
     inside = (F.col("_v") >= lo) & (F.col("_v") <= hi)
     keys = by + ["q1", "median", "q3"]
     return (j.groupBy(*keys).agg(
