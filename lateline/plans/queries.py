@@ -1156,7 +1156,42 @@ def _hard_checks(c: Ctx):
     return Q.run_checks(_published(c), Q.hard_checks(CFG))
 
 
-@register("quality_summary")
+def _st(cond: str) -> str:
+    return f"CASE WHEN coalesce({cond}, false) THEN 'PASS' ELSE 'FAIL' END"
+
+
+_FACT_CHECKS = [
+    "count(*) > 90000", "count(*) < 97500",
+    "coalesce(max(t1_approval_h), 0) <= 700", "coalesce(max(t3_shipping_h), 0) <= 3000",
+    *[f"count_if({c} IS NULL) = 0" for c in ["order_id", "is_late", "customer_state", "purchase_month",
+                                             "seller_cohort", "freight_bucket"]],
+    *[f"count_if({c} < 0) = 0" for c in ["t1_approval_h", "t2_processing_h", "t3_shipping_h"]],
+    "count_if(NOT coalesce(is_late IN (0, 1), false)) = 0",
+    "avg(is_late) BETWEEN 0.06 AND 0.12",
+    "count_if(NOT coalesce(purchase_month BETWEEN 1 AND 12, false)) = 0",
+]
+_KPI_SQL_ROWS = """(SELECT 'On-Time Delivery Rate' AS kpi_name, round_even(avg(1 - is_late) * 100, 2) AS actual_value FROM fact
+  UNION ALL SELECT 'b', 0 UNION ALL SELECT 'c', 0 UNION ALL SELECT 'd', 0 UNION ALL SELECT 'e', 0)"""
+_AGG_S = "(SELECT * FROM (" + _SELLER_ALL_SQL + ") a WHERE total_orders >= 95)"
+
+
+@register("quality_summary", f"""
+WITH st AS (
+  {' UNION ALL '.join(f"SELECT {_st(c)} AS status FROM fact" for c in _FACT_CHECKS)}
+  UNION ALL SELECT {_st('count(*) > 3000')} FROM (SELECT DISTINCT * FROM src_sellers) d
+  UNION ALL SELECT {_st('count(*) > 90000')} FROM (SELECT DISTINCT * FROM src_customers) d
+  UNION ALL SELECT {_st('count(*) > 30000')} FROM dim_products
+  UNION ALL SELECT {_st('count_if(is_chronic = 1 AND total_orders < 95) = 0')} FROM {_AGG_S} s
+  UNION ALL SELECT {_st('count(*) > 0')} FROM {_AGG_S} s
+  UNION ALL SELECT {_st('count(*) > 0')} FROM (SELECT DISTINCT customer_state FROM fact WHERE customer_state IS NOT NULL) r
+  UNION ALL SELECT {_st('count(*) >= 12')} FROM (SELECT DISTINCT strftime(make_timestamp(ps * 1000000), '%Y-%m') FROM fact) m
+  UNION ALL SELECT {_st('count(*) > 0')} FROM (SELECT DISTINCT seller_cohort FROM fact WHERE seller_cohort IS NOT NULL) c
+  UNION ALL SELECT {_st('count(*) = 5')} FROM {_KPI_SQL_ROWS} k
+  UNION ALL SELECT CASE WHEN count(*) <> 5 THEN 'SKIP' ELSE {_st("max(CASE WHEN kpi_name = 'On-Time Delivery Rate' THEN actual_value END) BETWEEN 80 AND 100")} END
+    FROM {_KPI_SQL_ROWS} k)
+SELECT CAST(count(*) AS BIGINT) AS total, CAST(count_if(status = 'PASS') AS BIGINT) AS passed,
+  CAST(count_if(status = 'FAIL') AS BIGINT) AS failed, CAST(count_if(status = 'SKIP') AS BIGINT) AS skipped
+FROM st""")
 def _quality_summary(c: Ctx):
     return Q.summary(Q.run_checks(_published(c, with_risk=False),
                                   [k for k in Q.hard_checks(CFG) if k.table != "fact_late_risk"]))
