@@ -55,7 +55,9 @@ def main():
            "sources with an `order_status` column it is pushed down (asserted in "
            "`tests/test_plans.py::test_status_filter_pushed_and_columns_pruned`). The fact query reads "
            "the checkpointed fact (`Scan ExistingRDD`); one-row statistics appear as `Subquery` nodes "
-           "(scalar subqueries), not joins.\n"]
+           "(scalar subqueries), not joins. In `fact_base`, lineitem is read twice on purpose: once for "
+           "the per-order first seller/product and sums, once (two columns only) for the per-seller "
+           "cohort over all items of kept orders; the two need different groupings.\n"]
     for name, df in items.items():
         out.append(f"## {name}\n\n```\n{tree(df)}\n```\n")
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "PLANS.md")

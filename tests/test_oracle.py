@@ -14,7 +14,8 @@ FAST = ["late_by_state", "fact_deliveries", "agg_seller_performance", "agg_regio
         "late_by_month", "describe_columns", "stage_stats", "ratio_buckets", "score_crosstab",
         "late_by_freight", "delivery_estimate_by_state", "iqr_outliers", "correlation_matrix",
         "chi2_month_pair", "worst_sellers", "top_bottom_states", "quality_expectations",
-        "dash_headline", "impact_chronic_sellers", "table_profile"]
+        "dash_headline", "impact_chronic_sellers", "table_profile", "business_impact",
+        "quality_summary", "kpi_sla_variants", "calendar_labels", "enrich_orders", "seller_segments"]
 
 
 @pytest.fixture(scope="module")
