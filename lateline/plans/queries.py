@@ -30,10 +30,15 @@ SQL: dict[str, str] = {}
 _TABLES: dict = {}
 
 
+def _session_key(spark: SparkSession) -> tuple:
+    # application id: a new SparkContext never reuses an old key (object ids can be)
+    return (spark.sparkContext.applicationId, id(spark))
+
+
 def _tables(spark: SparkSession, sf_dir: str):
     """Source relations resolved once per session and folder (file listing
     and footers); the DataFrames stay lazy, every query still scans."""
-    key = (id(spark), sf_dir)
+    key = (_session_key(spark), sf_dir)
     if key not in _TABLES:
         _TABLES[key] = synthetic_tables(spark, sf_dir)
     return _TABLES[key]
@@ -45,7 +50,7 @@ _LAZY: dict = {}
 def _memo(ctx: "Ctx", name: str, build):
     """Lazy DataFrames (plans, no data) shared per session and folder; the
     fact, which holds checkpointed data, is built per query instead."""
-    key = (id(ctx.spark), ctx.sf_dir, name)
+    key = (_session_key(ctx.spark), ctx.sf_dir, name)
     if key not in _LAZY:
         _LAZY[key] = build()
     return _LAZY[key]
@@ -990,7 +995,7 @@ _MODELS: dict = {}
 
 def _model(c: Ctx, kind: str):
     """Fitted pipelines are reused within a session (training is the cost)."""
-    key = (id(c.spark.sparkContext), c.sf_dir, kind)
+    key = (_session_key(c.spark), c.sf_dir, kind)
     if key not in _MODELS:
         rows = R.ml_features(c.fact)
         if kind == "boosted_all":
