@@ -2,7 +2,7 @@
 
 Every operator is a ``DataFrame -> DataFrame`` function built from Spark SQL
 built-ins, so Catalyst plans it and the work runs distributed.  See
-``lateline.plans.pipeline.run_pipeline`` for the end-to-end weekly job.
+``lateline.plans.weekly.run_weekly`` for the end-to-end weekly job.
 """
 
 from lateline.config import Config, DEFAULT_CONFIG

@@ -82,7 +82,7 @@ def outlier_audit(enriched: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFram
     ).withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
-def pipeline_orders(orders: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+def kept_orders(orders: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Delivered, clipped, outlier-free orders (population of the marts)."""
     return filter_outliers(enrich_orders(filter_delivered(orders), clip_negative=True), cfg)
 

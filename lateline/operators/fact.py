@@ -109,7 +109,7 @@ def add_freight_bucket(fact: DataFrame, edges: DataFrame | None = None) -> DataF
 
 def fact_base(tables: Tables, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """The fact before the freight bucket (which needs a global statistic)."""
-    kept = enrich.pipeline_orders(tables.orders, cfg)
+    kept = enrich.kept_orders(tables.orders, cfg)
     k_items = kept_items(tables, kept)
     per_order = items_agg(k_items)
     sellers = (seller_cohort(k_items)

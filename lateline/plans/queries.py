@@ -71,7 +71,7 @@ class Ctx:
 
     @cached_property
     def kept(self):
-        return _memo(self, "kept", lambda: enrich.pipeline_orders(self.t.orders, CFG))
+        return _memo(self, "kept", lambda: enrich.kept_orders(self.t.orders, CFG))
 
     @cached_property
     def fact(self):
@@ -1416,8 +1416,8 @@ def _enrich(c: Ctx):
     return _nullable_ints_as_double(c.nb.select(*_ENR_COLS[:2], "order_purchase_timestamp", *_ENR_COLS[2:]))
 
 
-@register("pipeline_orders", _enr_sql("kept"))
-def _pipeline_orders(c: Ctx):
+@register("kept_orders", _enr_sql("kept"))
+def _kept_orders(c: Ctx):
     """Delivered, clipped, outlier-filtered orders (population of the marts)."""
     return _nullable_ints_as_double(c.kept.select(*_ENR_COLS[:2], "order_purchase_timestamp", *_ENR_COLS[2:]))
 

@@ -56,7 +56,7 @@ def build_outputs(tables: Tables, cfg: Config = DEFAULT_CONFIG, with_model: bool
     return out
 
 
-def run_pipeline(spark: SparkSession, tables: Tables, out_dir: str, cfg: Config = DEFAULT_CONFIG,
+def run_weekly(spark: SparkSession, tables: Tables, out_dir: str, cfg: Config = DEFAULT_CONFIG,
                  run_ts: dt.datetime | None = None, with_model: bool = True,
                  report_dir: str | None = None, enforce_gate: bool = True) -> RunResult:
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

@@ -11,7 +11,7 @@ import pytest
 from lateline import schemas
 from lateline.config import SYNTHETIC_CONFIG
 from lateline.operators.quality import QualityGateError
-from lateline.plans.pipeline import run_pipeline
+from lateline.plans.weekly import run_weekly
 from lateline.sources import synthetic_tables
 
 from conftest import SF0001
@@ -27,7 +27,7 @@ def test_failed_gate_publishes_nothing(spark):
     d = tempfile.mkdtemp(prefix="pipe-", dir="/tmp")
     t = synthetic_tables(spark, SF0001)
     with pytest.raises(QualityGateError):
-        run_pipeline(spark, t, f"{d}/out", SYNTHETIC_CONFIG, with_model=False,
+        run_weekly(spark, t, f"{d}/out", SYNTHETIC_CONFIG, with_model=False,
                      report_dir=f"{d}/report", run_ts=dt.datetime(2026, 6, 9))
     assert not os.path.exists(f"{d}/out/fact_deliveries")
     # the failing run is still recorded in the report
@@ -39,9 +39,9 @@ def test_publish_and_idempotent_rerun(spark):
     t = synthetic_tables(spark, SF0001)
     # orders without items leave seller cohort / freight bucket null (honest
     # failures of two not-null checks on this data), so publish without the gate
-    r1 = run_pipeline(spark, t, f"{d}/out", CFG, with_model=False, report_dir=f"{d}/report",
+    r1 = run_weekly(spark, t, f"{d}/out", CFG, with_model=False, report_dir=f"{d}/report",
                       run_ts=dt.datetime(2026, 6, 9, 1), enforce_gate=False)
-    r2 = run_pipeline(spark, t, f"{d}/out", CFG, with_model=False, report_dir=f"{d}/report",
+    r2 = run_weekly(spark, t, f"{d}/out", CFG, with_model=False, report_dir=f"{d}/report",
                       run_ts=dt.datetime(2026, 6, 9, 2), enforce_gate=False)
     assert r1.row_counts == r2.row_counts and r1.week == "2026-W23"
     for name, n in r2.row_counts.items():
