@@ -70,3 +70,20 @@ def test_hot_seller_results_match_brute_force(spark):
     for sid, w in want.iterrows():
         g = got[sid]
         assert g.total_orders == w.n and abs(g.late_rate - w.rate) < 1e-12 and abs(g.avg_t2_processing_h - w.t2) < 1e-9
+
+
+def test_topk_is_take_ordered(spark):
+    """Top-k reports keep k rows per task (TakeOrderedAndProject), no full sort."""
+    from lateline.operators import breakdowns as B, enrich, topk as TK
+    t = synthetic_tables(spark, SF0001)
+    nb = enrich.notebook_orders(t.orders)
+    assert "TakeOrderedAndProject" in _plan(TK.worst_approvals(nb))
+    assert "TakeOrderedAndProject" in _plan(TK.worst_sellers(B.seller_perf_items(B.orders_items(nb, t.items)), CFG))
+
+
+def test_one_row_statistics_are_subqueries_not_joins(spark):
+    t = synthetic_tables(spark, SF0001)
+    f = FT.fact_deliveries(t, CFG)
+    p = _plan(f)
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    assert "Subquery" in p or "subquery" in p
