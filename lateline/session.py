@@ -49,7 +49,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark.sparkContext.setLogLevel("ERROR")
     # session time zone is semantic (timestamps have no zone); pin it always
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ensure_checkpoint_dir(spark)
+    # the checkpoint folder is resolved where a checkpoint is taken
+    # (lateline.operators.fact, lateline.plans.weekly), not here
     return spark
 
 
