@@ -21,7 +21,7 @@ SHARE = 1.5
 MAX_EPOCHS = 2
 
 #: Documents of one key bucket, on average; a parameter of the layout only.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 #: Up to so many sources the table of budgets is sent to every task (about
 #: 100 bytes each); beyond that it is joined by shuffles.
 BROADCAST_SOURCES = 100_000
