@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lateline.llm import langid, mix, packing, secrets
+from lateline.llm import embeddings, jaccard, langid, mix, packing, secrets
 from lateline.llm.common import fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,17 @@ def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = jaccard.grouped(read_table(spark, sf_dir, "documents"), k=4, percent=85)
+    return g.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
