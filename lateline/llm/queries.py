@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lateline.llm import embeddings, jaccard, langid, mix, packing, secrets
-from lateline.llm.common import fold, read_table
+from lateline.llm import embeddings, jaccard, langid, mix, packing, quality, secrets
+from lateline.llm.common import bounded_sample, fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -20,6 +20,21 @@ def query(f):
     return f
 
 
+#: Labelled rows that op2 learns from, at most (about; picked by a hash of the id).
+OP2_LABELS = 3_000
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = fold("doc_id", 4) == 2
+    labels = read_table(spark, sf_dir, "labels").where(~held & F.col("quality").isin(0, 1))
+    labels = bounded_sample(labels, F.col("doc_id"), OP2_LABELS).select(F.col("doc_id").alias("id"), "quality")
+    labelled = docs.join(F.broadcast(labels), F.col("doc_id") == F.col("id"))
+    model = quality.fit(labelled, max_docs=OP2_LABELS)
+    return quality.classify(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 @query
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mix.mix(read_table(spark, sf_dir, "documents"))
