@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lateline.llm import embeddings, jaccard, langid, mix, packing, quality, secrets
+from lateline.llm import embeddings, jaccard, langid, mix, packing, quality, rules, secrets
 from lateline.llm.common import bounded_sample, fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,41 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = rules.apply_rules(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return d.select("doc_id", "rules.n_words", "rules.word_chars", "rules.n_symbols", "rules.n_dup_lines",
+                    "rules.n_repeat_words", "rules.base_failed", "rules.kept")
+
+
+SQL["op9_quality_rules"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, text IS NOT NULL AS has FROM documents),
+w AS (SELECT r, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word,
+             generate_subscripts(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), 1) AS i FROM d),
+tri AS (SELECT r, i, word AS a, lead(word) OVER p AS b, lead(word, 2) OVER p AS c FROM w WINDOW p AS (PARTITION BY r ORDER BY i)),
+dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM tri WHERE c IS NOT NULL) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM dup) GROUP BY r),
+l0 AS (SELECT r, source, has, text, unnest(string_split(text, chr(10))) AS line FROM d),
+l AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+             trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+      FROM l0 WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+hosts AS (SELECT source, count(DISTINCT text) AS docs FROM d WHERE has GROUP BY source),
+seen AS (SELECT source, norm, count(DISTINCT text) AS n FROM l GROUP BY source, norm),
+com AS (SELECT seen.source, norm FROM seen JOIN hosts ON seen.source IS NOT DISTINCT FROM hosts.source
+        WHERE n >= 20 AND n > 0.05 * docs),
+gone AS (SELECT l.r, sum(l.n) AS n FROM l JOIN com ON l.source IS NOT DISTINCT FROM com.source AND l.norm = com.norm GROUP BY l.r),
+dl AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM l GROUP BY r),
+m AS (SELECT d.r, doc_id, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT AS n_words,
+             length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+             coalesce(dl.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(gone.n, 0) AS gone
+      FROM d LEFT JOIN dl ON d.r = dl.r LEFT JOIN rep ON d.r = rep.r LEFT JOIN gone ON d.r = gone.r),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n_words - gone >= 0.3 * n_words AS kept FROM f
+"""
+
+
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
