@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lateline.llm import embeddings, jaccard, langid, mix, packing, quality, rules, secrets
+from lateline.llm import embeddings, jaccard, langid, lm, mix, packing, quality, rules, secrets
 from lateline.llm.common import bounded_sample, fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,14 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = fold("doc_id", 7) == 2
+    s = lm.score_texts(docs, ~held)
+    return s.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = rules.apply_rules(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
