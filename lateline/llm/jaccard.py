@@ -48,6 +48,11 @@ LEADER_ROUNDS = 2
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def seed64(i: int) -> np.uint64:
+    """The i-th odd-spaced seed."""
+    return np.uint64(i * int(_C1) & (1 << 64) - 1)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: spreads every input bit over the output."""
     x = (x ^ (x >> np.uint64(30))) * _C2
@@ -112,7 +117,7 @@ def signatures(h: np.ndarray, frequent: np.ndarray, percent: int, edges: np.ndar
     out, freq, need = [rare], h[is_frequent], need - len(rare)
     band = int(np.searchsorted(edges, n, side="right")) - 1
     for scheme in (band, band + 1):
-        seed = np.uint64(scheme + 1) * _C1
+        seed = seed64(scheme + 1)
         if edges[scheme] < SMALL_SET:
             out.append(mix64(freq[:need] ^ seed))
             continue

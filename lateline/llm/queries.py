@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lateline.llm import embeddings, jaccard, langid, lm, mix, packing, quality, rules, secrets
+from lateline.llm import embeddings, jaccard, langid, lm, mix, packing, quality, rules, secrets, substring
 from lateline.llm.common import bounded_sample, fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def query(f):
     return f
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 #: Labelled rows that op2 learns from, at most (about; picked by a hash of the id).
 OP2_LABELS = 3_000
 
