@@ -27,7 +27,7 @@ SEQUENCE = 2048
 SEPARATOR = 0
 
 #: Pieces of one ranking bucket, on average; a parameter of the layout only.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 500
 
 
 # -- the plan, from a histogram ------------------------------------------------
@@ -220,10 +220,11 @@ def pack(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", vocabul
     for k, n in hist.items():
         counts[k] = n
     slots = spark.sparkContext.broadcast(Slots(plan_counts(counts)))
-    n_buckets = max(1, -(-int(counts.max()) // BUCKET_ROWS))
-    # row_no was written with the piece, so the bucket stays the same on a re-read
-    bucket = F.pmod(F.xxhash64("doc_id", "piece", "row_no"), F.lit(n_buckets)).cast("int")
-    p = p.withColumn("bucket", bucket)
+    # a frequent length has more buckets; row_no was written with the piece, so
+    # the bucket stays the same on a re-read
+    lengths = spark.createDataFrame([(k, -(-n // BUCKET_ROWS)) for k, n in hist.items()], "length long, n_buckets long")
+    bucket = F.pmod(F.xxhash64("doc_id", "piece", "row_no"), F.col("n_buckets"))
+    p = p.join(F.broadcast(lengths), "length").withColumn("bucket", bucket).drop("n_buckets")
     totals = p.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")
     totals = stage.save(totals.select("length", "bucket", before.alias("before")), "totals")
