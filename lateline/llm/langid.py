@@ -7,7 +7,6 @@ order of which the model knows any n-gram decides, then shorter ones.
 
 from __future__ import annotations
 
-import math
 import re
 from dataclasses import dataclass
 
@@ -37,7 +36,7 @@ class LangModel:
 
 
 def fit(docs: DataFrame, *, label: str = "lang", text: str = "text", key: str = "doc_id",
-        max_docs: int = 10_000, max_words: int = 100_000, max_grams: int = 100_000,
+        max_docs: int = 10_000, max_words: int = 60_000, max_grams: int = 60_000,
         max_order: int = 5, alpha: float = 0.5) -> LangModel:
     """Learn from the rows of ``docs`` with a label and a text.
 
@@ -68,9 +67,16 @@ def fit(docs: DataFrame, *, label: str = "lang", text: str = "text", key: str =
     at = {x: i for i, x in enumerate(langs)}
 
     def top(df: DataFrame, col: str, limit: int) -> tuple[dict[str, int], np.ndarray]:
-        """The most frequent keys with their counts per language: at most ``limit`` rows."""
-        best = (df.groupBy(col).agg(F.sum("n").alias("t"), F.collect_list(F.struct("lang", "n")).alias("by"))
-                .orderBy(F.desc("t"), col).limit(limit).collect())
+        """The most frequent keys with their counts per language: all that
+        occur more often than the rank ``limit`` does, so at most ``limit``."""
+        total = stage.save(df.groupBy(col).agg(F.sum("n").alias("t"), F.collect_list(F.struct("lang", "n")).alias("by")), f"top-{col}")
+        have, least = 0, 0
+        for r in total.groupBy("t").agg(F.count("*").alias("keys")).orderBy(F.desc("t")).toArrow().to_pylist():
+            have += r["keys"]
+            if have > limit:
+                break
+            least = r["t"]
+        best = total.where(F.col("t") >= (least or 1 << 62)).orderBy(F.desc("t"), col).toArrow().to_pylist()
         m = np.zeros((len(best), len(langs)))
         for i, r in enumerate(best):
             for x in r["by"]:
