@@ -8,11 +8,13 @@ operator instead:
 
 1. counts rows per distinct (group, value) -- partial aggregation absorbs
    any hot value;
-2. range-partitions the distinct values by (group, value), so even a group
-   holding a third of all rows is split over many tasks;
-3. takes running counts inside each range partition (window keyed by the
-   partition id) and offsets from the per-partition totals, a table of at
-   most partitions x groups rows;
+2. puts every value into an order-preserving bucket.  The bucket borders are a
+   bounded set of approximate percentiles, computed once and put into the plan
+   as literals: the bucket is a plain expression of the value, so it cannot
+   differ between two uses of the relation;
+3. takes running counts inside each (group, bucket) and offsets from the
+   bucket totals, a table of at most buckets x groups rows; a group holding a
+   third of all rows is split over many buckets;
 4. marks the values at the two ranks around each target position and
    interpolates linearly (pandas / ``quantile_cont`` semantics, S13) in one
    final grouped aggregate.
@@ -24,9 +26,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Borders taken from the data, and equal parts of the span between two borders.
+MAX_BORDERS = 256
+PARTS = 16
+
 
 def _names(probs, names):
     if names is not None:
@@ -34,6 +40,40 @@ def _names(probs, names):
     return ["q" + ("%g" % p).replace("0.", "").replace(".", "_") for p in probs]
 
 
+def bucket_borders(df: DataFrame, value: Column) -> list[float]:
+    """Up to ``MAX_BORDERS`` approximate percentiles of a numeric column, as
+    many as there are shuffle partitions: one aggregate, one row."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(MAX_BORDERS, max(8, n))
+    v = value.cast("double")
+    row = df.where(v.isNotNull() & ~F.isnan(v)).agg(
+        F.percentile_approx(v, [i / n for i in range(n + 1)], 10 * n).alias("p")).first()
+    return sorted(set(row["p"] or []))
+
+
+def value_bucket(value: Column, borders: Sequence[float]) -> Column:
+    """Non-decreasing in the value; null is first and NaN last, as in Spark's
+    order.  A search tree over the literal borders, then equal parts between
+    two borders."""
+    v = value.cast("double")
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            if 0 < lo < len(borders):
+                low, width = borders[lo - 1], borders[lo] - borders[lo - 1]
+                part = F.floor((v - F.lit(low)) / F.lit(width) * PARTS)
+                part = F.least(F.greatest(F.coalesce(part, F.lit(0)), F.lit(0)), F.lit(PARTS - 1))
+            else:
+                part = F.lit(0)
+            return F.lit(lo * PARTS) + part
+        mid = (lo + hi) // 2
+        return F.when(v < F.lit(borders[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    last = (len(borders) + 1) * PARTS
+    body = tree(0, len(borders)) if borders else F.lit(0)
+    return F.when(v.isNull(), F.lit(-1)).when(F.isnan(v), F.lit(last)).otherwise(body).cast("long")
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
                     names: Sequence[str] | None = None, with_count: bool = False) -> DataFrame:
     """One row per group (one row overall when ``by`` is empty) with a column
@@ -44,14 +84,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     counted = (df.select(*by, v.alias("_v"))
                .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
                .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    ranged = (counted.repartitionByRange(*[F.col(b) for b in by], F.col("_v"))
-              .withColumn("_pid", F.spark_partition_id()))
+    ranged = counted.withColumn("_pid", value_bucket(F.col("_v"), bucket_borders(df, v)))
     key = ["_pid", *by]
     running = ranged.withColumn(
         "_cin", F.coalesce(F.sum("_c").over(
             Window.partitionBy(*key).orderBy("_v")
             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # per (partition, group) totals: bounded by partitions x groups rows
+    # per (bucket, group) totals: bounded by buckets x groups rows
     part = running.groupBy(*key).agg(F.sum("_c").alias("_pt"))
     w_grp = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     part = part.select(
@@ -95,12 +134,13 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    by: Sequence[str] = ()) -> DataFrame:
     """Exclusive running sums of ``sum_cols`` in ``order_col`` order (per
     ``by`` group; ``order_col`` should be unique within a group, e.g. after a
-    group-by on it) without a single-partition window: range partitioning splits
-    the order over tasks, each task sums locally, and a table of at most
-    partitions x groups rows supplies the offsets.  Adds ``<col>_before``."""
+    group-by on it) without a single-partition window: order-preserving buckets
+    of the numeric ``order_col`` (literal borders, see above) split the order
+    over tasks, each bucket sums locally, and a table of at most buckets x
+    groups rows supplies the offsets.  Adds ``<col>_before``."""
     by = list(by)
-    ranged = (df.repartitionByRange(*[F.col(b) for b in by], F.col(order_col))
-              .withColumn("_pid", F.spark_partition_id()))
+    borders = bucket_borders(df, F.col(order_col))
+    ranged = df.withColumn("_pid", value_bucket(F.col(order_col), borders))
     key = ["_pid", *by]
     w_in = Window.partitionBy(*key).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.select("*", *[F.coalesce(F.sum(c).over(w_in), F.lit(0)).alias(f"_in_{c}")

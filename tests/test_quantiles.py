@@ -58,3 +58,36 @@ def test_running_totals(spark):
     # rows of one key are ordered arbitrarily among themselves; check first-of-key totals
     mins = got.groupby("k").x_before.min()
     assert (mins.sort_index().values == before.values).all()
+
+
+@pytest.mark.parametrize("conf", [{}, {"spark.sql.adaptive.enabled": "false", "spark.sql.exchange.reuse": "false"}])
+def test_ranks_do_not_rest_on_exchange_reuse(spark, conf):
+    """400k distinct values, 8 partitions: quantiles and AUC equal numpy's."""
+    from lateline.operators.risk import roc_auc_exact
+    n = 400_000
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(0, n, 1, 8).select(
+            (F.abs(F.hash("id").cast("long")) / 1e9 + F.col("id") * 1e-12).alias("late_probability"), "id")
+        df = df.withColumn("is_late", (F.col("late_probability") * 0.4 + F.abs(F.hash(F.col("id") + 7)) / 2**31 > 0.9).cast("int"))
+        pdf = df.toPandas()
+        v = pdf.late_probability
+        got = exact_quantiles(df, "late_probability", [0.1, 0.5, 0.95], names=["a", "b", "c"]).first()
+        assert np.allclose([got.a, got.b, got.c], v.quantile([0.1, 0.5, 0.95]).values, rtol=0, atol=1e-12)
+        rank, y = v.rank().values, pdf.is_late.values
+        pos, neg = y.sum(), (1 - y).sum()
+        want = (rank[y == 1].sum() - pos * (pos + 1) / 2) / (pos * neg)
+        assert abs(roc_auc_exact(df).first().roc_auc - want) < 1e-9
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_bucket_is_monotone_with_nulls_nan_and_infinities(spark):
+    from lateline.operators.quantiles import bucket_borders, value_bucket
+    vals = [None, float("-inf"), -1e300, -5.0, -5.0, 0.0, 1e-9, 3.0, 3.5, 1e12, float("inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    rows = df.select("v", value_bucket(F.col("v"), bucket_borders(df, F.col("v"))).alias("b")).orderBy("v").collect()
+    assert [r.b for r in rows] == sorted(r.b for r in rows)
