@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lateline.functions import labels as L
 from lateline.functions.columns import col_of
 
-__all__ = ["bucketize", "bucket_ord", "bucketize_cols", "severity_band", "risk_level"]
+__all__ = ["bucketize", "bucket_ord", "severity_band", "risk_level"]
 
 
 def _edge(e) -> Column:
@@ -44,12 +44,6 @@ def bucket_ord(c, edges: Sequence, include_lowest: bool = False) -> Column:
     return _chain(col_of(c), edges, list(range(len(edges) - 1)), include_lowest)
 
 
-def bucketize_cols(c, edges: Sequence, labels: Sequence[str], name: str,
-                   include_lowest: bool = False) -> list[Column]:
-    return [bucketize(c, edges, labels, include_lowest).alias(name),
-            bucket_ord(c, edges, include_lowest).alias(name + "_ord")]
-
-
 def severity_band(c, high: float, mid: float) -> Column:
     """``red`` at or above ``high``, ``orange`` at or above ``mid``, else ``green``."""
     c = col_of(c)

@@ -147,10 +147,11 @@ def round4(c) -> Column:
 
 
 def scalars(one_row) -> dict:
-    """Columns of a one-row DataFrame (a global aggregate) as scalar
-    subqueries.  Spark computes them once (identical subqueries are merged
-    and reused) and attaches the values to every row: no join, no shuffle."""
-    return {c: one_row.select(F.col(f"`{c}`")).scalar() for c in one_row.columns}
+    """Columns of a one-row DataFrame (a global aggregate) as the fields of one
+    scalar subquery, a struct: no join, no shuffle, and one run of its plan
+    however many columns it has."""
+    row = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("row")).scalar()
+    return {c: row.getField(c) for c in one_row.columns}
 
 
 def with_scalars(df, one_row):

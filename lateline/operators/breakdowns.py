@@ -265,7 +265,7 @@ def category_items(oi: DataFrame, products: DataFrame, cat_trans: DataFrame) ->
     """Items with their product's category (inner) and English name (left)."""
     p = products.select("product_id", "product_category_name")
     return (oi.join(p, "product_id")
-            .join(F.broadcast(cat_trans), "product_category_name", "left")
+            .join(cat_trans, "product_category_name", "left")
             .withColumn("category_en", C.translate_category("product_category_name_english",
                                                             "product_category_name")))
 
@@ -354,8 +354,9 @@ def cohort_perf_items(oi: DataFrame) -> DataFrame:
     out = ci.groupBy("cohort").agg(
         F.countDistinct("order_id").alias("total_orders"),
         F.sum("is_late").cast("long").alias("late_orders"),   # item rows, as in the notebook
-        F.avg("is_late").alias("late_rate"),
-        F.countDistinct("seller_id").alias("seller_count"))
+        F.avg("is_late").alias("late_rate"))
+    # every seller has one cohort: its count needs no second distinct over the items
+    out = out.join(first.groupBy("cohort").agg(F.count(F.lit(1)).alias("seller_count")), "cohort", "left")
     pct = F.col("late_rate") * 100
     return (out.select("*", pct.alias("late_pct"),
                        severity_band(pct, *L.SEVERITY_COHORT).alias("severity"))

@@ -26,13 +26,6 @@ DERIVED = ["t1_approval_h", "t2_processing_h", "t3_shipping_h", "delivery_days",
            "purchase_month", "purchase_dayofweek", "purchase_hour"]
 
 
-def parse_timestamps(orders: DataFrame, cols=None) -> DataFrame:
-    """String timestamps to TIMESTAMP by name (ANSI: bad text raises, S38)."""
-    cols = cols or [PURCHASE, APPROVED, CARRIER, DELIVERED, ESTIMATE]
-    return orders.withColumns({c: F.to_timestamp(F.col(c)) for c in cols
-                               if dict(orders.dtypes).get(c) == "string"})
-
-
 def filter_delivered(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("order_status") == F.lit("delivered"))
 

@@ -3,12 +3,11 @@
 Grain of ``fact_deliveries`` is order x review (S18): an order with two
 reviews is two rows.  Plan shape (see ``explain``):
 
-* kept orders are joined to the items once, on ``order_id``; that join's
-  output is already hash-partitioned by order, so the per-order item
-  aggregate and the join back to the orders need no further shuffle of
-  the order-sized side;
-* seller cohorts aggregate the same joined items by seller (partial
-  aggregation first, so a hot seller is a handful of rows per task);
+* kept orders are joined to the items on ``order_id``; that join's output is
+  hash-partitioned by order, so the per-order item aggregate needs no further
+  shuffle;
+* seller cohorts aggregate the joined items by seller (partial aggregation
+  first, so a hot seller is a handful of rows per task);
 * reviews join on ``order_id`` while the fact is still partitioned by order;
 * customers, sellers and products join on their keys; Spark broadcasts a
   dimension only when its size estimate is under the broadcast threshold,
@@ -27,7 +26,7 @@ from lateline.functions import labels as L
 from lateline.functions.buckets import bucketize
 from lateline.operators import enrich
 from lateline.operators.quantiles import exact_quantiles
-from lateline.session import ensure_checkpoint_dir
+from lateline.session import staged
 from lateline.sources.files import Tables
 
 FREIGHT_PROBS = [0.2, 0.4, 0.6, 0.8]
@@ -74,9 +73,9 @@ def dim_customers(customers: DataFrame) -> DataFrame:
 
 def dim_products(products: DataFrame, cat_trans: DataFrame) -> DataFrame:
     """Category filled with ``unknown``, English name else the original.
-    The translation table is small by nature (one row per category)."""
+    Spark broadcasts the translation table if its size allows."""
     p = products.withColumn("product_category_name", C.fill_unknown("product_category_name"))
-    return (p.join(F.broadcast(cat_trans), "product_category_name", "left")
+    return (p.join(cat_trans, "product_category_name", "left")
             .select("product_id", "product_category_name",
                     C.translate_category("product_category_name_english",
                                          "product_category_name").alias("product_category_name_en"),
@@ -142,11 +141,10 @@ def fact_deliveries(tables: Tables, cfg: Config = DEFAULT_CONFIG,
 
     The freight quintiles are a global statistic of the fact itself, so the
     fact is consumed twice (edges, then labels).  With ``materialize`` the
-    joined fact is written once to the session's checkpoint folder and both
-    consumers read it, instead of re-running every join and scan twice."""
+    joined fact is written once, as Parquet below the session's checkpoint
+    folder, and both consumers read the columns they need from it."""
     if base is None:
         base = fact_base(tables, cfg)
         if materialize:
-            ensure_checkpoint_dir(base.sparkSession)
-            base = base.checkpoint(eager=True)
+            base = staged(base, "fact-base")
     return add_freight_bucket(base).select(*schemas.FACT_COLS)

@@ -48,11 +48,6 @@ def impact_review_score(saved: DataFrame, scores: DataFrame) -> DataFrame:
                     after.alias("score_after"), (after - before).alias("score_gain")))
 
 
-def fixed_scores(spark, on_time: float = 4.29, late: float = 2.57) -> DataFrame:
-    """The reference's constant scores, as an alternative to measured ones."""
-    return spark.createDataFrame([(on_time, late)], "score_on_time double, score_late double")
-
-
 def avg_order_value(oi: DataFrame) -> DataFrame:
     """Mean over orders of the summed item price (two-level aggregate)."""
     per = oi.groupBy("order_id").agg(F.sum(C.money("price")).alias("v"))

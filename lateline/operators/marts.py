@@ -18,11 +18,10 @@ from lateline.functions import columns as C
 def seller_performance_all(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Per seller, every seller (null seller dropped, S14).  ``total_orders``
     counts distinct orders but ``late_orders``/``late_rate`` are row-level (S19)."""
-    # state, city and cohort depend on the seller alone (one dimension row,
-    # one cohort per seller), so "first" of them is a grouping column: a hash
-    # aggregate instead of a sort-based one.
-    agg = (fact.where(F.col("seller_id").isNotNull())
-           .groupBy("seller_id", "seller_state", "seller_city", "seller_cohort").agg(
+    # a seller with several dimension rows is one row: its first state and city
+    # by the declared order (state, city, cohort)
+    agg = (fact.where(F.col("seller_id").isNotNull()).groupBy("seller_id").agg(
+        F.min(F.struct("seller_state", "seller_city", "seller_cohort")).alias("_first"),
         F.countDistinct("order_id").alias("total_orders"),
         F.sum("is_late").cast("long").alias("late_orders"),
         F.avg("is_late").alias("late_rate"),
@@ -30,6 +29,7 @@ def seller_performance_all(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> Dat
         F.avg("delivery_days").alias("avg_delivery_days"),
         F.coalesce(F.sum(C.money("price")), F.lit(0)).cast("double").alias("total_revenue"),
     ))
+    agg = agg.select("seller_id", "_first.*", *[c for c in agg.columns if c not in ("seller_id", "_first")])
     return agg.withColumns({
         "is_chronic": ((F.col("late_rate") > cfg.chronic_rate)
                        & (F.col("total_orders") >= cfg.active_min_orders)).cast("int"),

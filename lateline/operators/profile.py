@@ -1,13 +1,12 @@
-"""Table profiles: rows, columns, nulls, duplicate rows, per-column nulls,
-column types.  One aggregate per table (all null counts in one pass);
-duplicates via a grouped count over all columns (partial aggregation)."""
+"""Table profiles: rows, columns, nulls, duplicate rows, per-column nulls.
+One pass per table: a grouped count over all columns (partial aggregation)
+gives rows, nulls and duplicates."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lateline.functions import columns as C
 from lateline.functions import labels as L
 from lateline.functions.buckets import severity_band
 
@@ -16,11 +15,13 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, df in tables.items():
         cols = df.columns
-        nulls = df.agg(F.count(F.lit(1)).alias("rows"),
-                       sum(F.count_if(F.col(f"`{c}`").isNull()) for c in cols).alias("null_total"))
-        dups = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-                .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows")))
-        part = C.with_scalars(nulls, dups).select(
+        # the grouped counts give rows and nulls too: one pass over the table
+        missing = sum(F.col(f"`{c}`").isNull().cast("int") for c in cols)
+        one = (df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
+               .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+                    F.coalesce(F.sum(F.col("_n") * missing), F.lit(0)).alias("null_total"),
+                    F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows")))
+        part = one.select(
             F.lit(name).alias("table"), "rows", F.lit(len(cols)).alias("n_columns"),
             F.col("null_total").cast("long").alias("null_total"),
             (F.col("null_total") * 100.0 / F.nullif(F.col("rows") * len(cols), F.lit(0))).alias("null_pct"),
@@ -41,11 +42,3 @@ def null_profile(df: DataFrame, table: str) -> DataFrame:
             .select(F.lit(table).alias("table"), "column", F.col("nulls").cast("long").alias("nulls"),
                     pct.alias("null_pct"), severity_band(pct, *L.SEVERITY_MISSING).alias("severity"))
             .orderBy("null_pct", "column"))
-
-
-def schema_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """Column names and types of every table (catalog metadata, no scan)."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    rows = [(t, i, c, ty) for t, df in tables.items() for i, (c, ty) in enumerate(df.dtypes)]
-    return spark.createDataFrame(rows, "table string, position int, column string, type string")

@@ -10,10 +10,10 @@ scores, evaluation and attribution, all on Spark ML.
 * evaluation uses a hash-stratified 80/20 split whose per-class cut is an
   exact distributed quantile of the hash, exact ROC-AUC from distributed
   running totals, and one-pass confusion counts;
-* attribution is exact Shapley against a single baseline row (the per-feature
-  mode): each row expands to the 2^7 feature coalitions by a generator, is
-  scored once by the fitted pipeline, and contributions are one grouped sum.
-  Cost is linear in rows (x128); there is no join of rows with rows.
+* attribution is exact Shapley of the probability against a single baseline
+  row (the per-feature mode): each distinct feature tuple expands to the 2^7
+  coalitions by a generator, is scored once by the fitted pipeline, and
+  contributions are one grouped sum, joined back to the orders.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from lateline.functions.buckets import risk_level
 from lateline.functions.columns import with_scalars
 from lateline.operators.quantiles import exact_quantiles, running_totals
 
+#: Fixed values of the reference: features, the categorical ones, result columns.
 FEATURES = ["customer_state", "seller_state", "purchase_month", "purchase_dayofweek",
             "purchase_hour", "freight_bucket", "seller_cohort"]
 CATEGORICAL = ["customer_state", "seller_state", "freight_bucket", "seller_cohort"]
@@ -80,17 +81,24 @@ def _fit(stages: Pipeline, train: DataFrame) -> PipelineModel:
         train.unpersist()
 
 
+def max_bins(train: DataFrame, least: int = 64) -> int:
+    """Bins for the trees: as many as the widest categorical feature has
+    values, with a slot for unseen ones (one aggregate)."""
+    row = train.agg(*[F.countDistinct(c).alias(c) for c in CATEGORICAL]).first()
+    return max(least, *[(row[c] or 0) + 2 for c in CATEGORICAL])
+
+
 def train_boosted(train: DataFrame, cfg: Config = DEFAULT_CONFIG) -> PipelineModel:
     gbt = GBTClassifier(labelCol="is_late", featuresCol="features", weightCol="weight",
                         maxIter=cfg.gbt_trees, maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step,
-                        seed=cfg.seed, maxBins=64)
+                        seed=cfg.seed, maxBins=max_bins(train))
     return _fit(_stages(gbt), with_class_weight(train, "positive"))
 
 
 def train_forest(train: DataFrame, cfg: Config = DEFAULT_CONFIG) -> PipelineModel:
     rf = RandomForestClassifier(labelCol="is_late", featuresCol="features", weightCol="weight",
                                 numTrees=cfg.forest_trees, maxDepth=cfg.forest_depth,
-                                seed=cfg.seed, maxBins=64)
+                                seed=cfg.seed, maxBins=max_bins(train))
     return _fit(_stages(rf), with_class_weight(train, "balanced"))
 
 
@@ -242,14 +250,17 @@ def attribution(model: PipelineModel, rows: DataFrame, baseline: DataFrame | Non
     m = len(FEATURES)
     baseline = baseline_row(rows) if baseline is None else baseline
     mask = F.col("_mask")
-    # one row per order: fan-out copies (one per review) carry identical features
-    x = (with_scalars(rows.select("order_id", *FEATURES).distinct(), baseline)
+    # one row per order: fan-out copies (one per review) carry identical features.
+    # Each distinct feature tuple is scored once and joined back to its orders, so
+    # the scoring stops growing once all tuples have been seen
+    orders = rows.select("order_id", *FEATURES).distinct()
+    x = (with_scalars(orders.select(*FEATURES).distinct().withColumn("_tuple", F.xxhash64(*FEATURES)), baseline)
          .withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2 ** m - 1)))))
-    x = x.select("order_id", "_mask", *[
+    x = x.select("_tuple", "_mask", *[
         F.when((mask.bitwiseAND(F.lit(1 << i))) != 0, F.col(c)).otherwise(F.col(f"_base_{c}")).alias(c)
         for i, c in enumerate(FEATURES)])
     scored = model.transform(x).select(
-        "order_id", "_mask", vector_to_array(F.col("probability"))[1].alias("_f"))
+        "_tuple", "_mask", vector_to_array(F.col("probability"))[1].alias("_f"))
     w = _shapley_weights(m)
     wsize = F.array(*[F.lit(v) for v in w])
     size = F.bit_count(mask)
@@ -260,7 +271,9 @@ def attribution(model: PipelineModel, rows: DataFrame, baseline: DataFrame | Non
         aggs.append(F.sum(F.col("_f") * coef).alias(c))
     aggs += [F.max(F.when(mask == 0, F.col("_f"))).alias("base_value"),
              F.max(F.when(mask == 2 ** m - 1, F.col("_f"))).alias("value")]
-    per_row = scored.groupBy("order_id").agg(*aggs)
+    per_tuple = scored.groupBy("_tuple").agg(*aggs)
+    per_row = (orders.select("order_id", F.xxhash64(*FEATURES).alias("_tuple"))
+               .join(per_tuple, "_tuple").drop("_tuple"))
     return per_row.unpivot(["order_id", "base_value", "value"], FEATURES, "feature", "contribution")
 
 
@@ -276,7 +289,7 @@ def attribution_row(contrib: DataFrame, rows: DataFrame, order_id) -> DataFrame:
         pick = order_id.select("order_id")
     else:
         pick = rows.sparkSession.createDataFrame([(str(order_id),)], "order_id string")
-    one = rows.join(F.broadcast(pick), "order_id").select(
+    one = rows.join(pick, "order_id").select(
         "order_id", *[F.col(c).cast("string").alias(c) for c in FEATURES]).distinct()
     vals = one.unpivot(["order_id"], FEATURES, "feature", "feature_value")
-    return contrib.join(F.broadcast(pick), "order_id").join(vals, ["order_id", "feature"])
+    return contrib.join(pick, "order_id").join(vals, ["order_id", "feature"])

@@ -12,7 +12,7 @@ import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,44 +57,46 @@ def extreme_rows(df: DataFrame, stage: str, threshold: float, cols: Sequence[str
     return df.where(F.col(stage) > threshold).select(*keep)
 
 
+def rule_rows(df: DataFrame, rules=EXTREME_RULES, cols: Sequence[str] = ()) -> DataFrame:
+    """One row per order and rule that it breaks (``rule, threshold_h, hours,
+    event_date``, ids), from one pass over the orders."""
+    hit = F.array_compact(F.array(*[
+        F.when(F.col(stage) > thr, F.struct(F.lit(stage).alias("rule"), F.lit(thr).alias("threshold_h"),
+                                            F.col(stage).cast("double").alias("hours"), F.to_date(ts).alias("event_date")))
+        for stage, thr, ts in rules]))
+    return df.select("order_id", *cols, F.inline(hit))
+
+
 def outlier_decision_evidence(df: DataFrame, items: DataFrame,
                               rules=EXTREME_RULES) -> DataFrame:
     """Per rule: extreme rows, distinct sellers (via items), distinct dates of
-    the inspected timestamp, and the share of rows on the most common date.
-    Extreme rows are few by definition, so the rule union is small."""
-    parts = []
-    for stage, thr, ts in rules:
-        parts.append(df.where(F.col(stage) > thr).select(
-            F.lit(stage).alias("rule"), F.lit(thr).alias("threshold_h"), "order_id",
-            F.to_date(ts).alias("event_date")))
-    ext = parts[0]
-    for p in parts[1:]:
-        ext = ext.unionByName(p)
-    sellers = (ext.join(items.select("order_id", "seller_id"), "order_id")
-               .groupBy("rule").agg(F.countDistinct("seller_id").alias("distinct_sellers")))
-    per_day = ext.groupBy("rule", "event_date").agg(F.count(F.lit(1)).alias("n_day"))
-    days = per_day.groupBy("rule").agg(F.count("event_date").alias("distinct_dates"),
-                                       F.max("n_day").alias("modal_date_rows"))
-    rows = ext.groupBy("rule", "threshold_h").agg(F.count(F.lit(1)).alias("n_rows"))
-    return (rows.join(days, "rule", "left").join(sellers, "rule", "left")
+    the inspected timestamp, and the share of rows on the most common date."""
+    ext = rule_rows(df, rules)
+    sellers = outlier_unique_sellers(df, items, rules).select("rule", "distinct_sellers")
+    per_day = ext.groupBy("rule", "threshold_h", "event_date").agg(F.count(F.lit(1)).alias("n_day"))
+    days = per_day.groupBy("rule", "threshold_h").agg(
+        F.sum("n_day").alias("n_rows"), F.count("event_date").alias("distinct_dates"),
+        F.max(F.when(F.col("event_date").isNotNull(), F.col("n_day"))).alias("modal_date_rows"))
+    return (days.join(sellers, "rule", "left")
             .select("rule", "threshold_h", "n_rows",
                     F.coalesce("distinct_sellers", F.lit(0)).alias("distinct_sellers"),
                     "distinct_dates", "modal_date_rows",
                     (F.col("modal_date_rows") * 100.0 / F.col("n_rows")).alias("modal_date_pct")))
 
 
-def outlier_dates(df: DataFrame, stage: str, threshold: float, ts: str, n: int = 10) -> DataFrame:
-    """Top-n dates of ``ts`` among the extreme rows (count desc, date asc)."""
-    return (df.where(F.col(stage) > threshold)
-            .groupBy(F.to_date(ts).alias("event_date")).agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), "event_date").limit(n))
+def outlier_dates(df: DataFrame, rules=EXTREME_RULES, n: int = 10) -> DataFrame:
+    """Per rule the top-n dates of its timestamp among the extreme rows (count
+    desc, date asc): a ranking of per-date counts."""
+    per = rule_rows(df, rules).groupBy("rule", "event_date").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("rule").orderBy(F.desc("n"), "event_date"))
+    return per.withColumn("_r", rank).where(F.col("_r") <= n).drop("_r")
 
 
-def outlier_unique_sellers(df: DataFrame, items: DataFrame, stage: str, threshold: float) -> DataFrame:
-    ext = df.where(F.col(stage) > threshold).select("order_id")
-    return (ext.join(items.select("order_id", "seller_id"), "order_id")
-            .agg(F.countDistinct("seller_id").alias("distinct_sellers"),
-                 F.count(F.lit(1)).alias("n_item_rows")))
+def outlier_unique_sellers(df: DataFrame, items: DataFrame, rules=EXTREME_RULES) -> DataFrame:
+    """Per rule: distinct sellers and item rows of the extreme orders."""
+    return (rule_rows(df, rules).join(items.select("order_id", "seller_id"), "order_id")
+            .groupBy("rule").agg(F.countDistinct("seller_id").alias("distinct_sellers"),
+                                 F.count(F.lit(1)).alias("n_item_rows")))
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLS) -> DataFrame:

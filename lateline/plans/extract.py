@@ -1,6 +1,6 @@
 """Extract step: read the seven sources and keep two copies of each -- a
 timestamped snapshot in the lake (partition ``snapshot_ts``, so any past run
-can be replayed with partition pruning) and the latest raw copy that the
+can be replayed) and the latest raw copy that the
 transform reads.  All sources are resolved before anything is written, so a
 missing source fails the step with nothing half-written."""
 
@@ -23,7 +23,8 @@ def extract(spark: SparkSession, paths: dict[str, str], lake_dir: str, raw_dir:
     tables = scan_sources(spark, paths, fmt)      # raises before any write
     for name, df in tables.as_dict().items():
         W.write_snapshot(df, f"{lake_dir}/{name}", label)
-        W.write_latest(df, f"{raw_dir}/{name}")
+        # the latest copy comes from the snapshot: the export is parsed once
+        W.write_latest(read_snapshot(spark, f"{lake_dir}/{name}", label), f"{raw_dir}/{name}")
     return label
 
 

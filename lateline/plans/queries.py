@@ -704,24 +704,23 @@ def _iqr(c: Ctx):
     return ST.iqr_outliers(c.nb)
 
 
-@register("extreme_rows", f"""
-SELECT order_id, customer_id, {TS_TXT.format(c='ps')} AS order_purchase_timestamp,
-  {r4('t3_shipping_h', 't3_shipping_h')}, is_late,
-  {TS_TXT.format(c='cs')} AS order_delivered_carrier_date,
-  {TS_TXT.format(c='ds')} AS order_delivered_customer_date, delivery_days
-FROM nb WHERE t3_shipping_h > 3000""")
+_RULES_SQL = [("t1_approval_h", 700.0, "aps"), ("t3_shipping_h", 3000.0, "ds"), ("t2_processing_h", 2000.0, "cs")]
+
+
+@register("extreme_rows", " UNION ALL ".join(f"""
+SELECT order_id, customer_id, {TS_TXT.format(c='ps')} AS order_purchase_timestamp, is_late, delivery_days,
+  '{s}' AS rule, CAST({thr} AS DOUBLE) AS threshold_h, {r4(s, 'hours')},
+  strftime(CAST(make_timestamp({col} * 1000000) AS DATE), '%Y-%m-%d') AS event_date
+FROM nb WHERE {s} > {thr}""" for s, thr, col in _RULES_SQL))
 def _extreme(c: Ctx):
-    """Orders with shipping above 3000 h, with their dates."""
-    return ST.extreme_rows(c.nb, "t3_shipping_h", 3000.0,
-                           ["order_delivered_carrier_date", "order_delivered_customer_date",
-                            "delivery_days"])
+    """Orders beyond the approval, shipping and processing limits, with the inspected date."""
+    return ST.rule_rows(c.nb, cols=["customer_id", "order_purchase_timestamp", "is_late", "delivery_days"])
 
 
 _EXT = " UNION ALL ".join(
     f"SELECT '{s}' AS rule, {thr} AS threshold_h, order_id, "
     f"CAST(make_timestamp({col} * 1000000) AS DATE) AS event_date FROM nb WHERE {s} > {thr}"
-    for s, thr, col in [("t1_approval_h", 700.0, "aps"), ("t3_shipping_h", 3000.0, "ds"),
-                        ("t2_processing_h", 2000.0, "cs")])
+    for s, thr, col in _RULES_SQL)
 
 
 @register("outlier_decision_evidence", f"""
@@ -741,20 +740,23 @@ def _evidence(c: Ctx):
     return ST.outlier_decision_evidence(c.nb, c.t.items)
 
 
-@register("outlier_dates", """
-SELECT strftime(CAST(make_timestamp(ds * 1000000) AS DATE), '%Y-%m-%d') AS event_date,
-  CAST(count(*) AS BIGINT) AS n
-FROM nb WHERE t3_shipping_h > 3000 GROUP BY 1 ORDER BY n DESC, event_date LIMIT 10""")
+@register("outlier_dates", f"""
+WITH e AS ({_EXT}),
+n AS (SELECT rule, event_date, count(*) AS n FROM e GROUP BY rule, event_date)
+SELECT rule, strftime(event_date, '%Y-%m-%d') AS event_date, CAST(n AS BIGINT) AS n
+FROM n QUALIFY row_number() OVER (PARTITION BY rule ORDER BY n DESC, event_date NULLS FIRST) <= 10""")
 def _outlier_dates(c: Ctx):
-    """Top-10 delivery dates among shipping outliers."""
-    return ST.outlier_dates(c.nb, "t3_shipping_h", 3000.0, "order_delivered_customer_date")
+    """Per outlier rule, the top-10 dates of its timestamp."""
+    return ST.outlier_dates(c.nb)
 
 
-@register("outlier_unique_sellers", """
-SELECT CAST(count(DISTINCT seller_id) AS BIGINT) AS distinct_sellers, CAST(count(*) AS BIGINT) AS n_item_rows
-FROM nb JOIN src_items USING (order_id) WHERE t3_shipping_h > 3000""")
+@register("outlier_unique_sellers", f"""
+WITH e AS ({_EXT})
+SELECT rule, CAST(count(DISTINCT seller_id) AS BIGINT) AS distinct_sellers, CAST(count(*) AS BIGINT) AS n_item_rows
+FROM e JOIN src_items USING (order_id) GROUP BY rule""")
 def _outlier_sellers(c: Ctx):
-    return ST.outlier_unique_sellers(c.nb, c.t.items, "t3_shipping_h", 3000.0)
+    """Per outlier rule, distinct sellers and item rows."""
+    return ST.outlier_unique_sellers(c.nb, c.t.items)
 
 
 _CORR_PAIRS = [(a, b) for i, a in enumerate(ST.CORR_COLS) for b in ST.CORR_COLS[i + 1:]]
@@ -769,34 +771,59 @@ def _corr(c: Ctx):
     return ST.correlation_matrix(c.orr)
 
 
-@register("histogram", """
-WITH d AS (SELECT actual_vs_est_ratio AS v FROM nb WHERE actual_vs_est_ratio IS NOT NULL
-           AND actual_vs_est_ratio <= 3),
-m AS (SELECT min(v) AS lo, max(v) AS hi FROM d)
-SELECT bin, round(lo + bin * (hi - lo) / 40, 4) AS bin_lo, round(lo + (bin + 1) * (hi - lo) / 40, 4) AS bin_hi,
+#: (name, column, upper limit: none, a value, or the column's own quantile)
+_HISTS = [("ratio", "actual_vs_est_ratio", 3.0, None), ("delivery_days", "delivery_days", None, None),
+          ("approval", "t1_approval_h", None, 0.95), ("processing", "t2_processing_h", None, 0.95),
+          ("shipping", "t3_shipping_h", None, 0.95), ("approval_200h", "t1_approval_h", 200.0, None)]
+
+
+def _hist_sql(name: str, col: str, cap, prob) -> str:
+    top = (f"AND {col} <= {cap}" if cap is not None else
+           f"AND {col} <= (SELECT quantile_cont(CAST({col} AS DOUBLE), {prob}) FROM nb)" if prob else "")
+    return f"""
+SELECT '{name}' AS chart, bin, round(lo + bin * ((hi - lo) / 40), 4) AS bin_lo, round(lo + (bin + 1) * ((hi - lo) / 40), 4) AS bin_hi,
   CAST(count(*) AS BIGINT) AS n
-FROM (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / ((hi - lo) / 40)), 39) END AS INTEGER) AS bin,
-             lo, hi FROM d CROSS JOIN m) b
-GROUP BY bin, lo, hi""")
+FROM (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / ((hi - lo) / 40)), 39) END AS INTEGER) AS bin, lo, hi
+      FROM (SELECT CAST({col} AS DOUBLE) AS v, min(CAST({col} AS DOUBLE)) OVER () AS lo, max(CAST({col} AS DOUBLE)) OVER () AS hi
+            FROM nb WHERE {col} IS NOT NULL {top}) d) b
+GROUP BY bin, lo, hi"""
+
+
+@register("histogram", " UNION ALL ".join(f"SELECT * FROM ({_hist_sql(*h)}) x" for h in _HISTS))
 def _hist(c: Ctx):
-    """40 equal-width bins of the ratio, capped at 3 like the notebook chart."""
-    return ST.histogram(c.nb, "actual_vs_est_ratio", 40, cap=3.0)
+    """40 equal-width bins of the ratio up to 3, the delivery days, each stage
+    up to its P95, and approval up to 200 h."""
+    out = None
+    for name, col, cap, prob in _HISTS:
+        d = c.nb
+        if prob:
+            d = B.capped_at_quantile(d, col, prob)
+        h = ST.histogram(d, col, 40, cap=cap).select(F.lit(name).alias("chart"), "*")
+        out = h if out is None else out.unionByName(h)
+    return out
+
+
+def _five_sql(name: str, col: str, src: str) -> str:
+    inside = "v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1)"
+    return f"""
+SELECT '{name}' AS chart, is_late, {r4('q1', 'q1')}, {r4('median', 'median')}, {r4('q3', 'q3')},
+  {r4(f'min(CASE WHEN {inside} THEN v END)', 'whisker_low')}, {r4(f'max(CASE WHEN {inside} THEN v END)', 'whisker_high')},
+  CAST(count_if(NOT ({inside})) AS BIGINT) AS n_outside, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT is_late, CAST({col} AS DOUBLE) AS v FROM {src}) d
+JOIN (SELECT is_late, quantile_cont(CAST({col} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({col} AS DOUBLE), 0.5) AS median,
+             quantile_cont(CAST({col} AS DOUBLE), 0.75) AS q3 FROM {src} GROUP BY is_late) q USING (is_late)
+WHERE v IS NOT NULL GROUP BY is_late, q1, median, q3"""
 
 
 @register("five_number_summary", f"""
-WITH d AS (SELECT is_late, CAST(review_score AS DOUBLE) AS v FROM {_ORR} r),
-q AS (SELECT is_late, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
-             quantile_cont(v, 0.75) AS q3 FROM d GROUP BY is_late)
-SELECT is_late, {r4('q1', 'q1')}, {r4('median', 'median')}, {r4('q3', 'q3')},
-  {r4('min(CASE WHEN v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1) THEN v END)', 'whisker_low')},
-  {r4('max(CASE WHEN v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1) THEN v END)', 'whisker_high')},
-  CAST(count_if(NOT (v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1))) AS BIGINT) AS n_outside,
-  CAST(count(*) AS BIGINT) AS n
-FROM d JOIN q USING (is_late) GROUP BY is_late, q1, median, q3""")
+SELECT * FROM ({_five_sql('review_score', 'review_score', _ORR + ' r')}) a
+UNION ALL SELECT * FROM ({_five_sql('delivery_days', 'delivery_days', 'nb')}) b""")
 def _five(c: Ctx):
-    """Box-plot numbers of review score, late vs on time."""
-    return ST.five_number_summary(c.orr.where(F.col("review_score").isNotNull()),
-                                  "review_score", by=["is_late"])
+    """Box-plot numbers of review score and of delivery days, late vs on time."""
+    score = ST.five_number_summary(c.orr.where(F.col("review_score").isNotNull()), "review_score", by=["is_late"])
+    days = ST.five_number_summary(c.nb, "delivery_days", by=["is_late"])
+    return (score.select(F.lit("review_score").alias("chart"), "*")
+            .unionByName(days.select(F.lit("delivery_days").alias("chart"), "*")))
 
 
 CHI2_CRIT_DOF1 = 3.841458820694124  # chi-square(1) quantile at 0.95: p < .05 <=> chi2 > this
@@ -970,21 +997,22 @@ def _table_profile(c: Ctx):
     return PR.table_profile(c.t.as_dict())
 
 
-@register("null_profile", f"""
-SELECT * FROM (SELECT 'orders' AS "table", "column", nulls, round(nulls * 100.0 / n, 4) AS null_pct,
+def _null_sql(t: str, cs: list[str]) -> str:
+    return f"""
+SELECT '{t}' AS "table", "column", nulls, round(nulls * 100.0 / n, 4) AS null_pct,
   CASE WHEN nulls * 100.0 / n >= 20 THEN 'red' WHEN nulls * 100.0 / n >= 5 THEN 'orange' ELSE 'green' END AS severity
-FROM (SELECT count(*) AS n, {', '.join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in _SRC_COLS['orders'])}
-      FROM {_ORDERS_TS} o) UNPIVOT (nulls FOR "column" IN ({', '.join(_SRC_COLS['orders'])}))) z
-WHERE nulls > 0""")
-def _null_profile(c: Ctx):
-    """Columns of the orders source with nulls, and their share."""
-    return PR.null_profile(c.t.orders, "orders")
+FROM (SELECT count(*) AS n, {', '.join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in cs)}
+      FROM {_src(t)} o) UNPIVOT (nulls FOR "column" IN ({', '.join(cs)})) WHERE nulls > 0"""
 
 
-@register("schema_profile")
-def _schema_profile(c: Ctx):
-    """Column types of the seven sources (metadata)."""
-    return PR.schema_profile(c.t.as_dict())
+@register("null_profile", " UNION ALL ".join(f"SELECT * FROM ({_null_sql(t, cs)}) z" for t, cs in _SRC_COLS.items()))
+def _null_profile(c: Ctx):
+    """Columns with nulls of all seven sources, and their share."""
+    out = None
+    for name, df in c.t.as_dict().items():
+        part = PR.null_profile(df, name)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # =================================================================== risk model
@@ -1075,28 +1103,29 @@ def _top_features(c: Ctx):
 
 @register("chi2_risk_pair")
 def _chi2_risk(c: Ctx):
-    """High vs Low risk on the hold-out rows."""
-    return ST.chi2_risk_pair(R.score_risk(_model(c, "boosted"), _test_rows(c)))
+    """High vs Low risk on all rows, scored by the model of the training split."""
+    return ST.chi2_risk_pair(R.score_risk(_model(c, "boosted"), R.ml_features(c.fact)))
 
 
 @register("attribution")
 def _attribution(c: Ctx):
-    """Exact single-baseline Shapley contributions on the hold-out rows."""
-    return R.attribution(_model(c, "boosted"), _test_rows(c))
+    """Exact single-baseline Shapley contributions of all rows."""
+    return R.attribution(_model(c, "boosted"), R.ml_features(c.fact))
 
 
 @register("attribution_row")
 def _attribution_row(c: Ctx):
-    """Contributions and decoded values of one hold-out order (smallest id)."""
-    test = _test_rows(c)
-    pick = test.agg(F.min("order_id").alias("order_id"))
-    contrib = R.attribution(_model(c, "boosted"), test.join(F.broadcast(pick), "order_id"))
-    return R.attribution_row(contrib, test, pick)
+    """Contributions and decoded values of one order (smallest id), against
+    the baseline of all rows."""
+    rows = R.ml_features(c.fact)
+    pick = rows.agg(F.min("order_id").alias("order_id"))
+    contrib = R.attribution(_model(c, "boosted"), rows.join(pick, "order_id"), R.baseline_row(rows))
+    return R.attribution_row(contrib, rows, pick)
 
 
 @register("attribution_global")
 def _attribution_global(c: Ctx):
-    return R.attribution_global(R.attribution(_model(c, "boosted"), _test_rows(c)))
+    return R.attribution_global(R.attribution(_model(c, "boosted"), R.ml_features(c.fact)))
 
 
 # =================================================================== quality
@@ -1501,14 +1530,14 @@ def _cohort_back(c: Ctx):
     return c.oi.join(first, "seller_id").select("order_id", "seller_id", "cohort")
 
 
-@register("outlier_sellers", f"""
-SELECT order_id, seller_id, {r4('t3_shipping_h', 't3_shipping_h')}, delivery_days
-FROM nb JOIN src_items USING (order_id) WHERE t3_shipping_h > 3000""")
+@register("outlier_sellers", " UNION ALL ".join(f"""
+SELECT order_id, seller_id, '{s}' AS rule, {r4(s, 'hours')}, delivery_days
+FROM nb JOIN src_items USING (order_id) WHERE {s} > {thr}""" for s, thr, _ in _RULES_SQL))
 def _outlier_sellers_rows(c: Ctx):
-    """Shipping outliers joined to their items' sellers."""
-    ext = ST.extreme_rows(c.nb, "t3_shipping_h", 3000.0, ["delivery_days"])
-    return ext.join(c.t.items.select("order_id", "seller_id"), "order_id").select(
-        "order_id", "seller_id", "t3_shipping_h", "delivery_days")
+    """Outliers of every rule joined to their items' sellers."""
+    return ST.rule_rows(c.nb, cols=["delivery_days"]).join(
+        c.t.items.select("order_id", "seller_id"), "order_id").select(
+        "order_id", "seller_id", "rule", "hours", "delivery_days")
 
 
 @register("normalised_counts", f"""

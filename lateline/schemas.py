@@ -42,6 +42,9 @@ SOURCES = {
     "reviews": REVIEWS, "products": PRODUCTS, "cat_trans": CAT_TRANS,
 }
 
+#: Sources whose text fields hold line breaks.
+MULTILINE = {"reviews"}
+
 # ---- published tables (warehouse types)
 FACT_DELIVERIES = _st(
     ("order_id", S, False), ("customer_id", S, True), ("seller_id", S, True), ("product_id", S, True),

@@ -1,13 +1,14 @@
 """SparkSession helpers.
 
 A cluster passes its own settings (checkpoint folder, partitions, memory);
-``get_session`` only fills in what is unset, as needed by tests and the bench.
+``get_session`` only fills in what is unset, whatever the master is.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -22,38 +23,59 @@ _DEFAULTS = {
     # wide single-pass aggregates (all checks of a table, 55 correlations)
     # exceed the default 100-field limit and would lose whole-stage codegen
     "spark.sql.codegen.maxFields": "1000",
-    # checkpoint files of a finished query are removed once unreferenced
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "lateline", extra: dict | None = None) -> SparkSession:
+    """The active session or a new one.  ``master`` and ``extra`` (settings of
+    the JVM among them) are the caller's explicit wishes for a new session;
+    the defaults above are set only where neither the cluster nor the caller
+    has set a value."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(_DEFAULTS)
+    wishes = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("LATELINE_DRIVER_MEMORY", "16g")
-    if master and master.startswith("local"):
-        # Generated code of wide expressions (the adapter's timestamps inlined
-        # into pushed-down filters) exceeds HotSpot's 8000-byte JIT limit and
-        # would run interpreted.  Only for JVMs we launch; clusters set this in
-        # spark.{driver,executor}.extraJavaOptions themselves.
-        conf["spark.driver.extraJavaOptions"] = "-XX:-DontCompileHugeMethods"
-    conf.update(extra or {})
-    for k, v in conf.items():
+        wishes["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in wishes.items():
         builder = builder.config(k, v)
+    if SparkSession.getActiveSession() is None:
+        # static settings cannot follow later; spark-defaults are not known yet
+        for k in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
+            if k not in wishes:
+                builder = builder.config(k, _DEFAULTS[k])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    given = spark.conf.getAll
+    for k, v in _DEFAULTS.items():
+        if k not in given and spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
     # session time zone is semantic (timestamps have no zone); pin it always
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    # the checkpoint folder is resolved where a checkpoint is taken
-    # (lateline.operators.fact, lateline.plans.weekly), not here
+    # the checkpoint folder is resolved where a table is staged, not here
     return spark
 
 
+#: For sessions of one machine that start their own JVM (tests, bench): memory,
+#: and compilation of generated methods above 8000 bytes, which README asks
+#: clusters to set for driver and executors.
+LOCAL_JVM = {
+    "spark.driver.memory": os.environ.get("LATELINE_DRIVER_MEMORY", "16g"),
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
+def staged(df, name: str):
+    """Write a DataFrame as Parquet below the checkpoint folder and read it
+    back: lineage is cut, later readers prune columns and know the size."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder; create a scratch one
     only when the session has none (local tests)."""
@@ -62,9 +84,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext._jsc.sc().isLocal():
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        # local sessions only (tests, bench): a scratch folder of this machine
+        # driver and tasks are one process (tests, bench): a scratch folder of this machine
         configured = tempfile.mkdtemp(prefix="lateline-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

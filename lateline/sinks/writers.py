@@ -5,8 +5,10 @@
 * ``write_snapshot`` / ``write_latest`` -- the extract's versioned lake copy
   (partition ``snapshot_ts``) and its latest copy;
 * ``publish``          -- write every table to a staging folder, then swap
-  folders, so a failed run leaves the previous publication in place (the
-  reference drops tables before inserting);
+  folders and put all of them back if one swap fails, so a failed run leaves
+  the previous publication in place.  Readers may see a mixed set while the
+  folders move; on object stores, where a move is a copy, publish to a run
+  folder and switch table locations instead;
 * ``write_fact``       -- fact partitioned by purchase month and sorted by
   order id inside each file; range partitioning on (month, order_id) keeps
   tasks of even size instead of one task per month;
@@ -43,9 +45,9 @@ def stringify_codes(df: DataFrame) -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, path: str, snapshot_ts: str) -> None:
-    """Append one extract as partition ``snapshot_ts=<yyyyMMdd_HHmmss>``."""
-    (df.withColumn("snapshot_ts", F.lit(snapshot_ts))
-     .write.mode("append").partitionBy("snapshot_ts").parquet(path))
+    """One extract as partition ``snapshot_ts=<yyyyMMdd_HHmmss>``; writing a
+    label again replaces it, so a retried run does not double the data."""
+    df.write.mode("overwrite").parquet(f"{path}/snapshot_ts={snapshot_ts}")
 
 
 def write_latest(df: DataFrame, path: str) -> None:
@@ -68,10 +70,11 @@ def write_table(df: DataFrame, path: str, sort_keys=()) -> Observation:
 
 def write_fact(df: DataFrame, path: str, partitions: int | None = None,
                max_records_per_file: int = 5_000_000) -> Observation:
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # without a count adaptive execution sizes the partitions from the data;
     # observe above the range exchange: its sampling job must not count rows
-    out, obs = counted(df.repartitionByRange(n, "purchase_month", "order_id"), path)
+    keys = ("purchase_month", "order_id")
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    out, obs = counted(ranged, path)
     (out.sortWithinPartitions("purchase_month", "order_id")
      .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("purchase_month").parquet(path))
@@ -101,25 +104,50 @@ def publish(tables: dict[str, DataFrame], out_dir: str, run_id: str,
             obs[name] = write_fact(df, f"{stage}/{name}")
         else:
             obs[name] = write_table(df, f"{stage}/{name}", schemas.SORT_KEYS.get(name, ()))
+    swap_all(spark, list(tables), stage, out_dir)
+    return {k: int(o.get.get("rows", 0)) for k, o in obs.items()}
+
+
+def swap_all(spark: SparkSession, names: list[str], stage: str, out_dir: str) -> None:
+    """Move every staged folder into place; if any move fails, all tables are
+    put back as they were and the failure is raised."""
     fs, _, jvm = _fs(spark, out_dir)
     Path = jvm.org.apache.hadoop.fs.Path
-    for name in tables:
-        final, prev = Path(f"{out_dir}/{name}"), Path(f"{out_dir}/_previous/{name}")
-        if fs.exists(prev):
-            fs.delete(prev, True)
-        fs.mkdirs(Path(f"{out_dir}/_previous"))
-        if fs.exists(final):
-            fs.rename(final, prev)
-        if not fs.rename(Path(f"{stage}/{name}"), final):
-            raise RuntimeError(f"swap failed for {name}")
+    new = {n: Path(f"{stage}/{n}") for n in names}
+    final = {n: Path(f"{out_dir}/{n}") for n in names}
+    prev = {n: Path(f"{out_dir}/_previous/{n}") for n in names}
+    lost = [n for n in names if not fs.exists(new[n])]
+    if lost:
+        raise RuntimeError(f"nothing staged for {lost}")
+
+    def move(a, b):
+        if not fs.rename(a, b):
+            raise RuntimeError(f"move failed: {a} -> {b}")
+
+    fs.mkdirs(Path(f"{out_dir}/_previous"))
+    saved, placed = [], []
+    try:
+        for n in names:
+            if fs.exists(final[n]):
+                if fs.exists(prev[n]):
+                    fs.delete(prev[n], True)
+                move(final[n], prev[n])
+                saved.append(n)
+            move(new[n], final[n])
+            placed.append(n)
+    except Exception:
+        for n in placed:
+            move(final[n], new[n])
+        for n in saved:
+            move(prev[n], final[n])
+        raise
     fs.delete(Path(stage), True)
-    return {k: int(o.get.get("rows", 0)) for k, o in obs.items()}
 
 
 def append_report(results: DataFrame, path: str, week: str, run_ts: str) -> None:
-    """Append the check rows of one run to the report, partitioned by week."""
-    (results.withColumn("run_ts", F.lit(run_ts)).withColumn("week", F.lit(week))
-     .write.mode("append").partitionBy("week").parquet(path))
+    """The check rows of one run in the report, partitioned by week and run;
+    a retried run replaces its own rows."""
+    results.write.mode("overwrite").parquet(f"{path}/week={week}/run_ts={run_ts}")
 
 
 def report_summary(report: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def adapt_items(lineitem: DataFrame) -> DataFrame:
 
 
 def adapt_sellers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    n = F.broadcast(nation.select(F.col("n_nationkey"), F.col("n_name")))
+    n = nation.select(F.col("n_nationkey"), F.col("n_name"))
     return supplier.join(n, supplier.s_nationkey == n.n_nationkey, "left").select(
         F.col("s_suppkey").cast("string").alias("seller_id"),
         (F.lit(10000) + (F.col("s_suppkey") * 7919) % 90000).cast("int").alias("seller_zip_code_prefix"),
@@ -83,7 +83,7 @@ def adapt_sellers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 def adapt_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    n = F.broadcast(nation.select(F.col("n_nationkey"), F.col("n_name")))
+    n = nation.select(F.col("n_nationkey"), F.col("n_name"))
     c = F.col("c_custkey")
     return customer.join(n, customer.c_nationkey == n.n_nationkey, "left").select(
         c.cast("string").alias("customer_id"),

@@ -7,7 +7,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lateline import schemas  # noqa: E402
-from lateline.session import get_session  # noqa: E402
+from lateline.session import LOCAL_JVM, get_session  # noqa: E402
 from lateline.sources.files import Tables  # noqa: E402
 
 SF0001 = "/root/testdata/sf0.001"
@@ -16,7 +16,7 @@ SF001 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[*]", 8)
+    s = get_session("local[*]", 8, extra=LOCAL_JVM)
     yield s
 
 

@@ -65,3 +65,40 @@ def test_extract_then_replay(spark):
     assert r.orders.count() == t.orders.count()
     assert spark.read.parquet(f"{d}/lake/orders").select("snapshot_ts").distinct().count() == 2
     assert spark.read.parquet(f"{d}/raw/orders").count() == t.orders.count()
+
+
+def test_retried_snapshot_and_report_do_not_double(spark):
+    from lateline.sources import read_snapshot
+    d = tempfile.mkdtemp(prefix="retry-", dir="/tmp")
+    for _ in range(2):
+        W.write_snapshot(spark.range(10).toDF("x"), f"{d}/orders", "20260101_000000")
+        W.append_report(spark.createDataFrame([("c", "PASS")], "check string, status string"), f"{d}/r", "2026-W20", "run1")
+    W.append_report(spark.createDataFrame([("c", "FAIL")], "check string, status string"), f"{d}/r", "2026-W20", "run2")
+    assert read_snapshot(spark, f"{d}/orders").count() == 10
+    s = W.report_summary(spark.read.parquet(f"{d}/r")).collect()
+    assert [(r.run_ts, r.total, r.failed) for r in s] == [("run1", 1, 0), ("run2", 1, 1)]
+
+
+def test_failed_swap_puts_all_tables_back(spark, monkeypatch):
+    d = tempfile.mkdtemp(prefix="swap-", dir="/tmp")
+    old = {n: spark.range(1).toDF("x") for n in ("a", "b", "c")}
+    W.publish(old, d, "r1")
+    real_fs = W._fs
+
+    class Flaky:
+        """A file system whose move of the second staged table fails."""
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, k):
+            return getattr(self.fs, k)
+
+        def rename(self, a, b):
+            if str(a.toString()).endswith("_staging/r2/b"):
+                return False
+            return self.fs.rename(a, b)
+
+    monkeypatch.setattr(W, "_fs", lambda s, p: (Flaky(real_fs(s, p)[0]), *real_fs(s, p)[1:]))
+    with pytest.raises(RuntimeError):
+        W.publish({n: spark.range(5).toDF("x") for n in ("a", "b", "c")}, d, "r2")
+    assert [spark.read.parquet(f"{d}/{n}").count() for n in ("a", "b", "c")] == [1, 1, 1]

@@ -48,3 +48,27 @@ def test_unparsable_timestamp_fails(spark):
         fh.write("o1,c1,delivered,not-a-time,,,,\n")
     with pytest.raises(Exception):
         scan_csv(spark, f"{d}/o.csv", schemas.ORDERS).collect()
+
+
+def _file(text):
+    d = tempfile.mkdtemp(prefix="csvnames-", dir="/tmp")
+    with open(f"{d}/f.csv", "w") as fh:
+        fh.write(text)
+    return f"{d}/f.csv"
+
+
+def test_csv_columns_are_taken_by_name(spark):
+    """Wider files, other column order, quoted line breaks where a source has them."""
+    p = _file('review_id,order_id,review_comment_message,review_score,extra\n'
+              'r1,o1,"two\nlines, one ""quote""",5,x\nr2,o2,,,y\n')
+    got = scan_csv(spark, p, schemas.REVIEWS, multiline=True).orderBy("order_id").collect()
+    assert [tuple(r) for r in got] == [("o1", 5), ("o2", None)]
+    p = _file("product_width_cm,product_id,product_photos_qty,product_category_name,product_length_cm,"
+              "product_height_cm,product_weight_g\n1.5,p1,3,cat,2,3,400\n")
+    r = scan_csv(spark, p, schemas.PRODUCTS).first()
+    assert (r.product_id, r.product_width_cm, r.product_weight_g) == ("p1", 1.5, 400.0)
+
+
+def test_csv_missing_column_is_an_error(spark):
+    with pytest.raises(ValueError, match="review_score"):
+        scan_csv(spark, _file("order_id,review_id\no1,r1\n"), schemas.REVIEWS)
