@@ -12,11 +12,14 @@ in that order must share something:
   one more than the tokens that a linked set may miss.
 
 Pairs with a common signature are verified on the whole sets.  Documents with
-equal sets are one class throughout.  Within a signature's bucket, one leader
-is compared with all others first; only members that are then still in
-different components are compared further, and in the end all of these are.
-So a large group of near copies costs a multiple of its size, and no link that
-could join two components is left out.
+equal sets are one class throughout.  Within a signature's bucket one leader,
+the member with the fewest rare tokens (in a group of near copies that is the
+text they come from), is compared with all others first; only members that are
+then still in different components are compared further, and in the end all of
+these are.  Sets that share rare tokens also meet in those tokens' buckets, so
+where frequent ones meet a pair needs comparing only if the frequent tokens
+alone could make a link.  So a large group of near copies costs a multiple of
+its size, and no link that could join two components is left out.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ CLASS_TOKENS = 4
 #: Sets below this size take frequent tokens singly.
 SMALL_SET = 16
 #: Rounds in which each bucket's leader meets the other components of it.
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 1
 
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -97,6 +100,13 @@ def missing(n, percent: int):
     return n - (percent * n + 99) // 100
 
 
+def listed(n, percent: int):
+    """Hashes of a set that are kept at hand: the first prefix, and some more
+    so that a few frequent tokens among them can be passed over."""
+    need = missing(n, percent) + 1
+    return need + need // 3 + 6
+
+
 def bands(percent: int, largest: float = 1e10) -> np.ndarray:
     """Lower ends of size bands; linked sets lie in one band or in neighbours."""
     out, r = [1.0], 100.0 / percent * 1.0001
@@ -105,16 +115,20 @@ def bands(percent: int, largest: float = 1e10) -> np.ndarray:
     return np.array(out)
 
 
-def signatures(h: np.ndarray, frequent: np.ndarray, percent: int, edges: np.ndarray) -> np.ndarray:
-    """Signatures of a set of sorted hashes, given the sorted frequent ones."""
-    n = len(h)
+def signatures(h: np.ndarray, n: int, frequent: np.ndarray, percent: int, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """Rare tokens that are signatures, signatures of frequent ones, and the
+    number of frequent tokens, for a set of n of which ``h`` holds the smallest
+    hashes; None if the set's other hashes are needed."""
     need = missing(n, percent) + 1
     at = np.searchsorted(frequent, h)
-    is_frequent = frequent[np.minimum(at, len(frequent) - 1)] == h if len(frequent) else np.zeros(n, bool)
+    is_frequent = frequent[np.minimum(at, len(frequent) - 1)] == h if len(frequent) else np.zeros(len(h), bool)
     rare = h[~is_frequent]
+    none = np.zeros(0, np.uint64)
     if len(rare) >= need:
-        return rare[:need]
-    out, freq, need = [rare], h[is_frequent], need - len(rare)
+        return rare[:need], none, 0
+    if len(h) < n:
+        return None
+    out, freq, need = [], h[is_frequent], need - len(rare)
     band = int(np.searchsorted(edges, n, side="right")) - 1
     for scheme in (band, band + 1):
         seed = seed64(scheme + 1)
@@ -137,7 +151,7 @@ def signatures(h: np.ndarray, frequent: np.ndarray, percent: int, edges: np.ndar
                 break
             out.append(mix64(mix64(tok[:-gap][same] + seed) ^ tok[gap:][same]))
             gap += 1
-    return np.concatenate(out)
+    return rare, np.unique(np.concatenate(out)), len(freq)
 
 
 def _signed(a: np.ndarray) -> pa.Array:
@@ -165,7 +179,7 @@ def sets(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> DataF
                 n = len(h)
                 ns.append(n)
                 cls.append(np.uint64(xxhash.xxh3_64_intdigest(h.tobytes())).astype(np.int64).item() if n else None)
-                prefix.append(h[:missing(n, percent) + 1])
+                prefix.append(h[:listed(n, percent)])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(ns, pa.int64()), pa.array(cls, pa.int64()), _lists(prefix),
                  pa.array(range(uid, uid + len(ns)), pa.int64())],
@@ -183,21 +197,38 @@ def _pick(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame
     return src.join(keys, src["doc_id"].eqNullSafe(keys["doc_id"]) & (src["text_hash"] == keys["text_hash"])).select("cls", "text")
 
 
-def _texts_to_hashes(rows: DataFrame, k: int, percent: int, frequent=None) -> DataFrame:
-    """``(cls, text)`` -> ``(cls, n, hashes)``: the set or, given the frequent
-    tokens, its signatures."""
+def _whole_sets(rows: DataFrame, k: int) -> DataFrame:
+    """``(cls, text)`` -> ``(cls, n, hashes)``, one row for each class."""
 
     def run(batches):
-        shingler, edges = Shingler(k), bands(percent)
+        shingler = Shingler(k)
         for b in batches:
-            ns, out = [], []
-            for x in b.column(1):
-                h = shingler.tokens(x.as_py())
-                ns.append(len(h))
-                out.append(h if frequent is None else np.unique(signatures(h, frequent.value, percent, edges)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ns, pa.int64()), _lists(out)], names=["cls", "n", "hashes"])
+            out = [shingler.tokens(x.as_py()) for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(h) for h in out], pa.int64()), _lists(out)], names=["cls", "n", "hashes"])
+
+    return rows.mapInArrow(run, "cls long, n long, hashes array<long>").dropDuplicates(["cls"])
+
+
+def _signature_rows(sets_: DataFrame, percent: int, frequent) -> DataFrame:
+    """``(cls, n, hashes)`` -> ``(cls, n, f, rare, combined)``; ``rare`` is null
+    where the whole set is needed and not at hand."""
+
+    def run(batches):
+        edges, none = bands(percent), np.zeros(0, np.uint64)
+        for b in batches:
+            f, rare, combined, ok = [], [], [], []
+            for n, x in zip(b.column(1).to_pylist(), b.column(2), strict=True):
+                got = signatures(x.values.to_numpy().view(np.uint64), n, frequent.value, percent, edges)
+                ok.append(got is not None)
+                r, c, count = got or (none, none, 0)
+                f.append(count)
+                rare.append(r)
+                combined.append(c)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(f, pa.int64()), pa.array(ok, pa.bool_()), _lists(rare), _lists(combined)],
+                names=["cls", "n", "f", "ok", "rare", "combined"])
 
-    return rows.mapInArrow(run, "cls long, n long, hashes array<long>")
+    return sets_.mapInArrow(run, "cls long, n long, f long, ok boolean, rare array<long>, combined array<long>")
 
 
 def _fits(small: str, large: str, percent: int):
@@ -214,27 +245,27 @@ def links(stage: Stage, docs: DataFrame, found: DataFrame, doc_id: str, text: st
     reps = stage.save(found.join(first.select("uid"), "uid", "left_semi")
                       .select("doc_id", "text_hash", "cls", "n", "prefix"), "classes")
     # frequent tokens of the first prefixes
-    tokens = reps.select("cls", "n", F.explode("prefix").alias("sig"))
+    tokens = reps.select(F.explode("prefix").alias("sig"))
     counts = stage.save(tokens.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1"), "shared")
     total = reps.agg(F.sum(F.size("prefix"))).first()[0] or 0
     limit = max(FREQUENT, -(-total // MAX_FREQUENT_TOKENS))
-    often = counts.where(F.col("c") > limit).select("sig")
-    flat = often.toArrow().column("sig").to_numpy().view(np.uint64)
-    frequent = spark.sparkContext.broadcast(np.sort(flat))
-    shared = tokens.join(counts, "sig")
-    if len(flat):
-        touched = stage.save(shared.where(F.col("c") > limit).select("cls").distinct(), "touched")
-        keys = reps.join(touched, "cls", "left_semi")
-        again = _texts_to_hashes(_pick(docs, keys, doc_id, text), k, percent, frequent).dropDuplicates(["cls"])
-        again = stage.save(again, "combinations").select("cls", "n", F.explode("hashes").alias("sig"))
-        kept = tokens.join(touched, "cls", "left_anti").select("cls", "n", "sig")
-        sigs = kept.union(again)
-        # signatures of one class alone lead nowhere
-        many = sigs.groupBy("sig").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("sig")
-        buckets = sigs.join(many, "sig").distinct()
-    else:
-        buckets = shared.select("cls", "n", "sig")
-    buckets = stage.save(buckets.select("sig", "cls", "n"), "buckets")
+    often = counts.where(F.col("c") > limit).select("sig").toArrow().column("sig")
+    frequent = spark.sparkContext.broadcast(np.sort(often.to_numpy().view(np.uint64)))
+    at_hand = stage.save(_signature_rows(reps.select("cls", "n", F.col("prefix").alias("hashes")), percent, frequent), "signatures")
+    keys = reps.join(at_hand.where("not ok").select("cls"), "cls", "left_semi")
+    more = stage.save(_signature_rows(_whole_sets(_pick(docs, stage.save(keys.select("doc_id", "text_hash", "cls"), "keys"),
+                                                        doc_id, text), k), percent, frequent), "combinations")
+    sigs = at_hand.where("ok").union(more)
+    # a rare token of one listed prefix leads nowhere unless a whole set holds it
+    # too; nor does a signature of one class.  f: tokens that could be common
+    # where sets meet
+    elsewhere = counts.select("sig").union(more.select(F.explode("rare").alias("sig"))).distinct()
+    rare = (sigs.select("cls", "n", F.col("n").alias("f"), F.explode("rare").alias("sig"))
+            .join(elsewhere, "sig").select("sig", "cls", "n", "f"))
+    combined = sigs.select(F.explode("combined").alias("sig"), "cls", "n", "f")
+    buckets = stage.save(rare.union(combined), "met")
+    many = buckets.groupBy("sig").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("sig")
+    buckets = stage.save(buckets.join(many, "sig"), "buckets")
 
     comp, done, whole, good = None, None, None, None
     for turn in range(LEADER_ROUNDS + 1):
@@ -246,17 +277,22 @@ def links(stage: Stage, docs: DataFrame, found: DataFrame, doc_id: str, text: st
         else:
             b = b.withColumn("comp", F.col("cls"))
         if turn < LEADER_ROUNDS:
-            lead = b.groupBy("sig").agg(F.min(F.struct(F.xxhash64(F.col("cls"), F.lit(turn)).alias("h"), F.col("cls").alias("c"),
-                                                       F.col("n").alias("m"), F.col("comp").alias("p"))).alias("l"))
-            pairs = b.join(lead, "sig").where("comp <> l.p").select(
-                F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("l.c").alias("y"), F.col("l.m").alias("ny"))
+            lead = b.groupBy("sig").agg(F.min(F.struct(
+                (F.col("n") - F.col("f")).alias("rare"), F.xxhash64(F.col("cls"), F.lit(turn)).alias("h"), F.col("cls").alias("y"),
+                F.col("n").alias("ny"), F.col("f").alias("fy"), F.col("comp").alias("p"))).alias("l")).select("sig", "l.*")
+            rest = lead.select("sig", "y", "ny", "fy", "p")
         else:
             # what is left of a bucket: every member outside its largest component with all others
             main = (b.groupBy("sig", "comp").agg(F.count("*").alias("size"))
                     .groupBy("sig").agg(F.max(F.struct("size", "comp"))["comp"].alias("main")))
             rest = b.join(main, "sig").where("comp <> main").select(
-                "sig", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("p"))
-            pairs = b.join(rest, "sig").where("comp <> p").select(F.col("cls").alias("x"), F.col("n").alias("nx"), "y", "ny")
+                "sig", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("f").alias("fy"), F.col("comp").alias("p"))
+            # a member that no other set could link to by its frequent tokens has no use here
+            rest = rest.where(F.lit(100) * F.col("fy") >= F.lit(percent) * F.col("ny"))
+        both = F.least("f", "fy")
+        enough = 100 * both >= percent * (F.col("n") + F.col("ny") - both)
+        pairs = (b.join(rest, "sig").where((F.col("comp") != F.col("p")) & enough)
+                 .select(F.col("cls").alias("x"), F.col("n").alias("nx"), "y", "ny"))
         pairs = pairs.where(_fits("nx", "ny", percent)).select(
             F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         if done is not None:
@@ -297,8 +333,7 @@ def verify(stage: Stage, docs: DataFrame, reps: DataFrame, pairs: DataFrame, who
     if whole is not None:
         wanted = wanted.join(whole.select("cls"), "cls", "left_anti")
     keys = stage.save(reps.join(wanted, "cls", "left_semi").select("doc_id", "text_hash", "cls"), "wanted")
-    more = _texts_to_hashes(_pick(docs, keys, doc_id, text), k, percent).dropDuplicates(["cls"])
-    more = stage.save(more, "sets")
+    more = stage.save(_whole_sets(_pick(docs, keys, doc_id, text), k), "sets")
     whole = more if whole is None else whole.union(more)
     s = whole.select(F.col("cls").alias("x"), F.col("hashes").alias("hx"))
     t = whole.select(F.col("cls").alias("y"), F.col("hashes").alias("hy"))
