@@ -19,6 +19,14 @@ from lateline.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def text_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Whole texts go to Python in small batches, so that a worker and its
+    buffers stay small; a value that the session has set stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(rows))
+
+
 class Stage:
     """A fresh folder in the shared checkpoint folder; ``save`` writes a
     DataFrame there and returns the re-read table.  Like checkpoint files, the
@@ -27,6 +35,7 @@ class Stage:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
+        text_batches(spark)
         self.root = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
         self._n = 0
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lateline.llm.common import Stage, bounded_sample
+from lateline.llm.common import Stage, bounded_sample, text_batches
 
 UNKNOWN = "und"
 #: Runs of letters (and the few other marks that \w takes beside digits and _).
@@ -102,7 +102,7 @@ class Scorer:
     """Scores texts with a model; keeps the scores of unknown words it has met
     (a bounded cache: it is emptied when full)."""
 
-    def __init__(self, model: LangModel, cache: int = 200_000):
+    def __init__(self, model: LangModel, cache: int = 100_000):
         self.m, self.cache = model, cache
         self.table = np.vstack([model.table, np.zeros((cache, len(model.langs)))]) if model.langs else None
         self.reset()
@@ -173,6 +173,7 @@ def identify(docs: DataFrame, model: LangModel, *, text: str = "text", pred: str
     is scored on its whole text, whatever else the table holds.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     keep = [c for c in docs.columns if c not in (pred, score)]
     src = docs.select(*[F.col(f"`{c}`") for c in keep])

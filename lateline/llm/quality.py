@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lateline.llm.common import bounded_sample
+from lateline.llm.common import bounded_sample, text_batches
 
 #: Character n-grams of a word, its marks < and > included.
 ORDERS = (2, 3)
@@ -191,6 +191,7 @@ def classify(docs: DataFrame, model: QualityModel | None, *, text: str = "text",
     feature, get the share of label 1 in training; without a model every score
     is 0.5.  Every row is scored on its whole text.
     """
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = [c for c in docs.columns if c not in (score, pred)]
     src = docs.select(*[F.col(f"`{c}`") for c in keep])

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lateline.llm.common import text_batches
+
 #: Fixed values of the contract: the kinds in their order, and their patterns.
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -93,6 +95,7 @@ def scan(docs: DataFrame, *, text: str = "text", out: str = "secrets", vocabular
     empty texts have no span.  ``vocabulary`` is a tiktoken rank file that
     every executor can read by this path.
     """
+    text_batches(docs.sparkSession)
     path = vocabulary or default_vocabulary()
     keep = [c for c in docs.columns if c != out]
     src = docs.select(*[F.col(f"`{c}`") for c in keep])
