@@ -236,6 +236,10 @@ def _fits(small: str, large: str, percent: int):
     return (F.lit(100) * F.least(small, large)) >= (F.lit(percent) * F.greatest(small, large))
 
 
+def _column(rows: DataFrame) -> np.ndarray:
+    return rows.select("sig").toArrow().column("sig").to_numpy().view(np.uint64)
+
+
 def links(stage: Stage, docs: DataFrame, found: DataFrame, doc_id: str, text: str, k: int, percent: int) -> DataFrame | None:
     """Components of the classes: ``(cls, comp)`` for linked ones; None if no
     two classes have a signature in common."""
@@ -249,13 +253,29 @@ def links(stage: Stage, docs: DataFrame, found: DataFrame, doc_id: str, text: st
     counts = stage.save(tokens.groupBy("sig").agg(F.count("*").alias("c")).where("c > 1"), "shared")
     total = reps.agg(F.sum(F.size("prefix"))).first()[0] or 0
     limit = max(FREQUENT, -(-total // MAX_FREQUENT_TOKENS))
-    often = counts.where(F.col("c") > limit).select("sig").toArrow().column("sig")
-    frequent = spark.sparkContext.broadcast(np.sort(often.to_numpy().view(np.uint64)))
-    at_hand = stage.save(_signature_rows(reps.select("cls", "n", F.col("prefix").alias("hashes")), percent, frequent), "signatures")
-    keys = reps.join(at_hand.where("not ok").select("cls"), "cls", "left_semi")
-    more = stage.save(_signature_rows(_whole_sets(_pick(docs, stage.save(keys.select("doc_id", "text_hash", "cls"), "keys"),
-                                                        doc_id, text), k), percent, frequent), "combinations")
-    sigs = at_hand.where("ok").union(more)
+    often = _column(counts.where(F.col("c") > limit))
+    lists = reps.select("cls", "n", F.col("prefix").alias("hashes"))
+
+    def at_hand(frequent):
+        return stage.save(_signature_rows(lists, percent, spark.sparkContext.broadcast(frequent)), "signatures")
+
+    def whole_of(cls):
+        keys = stage.save(reps.join(cls, "cls", "left_semi").select("doc_id", "text_hash", "cls"), "keys")
+        return stage.save(_whole_sets(_pick(docs, keys, doc_id, text), k), "whole")
+
+    # sets with many frequent tokens share others too, which no list shows: the
+    # frequent tokens are counted over these sets in full as well
+    some = whole_of(at_hand(np.sort(often)).where("not ok").select("cls"))
+    inside = some.select(F.explode("hashes").alias("sig")).groupBy("sig").agg(F.count("*").alias("c"))
+    total = some.agg(F.sum("n")).first()[0] or 0
+    often = np.union1d(often, _column(inside.where(F.col("c") > max(limit, -(-total // MAX_FREQUENT_TOKENS)))))
+    # from here on the frequent tokens are fixed
+    listed_sigs = at_hand(often)
+    rest = listed_sigs.where("not ok").select("cls")
+    whole = some.union(whole_of(rest.join(some.select("cls"), "cls", "left_anti")))
+    more = stage.save(_signature_rows(whole.join(rest, "cls", "left_semi").select("cls", "n", "hashes"), percent,
+                                      spark.sparkContext.broadcast(often)), "combinations")
+    sigs = listed_sigs.where("ok").union(more)
     # a rare token of one listed prefix leads nowhere unless a whole set holds it
     # too; nor does a signature of one class.  f: tokens that could be common
     # where sets meet
@@ -267,7 +287,7 @@ def links(stage: Stage, docs: DataFrame, found: DataFrame, doc_id: str, text: st
     many = buckets.groupBy("sig").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("sig")
     buckets = stage.save(buckets.join(many, "sig"), "buckets")
 
-    comp, done, whole, good = None, None, None, None
+    comp, done, good = None, None, None
     for turn in range(LEADER_ROUNDS + 1):
         b = buckets
         if comp is not None:
