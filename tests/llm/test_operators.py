@@ -436,3 +436,9 @@ def test_op10_digest(spark, docs, texts):
         line = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in base)
         assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == j for _, k, _ in base) for j in range(3))
+
+
+def test_op1_repetitive_texts_stay_small():
+    tokens = np.tile(np.arange(3, dtype=np.uint64), 20_000)
+    got = substring.joined_signatures([tokens], substring.least_tokens())
+    assert 0 < len(got[0][0]) < 20_000
