@@ -66,7 +66,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Distinct shingles of a text as sorted 64-bit hashes."""
 
-    def __init__(self, k: int, cache: int = 300_000):
+    def __init__(self, k: int, cache: int = 100_000):
         self.k, self.cache, self.seen = k, cache, {}
 
     def words(self, text: str | None) -> np.ndarray:
