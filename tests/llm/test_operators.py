@@ -442,3 +442,30 @@ def test_op1_repetitive_texts_stay_small():
     tokens = np.tile(np.arange(3, dtype=np.uint64), 20_000)
     got = substring.joined_signatures([tokens], substring.least_tokens())
     assert 0 < len(got[0][0]) < 20_000
+
+
+def test_op8_learns_from_whole_texts_in_a_number_that_grows(spark, monkeypatch):
+    # the tails come after 4,000 words; half of the texts have the word "zebra" there
+    d = spark.createDataFrame([(i, "one two " * 2_500 + ("zebra crossing " if i % 2 else "quiet lane ") * 200) for i in range(40)], "doc_id long, text string")
+    path = lm.default_vocabulary()
+    ids = lm.Ids(path)
+    counts, _, _, _ = lm.count_company(lm.count_pairs(d, "text", path))
+    want = Counter(i for r in d.collect() for i in [*ids.stream(lm.lower_words(r.text)).tolist(), lm.END])
+    assert {i: int(c) for i, c in enumerate(counts) if c} == want
+    zebra = set(ids.stream([b"zebra"]).tolist())
+    sizes = []
+    for rows in (d.where("doc_id < 10"), d):
+        w = lm.as_windows(lm.draw_windows(rows, "text", "doc_id", path, 1 / 50).toArrow().column("ids"))
+        sizes.append(len(w))
+        assert zebra & set(w.ravel().tolist())
+    assert 3.5 < sizes[1] / sizes[0] < 4.5
+    # more windows than the driver takes: the tasks go on from its model, and get better
+    monkeypatch.setattr(lm, "HEAD_WINDOWS", 500)
+    monkeypatch.setattr(lm, "WORDS_PER", 50)
+    monkeypatch.setattr(lm, "TASK_WINDOWS", 1_000)
+    texts = [ids.stream(lm.lower_words(r.text)) for r in d.limit(4).collect()]
+    stage = lm.Stage(spark)
+    n = d.count() * 5_401
+    more = lm.fit(stage, d, "text", "doc_id", path, n, steps=30)
+    monkeypatch.setattr(lm, "TURNS", 0)
+    assert lm.score_streams(more, texts).sum() > lm.score_streams(lm.fit(stage, d, "text", "doc_id", path, n, steps=30), texts).sum()
