@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lateline.llm import embeddings, jaccard, langid, lm, mix, packing, quality, queries, rules, secrets, substring
 from lateline.llm.common import fold
@@ -469,3 +470,30 @@ def test_op8_learns_from_whole_texts_in_a_number_that_grows(spark, monkeypatch):
     more = lm.fit(stage, d, "text", "doc_id", path, n, steps=30)
     monkeypatch.setattr(lm, "TURNS", 0)
     assert lm.score_streams(more, texts).sum() > lm.score_streams(lm.fit(stage, d, "text", "doc_id", path, n, steps=30), texts).sum()
+
+
+def test_op1_near_copies_beside_a_large_group_are_found(spark, monkeypatch):
+    # one bucket for all: a large group of copies, and pairs of near copies (no equal
+    # run of 50 words) that leaders from the large group have nothing to do with
+    rng = np.random.default_rng(3)
+    words = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
+    big = words(80)
+    texts = [" ".join([*big, *words(5)]) for _ in range(40)]
+    for _ in range(6):
+        one = words(90)
+        two = list(one)
+        two[45] = "changed"
+        texts += [" ".join(one), " ".join(two)]
+    monkeypatch.setattr(substring, "FAIR", 2.0, raising=False)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def _rows(docs, doc_id, text, least):
+        rs = docs.select(doc_id, F.xxhash64(text), text).collect()
+        t = [substring.ordered_tokens(substring.Shingler(substring.SHINGLE), r[2]) for r in rs]
+        return spark.createDataFrame([(r[0], r[1], i, len(x) + 4, [(7, len(x) // 2)])
+                                      for i, (r, x) in enumerate(zip(rs, t, strict=True))],
+                                     "doc_id long, text_hash long, uid long, words int, sigs array<struct<sig:long,pos:int>>")
+
+    monkeypatch.setattr(substring, "_rows", _rows)
+    got = {r.doc_id for r in substring.repeated_passages(d).collect()}
+    assert got == set(range(52))
