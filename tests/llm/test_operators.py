@@ -497,3 +497,19 @@ def test_op1_near_copies_beside_a_large_group_are_found(spark, monkeypatch):
     monkeypatch.setattr(substring, "_rows", _rows)
     got = {r.doc_id for r in substring.repeated_passages(d).collect()}
     assert got == set(range(52))
+
+
+@pytest.mark.parametrize("words", [50, 60])
+def test_op1_near_passages_share_a_signature(words):
+    # one changed word in the middle: similarity 0.804 and 0.836
+    rng = np.random.default_rng(5)
+    hit = 0
+    for _ in range(300):
+        a = rng.integers(0, 1 << 63, words - 4, dtype=np.uint64)
+        b = a.copy()
+        b[words // 2 - 4:words // 2 + 1] = rng.integers(0, 1 << 63, 5, dtype=np.uint64)
+        around = rng.integers(0, 1 << 63, (4, 60), dtype=np.uint64)
+        (s, _), (t, _) = substring.joined_signatures(
+            [np.concatenate([around[0], a, around[1]]), np.concatenate([around[2], b, around[3]])], substring.least_tokens())
+        hit += bool(set(s.tolist()) & set(t.tolist()))
+    assert hit >= 0.98 * 300
