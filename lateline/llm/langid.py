@@ -25,7 +25,7 @@ _RUNS = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class LangModel:
-    """Tables of a fitted model; bounded by ``max_words`` and ``max_grams``."""
+    """Tables of a fitted model: all words and n-grams of the rows it learned from."""
 
     langs: tuple[str, ...]
     log_prior: np.ndarray          # per language
@@ -36,14 +36,12 @@ class LangModel:
 
 
 def fit(docs: DataFrame, *, label: str = "lang", text: str = "text", key: str = "doc_id",
-        max_docs: int = 10_000, max_words: int = 60_000, max_grams: int = 60_000,
-        max_order: int = 5, alpha: float = 0.5) -> LangModel:
+        max_docs: int = 10_000, max_order: int = 5, alpha: float = 0.5) -> LangModel:
     """Learn from the rows of ``docs`` with a label and a text.
 
     At most about ``max_docs`` rows are learned from, picked by a hash of
-    ``key``.  Words and n-grams are counted by Spark per language; the most
-    frequent ``max_words`` and ``max_grams`` are the model.  No usable row
-    gives a model without languages.
+    ``key``.  Words and n-grams are counted by Spark per language; all of them
+    are the model.  No usable row gives a model without languages.
     """
     spark = docs.sparkSession
     stage = Stage(spark)
@@ -57,34 +55,32 @@ def fit(docs: DataFrame, *, label: str = "lang", text: str = "text", key: str =
     if not langs:
         return LangModel((), np.zeros(0), {}, {}, np.zeros((0, 0)), max_order)
     padded = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
+    # a lambda with a second parameter would get the index there
+    part = lambda k: lambda i: F.substring(padded, i, F.lit(k))
     grams = None
     for k in range(1, max_order + 1):
         g = counts.where(F.length("word") + 2 >= k).select("lang", "n", F.explode(F.transform(
-            F.sequence(F.lit(1), F.length("word") + 3 - k), lambda i, k=k: F.substring(padded, i, F.lit(k)))).alias("gram"))
+            F.sequence(F.lit(1), F.length("word") + 3 - k), part(k))).alias("gram"))
         grams = g if grams is None else grams.union(g)
     grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     grams = stage.save(grams, "grams")
     at = {x: i for i, x in enumerate(langs)}
 
-    def top(df: DataFrame, col: str, limit: int) -> tuple[dict[str, int], np.ndarray]:
-        """The most frequent keys with their counts per language: all that
-        occur more often than the rank ``limit`` does, so at most ``limit``."""
-        total = stage.save(df.groupBy(col).agg(F.sum("n").alias("t"), F.collect_list(F.struct("lang", "n")).alias("by")), f"top-{col}")
-        have, least = 0, 0
-        for r in total.groupBy("t").agg(F.count("*").alias("keys")).orderBy(F.desc("t")).toArrow().to_pylist():
-            have += r["keys"]
-            if have > limit:
-                break
-            least = r["t"]
-        best = total.where(F.col("t") >= (least or 1 << 62)).orderBy(F.desc("t"), col).toArrow().to_pylist()
-        m = np.zeros((len(best), len(langs)))
-        for i, r in enumerate(best):
-            for x in r["by"]:
-                m[i, at[x["lang"]]] = x["n"]
-        return {r[col]: i for i, r in enumerate(best)}, m
-
-    words, wm = top(counts, "word", max_words)
-    gram_ids, gm = top(grams, "gram", max_grams)
+    def table(df: DataFrame, col: str) -> tuple[dict[str, int], np.ndarray]:
+        """All keys, the most frequent first, with their counts per language."""
+        got = df.select("lang", col, "n").toArrow()
+        keys, by = (got.column(c).combine_chunks().dictionary_encode() for c in (col, "lang"))
+        m = np.zeros((len(keys.dictionary), len(langs)))
+        lang = np.array([at[x] for x in by.dictionary.to_pylist()], np.int64)
+        if len(got):
+            np.add.at(m, (keys.indices.to_numpy(), lang[by.indices.to_numpy()]), got.column("n").to_numpy())
+        names = keys.dictionary.to_pylist()
+        totals = m.sum(1)
+        order = sorted(range(len(names)), key=lambda i: (-totals[i], names[i]))
+        return {names[i]: k for k, i in enumerate(order)}, m[order]
+
+    words, wm = table(counts, "word")
+    gram_ids, gm = table(grams, "gram")
     total = np.maximum(1.0, wm.sum(0))
     wl = np.log((wm + alpha) / (total + alpha * (len(words) + 1)))
     gl = np.zeros_like(gm)

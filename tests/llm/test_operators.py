@@ -513,3 +513,13 @@ def test_op1_near_passages_share_a_signature(words):
             [np.concatenate([around[0], a, around[1]]), np.concatenate([around[2], b, around[3]])], substring.least_tokens())
         hit += bool(set(s.tolist()) & set(t.tolist()))
     assert hit >= 0.98 * 300
+
+
+def test_op4_knows_the_rare_words_of_a_small_language(spark):
+    # 70,000 words of a hot language occur twice, those of the small one once
+    hot = " ".join("".join("abcdefghij"[int(c)] for c in f"{i:05d}") for i in range(70_000))
+    d = spark.createDataFrame([(1, hot + " " + hot, "en"), (2, "zwölf boxkämpfer jagen viktor", "de")], "doc_id long, text string, lang string")
+    m = langid.fit(d)
+    assert len(m.words) == 70_004 and {"zwölf", "boxkämpfer", "jagen", "viktor"} <= set(m.words)
+    assert {"^zwöl", "pfer$"} <= set(m.grams)
+    assert langid.Scorer(m).score("viktor jagen")[0] == "de"
