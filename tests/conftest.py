@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -6,30 +5,10 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from lateline import schemas  # noqa: E402
 from lateline.session import LOCAL_JVM, get_session  # noqa: E402
-from lateline.sources.files import Tables  # noqa: E402
-
-SF0001 = "/root/testdata/sf0.001"
-SF001 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("local[*]", 8, extra=LOCAL_JVM)
     yield s
-
-
-def ts(s):
-    return None if s is None else dt.datetime.strptime(s, "%Y-%m-%d %H:%M")
-
-
-def order(oid, purchase, approved, carrier, delivered, estimate, customer="c1", status="delivered"):
-    return (oid, customer, status, ts(purchase), ts(approved), ts(carrier), ts(delivered), ts(estimate))
-
-
-def make_tables(spark, orders, items=(), sellers=(), customers=(), reviews=(), products=(), cat_trans=()):
-    S = schemas.SOURCES
-    return Tables(**{k: spark.createDataFrame(list(v), S[k]) for k, v in dict(
-        orders=orders, items=items, sellers=sellers, customers=customers, reviews=reviews,
-        products=products, cat_trans=cat_trans).items()})

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lateline.config import DEFAULT_CONFIG
 from lateline.operators import fact as FT, marts
 
-from conftest import make_tables, order
+from fulfilment_fixtures import make_tables, order
 
 SELLERS = [("A", 10000, "x", "SP"), ("B", 10001, "y", "RJ")]
 CUSTOMERS = [("c1", "u1", 20000, "z", "SP")]

@@ -7,7 +7,7 @@ from lateline.config import SYNTHETIC_CONFIG as CFG
 from lateline.operators import enrich, fact as FT
 from lateline.sources import synthetic_tables
 
-from conftest import SF001
+from fulfilment_fixtures import SF001
 
 
 def test_adapter_goldens_sf001(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
-from conftest import SF0001
+from fulfilment_fixtures import SF0001
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SF0001
+from fulfilment_fixtures import SF0001
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 FAST = ["late_by_state", "fact_deliveries", "agg_seller_performance", "agg_regional_stats",

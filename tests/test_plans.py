@@ -8,7 +8,7 @@ from lateline.operators import enrich, fact as FT, marts, quality as Q
 from lateline.sources import synthetic_tables
 from lateline.sources.files import scan_parquet
 
-from conftest import SF0001
+from fulfilment_fixtures import SF0001
 
 
 def _plan(df) -> str:

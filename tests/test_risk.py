@@ -7,7 +7,7 @@ from lateline.config import SYNTHETIC_CONFIG
 from lateline.operators import fact as FT, risk as R
 from lateline.sources import synthetic_tables
 
-from conftest import SF0001
+from fulfilment_fixtures import SF0001
 
 CFG = SYNTHETIC_CONFIG.with_(gbt_trees=5, forest_trees=10, forest_depth=5)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lateline import schemas
 from lateline.sources import scan_csv, scan_sources, synthetic_tables
 
-from conftest import SF0001
+from fulfilment_fixtures import SF0001
 
 
 def _write_csv(df, path):

@@ -14,7 +14,7 @@ from lateline.operators.quality import QualityGateError
 from lateline.plans.weekly import run_weekly
 from lateline.sources import synthetic_tables
 
-from conftest import SF0001
+from fulfilment_fixtures import SF0001
 
 # bounds that fit the smallest synthetic tables
 CFG = SYNTHETIC_CONFIG.with_(
