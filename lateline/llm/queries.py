@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lateline.llm import embeddings, jaccard, langid, lm, mix, packing, quality, rules, secrets, substring
+from lateline.llm import alignment, embeddings, jaccard, langid, lm, mix, packing, quality, rules, secrets, substring, suffixes, whitening
 from lateline.llm.common import bounded_sample, fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", count("assign"), count("access"), count("hex"),
                         F.sha2(line(base), 256).alias("base_sha256"), line(F.col("secrets")).alias("spans"))
+
+
+@query
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(read_table(spark, sf_dir, "embeddings"))
