@@ -8,8 +8,8 @@ the difference-cover algorithm runs, on tables that Spark shuffles:
 
 1. the suffixes at places 1 and 2 modulo 3 are the sample; their triples of
    phrases are sorted and named by rank;
-2. an anchor stays only if a sampled triple at a shift that the cover requires
-   occurs again (whatever the residue of its partner); the rest is unique;
+2. an anchor stays only if, for some residue of a partner, the triples at all
+   shifts that put both into the sample occur again; the rest is unique;
 3. the sample is sorted by its names, two triples long, which is as deep as an
    answer needs; the remaining suffixes, at places 0, are sorted by phrase and
    the following sampled suffix, and merged with the sample: against place 1
@@ -51,15 +51,20 @@ from lateline.llm.jaccard import _C1, mix64, seed64
 LENGTH = 400
 #: Bytes hashed at a place, places of a window, and phrases that a string has after its first anchor.
 GRAM, WINDOW, PHRASES = 8, 48, 6
-#: Bytes of a block of documents, and rows of a bucket, on average.
-BLOCK, BUCKET = 1 << 19, 2048
+#: Bytes after its first anchor in which a string's anchors do not depend on what surrounds it, and shifts looked at.
+SPAN, SHIFTS = LENGTH - 2 * WINDOW - GRAM + 2, 12
+#: Bytes of a block of documents, rows of a bucket of names, and strings of a bucket, on average.
+BLOCK, BUCKET, STRINGS = 1 << 18, 2048, 1 << 18
+#: Contents of a class from which on its strings are spread over all buckets.
+LARGE = 4096
 
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * _C1)
 _BASE = _C1 | np.uint64(1)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _PLACE = np.uint64((1 << 32) - 1)
 #: Blocks that go to Python at once, and shuffle files that go when a stage is written.
-_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "16", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "16", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+             "spark.sql.parquet.compression.codec": "zstd"}
 
 
 @contextmanager
@@ -178,15 +183,23 @@ def kept_anchors(t: Text, names: np.ndarray, again: np.ndarray) -> dict[str, np.
     s, slot, *_ = a.sample()
     name, rep = np.zeros(len(a.at), np.int64), np.zeros(len(a.at), np.int64)
     name[s], rep[s] = names[slot], again[slot]
-    r1, r2 = a.ahead(rep, 1), a.ahead(rep, 2)
-    # partners have any residue: some shift at which both are sampled must repeat
-    may = np.where(a.q % 3 == 0, r1 | r2, np.where(a.q % 3 == 1, rep | r1, rep | r2)).astype(bool) & (a.lo <= a.hi)
-    k = np.flatnonzero(may)
+    # a partner has any residue; at every shift at which both are sampled, and whose
+    # triple lies in the string, the triple must occur again
+    may = np.zeros(len(a.at), bool)
+    for c in range(3):
+        ok = (a.q + c) % 3 != 0
+        for shift in range(c, SHIFTS, 3):
+            end = a.ahead(a.at, shift + 3)
+            ok &= (a.ahead(rep, shift) if shift else rep).astype(bool) | (end == 0) | (end - a.at > SPAN)
+        may |= ok
+    k = np.flatnonzero(may & (a.lo <= a.hi))
     get = lambda v, i: a.ahead(v, i)[k] if i else v[k]
     end = get(a.at, PHRASES)
-    lo, hi = a.lo[k], a.hi[k]
-    return {"cls": a.q[k] % 3, "h": a.h[k], "h1": get(a.h, 1), "o1": get(name, 0), "o2": get(name, 3), "a1": get(name, 1), "a2": get(name, 4),
-            "b1": get(name, 2), "b2": get(name, 5), "p": t.hashes(a.at[k], end, 2), "f": t.hashes(lo, hi + LENGTH, 3), "lo": lo, "width": hi - lo + 1}
+    lo, hi, cls = a.lo[k], a.hi[k], a.q[k] % 3
+    # a class compares by some of the keys only
+    own, one, two = (lambda v, i: np.where(cls != 0, get(v, i), 0)), (lambda v, i: np.where(cls != 2, get(v, i), 0)), (lambda v, i: np.where(cls != 1, get(v, i), 0))
+    return {"cls": cls, "h": a.h[k], "h1": two(a.h, 1), "o1": own(name, 0), "o2": own(name, 3), "a1": one(name, 1), "a2": one(name, 4),
+            "b1": two(name, 2), "b2": two(name, 5), "p": t.hashes(a.at[k], end, 2), "f": t.hashes(lo, hi + LENGTH, 3), "lo": lo, "width": hi - lo + 1}
 
 
 def merged_order(cls: np.ndarray, own: list[np.ndarray], one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
@@ -217,10 +230,11 @@ def merged_order(cls: np.ndarray, own: list[np.ndarray], one: list[np.ndarray],
     return np.argsort(place, kind="stable")
 
 
-def classes(t: pa.Table) -> pa.Table:
+def classes(t: pa.Table, large: int = LARGE) -> pa.Table:
     """Of the contents of one bucket those that share their first six phrases
     with an adjacent suffix, or occur twice themselves; ``all`` if the content
-    occurs again in full, ``mixed`` if some of its class does not."""
+    occurs again in full, ``mixed`` if some of its class does not, ``large`` if
+    the class has many contents."""
     c = {k: t.column(k).to_numpy() for k in ("cls", "h", "h1", "o1", "o2", "a1", "a2", "b1", "b2", "p", "n")}
     order = merged_order(c["cls"], [c["o1"], c["o2"]], [c["h"], c["a1"], c["a2"]], [c["h"], c["h1"], c["b1"], c["b2"]])
     p, full = c["p"][order], c["n"][order] > 1
@@ -230,6 +244,7 @@ def classes(t: pa.Table) -> pa.Table:
     keep = np.repeat((size > 1) | every, size)
     out = t.take(pa.array(order)).select(["p", "f", "n", "block", "lo", "width"])
     out = out.append_column("all", pa.array(full)).append_column("mixed", pa.array(np.repeat(~every, size)))
+    out = out.append_column("large", pa.array(np.repeat(size > large, size)))
     return out.filter(pa.array(keep))
 
 
@@ -316,32 +331,67 @@ def _kept(blocks: DataFrame, names: DataFrame) -> DataFrame:
         f = k["f"][order]
         start = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]])) if len(f) else np.zeros(0, np.int64)
         one, ends = order[start], np.append(start[1:], len(f))[:len(start)]
-        places = k["lo"][order].astype(np.int64)
+        places, at = k["lo"][order].astype(np.int64), (np.append(start, len(f)) * 8).astype(np.int32)
         return pa.table({"block": np.full(len(one), block, np.int64), "p": k["p"][one], "f": k["f"][one], "n": (ends - start).astype(np.int64),
                          "width": k["width"][one].astype(np.int32),
-                         "places": pa.array([places[s:e].tobytes() for s, e in zip(start.tolist(), ends.tolist(), strict=True)], pa.binary()),
+                         "places": pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(at), pa.py_buffer(places)]),
                          "lo": k["lo"][one].astype(np.int64), **{c: k[c][one].astype(np.int64) for c in _KEYS}})
 
     return blocks.select("block", "ends", "data").groupBy("block").cogroup(names.groupBy("block")).applyInArrow(run, schema)
 
 
-def _strings(blocks: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The single strings of each content: ``p, f, off, key, n``."""
+def _strings(blocks: DataFrame, mixed: DataFrame, buckets: int) -> DataFrame:
+    """The single strings of each content, packed by bucket: a row has those of
+    one block.  Bucket -1 has what occurs again in the block itself; its strings
+    are in their buckets once.  A class is in one bucket, a large one in all."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        t = _text(left.column("ends")[0].as_py(), left.column("data")[0].as_py()) if right.num_rows else None
-        width = right.column("width").to_numpy()
-        row = np.repeat(np.arange(len(width)), width)
-        off = np.arange(len(row)) - np.repeat(np.cumsum(width) - width, width)
-        lo = right.column("lo").to_numpy()[row] + off
-        key = t.hashes(lo, lo + LENGTH, 4) if t else np.zeros(0, np.int64)
-        take = pa.array(row)
-        return pa.table({"p": right.column("p").take(take), "f": right.column("f").take(take), "off": off.astype(np.int32),
-                         "key": key, "n": right.column("n").take(take)})
-
-    return (blocks.join(mixed.select("block").distinct(), "block", "left_semi").groupBy("block")
-            .cogroup(mixed.select("block", "p", "f", "n", "lo", "width").groupBy("block"))
-            .applyInArrow(run, "p long, f long, off int, key long, n long"))
+        t = _text(left.column("ends")[0].as_py(), left.column("data")[0].as_py())
+        c = {k: right.column(k).to_numpy() for k in ("p", "content", "lo", "width", "n", "large")}
+        row = np.repeat(np.arange(len(c["lo"])), c["width"])
+        off = np.arange(len(row)) - np.repeat(np.cumsum(c["width"]) - c["width"], c["width"])
+        lo = c["lo"][row] + off
+        own = t.hashes(lo, lo + LENGTH, 4).astype(np.uint64)
+        p = c["p"].astype(np.uint64)[row]
+        key = mix64(mix64(p) + own)
+        bucket = mix64(p ^ np.where(c["large"][row], own, np.uint64(0))) % np.uint64(buckets)
+        _, first, group, number = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        again = (number > 1)[group] | (c["n"][row] > 1)
+        one = np.zeros(len(row), bool)
+        one[first] = True
+        any_again = np.zeros(len(first), bool)
+        any_again[group[again]] = True
+        here = np.flatnonzero(any_again[group])
+        rows = np.flatnonzero(one)
+        rows = rows[np.argsort(bucket[rows], kind="stable")]
+        start = np.flatnonzero(np.concatenate([[True], bucket[rows][1:] != bucket[rows][:-1]])) if len(rows) else np.zeros(0, np.int64)
+        packed = [here, *np.split(rows, start[1:])] if len(rows) else [here]
+        number = [-1, *bucket[rows[start]].astype(np.int64).tolist()]
+        return pa.table({"bucket": pa.array(number[:len(packed)], pa.int64()),
+                         "keys": pa.array([key[x].tobytes() for x in packed], pa.binary()),
+                         "again": pa.array([any_again[group[x]].tobytes() for x in packed], pa.binary()),
+                         "contents": pa.array([c["content"][row[x]].tobytes() for x in packed], pa.binary()),
+                         "offs": pa.array([off[x].astype(np.uint8).tobytes() for x in packed], pa.binary())})
+
+    return (blocks.select("block", "ends", "data").join(mixed.select("block").distinct(), "block", "left_semi").groupBy("block")
+            .cogroup(mixed.select("block", "p", "content", "lo", "width", "n", "large").groupBy("block"))
+            .applyInArrow(run, "bucket long, keys binary, again binary, contents binary, offs binary"))
+
+
+def repeated_strings(t: pa.Table) -> pa.Table:
+    """Of one bucket the strings that occur again, as a bit mask per content."""
+    read = lambda c, kind: np.frombuffer(b"".join(t.column(c).to_pylist()), kind)
+    key, again, content, off = read("keys", np.uint64), read("again", bool), read("contents", np.int64), read("offs", np.uint8)
+    if t.column("bucket")[0].as_py() >= 0:
+        _, group, number = np.unique(key, return_inverse=True, return_counts=True)
+        known = np.zeros(len(number), bool)
+        known[group[again]] = True
+        found = ((number > 1) | known)[group]
+        content, off = content[found], off[found]
+    order = np.argsort(content, kind="stable")
+    content, bit = content[order], np.left_shift(np.int64(1), off[order].astype(np.int64))
+    start = np.flatnonzero(np.concatenate([[True], content[1:] != content[:-1]])) if len(content) else np.zeros(0, np.int64)
+    return pa.table({"content": content[start], "mask": np.bitwise_or.reduceat(bit, start) if len(start) else np.zeros(0, np.int64)})
 
 
 def _cleaned(blocks: DataFrame, marks: DataFrame, kind: str) -> DataFrame:
@@ -351,15 +401,17 @@ def _cleaned(blocks: DataFrame, marks: DataFrame, kind: str) -> DataFrame:
         data, ends = left.column("data")[0].as_py(), np.frombuffer(left.column("ends")[0].as_py(), np.int64)
         n = len(data)
         edge = np.zeros(n + 1, np.int64)
-        for places, width, offs in zip(right.column("places").to_pylist(), right.column("width").to_pylist(), right.column("offs").to_pylist(), strict=True):
-            at = np.frombuffer(places, np.int64)
-            if offs is None:  # every string of the anchor
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + (width - 1 + LENGTH), -1)
-            else:
-                at = (at[:, None] + np.array(offs)).ravel()
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + LENGTH, -1)
+        raw = right.column("places").to_pylist()
+        places, row = np.frombuffer(b"".join(raw), np.int64), np.repeat(np.arange(len(raw)), [len(x) // 8 for x in raw])
+        mask = right.column("mask").fill_null(0).to_numpy()[row]
+        full = right.column("mask").is_null().to_numpy()[row]
+        at = places[full]  # every string of the anchor
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + (right.column("width").to_numpy()[row[full]] - 1 + LENGTH), -1)
+        for off in range(WINDOW):
+            at = places[(mask >> off & 1).astype(bool)] + off
+            np.add.at(edge, at, 1)
+            np.add.at(edge, at + LENGTH, -1)
         gone = np.cumsum(edge[:n]) > 0
         first = np.concatenate([[0], ends[:-1]])
         removed = np.concatenate([[0], np.cumsum(gone)])
@@ -383,22 +435,31 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
     stage = Stage(spark)
-    blocks = stage.save(_blocks(src, kind), "blocks")
+    with settings(spark, {k: v for k, v in _SETTINGS.items() if "arrow" not in k}):
+        blocks = stage.save(_blocks(src, kind), "blocks")
     with settings(spark, _SETTINGS):
         n_bytes = blocks.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0]
         names = stage.save(_named(_triples(blocks), n_bytes * 4 // (3 * (WINDOW + 1))), "names")
     with settings(spark, {k: v for k, v in _SETTINGS.items() if "arrow" not in k}):
         kept = stage.save(_kept(blocks, names), "kept")
+        stage.drop(names)
         keys = F.struct("block", "lo", "width", *_KEYS)
         contents = stage.save(kept.groupBy("p", "f").agg(F.sum("n").alias("n"), F.any_value(keys).alias("k")).select("p", "f", "n", "k.*"), "contents")
-        found = stage.save(contents.withColumn("bucket", _bucket("h", contents.count())).groupBy("bucket").applyInArrow(
-            classes, "p long, f long, n long, block long, lo long, width int, all boolean, mixed boolean"), "classes")
-        strings = _strings(blocks, found.where("mixed"))
-        part = (strings.withColumn("total", F.sum("n").over(Window.partitionBy("p", "key"))).where("total > 1")
-                .groupBy("p", "f").agg(F.collect_list("off").alias("offs")))
-        whole = found.where("all").select("p", "f", F.lit(None).cast("array<int>").alias("offs"))
-        some = part.join(found.where("all").select("p", "f"), ["p", "f"], "left_anti").select("p", "f", "offs")
-        marks = stage.save(kept.select("block", "p", "f", "width", "places").join(stage.save(whole.unionByName(some), "repeated"), ["p", "f"])
-                           .select("block", "width", "places", "offs"), "marks")
+        large = LARGE
+        found = contents.withColumn("bucket", _bucket("h", contents.count())).groupBy("bucket").applyInArrow(
+            lambda t: classes(t, large), "p long, f long, n long, block long, lo long, width int, all boolean, mixed boolean, large boolean")
+        found = stage.save(found.withColumn("content", F.monotonically_increasing_id()), "classes")
+        stage.drop(contents)
+        mixed = found.where("mixed")
+        total = mixed.agg(F.sum("width")).first()[0] or 0
+        strings = stage.save(_strings(blocks, mixed, 1 + total // STRINGS), "strings")
+        masks = (strings.groupBy("bucket", F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("contents"), F.lit(1 + total // STRINGS))))
+                 .applyInArrow(repeated_strings, "content long, mask long").groupBy("content").agg(F.bit_or("mask").alias("mask")))
+        some = found.where("not all").join(masks, "content").select("p", "f", "mask")
+        whole = found.where("all").select("p", "f", F.lit(None).cast("long").alias("mask"))
+        repeated = stage.save(whole.unionByName(some), "repeated")
+        stage.drop(strings)
+        marks = stage.save(kept.select("block", "p", "f", "width", "places").join(repeated, ["p", "f"]).select("block", "width", "places", "mask"), "marks")
+        stage.drop(kept)
         out = _cleaned(blocks, marks, kind)
         return stage.save(out if texts else out.drop("kept"), "cleaned")

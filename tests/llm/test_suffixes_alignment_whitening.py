@@ -45,8 +45,8 @@ def test_op11_whole_table(spark):
     assert op11(queries.op11_suffix_dedup(spark, SF).collect()) == want and sum(v[1] for v in want.values()) > 0
 
 
-@pytest.mark.parametrize("block", [1 << 19, 2000])
-def test_op11_edges_periods_and_one_changed_byte(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "large"), [(1 << 19, 4096), (2000, 4096), (2000, 2)])
+def test_op11_edges_periods_and_one_changed_byte(spark, monkeypatch, block, large):
     # passages around the length, at any offset; periodic texts; copies inside one text; few letters
     rng = np.random.default_rng(1)
     rnd = lambda n, letters=26: "".join(map(chr, 97 + rng.integers(0, letters, n)))
@@ -58,6 +58,8 @@ def test_op11_edges_periods_and_one_changed_byte(spark, monkeypatch, block):
     texts += [twice + twice, twice[:450] + "Z" + twice[100:], twice[3:500]] + [p[:200] + "#" + p[201:] for p in passages]
     monkeypatch.setattr(suffixes, "BLOCK", block)
     monkeypatch.setattr(suffixes, "BUCKET", 8)
+    monkeypatch.setattr(suffixes, "STRINGS", 64)
+    monkeypatch.setattr(suffixes, "LARGE", large)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     assert op11(suffixes.without_repeats(docs).collect()) == dict(enumerate(removed_by_force(texts)))
 
