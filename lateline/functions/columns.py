@@ -155,8 +155,11 @@ def scalars(one_row) -> dict:
 
 
 def with_scalars(df, one_row):
-    """``df`` with the values of a one-row DataFrame added as columns."""
-    return df.withColumns(scalars(one_row))
+    """``df`` with the values of a one-row DataFrame added as columns.  The row
+    is one struct first, so its plan is analysed once, not for every field."""
+    row = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("row")).scalar()
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in one_row.columns]
+    return df.withColumn("__row", row).select(*kept, *[F.col("__row").getField(c).alias(c) for c in one_row.columns])
 
 
 def money(c) -> Column:

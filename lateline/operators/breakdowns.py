@@ -15,7 +15,7 @@ from lateline.config import DEFAULT_CONFIG, Config
 from lateline.functions import columns as C
 from lateline.functions import labels as L
 from lateline.functions.buckets import bucket_ord, bucketize, severity_band
-from lateline.operators.quantiles import builtin_quantiles, exact_quantiles
+from lateline.operators.quantiles import builtin_quantiles, exact_quantiles, select_quantiles
 
 STAGES = ["t1_approval_h", "t2_processing_h", "t3_shipping_h"]
 
@@ -68,31 +68,28 @@ def unpivot(df: DataFrame, cols, ids=(), name="column", value="value") -> DataFr
 
 def describe_columns(df: DataFrame, cols) -> DataFrame:
     """count, mean, std, min, exact quartiles, max per column (pandas describe).
-    Quartiles come from the distributed exact quantile operator."""
-    long = unpivot(df, cols)
-    basic = long.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    qs = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["column"],
-                         names=["q25", "q50", "q75"])
-    return basic.join(qs, "column", "left").select(
-        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    All columns go through the same rounds of the quantile selection; its one
+    row becomes a row per column."""
+    one = select_quantiles(df, {c: (F.col(c), {f"{q}_{c}": p for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))})
+                                for c in cols}, moments=True)
+    rows = F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col(f"n_{c}").alias("count"), F.col(f"mean_{c}").alias("mean"), F.col(f"std_{c}").alias("std"),
+        F.col(f"min_{c}").alias("min"), *[F.col(f"{q}_{c}").alias(q) for q in ("q25", "q50", "q75")], F.col(f"max_{c}").alias("max"))
+        for c in cols])
+    return one.select(F.inline(rows))
 
 
 def stage_stats(nb: DataFrame) -> DataFrame:
     """Per stage over non-negative values: mean, median, P95, max hours and max
     days, rounded to one decimal (half-even) like the notebook's table."""
-    long = unpivot(nb, STAGES, name="stage").where(F.col("value") >= 0)
-    basic = long.groupBy("stage").agg(F.avg("value").alias("_mean"),
-                                      F.max("value").alias("_max"),
-                                      F.count("value").alias("n"))
-    qs = exact_quantiles(long, "value", [0.5, 0.95], by=["stage"], names=["_median", "_p95"])
+    one = select_quantiles(nb, {c: (F.when(F.col(c) >= 0, F.col(c)), {f"median_{c}": 0.5, f"p95_{c}": 0.95}) for c in STAGES},
+                           moments=True)
     r1 = lambda c: F.bround(F.col(c), 1)
-    return (basic.join(qs, "stage")
-            .select("stage", "n", r1("_mean").alias("mean_h"), r1("_median").alias("median_h"),
-                    r1("_p95").alias("p95_h"), r1("_max").alias("max_h"),
-                    C.hours_to_days("_max").alias("max_days")))
+    rows = F.array(*[F.struct(
+        F.lit(c).alias("stage"), F.col(f"n_{c}").alias("n"), r1(f"mean_{c}").alias("mean_h"), r1(f"median_{c}").alias("median_h"),
+        r1(f"p95_{c}").alias("p95_h"), r1(f"max_{c}").alias("max_h"), C.hours_to_days(f"max_{c}").alias("max_days"))
+        for c in STAGES])
+    return one.select(F.inline(rows)).where("n > 0")
 
 
 def stage_late_vs_ontime(nb: DataFrame) -> DataFrame:

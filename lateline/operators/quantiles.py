@@ -4,22 +4,14 @@ Spark's ``percentile`` keeps a value->count map per group and merges every
 partial map into one task per group.  That is fine for bounded domains
 (whole days: a few hundred distinct values) but a global quantile of a
 continuous column would pull every distinct value into one task.  This
-operator instead:
-
-1. counts rows per distinct (group, value) -- partial aggregation absorbs
-   any hot value;
-2. puts every value into an order-preserving bucket.  The bucket borders are a
-   bounded set of approximate percentiles, computed once and put into the plan
-   as literals: the bucket is a plain expression of the value, so it cannot
-   differ between two uses of the relation;
-3. takes running counts inside each (group, bucket) and offsets from the
-   bucket totals, a table of at most buckets x groups rows; a group holding a
-   third of all rows is split over many buckets;
-4. marks the values at the two ranks around each target position and
-   interpolates linearly (pandas / ``quantile_cont`` semantics, S13) in one
-   final grouped aggregate.
-
-Nulls and NaN are skipped like pandas.
+operator selects by refinement instead: sketches bracket the ranks, then only
+what lies in the brackets is looked at again, until each rank is exact.  No
+value is shuffled or sorted but those in the last brackets.  Interpolation is
+linear (pandas / ``quantile_cont`` semantics, S13); nulls and NaN are skipped
+like pandas.
+
+Running totals need every rank, so they put values into order-preserving
+buckets, with literal borders taken from a sketch.
 """
 
 from __future__ import annotations
@@ -29,6 +21,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Entries of a sketch (its rank error is one part in so many), the share of rows that a
+#: first bracket reaches to either side, and the cuts of a bracket in the second round.
+SKETCH = 10_000
+SLACK = 2 / SKETCH
+GRID = 1024
+
 #: Borders taken from the data, and equal parts of the span between two borders.
 MAX_BORDERS = 256
 PARTS = 16
@@ -74,49 +72,102 @@ def value_bucket(value: Column, borders: Sequence[float]) -> Column:
     return F.when(v.isNull(), F.lit(-1)).when(F.isnan(v), F.lit(last)).otherwise(body).cast("long")
 
 
+def select_quantiles(df: DataFrame, columns: dict[str, tuple[Column, dict[str, float]]], by: Sequence[str] = (),
+                     moments: bool = False) -> DataFrame:
+    """Exact interpolated quantiles of many columns by refinement: ``columns``
+    maps a key to (numeric expression, {result name: probability}).  One row
+    per group (one row overall without ``by``) with the results, and ``n_<key>``,
+    the number of values.  Three rounds, each one aggregate over the input:
+
+    1. a quantile sketch of every column brackets each probability;
+    2. a sketch of what lies in each bracket, and the count below it, narrow
+       the bracket down to a few millionths of the rows;
+    3. the values in the bracket are sorted, the rows below it and at its ends
+       counted: the value at a rank is exact.  A rank outside its bracket (the
+       sketch's error is bounded, so it cannot be) would raise, not be guessed.
+
+    A round's result is a scalar subquery of the next (with ``by``: one row per
+    group, joined), so building the plan runs nothing and no row is copied for
+    a column.  Nulls and NaN are skipped; without values the result is null
+    (with ``by``: no row for a group that has none in any column).  With
+    ``moments`` the last round also yields ``mean_, std_, min_`` and ``max_<key>``."""
+    by, keys = list(by), list(columns)
+    targets = [(f"v{keys.index(key)}", name, float(p)) for key, (_, probs) in columns.items() for name, p in probs.items()]
+    v = [f"v{i}" for i in range(len(keys))]
+    base = df.select(*by, *[columns[k][0].cast("double").alias(x) for k, x in zip(keys, v, strict=True)])
+    base = base.select(*by, *[F.expr(f"nullif({x}, double('NaN'))").alias(x) for x in v])
+    if by:
+        base = base.where(f"coalesce({', '.join(v)}) is not null")
+    # texts of expressions: one parse each, where a column object costs a call for every node
+    many = lambda texts: [F.expr(x) for x in texts]
+
+    def attach(rows: DataFrame, one: DataFrame) -> DataFrame:
+        # a round's results are one struct: its plan is in the next round's once
+        row = one.select(*by, F.struct(*[c for c in one.columns if c not in by]).alias("_r"))
+        return rows.join(row, by) if by else rows.withColumn("_r", row.select("_r").scalar())
+
+    ends = {x: [e for y, _, p in targets if y == x for e in (max(0.0, p - SLACK), min(1.0, p + SLACK))] for x in v}
+    sketch = base.groupBy(*by).agg(*many([f"percentile_approx({x}, array({', '.join(f'{e!r}D' for e in ends[x])}), {SKETCH}) as s_{x}" for x in v]
+                                         + [f"count({x}) as n_{x}" for x in v]))
+    place = [sum(y == x for y, *_ in targets[:i]) for i, (x, *_) in enumerate(targets)]
+    one = sketch.select(*by, *[f"n_{x}" for x in v], *many(
+        f"s_{x}[{2 * at + j}] as {end}{i}" for i, (at, (x, *_)) in enumerate(zip(place, targets, strict=True)) for j, end in enumerate(("lo", "hi"))))
+
+    def found_in(df: DataFrame, tests: list[str], agg: str, name: str) -> DataFrame:
+        # the values that pass a target's test, by target: a few rows of all
+        rows = ", ".join(f"if({test}, struct({i} as i, {x} as x), null)" for i, (test, (x, *_)) in enumerate(zip(tests, targets, strict=True)))
+        hits = df.select(*by, F.expr(f"inline(array_compact(array({rows})))"))
+        return hits.groupBy(*by, "i").agg(F.expr(f"struct(i, {agg}) as row")).groupBy(*by).agg(F.expr(f"collect_list(row) as {name}"))
+
+    def with_found(df: DataFrame, found: DataFrame) -> DataFrame:
+        return df.join(found, by, "left") if by else df.withColumn(found.columns[-1], found.scalar())
+
+    first = attach(base, one)
+    grid = "cast(split('" + ",".join(f"{i / GRID!r}" for i in range(GRID + 1)) + "', ',') as array<double>)"
+    cut = with_found(
+        attach(first.groupBy(*by).agg(*many(f"count_if({x} < _r.lo{i}) as below{i}" for i, (x, *_) in enumerate(targets))), one),
+        found_in(first, [f"{x} between _r.lo{i} and _r.hi{i}" for i, (x, *_) in enumerate(targets)],
+                 f"count(x) as m, percentile_approx(x, {grid}, {SKETCH}) as g", "_cuts"))
+    # per bracket the cuts around its rank: one lambda over the targets keeps the code small
+    rows = ", ".join(f"struct({i} as i, (_r.n_{x} - 1) * {p!r}D - below{i} as rank)" for i, (x, _, p) in enumerate(targets))
+    two = cut.select(*by, F.expr(
+        f"transform(array({rows}), t -> transform(filter(_cuts, c -> c.i = t.i), c -> transform(array(-1, 3), d -> element_at(c.g, "
+        f"1 + int(least(greatest(floor(t.rank / c.m * {GRID}) + d, 0), {GRID})))))[0]) as cuts"), *many(f"_r.n_{x} as n_{x}" for x in v))
+
+    last = attach(base, two)
+    low, high = ([f"_r.cuts[{i}][{j}]" for i in range(len(targets))] for j in (0, 1))
+    more = {f"{name}_{k}": f"{f}({x})" for k, x in zip(keys, v, strict=True)
+            for name, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))} if moments else {}
+    three = last.groupBy(*by).agg(*many(
+        y for i, (x, *_) in enumerate(targets) for y in (
+            f"count_if({x} < {low[i]}) as below{i}", f"count_if({x} = {low[i]}) as at_lo{i}",
+            f"count_if({x} = {high[i]} and {high[i]} > {low[i]}) as at_hi{i}",
+            f"max(if({x} < {low[i]}, {x}, null)) as prev{i}", f"min(if({x} > {high[i]}, {x}, null)) as next{i}")),
+        *many(f"{y} as `{c}`" for c, y in more.items()))
+    three = with_found(attach(three, two), found_in(last, [f"{x} > {low[i]} and {x} < {high[i]}" for i, (x, *_) in enumerate(targets)],
+                                       "sort_array(collect_list(x)) as xs", "_inner"))
+    # the value at a rank: the one below the bracket, its low end, inside, its high end, the one above
+    rows = ", ".join(f"struct((_r.n_{x} - 1) * {p!r}D as h, {low[i]} as lo, {high[i]} as hi, below{i} as below, at_lo{i} as at_lo, at_hi{i} as at_hi, "
+                     f"prev{i} as prev, next{i} as next, coalesce(get(filter(_inner, r -> r.i = {i}), 0).xs, array()) as inner)"
+                     for i, (x, _, p) in enumerate(targets))
+    at = ("transform(array(floor(t.h), ceil(t.h)), k -> case when k = t.below - 1 then t.prev when k >= t.below and k < t.below + t.at_lo then t.lo "
+          "when k >= t.below + t.at_lo and k < t.below + t.at_lo + size(t.inner) then get(t.inner, int(k - t.below - t.at_lo)) "
+          "when k >= t.below + t.at_lo + size(t.inner) and k < t.below + t.at_lo + size(t.inner) + t.at_hi then t.hi "
+          "when k = t.below + t.at_lo + size(t.inner) + t.at_hi then t.next else raise_error('a rank lies outside its bracket') end)")
+    done = three.select(*by, F.expr(f"transform(transform(array({rows}), t -> if(t.h >= 0, struct({at} as two, t.h - floor(t.h) as part), null)), "
+                                    "t -> t.two[0] + t.part * (t.two[1] - t.two[0])) as _found"),
+                        *many(f"coalesce(_r.n_{x}, 0) as `n_{k}`" for k, x in zip(keys, v, strict=True)), *[f"`{c}`" for c in more])
+    return done.select(*by, *[F.expr(f"_found[{i}] as `{name}`") for i, (_, name, _) in enumerate(targets)],
+                       *[f"`n_{k}`" for k in keys], *[f"`{c}`" for c in more])
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
                     names: Sequence[str] | None = None, with_count: bool = False) -> DataFrame:
     """One row per group (one row overall when ``by`` is empty) with a column
     per probability.  No row is produced for a group without values."""
-    by = list(by)
     names = _names(probs, names)
-    v = F.col(value).cast("double")
-    counted = (df.select(*by, v.alias("_v"))
-               .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-               .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    ranged = counted.withColumn("_pid", value_bucket(F.col("_v"), bucket_borders(df, v)))
-    key = ["_pid", *by]
-    running = ranged.withColumn(
-        "_cin", F.coalesce(F.sum("_c").over(
-            Window.partitionBy(*key).orderBy("_v")
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # per (bucket, group) totals: bounded by buckets x groups rows
-    part = running.groupBy(*key).agg(F.sum("_c").alias("_pt"))
-    w_grp = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    part = part.select(
-        *key,
-        F.coalesce(F.sum("_pt").over(w_grp.orderBy("_pid")
-                                     .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-        F.sum("_pt").over(w_grp).alias("_n"))
-    rows = running.join(part, key).withColumn("_lo", F.col("_off") + F.col("_cin"))
-    aggs = [F.first("_n").alias("_n")]
-    for p, name in zip(probs, names):
-        h = (F.col("_n") - 1) * F.lit(float(p))
-        i0, i1 = F.floor(h), F.ceil(h)
-        hit0 = (F.col("_lo") <= i0) & (i0 < F.col("_lo") + F.col("_c"))
-        hit1 = (F.col("_lo") <= i1) & (i1 < F.col("_lo") + F.col("_c"))
-        aggs += [F.max(F.when(hit0, F.col("_v"))).alias(f"_a_{name}"),
-                 F.max(F.when(hit1, F.col("_v"))).alias(f"_b_{name}")]
-    marked = rows.groupBy(*by).agg(*aggs)
-    out = [F.col(b) for b in by]
-    for p, name in zip(probs, names):
-        h = (F.col("_n") - 1) * F.lit(float(p))
-        a, b = F.col(f"_a_{name}"), F.col(f"_b_{name}")
-        out.append((a + (h - F.floor(h)) * (b - a)).alias(name))
-    if with_count:
-        out.append(F.col("_n").alias("n"))
-    return marked.select(*out)
+    out = select_quantiles(df, {"x": (F.col(value), dict(zip(names, probs, strict=True)))}, by)
+    return out.where("n_x > 0").select(*by, *names, *([F.col("n_x").alias("n")] if with_count else []))
 
 
 def builtin_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),

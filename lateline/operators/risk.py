@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from lateline.config import DEFAULT_CONFIG, Config
 from lateline.functions.buckets import risk_level
 from lateline.functions.columns import with_scalars
-from lateline.operators.quantiles import exact_quantiles, running_totals
+from lateline.operators.quantiles import running_totals, select_quantiles
 
 #: Fixed values of the reference: features, the categorical ones, result columns.
 FEATURES = ["customer_state", "seller_state", "purchase_month", "purchase_dayofweek",
@@ -131,10 +131,12 @@ def stratified_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42):
     (1 - test_fraction) quantile of hashes train; the rest test.  Exact
     proportions per class; membership differs from the reference's shuffle."""
     h = df.withColumn("_h", split_hash(seed).cast("double"))
-    cut = exact_quantiles(h, "_h", [1.0 - test_fraction], by=["is_late"], names=["_cut"])
-    j = h.join(F.broadcast(cut), "is_late")
-    train = j.where(F.col("_h") <= F.col("_cut")).drop("_h", "_cut")
-    test = j.where(F.col("_h") > F.col("_cut")).drop("_h", "_cut")
+    cuts = select_quantiles(h, {f"c{y}": (F.when(F.col("is_late") == y, F.col("_h")), {f"_cut{y}": 1.0 - test_fraction})
+                                for y in (0, 1)}).select("_cut0", "_cut1")
+    j = with_scalars(h, cuts)
+    cut = F.when(F.col("is_late") == 1, F.col("_cut1")).when(F.col("is_late") == 0, F.col("_cut0"))
+    train = j.where(F.col("_h") <= cut).select(*df.columns)
+    test = j.where(F.col("_h") > cut).select(*df.columns)
     return train, test
 
 

@@ -18,8 +18,7 @@ from pyspark.sql import types as T
 
 from lateline.config import DEFAULT_CONFIG, Config
 from lateline.functions import columns as C
-from lateline.operators.breakdowns import unpivot
-from lateline.operators.quantiles import exact_quantiles
+from lateline.operators.quantiles import exact_quantiles, select_quantiles
 
 IQR_COLS = ["delivery_days", "t1_approval_h", "t2_processing_h", "t3_shipping_h"]
 CORR_COLS = ["t1_approval_h", "t2_processing_h", "t3_shipping_h", "delivery_days",
@@ -33,21 +32,21 @@ EXTREME_RULES = [("t1_approval_h", 700.0, "order_approved_at"),
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str] = IQR_COLS) -> DataFrame:
     """Per column over non-negative values: Q1, Q3, IQR, fences at 1.5 IQR,
-    rows outside, their share, and the maximum."""
-    long = unpivot(df, cols).where(F.col("value") >= 0)
-    qs = exact_quantiles(long, "value", [0.25, 0.75], by=["column"], names=["q1", "q3"])
-    fences = qs.select("column", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
-                       (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lower"),
-                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("upper"))
-    # one row per column: broadcast (size = number of columns)
-    v = F.col("value")
-    outside = (v < F.col("lower")) | (v > F.col("upper"))
-    counts = (long.join(F.broadcast(fences), "column")
-              .groupBy("column", "q1", "q3", "iqr", "lower", "upper")
-              .agg(F.count_if(outside).alias("n_outliers"),
-                   (F.avg(outside.cast("int")) * 100).alias("outlier_pct"),
-                   F.max(v).alias("max"), F.count(v).alias("n")))
-    return counts
+    rows outside, their share, and the maximum.  One wide aggregate over the
+    rows as they are, with the fences as scalars."""
+    value = {c: F.when(F.col(c) >= 0, F.col(c).cast("double")) for c in cols}
+    qs = select_quantiles(df, {c: (value[c], {f"q1_{c}": 0.25, f"q3_{c}": 0.75}) for c in cols})
+    q1, q3 = ({c: F.col(f"{q}_{c}") for c in cols} for q in ("q1", "q3"))
+    lower, upper = ({c: end + sign * 1.5 * (q3[c] - q1[c]) for c, end in q.items()} for q, sign in ((q1, -1), (q3, 1)))
+    outside = {c: (value[c] < lower[c]) | (value[c] > upper[c]) for c in cols}
+    one = C.with_scalars(df.select(*cols), qs).agg(*[x for c in cols for x in (
+        F.count_if(outside[c]).alias(f"_out_{c}"), (F.avg(outside[c].cast("int")) * 100).alias(f"_pct_{c}"),
+        F.max(value[c]).alias(f"_max_{c}"), F.count(value[c]).alias(f"_n_{c}"))])
+    rows = F.array(*[F.struct(
+        F.lit(c).alias("column"), q1[c].alias("q1"), q3[c].alias("q3"), (q3[c] - q1[c]).alias("iqr"), lower[c].alias("lower"),
+        upper[c].alias("upper"), F.col(f"_out_{c}").alias("n_outliers"), F.col(f"_pct_{c}").alias("outlier_pct"),
+        F.col(f"_max_{c}").alias("max"), F.col(f"_n_{c}").alias("n")) for c in cols])
+    return C.with_scalars(one, qs).select(F.inline(rows)).where("n > 0")
 
 
 def extreme_rows(df: DataFrame, stage: str, threshold: float, cols: Sequence[str] = ()) -> DataFrame:
