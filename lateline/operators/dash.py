@@ -29,7 +29,7 @@ def dash_headline(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     late = fact.agg(F.sum("is_late").cast("long").alias("late_orders"),
                     F.sum(F.when(F.col("is_late") == 1, F.col("price").cast("decimal(18,2)")))
                     .cast("double").alias("late_revenue"))
-    chronic = (marts.seller_performance_all(fact, cfg)
+    chronic = (marts.seller_rates(fact, cfg)
                .agg(F.sum("is_chronic").cast("long").alias("chronic_sellers")))
     return C.with_scalars(C.with_scalars(v, late), chronic)
 
@@ -40,14 +40,14 @@ def dash_chronic_list(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFram
 
 
 def dash_seller_categories(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
-    return (seller_class(marts.seller_performance_all(fact, cfg), cfg)
+    return (seller_class(marts.seller_rates(fact, cfg), cfg)
             .groupBy("seller_class").agg(F.count(F.lit(1)).alias("n_sellers")))
 
 
 def dash_seller_class_by_state(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Late rate by seller class x customer state (fact grain).  The class
     table has one row per seller; Spark broadcasts it when small enough."""
-    cls = seller_class(marts.seller_performance_all(fact, cfg), cfg)
+    cls = seller_class(marts.seller_rates(fact, cfg), cfg)
     return (fact.where(F.col("customer_state").isNotNull()).join(cls, "seller_id")
             .groupBy("seller_class", "customer_state")
             .agg(F.count(F.lit(1)).alias("n_rows"), F.avg("is_late").alias("late_rate")))

@@ -16,6 +16,10 @@ from lateline.functions import columns as C
 from lateline.functions import labels as L
 
 
+#: Columns of the fact that the KPIs read.
+KPI_COLS = ("order_id", "seller_id", "is_late", "days_late", "actual_vs_est_ratio", "t2_processing_h")
+
+
 def kpi_values(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """One row: the five KPI actuals (pipeline definitions)."""
     glob = fact.agg(

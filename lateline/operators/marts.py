@@ -15,6 +15,29 @@ from lateline.config import DEFAULT_CONFIG, Config
 from lateline.functions import columns as C
 
 
+#: Columns of the fact that each mart reads: what to ask the builder for.
+RATE_COLS = ("order_id", "seller_id", "is_late")
+SELLER_COLS = (*RATE_COLS, "seller_state", "seller_city", "seller_cohort", "t2_processing_h", "delivery_days", "price")
+REGIONAL_COLS = ("order_id", "customer_state", "is_late", "delivery_days", "t3_shipping_h")
+MONTHLY_COLS = ("order_id", "order_purchase_timestamp", "is_late", "delivery_days")
+COHORT_COLS = ("order_id", "seller_id", "seller_cohort", "is_late", "delivery_days")
+
+
+def with_seller_flags(sellers: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    return sellers.withColumns({
+        "is_chronic": ((F.col("late_rate") > cfg.chronic_rate)
+                       & (F.col("total_orders") >= cfg.active_min_orders)).cast("int"),
+        "is_new_problem": ((F.col("total_orders") < cfg.active_min_orders)
+                           & (F.col("late_rate") == 1.0)).cast("int"),
+    })
+
+
+def seller_rates(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
+    """Orders, late rate and flags per seller, from the three ``RATE_COLS``."""
+    return with_seller_flags(fact.where(F.col("seller_id").isNotNull()).groupBy("seller_id").agg(
+        F.countDistinct("order_id").alias("total_orders"), F.avg("is_late").alias("late_rate")), cfg)
+
+
 def seller_performance_all(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:
     """Per seller, every seller (null seller dropped, S14).  ``total_orders``
     counts distinct orders but ``late_orders``/``late_rate`` are row-level (S19)."""
@@ -29,13 +52,7 @@ def seller_performance_all(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> Dat
         F.avg("delivery_days").alias("avg_delivery_days"),
         F.coalesce(F.sum(C.money("price")), F.lit(0)).cast("double").alias("total_revenue"),
     ))
-    agg = agg.select("seller_id", "_first.*", *[c for c in agg.columns if c not in ("seller_id", "_first")])
-    return agg.withColumns({
-        "is_chronic": ((F.col("late_rate") > cfg.chronic_rate)
-                       & (F.col("total_orders") >= cfg.active_min_orders)).cast("int"),
-        "is_new_problem": ((F.col("total_orders") < cfg.active_min_orders)
-                           & (F.col("late_rate") == 1.0)).cast("int"),
-    })
+    return with_seller_flags(agg.select("seller_id", "_first.*", *[c for c in agg.columns if c not in ("seller_id", "_first")]), cfg)
 
 
 def agg_seller_performance(fact: DataFrame, cfg: Config = DEFAULT_CONFIG) -> DataFrame:

@@ -138,6 +138,10 @@ def hard_checks(cfg: Config = DEFAULT_CONFIG, agg_seller_cols: Sequence[str] = (
     return checks
 
 
+#: Columns of the fact that the expectations read.
+EXPECTED_COLS = ("order_id", "is_late", "purchase_month", "t1_approval_h", "t3_shipping_h", "seller_cohort", "freight_bucket")
+
+
 def expectations(cfg: Config = DEFAULT_CONFIG) -> list[Check]:
     """Expectation suite on the fact: set/range tests skip nulls (S35)."""
     f = "fact_deliveries"

@@ -35,6 +35,7 @@ from lateline.operators.quantiles import running_totals, select_quantiles
 #: Fixed values of the reference: features, the categorical ones, result columns.
 FEATURES = ["customer_state", "seller_state", "purchase_month", "purchase_dayofweek",
             "purchase_hour", "freight_bucket", "seller_cohort"]
+FACT_COLS = [*FEATURES, "order_id", "is_late"]
 CATEGORICAL = ["customer_state", "seller_state", "freight_bucket", "seller_cohort"]
 RISK_COLS = ["order_id", "customer_state", "seller_state", "seller_cohort", "purchase_month",
              "freight_bucket", "late_probability", "late_prediction", "risk_level", "is_late"]

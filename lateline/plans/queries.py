@@ -77,6 +77,10 @@ class Ctx:
     def fact(self):
         return FT.fact_deliveries(self.t, CFG)
 
+    def facts(self, *columns: str, reuse: bool = False):
+        """The fact with these columns only, built by the joins they need."""
+        return FT.fact_deliveries(self.t, CFG, columns=columns, reuse=reuse)
+
     @cached_property
     def oi(self):
         return _memo(self, "oi", lambda: B.orders_items(self.nb, self.t.items))
@@ -218,13 +222,13 @@ GROUP BY seller_id, seller_state, seller_city, seller_cohort"""
 
 @register("seller_performance_all", _SELLER_ALL_SQL)
 def _seller_all(c: Ctx):
-    return marts.seller_performance_all(c.fact, CFG)
+    return marts.seller_performance_all(c.facts(*marts.SELLER_COLS), CFG)
 
 
 @register("agg_seller_performance",
           "SELECT * FROM (" + _SELLER_ALL_SQL + ") s WHERE total_orders >= 95")
 def _agg_seller(c: Ctx):
-    return marts.agg_seller_performance(c.fact, CFG)
+    return marts.agg_seller_performance(c.facts(*marts.SELLER_COLS), CFG)
 
 
 @register("agg_regional_stats", f"""
@@ -233,7 +237,7 @@ SELECT customer_state, CAST(count(order_id) AS BIGINT) AS total_orders,
   {r4('avg(delivery_days)', 'avg_delivery_days')}, {r4('avg(t3_shipping_h)', 'avg_t3_shipping_h')}
 FROM fact WHERE customer_state IS NOT NULL GROUP BY customer_state""")
 def _agg_regional(c: Ctx):
-    return marts.agg_regional_stats(c.fact)
+    return marts.agg_regional_stats(c.facts(*marts.REGIONAL_COLS))
 
 
 @register("agg_monthly_trend", f"""
@@ -242,7 +246,7 @@ SELECT strftime(make_timestamp(ps * 1000000), '%Y-%m') AS year_month,
   {r4('avg(is_late)', 'late_rate')}, {r4('avg(delivery_days)', 'avg_delivery_days')}
 FROM fact GROUP BY 1""")
 def _agg_monthly(c: Ctx):
-    return marts.agg_monthly_trend(c.fact)
+    return marts.agg_monthly_trend(c.facts(*marts.MONTHLY_COLS))
 
 
 @register("agg_cohort_performance", f"""
@@ -251,7 +255,7 @@ SELECT seller_cohort, CAST(count(DISTINCT seller_id) AS BIGINT) AS seller_count,
   {r4('avg(is_late)', 'late_rate')}, {r4('avg(delivery_days)', 'avg_delivery_days')}
 FROM fact WHERE seller_cohort IS NOT NULL GROUP BY seller_cohort""")
 def _agg_cohort(c: Ctx):
-    return marts.agg_cohort_performance(c.fact)
+    return marts.agg_cohort_performance(c.facts(*marts.COHORT_COLS))
 
 
 @register("kpi_summary", """
@@ -279,7 +283,7 @@ FROM (
     CASE WHEN processing >= 80 THEN '✅' ELSE '❌' END, '%' FROM v) k""")
 def _kpi_summary(c: Ctx):
     """Five KPIs with target, displayed operator and status."""
-    return kpi.kpi_summary(c.fact, CFG)
+    return kpi.kpi_summary(c.facts(*kpi.KPI_COLS, reuse=True), CFG)
 
 
 # =================================================================== notebook breakdowns
@@ -1025,7 +1029,7 @@ def _model(c: Ctx, kind: str):
     """Fitted pipelines are reused within a session (training is the cost)."""
     key = (_session_key(c.spark), c.sf_dir, kind)
     if key not in _MODELS:
-        rows = R.ml_features(c.fact)
+        rows = R.ml_features(c.facts(*R.FACT_COLS))
         if kind == "boosted_all":
             _MODELS[key] = R.train_boosted(rows, CFG)
         else:
@@ -1036,18 +1040,18 @@ def _model(c: Ctx, kind: str):
 
 
 def _test_rows(c: Ctx):
-    return R.stratified_split(R.ml_features(c.fact), CFG.test_fraction, CFG.seed)[1]
+    return R.stratified_split(R.ml_features(c.facts(*R.FACT_COLS)), CFG.test_fraction, CFG.seed)[1]
 
 
 @register("fact_late_risk")
 def _fact_late_risk(c: Ctx):
     """Boosted model fitted on all feature rows, scoring the same rows."""
-    return R.fact_late_risk(c.fact, CFG, _model(c, "boosted_all"))
+    return R.fact_late_risk(c.facts(*R.FACT_COLS), CFG, _model(c, "boosted_all"))
 
 
 @register("risk_distribution")
 def _risk_dist(c: Ctx):
-    return R.risk_distribution(R.fact_late_risk(c.fact, CFG, _model(c, "boosted_all")))
+    return R.risk_distribution(R.fact_late_risk(c.facts(*R.FACT_COLS), CFG, _model(c, "boosted_all")))
 
 
 @register("stratified_split", f"""
@@ -1065,7 +1069,7 @@ SELECT CAST(sum(n) AS BIGINT) AS n, split FROM (
 GROUP BY split""")
 def _split(c: Ctx):
     """Sizes of the stratified 80/20 split (per-class exact proportions)."""
-    tr, te = R.stratified_split(R.ml_features(c.fact).distinct(), CFG.test_fraction, CFG.seed)
+    tr, te = R.stratified_split(R.ml_features(c.facts(*R.FACT_COLS)).distinct(), CFG.test_fraction, CFG.seed)
     return R.split_report(tr, te).select(F.col("n").cast("long").alias("n"), "split")
 
 
@@ -1104,20 +1108,20 @@ def _top_features(c: Ctx):
 @register("chi2_risk_pair")
 def _chi2_risk(c: Ctx):
     """High vs Low risk on all rows, scored by the model of the training split."""
-    return ST.chi2_risk_pair(R.score_risk(_model(c, "boosted"), R.ml_features(c.fact)))
+    return ST.chi2_risk_pair(R.score_risk(_model(c, "boosted"), R.ml_features(c.facts(*R.FACT_COLS))))
 
 
 @register("attribution")
 def _attribution(c: Ctx):
     """Exact single-baseline Shapley contributions of all rows."""
-    return R.attribution(_model(c, "boosted"), R.ml_features(c.fact))
+    return R.attribution(_model(c, "boosted"), R.ml_features(c.facts(*R.FACT_COLS)))
 
 
 @register("attribution_row")
 def _attribution_row(c: Ctx):
     """Contributions and decoded values of one order (smallest id), against
     the baseline of all rows."""
-    rows = R.ml_features(c.fact)
+    rows = R.ml_features(c.facts(*R.FACT_COLS))
     pick = rows.agg(F.min("order_id").alias("order_id"))
     contrib = R.attribution(_model(c, "boosted"), rows.join(pick, "order_id"), R.baseline_row(rows))
     return R.attribution_row(contrib, rows, pick)
@@ -1125,7 +1129,7 @@ def _attribution_row(c: Ctx):
 
 @register("attribution_global")
 def _attribution_global(c: Ctx):
-    return R.attribution_global(R.attribution(_model(c, "boosted"), R.ml_features(c.fact)))
+    return R.attribution_global(R.attribution(_model(c, "boosted"), R.ml_features(c.facts(*R.FACT_COLS))))
 
 
 # =================================================================== quality
@@ -1180,7 +1184,7 @@ SELECT * FROM (
 ) e""")
 def _expectations(c: Ctx):
     """The nine expectations on the fact (nulls skipped in set/range tests)."""
-    return Q.run_checks({"fact_deliveries": c.fact}, Q.expectations(CFG))
+    return Q.run_checks({"fact_deliveries": c.facts(*Q.EXPECTED_COLS)}, Q.expectations(CFG))
 
 
 @register("quality_hard_checks")
@@ -1319,7 +1323,7 @@ SELECT {r4('avg(actual_vs_est_ratio)', 'mean_ratio')},
 FROM fact WHERE actual_vs_est_ratio IS NOT NULL""")
 def _kpi_sla_range(c: Ctx):
     """SLA variant: share of ratios in [0.8, 1.0] (pipeline fact)."""
-    return kpi.kpi_sla_in_range(c.fact, CFG)
+    return kpi.kpi_sla_in_range(c.facts("actual_vs_est_ratio"), CFG)
 
 
 @register("kpi_seller_strict", f"""
@@ -1372,18 +1376,18 @@ SELECT round(on_time, 4) AS on_time, round(breach, 4) AS breach, round(sla, 4) A
   round(late_revenue, 4) AS late_revenue, chronic_sellers FROM v CROSS JOIN s CROSS JOIN ch""")
 def _dash_headline(c: Ctx):
     """KPI actuals, late orders, late revenue, chronic seller count."""
-    return DS.dash_headline(c.fact, CFG)
+    return DS.dash_headline(c.facts(*kpi.KPI_COLS, "price", reuse=True), CFG)
 
 
 @register("dash_chronic_list", "SELECT * FROM (" + _SELLER_ALL_SQL + ") a WHERE is_chronic = 1")
 def _dash_chronic(c: Ctx):
-    return DS.dash_chronic_list(c.fact, CFG)
+    return DS.dash_chronic_list(c.facts(*marts.SELLER_COLS), CFG)
 
 
 @register("dash_seller_categories", f"""
 SELECT seller_class, CAST(count(*) AS BIGINT) AS n_sellers FROM {_SELLER_CLASS} s GROUP BY seller_class""")
 def _dash_categories(c: Ctx):
-    return DS.dash_seller_categories(c.fact, CFG)
+    return DS.dash_seller_categories(c.facts(*marts.RATE_COLS), CFG)
 
 
 @register("dash_seller_class_by_state", f"""
@@ -1391,14 +1395,14 @@ SELECT seller_class, customer_state, CAST(count(*) AS BIGINT) AS n_rows, {r4('av
 FROM fact JOIN {_SELLER_CLASS} s USING (seller_id) WHERE customer_state IS NOT NULL
 GROUP BY seller_class, customer_state""")
 def _dash_class_state(c: Ctx):
-    return DS.dash_seller_class_by_state(c.fact, CFG)
+    return DS.dash_seller_class_by_state(c.facts(*marts.RATE_COLS, "customer_state", reuse=True), CFG)
 
 
 @register("dash_freight", f"""
 SELECT freight_bucket, CAST(count(*) AS BIGINT) AS n_rows, {r4('avg(is_late)', 'late_rate')}
 FROM fact WHERE freight_bucket IS NOT NULL GROUP BY freight_bucket""")
 def _dash_freight(c: Ctx):
-    return DS.dash_freight(c.fact)
+    return DS.dash_freight(c.facts("is_late", "freight_bucket"))
 
 
 @register("dash_category_revenue_at_risk", """
@@ -1407,14 +1411,14 @@ SELECT product_category_name_en,
   CAST(count_if(is_late = 1) AS BIGINT) AS late_rows
 FROM fact GROUP BY product_category_name_en""")
 def _dash_cat_rev(c: Ctx):
-    return DS.dash_category_revenue_at_risk(c.fact)
+    return DS.dash_category_revenue_at_risk(c.facts("is_late", "price", "product_category_name_en"))
 
 
 @register("dash_reviews", f"""
 SELECT is_late, {r4('avg(review_score)', 'mean_score')}, CAST(count(*) AS BIGINT) AS n_rows
 FROM fact GROUP BY is_late""")
 def _dash_reviews(c: Ctx):
-    return DS.dash_reviews(c.fact)
+    return DS.dash_reviews(c.facts("is_late", "review_score"))
 
 
 # =================================================================== enriched rows, filters, joins
@@ -1545,7 +1549,7 @@ SELECT freight_bucket, CAST(count(*) AS BIGINT) AS n, round(count(*) * 1.0 / sum
 FROM fact GROUP BY freight_bucket""")
 def _normalised(c: Ctx):
     """Share of fact rows per freight bucket (value_counts normalised)."""
-    return B.normalised_counts(c.fact, "freight_bucket")
+    return B.normalised_counts(c.facts("freight_bucket"), "freight_bucket")
 
 
 @register("limit_n", f"""
@@ -1605,7 +1609,7 @@ SELECT round(avg(1 - is_late) * 100, 4) AS on_time, round(avg(CAST(coalesce(days
 FROM fact""")
 def _kpi_components(c: Ctx):
     """The five KPI actuals, unrounded (kpi_on_time ... kpi_processing)."""
-    return kpi.kpi_values(c.fact, CFG)
+    return kpi.kpi_values(c.facts(*kpi.KPI_COLS, reuse=True), CFG)
 
 
 @register("kpi_sla_variants", f"""
@@ -1617,4 +1621,4 @@ SELECT {r4('avg(actual_vs_est_ratio)', 'mean_ratio')},
 FROM fact WHERE actual_vs_est_ratio IS NOT NULL""")
 def _kpi_sla_variants(c: Ctx):
     """Pipeline, notebook and README rules of the SLA KPI in one row."""
-    return kpi.kpi_sla_variants(c.fact, CFG)
+    return kpi.kpi_sla_variants(c.facts("actual_vs_est_ratio"), CFG)

@@ -32,10 +32,7 @@ class RunResult:
 
 def build_outputs(tables: Tables, cfg: Config = DEFAULT_CONFIG, with_model: bool = True,
                   checkpoint: bool = True) -> dict[str, DataFrame]:
-    base = FT.fact_base(tables, cfg)
-    if checkpoint:
-        base = staged(base, "fact-base")
-    fact = FT.fact_deliveries(tables, cfg, base=base)
+    fact = FT.fact_deliveries(tables, cfg, materialize=checkpoint)
     if checkpoint:
         fact = staged(fact, "fact")
     out = {

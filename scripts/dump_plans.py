@@ -37,12 +37,13 @@ def tree(df) -> str:
 def main():
     spark = get_session("local[8]", 8)
     t = Qm._tables(spark, SF)
-    base = FT.fact_base(t, CFG)
-    fact = FT.fact_deliveries(t, CFG)  # checkpointed base underneath
+    base = FT.fact_grain(t, CFG)
+    fact = FT.fact_deliveries(t, CFG)  # the staged grain underneath
     items = {
-        "fact_base (joins before the checkpoint)": base,
-        "agg_seller_performance (on the checkpointed fact)": marts.agg_seller_performance(fact, CFG),
-        "freight quintiles (distributed exact quantile)": quantiles.exact_quantiles(
+        "fact_grain (joins before staging)": base,
+        "agg_seller_performance (on the staged grain)": marts.agg_seller_performance(fact, CFG),
+        "agg_regional_stats (no items, sellers, products or ranks)": Qm.QUERIES["agg_regional_stats"](spark, SF),
+        "freight quintiles (selection by refinement)": quantiles.exact_quantiles(
             fact, "freight_value", [0.2, 0.4, 0.6, 0.8]),
         "hard checks of the fact (one aggregate)": Q.run_checks(
             {"fact_deliveries": fact}, [c for c in Q.hard_checks(CFG) if c.table == "fact_deliveries"]),
@@ -54,10 +55,8 @@ def main():
            "adapter (a CASE over `o_orderstatus`), so no status filter reaches the orders scan; on real "
            "sources with an `order_status` column it is pushed down (asserted in "
            "`tests/test_plans.py::test_status_filter_pushed_and_columns_pruned`). The fact query reads "
-           "the checkpointed fact (`Scan ExistingRDD`); one-row statistics appear as `Subquery` nodes "
-           "(scalar subqueries), not joins. In `fact_base`, lineitem is read twice on purpose: once for "
-           "the per-order first seller/product and sums, once (two columns only) for the per-seller "
-           "cohort over all items of kept orders; the two need different groupings.\n"]
+           "the staged grain (Parquet below the checkpoint folder); one-row statistics appear as `Subquery` "
+           "nodes (scalar subqueries), not joins. `fact_grain` reads orders and lineitem once each.\n"]
     for name, df in items.items():
         out.append(f"## {name}\n\n```\n{tree(df)}\n```\n")
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "PLANS.md")

@@ -84,3 +84,32 @@ def test_chronic_and_new_problem_s30(spark):
                       ((F.col("total_orders") < 20) & (F.col("late_rate") == 1.0)).cast("int").alias("np"))
     got = {r.seller_id: (r.ch, r.np) for r in flags.collect()}
     assert got == {"a": (0, 0), "b": (1, 0), "c": (0, 0), "d": (0, 1), "e": (1, 0)}
+
+
+def test_pruned_facts_equal_the_whole_one(spark):
+    from collections import Counter
+
+    from lateline.config import SYNTHETIC_CONFIG as SYN
+    from lateline.sources.synthetic import synthetic_tables
+    from fulfilment_fixtures import SF0001
+    t = synthetic_tables(spark, SF0001)
+    whole = FT.fact_deliveries(t, SYN).persist()
+    for cols in (tuple(c for c in marts.SELLER_COLS if c != "price"), marts.REGIONAL_COLS, marts.COHORT_COLS, ("freight_bucket",), ("product_category_name_en", "product_id"),
+                 ("order_id", "review_score"), ("seller_state",)):
+        part = FT.fact_deliveries(t, SYN, columns=cols)
+        assert part.columns == [c for c in whole.columns if c in cols]
+        assert Counter(map(tuple, part.collect())) == Counter(map(tuple, whole.select(*part.columns).collect())), cols
+
+
+def test_orders_without_items_skip_the_item_joins(spark):
+    # a third of all orders has no item: their null keys must not meet in one task
+    orders = [order(f"o{i}", "2017-01-01 10:00", "2017-01-01 11:00", "2017-01-02 10:00", "2017-01-05 10:00", "2017-01-10 00:00") for i in range(90)]
+    items = [(f"o{i}", 1, f"p{i % 4}", f"s{i % 7}", 10.0, float(i)) for i in range(90) if i % 3]
+    t = make_tables(spark, orders, items, sellers=[(f"s{i}", 1, "city", "SP") for i in range(7)], customers=[("c1", "u1", 1, "city", "RJ")],
+                    products=[(f"p{i}", "cat", 1.0, 1.0, 1.0, 1.0) for i in range(4)], cat_trans=[("cat", "category")])
+    f = FT.fact_deliveries(t, DEFAULT_CONFIG)
+    got = f.select("order_id", "seller_id", "seller_state", "seller_cohort", "product_category_name_en", "customer_state").collect()
+    assert len(got) == 90
+    bare = [r for r in got if r.seller_id is None]
+    assert len(bare) == 30 and all((r.seller_state, r.seller_cohort, r.product_category_name_en, r.customer_state) == (None, None, "unknown", "RJ") for r in bare)
+    assert all((r.seller_state, r.seller_cohort, r.product_category_name_en) == ("SP", "2017Q1", "category") for r in got if r.seller_id)

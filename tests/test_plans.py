@@ -87,3 +87,37 @@ def test_one_row_statistics_are_subqueries_not_joins(spark):
     p = _plan(f)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "Subquery" in p or "subquery" in p
+
+
+def test_regional_mart_has_only_the_joins_it_needs(spark):
+    """No items, sellers, products or freight ranks, and nothing is staged."""
+    from lateline.plans.queries import QUERIES
+    p = _plan(QUERIES["agg_regional_stats"](spark, SF0001))
+    assert "lineitem" not in p and "supplier" not in p and "part.parquet" not in p and "percentile" not in p and "fact-grain" not in p
+
+
+def test_grain_reads_orders_and_items_once(spark):
+    t = synthetic_tables(spark, SF0001)
+    p = _plan(FT.fact_grain(t, CFG))
+    assert p.count("FileScan parquet [l_") == 1
+    # the adapter derives the reviews from the orders' keys; the orders themselves are read once
+    assert sum("o_custkey" in x.split("]")[0] for x in p.split("FileScan parquet [")[1:]) == 1
+
+
+def test_null_item_keys_skip_the_exchange(spark):
+    """The branch of rows without items has no join on sellers or products."""
+    p = _plan(FT.fact_deliveries(synthetic_tables(spark, SF0001), CFG))
+    assert "Union" in p and "isnull(seller_id" in p.replace(" ", "") and "isnull(product_id" in p.replace(" ", "")
+
+
+def test_quantiles_copy_no_row_and_plan_without_a_job(spark):
+    """Five scans (a sketch, two rounds of counts and of bracketed values), no
+    row expanded for a column, and no Spark job before the action."""
+    from lateline.operators import breakdowns as B, enrich
+    nb = enrich.notebook_orders(synthetic_tables(spark, SF0001).orders)
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    df = B.describe_columns(nb, B.STAGES)
+    p = _plan(df)
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert "Expand" not in p and "Window" not in p and "Exchange rangepartitioning" not in p
