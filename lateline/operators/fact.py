@@ -189,5 +189,9 @@ def fact_deliveries(tables: Tables, cfg: Config = DEFAULT_CONFIG, base: DataFram
             grain, staged_grain = staged(grain.select(*[c for c in grain.columns if c in kept | {"review_score"}]), "fact-grain"), True
     fact = with_dimensions(grain, tables, need, split=staged_grain)
     if "freight_bucket" in need:
-        fact = add_freight_bucket(fact, freight_bucket_edges(grain))
+        edges = freight_bucket_edges(grain)
+        if staged_grain:  # four numbers of a table that is written already
+            row = edges.first()
+            edges = edges.sparkSession.range(1).select(*[F.lit(row[c] if row else None).cast("double").alias(c) for c in edges.columns])
+        fact = add_freight_bucket(fact, edges)
     return fact.select(*[c for c in schemas.FACT_COLS if c in need])

@@ -132,12 +132,12 @@ def stratified_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42):
     (1 - test_fraction) quantile of hashes train; the rest test.  Exact
     proportions per class; membership differs from the reference's shuffle."""
     h = df.withColumn("_h", split_hash(seed).cast("double"))
-    cuts = select_quantiles(h, {f"c{y}": (F.when(F.col("is_late") == y, F.col("_h")), {f"_cut{y}": 1.0 - test_fraction})
-                                for y in (0, 1)}).select("_cut0", "_cut1")
-    j = with_scalars(h, cuts)
-    cut = F.when(F.col("is_late") == 1, F.col("_cut1")).when(F.col("is_late") == 0, F.col("_cut0"))
-    train = j.where(F.col("_h") <= cut).select(*df.columns)
-    test = j.where(F.col("_h") > cut).select(*df.columns)
+    cuts = select_quantiles(h, {f"c{y}": (F.when(F.col("is_late") == y, F.col("_h")), {f"_cut{y}": 1.0 - test_fraction}) for y in (0, 1)})
+    # two rows, one per class
+    cut = cuts.select(F.inline(F.array(*[F.struct(F.lit(y).alias("is_late"), F.col(f"_cut{y}").alias("_cut")) for y in (0, 1)])))
+    j = h.join(F.broadcast(cut), "is_late")
+    train = j.where(F.col("_h") <= F.col("_cut")).select(*df.columns)
+    test = j.where(F.col("_h") > F.col("_cut")).select(*df.columns)
     return train, test
 
 
