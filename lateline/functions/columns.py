@@ -17,7 +17,7 @@ __all__ = [
     "month_name", "day_name", "weekend_flag", "weekend_label", "time_period",
     "time_period_ord", "fill_unknown", "translate_category", "percent",
     "hours_to_days", "short_id", "recommended_days", "status_mark", "round4",
-    "money", "scalars", "with_scalars",
+    "money", "scalars", "with_scalars", "erfc_sql",
 ]
 
 
@@ -162,6 +162,21 @@ def with_scalars(df, one_row):
     return df.withColumn("__row", row).select(*kept, *[F.col("__row").getField(c).alias(c) for c in one_row.columns])
 
 
+def erfc_sql(x: str, terms: int = 60) -> str:
+    """The complementary error function of a column x >= 0, as an expression
+    that Spark and other SQL engines read alike: a power series of positive
+    terms below 2.5, where it loses no digits, a continued fraction beyond."""
+    series = "1"
+    for k in range(terms, 0, -1):
+        series = f"(1 + 2 * {x} * {x} / {2 * k + 1} * {series})"
+    fraction = x
+    for k in range(terms, 0, -1):
+        fraction = f"({x} + {k / 2} / {fraction})"
+    root = "sqrt(pi())"
+    return (f"CASE WHEN {x} < 2.5 THEN 1 - 2 / {root} * exp(-{x} * {x}) * {x} * {series} "
+            f"ELSE exp(-{x} * {x}) / {root} / {fraction} END")
+
+
 def money(c) -> Column:
     """Exact money: cents as decimal so summation order cannot matter."""
     return col_of(c).cast("decimal(18,2)")

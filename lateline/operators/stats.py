@@ -8,13 +8,10 @@ handful of rows.  Quantiles use the distributed exact operator
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lateline.config import DEFAULT_CONFIG, Config
 from lateline.functions import columns as C
@@ -148,13 +145,6 @@ def five_number_summary(df: DataFrame, col: str, by: Sequence[str] = ()) -> Data
 
 
 # ------------------------------------------------------------------ chi-square
-@F.pandas_udf(T.DoubleType())
-def _chi2_sf_dof1(x: pd.Series) -> pd.Series:
-    """Survival function of chi-square with one degree of freedom,
-    ``erfc(sqrt(x / 2))``; applied to the one-row test result only."""
-    return x.map(lambda v: float("nan") if pd.isna(v) else math.erfc(math.sqrt(max(v, 0.0) / 2.0)))
-
-
 def chi2_from_counts(counts: DataFrame) -> DataFrame:
     """Columns a, b (row 1: negatives, positives), c, d (row 2) -> Yates chi2
     for a 2x2 table, dof 1, expected counts, p-value and verdict (p < .05)."""
@@ -169,7 +159,8 @@ def chi2_from_counts(counts: DataFrame) -> DataFrame:
         "*", chi2.alias("chi2"), F.lit(1).alias("dof"),
         (r1 * c1 / nz).alias("exp_a"), (r1 * c2 / nz).alias("exp_b"),
         (r2 * c1 / nz).alias("exp_c"), (r2 * c2 / nz).alias("exp_d"))
-    return (out.withColumn("p_value", _chi2_sf_dof1(F.col("chi2")))
+    # one degree of freedom: the upper tail is erfc(sqrt(chi2 / 2))
+    return (out.withColumn("_x", F.sqrt(F.col("chi2") / 2)).withColumn("p_value", F.expr(C.erfc_sql("_x"))).drop("_x")
             .withColumn("significant", (F.col("p_value") < 0.05).cast("int")))
 
 

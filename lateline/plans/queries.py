@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateline.config import SYNTHETIC_CONFIG as CFG
+from lateline.functions import columns as C
 from lateline.operators import breakdowns as B
 from lateline.operators import enrich, fact as FT, kpi, marts
 from lateline.oracle_sql import q
@@ -830,9 +831,6 @@ def _five(c: Ctx):
             .unionByName(days.select(F.lit("delivery_days").alias("chart"), "*")))
 
 
-CHI2_CRIT_DOF1 = 3.841458820694124  # chi-square(1) quantile at 0.95: p < .05 <=> chi2 > this
-
-
 def _chi2_sql(counts_sql: str) -> str:
     return f"""
 WITH t AS ({counts_sql}),
@@ -840,12 +838,14 @@ z AS (SELECT *, CAST(a AS DOUBLE) + b + c + d AS n, CAST(a AS DOUBLE) + b AS r1,
              CAST(a AS DOUBLE) + c AS c1, CAST(b AS DOUBLE) + d AS c2 FROM t),
 y AS (SELECT *, CASE WHEN r1 * r2 * c1 * c2 > 0 THEN
         n * pow(greatest(abs(CAST(a AS DOUBLE) * d - CAST(b AS DOUBLE) * c) - n / 2, 0), 2) / (r1 * r2 * c1 * c2) END AS chi2
-      FROM z)
+      FROM z),
+x AS (SELECT *, sqrt(chi2 / 2) AS root FROM y),
+w AS (SELECT *, {C.erfc_sql('root')} AS p FROM x)
 SELECT CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b, CAST(c AS BIGINT) AS c, CAST(d AS BIGINT) AS d,
   round(chi2, 4) AS chi2, 1 AS dof, round(r1 * c1 / n, 4) AS exp_a, round(r1 * c2 / n, 4) AS exp_b,
   round(r2 * c1 / n, 4) AS exp_c, round(r2 * c2 / n, 4) AS exp_d,
-  CAST(chi2 > {CHI2_CRIT_DOF1} AS INTEGER) AS significant
-FROM y"""
+  round(p, 4) AS p_value, CAST(p < 0.05 AS INTEGER) AS significant
+FROM w"""
 
 
 def _late_counts(src: str, g: str, x: str, y: str) -> str:
@@ -853,22 +853,17 @@ def _late_counts(src: str, g: str, x: str, y: str) -> str:
             f"count_if({g} = {y} AND is_late = 0) AS c, count_if({g} = {y} AND is_late = 1) AS d FROM {src}")
 
 
-def _chi2_view(df: DataFrame) -> DataFrame:
-    # p-value is in the operator; the twin checks chi2 and the verdict
-    return df.drop("p_value")
-
-
 @register("chi2_state_pair", _chi2_sql(_late_counts(_STATE_SQL + " s", "customer_state",
                                                     "'NATION_0'", "'NATION_1'")))
 def _chi2_state(c: Ctx):
     """Yates chi-square, late vs on time, for two customer states."""
-    return _chi2_view(ST.chi2_state_pair(c.oc, "NATION_0", "NATION_1"))
+    return ST.chi2_state_pair(c.oc, "NATION_0", "NATION_1")
 
 
 @register("chi2_month_pair", _chi2_sql(_late_counts("nb", "purchase_month", "3", "6")))
 def _chi2_month(c: Ctx):
     """March vs June."""
-    return _chi2_view(ST.chi2_month_pair(c.nb, 3, 6))
+    return ST.chi2_month_pair(c.nb, 3, 6)
 
 
 @register("chi2_chronic_normal", _chi2_sql(f"""
@@ -880,7 +875,7 @@ FROM (SELECT seller_id, count(DISTINCT order_id) AS total_orders, avg(is_late) A
       FROM {_OI} oi GROUP BY seller_id) s WHERE total_orders >= 95"""))
 def _chi2_chronic(c: Ctx):
     """Chronic vs normal active sellers (late counts rebuilt from rates)."""
-    return _chi2_view(ST.chi2_chronic_normal(B.seller_perf_items(c.oi), CFG))
+    return ST.chi2_chronic_normal(B.seller_perf_items(c.oi), CFG)
 
 
 @register("chi2_freight_pair", _chi2_sql(_late_counts(f"""(SELECT {_qcut('l')} AS freight_bucket, is_late
@@ -888,7 +883,7 @@ def _chi2_chronic(c: Ctx):
                                FROM {_OF} o2) q) b""", "freight_bucket", "'Sangat murah'", "'Sangat mahal'")))
 def _chi2_freight(c: Ctx):
     """Cheapest vs dearest order-freight quintile."""
-    return _chi2_view(ST.chi2_freight_pair(B.freight_qcut(B.order_freight(c.oi))))
+    return ST.chi2_freight_pair(B.freight_qcut(B.order_freight(c.oi)))
 
 
 @register("sample_fixed")

@@ -1,5 +1,5 @@
 """The weekly job: sources -> enrichment -> fact -> marts, KPIs, risk ->
-quality gate -> staged publish -> quality report.
+quality gate -> publish a whole version -> quality report.
 
 Checks run **before** publishing: a failed gate publishes nothing and the
 previous tables stay in place.  The fact, the marts and the risk scores are
@@ -73,7 +73,7 @@ def run_weekly(spark: SparkSession, tables: Tables, out_dir: str, cfg: Config =
         W.report_retention(spark, report_dir, cfg.dq_report_keep_weeks)
     if failed is not None and enforce_gate:
         raise failed
-    counts = W.publish(outputs, out_dir, run_id)
+    counts = W.publish_run(outputs, out_dir, run_id)
     return RunResult(run_id, week, counts, [r.asDict() for r in (local.collect() if local else [])])
 
 

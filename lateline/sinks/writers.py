@@ -4,11 +4,13 @@
   missing column), ``stringify_codes`` for zip/prefix columns;
 * ``write_snapshot`` / ``write_latest`` -- the extract's versioned lake copy
   (partition ``snapshot_ts``) and its latest copy;
-* ``publish``          -- write every table to a staging folder, then swap
-  folders and put all of them back if one swap fails, so a failed run leaves
-  the previous publication in place.  Readers may see a mixed set while the
-  folders move; on object stores, where a move is a copy, publish to a run
-  folder and switch table locations instead;
+* ``publish_run``      -- write every table below a folder of the run, then one
+  small manifest file that names them all.  ``read_published`` resolves the
+  newest manifest, so a reader has one whole version whatever fails, nothing
+  large is moved, and the version before stays readable;
+* ``publish``          -- the same tables at fixed paths: a staging folder, then
+  swapped folders, all put back if one swap fails.  Readers may see a mixed
+  set while the folders move;
 * ``write_fact``       -- fact partitioned by purchase month and sorted by
   order id inside each file; range partitioning on (month, order_id) keeps
   tasks of even size instead of one task per month;
@@ -20,6 +22,9 @@ they work on any cluster store Spark can write to.
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +32,7 @@ from pyspark.sql import types as T
 from lateline import schemas
 
 __all__ = ["enforce_schema", "stringify_codes", "write_snapshot", "write_latest", "write_table",
-           "write_fact", "publish", "append_report", "report_retention", "report_summary",
+           "write_fact", "publish", "publish_run", "published", "read_published", "append_report", "report_retention", "report_summary",
            "counted"]
 
 
@@ -51,7 +56,22 @@ def write_snapshot(df: DataFrame, path: str, snapshot_ts: str) -> None:
 
 
 def write_latest(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """The new copy is written beside the old one and takes its place when it
+    is complete; a failed write or move leaves the old copy."""
+    spark = df.sparkSession
+    fs, final, jvm = _fs(spark, path)
+    side = lambda kind: jvm.org.apache.hadoop.fs.Path(final.getParent(), f"_{kind}-{final.getName()}-{uuid.uuid4().hex}")
+    new, old = side("next"), side("old")
+    df.write.parquet(new.toString())
+    had = fs.exists(final)
+    if had and not fs.rename(final, old):
+        raise RuntimeError(f"move failed: {path}")
+    if not fs.rename(new, final):
+        if had:
+            fs.rename(old, final)
+        raise RuntimeError(f"move failed: {new.toString()} -> {path}")
+    if had:
+        fs.delete(old, True)
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -87,6 +107,74 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def _write_all(tables: dict[str, DataFrame], folder: str, enforce: bool) -> dict[str, Observation]:
+    obs = {}
+    for name, df in tables.items():
+        if enforce and name in schemas.OUTPUTS:
+            df = enforce_schema(stringify_codes(df), schemas.OUTPUTS[name])
+        if name == "fact_deliveries":
+            obs[name] = write_fact(df, f"{folder}/{name}")
+        else:
+            obs[name] = write_table(df, f"{folder}/{name}", schemas.SORT_KEYS.get(name, ()))
+    return obs
+
+
+def _manifests(spark: SparkSession, out_dir: str) -> list[str]:
+    fs, p, _ = _fs(spark, f"{out_dir}/_manifests")
+    if not fs.exists(p):
+        return []
+    return sorted(x for x in (st.getPath().getName() for st in fs.listStatus(p)) if x.endswith(".json") and x[0].isdigit())
+
+
+def publish_run(tables: dict[str, DataFrame], out_dir: str, run_id: str, keep: int = 2, enforce: bool = True) -> dict[str, int]:
+    """Write all tables below ``<out>/runs/<run_id>-<attempt>``, then make them
+    the published version by one move of a small manifest file, which the file
+    system does whole or not at all.  The newest ``keep`` versions stay.
+    Returns row counts observed during the writes."""
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    out_dir = out_dir.rstrip("/")
+    run = f"runs/{run_id}-{uuid.uuid4().hex[:8]}"
+    rows = {k: int(o.get.get("rows", 0)) for k, o in _write_all(tables, f"{out_dir}/{run}", enforce).items()}
+    fs, _, jvm = _fs(spark, out_dir)
+    Path = jvm.org.apache.hadoop.fs.Path
+    last = _manifests(spark, out_dir)
+    number = int(last[-1].split("-")[0]) + 1 if last else 1
+    part = Path(f"{out_dir}/_manifests/part-{uuid.uuid4().hex}")
+    stream = fs.create(part, False)
+    stream.writeBytes(json.dumps({"run_id": run_id, "tables": {n: {"path": f"{run}/{n}", "rows": rows[n]} for n in tables}}))
+    stream.close()
+    final = Path(f"{out_dir}/_manifests/{number:012d}-{run_id}.json")
+    if fs.exists(final) or not fs.rename(part, final):
+        raise RuntimeError(f"could not commit {final.toString()}")
+    for name in _manifests(spark, out_dir)[:-keep]:
+        old = _manifest(spark, out_dir, name)
+        fs.delete(Path(f"{out_dir}/_manifests/{name}"), False)  # no reader can find the version any more
+        for folder in {t["path"].rsplit("/", 1)[0] for t in old["tables"].values()}:
+            fs.delete(Path(f"{out_dir}/{folder}"), True)
+    return rows
+
+
+def _manifest(spark: SparkSession, out_dir: str, name: str) -> dict:
+    return json.loads(spark.read.text(f"{out_dir}/_manifests/{name}", wholetext=True).first()[0])
+
+
+def published(spark: SparkSession, out_dir: str, back: int = 0) -> dict | None:
+    """The manifest of the newest version, or of one ``back`` versions before."""
+    names = _manifests(spark, out_dir.rstrip("/"))
+    return _manifest(spark, out_dir.rstrip("/"), names[-1 - back]) if len(names) > back else None
+
+
+def read_published(spark: SparkSession, out_dir: str, table: str, back: int = 0) -> DataFrame:
+    """A table of the newest whole version; all tables of one ``published()``
+    manifest belong together."""
+    m = published(spark, out_dir, back)
+    if m is None or table not in m["tables"]:
+        raise ValueError(f"{table} is not published in {out_dir}")
+    return spark.read.parquet(f"{out_dir.rstrip('/')}/{m['tables'][table]['path']}")
+
+
 def publish(tables: dict[str, DataFrame], out_dir: str, run_id: str,
             enforce: bool = True) -> dict[str, int]:
     """Write all tables to ``<out>/_staging/<run_id>``, then swap each folder
@@ -96,14 +184,7 @@ def publish(tables: dict[str, DataFrame], out_dir: str, run_id: str,
         return {}
     spark = next(iter(tables.values())).sparkSession
     stage = f"{out_dir.rstrip('/')}/_staging/{run_id}"
-    obs = {}
-    for name, df in tables.items():
-        if enforce and name in schemas.OUTPUTS:
-            df = enforce_schema(stringify_codes(df), schemas.OUTPUTS[name])
-        if name == "fact_deliveries":
-            obs[name] = write_fact(df, f"{stage}/{name}")
-        else:
-            obs[name] = write_table(df, f"{stage}/{name}", schemas.SORT_KEYS.get(name, ()))
+    obs = _write_all(tables, stage, enforce)
     swap_all(spark, list(tables), stage, out_dir)
     return {k: int(o.get.get("rows", 0)) for k, o in obs.items()}
 

@@ -2,6 +2,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from lateline import schemas
 from lateline.sinks import writers as W
@@ -102,3 +103,66 @@ def test_failed_swap_puts_all_tables_back(spark, monkeypatch):
     with pytest.raises(RuntimeError):
         W.publish({n: spark.range(5).toDF("x") for n in ("a", "b", "c")}, d, "r2")
     assert [spark.read.parquet(f"{d}/{n}").count() for n in ("a", "b", "c")] == [1, 1, 1]
+
+
+@pytest.mark.parametrize("broken", ["table", "manifest", "move", "retention"])
+def test_reader_has_one_whole_version_whatever_fails(spark, monkeypatch, broken):
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    names = ("a", "b", "c")
+    version = lambda n: {x: spark.range(n).toDF("x") for x in names}
+    for n in (1, 2):
+        W.publish_run(version(n), d, f"r{n}")
+    real_fs = W._fs
+
+    class Flaky:
+        """A file system that fails at one step."""
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, k):
+            return getattr(self.fs, k)
+
+        def create(self, p, over):
+            if broken == "manifest":
+                raise OSError("no space")
+            return self.fs.create(p, over)
+
+        def rename(self, a, b):
+            return False if broken == "move" else self.fs.rename(a, b)
+
+        def delete(self, p, deep):
+            if broken == "retention":
+                raise OSError("gone")
+            return self.fs.delete(p, deep)
+
+    tables = version(3)
+    if broken == "table":
+        tables["c"] = tables["c"].select(F.assert_true(F.lit(False)).alias("x"))
+    monkeypatch.setattr(W, "_fs", lambda s, p: (Flaky(real_fs(s, p)[0]), *real_fs(s, p)[1:]))
+    with pytest.raises(Exception):  # noqa: B017
+        W.publish_run(tables, d, "r3")
+    monkeypatch.undo()
+    want = 3 if broken == "retention" else 2  # the move of the manifest decides
+    assert [W.read_published(spark, d, n).count() for n in names] == [want] * 3
+    W.publish_run(version(4), d, "r4")
+    assert [W.read_published(spark, d, n).count() for n in names] == [4] * 3
+    assert [W.read_published(spark, d, n, back=1).count() for n in names] == [want] * 3
+
+
+def test_old_versions_go(spark):
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    for n in range(4):
+        W.publish_run({"a": spark.range(n).toDF("x")}, d, f"r{n}")
+    assert len(os.listdir(f"{d}/runs")) == 2 and W.published(spark, d)["tables"]["a"]["rows"] == 3
+    with pytest.raises(ValueError):
+        W.read_published(spark, d, "b")
+
+
+def test_failed_write_keeps_the_latest_copy(spark):
+    d = tempfile.mkdtemp(prefix="latest-", dir="/tmp")
+    W.write_latest(spark.range(3).toDF("x"), f"{d}/t")
+    with pytest.raises(Exception):  # noqa: B017
+        W.write_latest(spark.range(5).select(F.assert_true(F.col("id") < 3).alias("x")), f"{d}/t")
+    assert spark.read.parquet(f"{d}/t").count() == 3
+    W.write_latest(spark.range(4).toDF("x"), f"{d}/t")
+    assert spark.read.parquet(f"{d}/t").count() == 4

@@ -1,5 +1,7 @@
 import numpy as np
 import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
 from lateline.operators import stats as ST
 
@@ -49,3 +51,18 @@ def test_empty_inputs_do_not_raise_under_ansi(spark):
     assert PR.table_profile({"t": empty}).first().null_pct is None
     none = spark.createDataFrame([(0.5, 0)], "late_probability double, is_late int")
     assert R.roc_auc_exact(none).first().roc_auc is None
+
+
+def test_native_p_value_matches_published_values(spark):
+    """Upper tail of chi-square with one degree of freedom, from tables to 1e-10."""
+    import math
+
+    from lateline.functions import columns as C
+    xs = [0.0, 1e-8, 0.1, 0.5, 1.0, 1.5, 2.0, 2.4999, 2.5, 2.5001, 3.0, 4.0, 5.0, 8.0]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", F.expr(C.erfc_sql("x")).alias("p")).collect()
+    for r in got:
+        assert r.p == pytest.approx(math.erfc(r.x), rel=1e-10, abs=1e-300)
+    known = {3.841458820694124: 0.05, 6.634896601021213: 0.01, 10.827566170662733: 0.001, 0.45493642311957283: 0.5}
+    df = spark.createDataFrame([(c,) for c in known], "c double").select("c", F.sqrt(F.col("c") / 2).alias("x"))
+    for r in df.select("c", F.expr(C.erfc_sql("x")).alias("p")).collect():
+        assert r.p == pytest.approx(known[r.c], rel=1e-10)
