@@ -1,9 +1,13 @@
 """Per-order lateness risk: features, encoding, weighted tree ensembles,
 scores, evaluation and attribution, all on Spark ML.
 
-* encoding: ``StringIndexer`` with alphabetical codes (S37);
+* encoding: ``StringIndexer`` with alphabetical codes (S37), fed to the trees
+  as ordinal numbers: splits are thresholds, not sets of categories;
 * class weight: negatives / positives on the positive class (boosted),
   ``n / (2 n_c)`` per class (forest, "balanced");
+* fit on sufficient statistics: one row per distinct (features, label) with
+  the sum of its rows' weights, so the fit stops growing once all tuples have
+  been seen; the forest keeps 16 rows a tuple, for its bootstrap to draw from;
 * boosted trees: ``GBTClassifier`` (first-order boosting, so scores are not
   numerically equal to the reference's second-order library; ranking quality
   and repeatability are what is promised);
@@ -22,7 +26,7 @@ import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,29 +51,40 @@ def ml_features(fact: DataFrame) -> DataFrame:
 
 
 def _encoded_names() -> list[str]:
-    return [f"{c}_code" if c in CATEGORICAL else c for c in FEATURES]
+    return [f"{c}_ord" if c in CATEGORICAL else c for c in FEATURES]
+
+
+def grouped_rows(rows: DataFrame, shards: int = 1) -> DataFrame:
+    """Distinct (features, label) with the number ``n`` of their rows.  With
+    ``shards`` each falls into so many parts by a hash of the order."""
+    part = F.pmod(F.xxhash64("order_id"), F.lit(shards)) if shards > 1 else F.lit(0)
+    return rows.groupBy(*FEATURES, "is_late", part.alias("_part")).agg(F.count(F.lit(1)).alias("n")).drop("_part")
 
 
 def with_class_weight(df: DataFrame, mode: str = "positive") -> DataFrame:
     """``positive``: weight neg/pos on positives, 1 on negatives;
-    ``balanced``: n / (2 n_class).  Counts come from one aggregate."""
+    ``balanced``: n / (2 n_class).  Counts come from one aggregate; a grouped
+    row weighs as much as its ``n`` rows."""
     y = F.col("is_late")
-    cnt = df.agg(F.count_if(y == 0).alias("_neg"), F.count_if(y == 1).alias("_pos"))
+    n = F.col("n") if "n" in df.columns else F.lit(1)
+    cnt = df.agg(F.sum(F.when(y == 0, n)).alias("_neg"), F.sum(F.when(y == 1, n)).alias("_pos"))
     j = with_scalars(df, cnt)
-    neg = F.nullif(F.col("_neg").cast("double"), F.lit(0.0))
-    pos = F.nullif(F.col("_pos").cast("double"), F.lit(0.0))
+    neg = F.nullif(F.coalesce(F.col("_neg"), F.lit(0)).cast("double"), F.lit(0.0))
+    pos = F.nullif(F.coalesce(F.col("_pos"), F.lit(0)).cast("double"), F.lit(0.0))
     if mode == "balanced":
         w = F.when(y == 1, (neg + pos) / (2 * pos)).otherwise((neg + pos) / (2 * neg))
     else:
         w = F.when(y == 1, neg / pos).otherwise(F.lit(1.0))
-    return j.withColumn("weight", w).drop("_neg", "_pos")
+    return j.withColumn("weight", w * n).drop("_neg", "_pos")
 
 
 def _stages(classifier):
     idx = StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}_code" for c in CATEGORICAL],
                         stringOrderType="alphabetAsc", handleInvalid="keep")
+    # an expression of a code has no nominal attribute: the trees see an ordered number
+    ordinal = SQLTransformer(statement="SELECT *, " + ", ".join(f"{c}_code + 0D AS {c}_ord" for c in CATEGORICAL) + " FROM __THIS__")
     asm = VectorAssembler(inputCols=_encoded_names(), outputCol="features")
-    return Pipeline(stages=[idx, asm, classifier])
+    return Pipeline(stages=[idx, ordinal, asm, classifier])
 
 
 def _fit(stages: Pipeline, train: DataFrame) -> PipelineModel:
@@ -84,23 +99,32 @@ def _fit(stages: Pipeline, train: DataFrame) -> PipelineModel:
 
 def max_bins(train: DataFrame, least: int = 64) -> int:
     """Bins for the trees: as many as the widest categorical feature has
-    values, with a slot for unseen ones (one aggregate)."""
+    values, with a slot for unseen ones (one aggregate), so that every
+    threshold between two codes is a candidate."""
     row = train.agg(*[F.countDistinct(c).alias(c) for c in CATEGORICAL]).first()
     return max(least, *[(row[c] or 0) + 2 for c in CATEGORICAL])
 
 
-def train_boosted(train: DataFrame, cfg: Config = DEFAULT_CONFIG) -> PipelineModel:
+#: Rows a tuple of the forest's training table.
+FOREST_SHARDS = 16
+#: A split gains more than rounding: equal sums in another order then grow the same trees.
+LEAST_GAIN = 1e-9
+
+
+def train_boosted(train: DataFrame, cfg: Config = DEFAULT_CONFIG, grouped: bool = True) -> PipelineModel:
+    rows = grouped_rows(train) if grouped else train
     gbt = GBTClassifier(labelCol="is_late", featuresCol="features", weightCol="weight",
                         maxIter=cfg.gbt_trees, maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step,
-                        seed=cfg.seed, maxBins=max_bins(train))
-    return _fit(_stages(gbt), with_class_weight(train, "positive"))
+                        seed=cfg.seed, maxBins=max_bins(rows), minInfoGain=LEAST_GAIN)
+    return _fit(_stages(gbt), with_class_weight(rows, "positive"))
 
 
 def train_forest(train: DataFrame, cfg: Config = DEFAULT_CONFIG) -> PipelineModel:
+    rows = grouped_rows(train, FOREST_SHARDS)
     rf = RandomForestClassifier(labelCol="is_late", featuresCol="features", weightCol="weight",
                                 numTrees=cfg.forest_trees, maxDepth=cfg.forest_depth,
-                                seed=cfg.seed, maxBins=max_bins(train))
-    return _fit(_stages(rf), with_class_weight(train, "balanced"))
+                                seed=cfg.seed, maxBins=max_bins(rows), minInfoGain=LEAST_GAIN)
+    return _fit(_stages(rf), with_class_weight(rows, "balanced"))
 
 
 def score_risk(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -111,7 +135,7 @@ def score_risk(model: PipelineModel, df: DataFrame) -> DataFrame:
             .withColumn("late_prediction", F.col("prediction").cast("int"))
             .withColumn("risk_level", risk_level("late_probability"))
             .drop("features", "rawPrediction", "probability", "prediction",
-                  *[f"{c}_code" for c in CATEGORICAL]))
+                  *[f"{c}_{kind}" for c in CATEGORICAL for kind in ("code", "ord")]))
 
 
 def fact_late_risk(fact: DataFrame, cfg: Config = DEFAULT_CONFIG,
@@ -237,47 +261,66 @@ def risk_distribution(scored: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ attribution
+#: Rows of the background set: the least seeded hashes of distinct feature tuples.
+BACKGROUND = 4
+
+
+def background_rows(rows: DataFrame, n: int = BACKGROUND, seed: int = 42) -> DataFrame:
+    """A fixed, repeatable set of ``n`` rows that absent features are taken from."""
+    tuples = rows.select(*FEATURES).distinct()
+    return tuples.orderBy(F.xxhash64(*FEATURES, F.lit(seed)), *FEATURES).limit(n)
+
+
 def baseline_row(rows: DataFrame) -> DataFrame:
-    """One row: the most frequent value of every feature (ties -> smallest)."""
-    return rows.agg(*[F.mode(F.col(c), True).alias(f"_base_{c}") for c in FEATURES])
+    """A background of one row: the most frequent value of every feature (ties -> smallest)."""
+    return rows.agg(*[F.mode(F.col(c), True).alias(c) for c in FEATURES])
 
 
 def _shapley_weights(m: int) -> list[float]:
     return [math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)]
 
 
-def attribution(model: PipelineModel, rows: DataFrame, baseline: DataFrame | None = None) -> DataFrame:
-    """Exact Shapley contributions of the 7 features to the late probability,
-    relative to the baseline row: (order_id, feature, contribution, base_value,
-    value).  Contributions sum to value - base_value for every row."""
+def margin(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with the boosted model's margin, the log-odds of lateness, as ``_f``."""
+    raw = vector_to_array(F.col("rawPrediction"))[1] * 2
+    return model.transform(df).select(*df.columns, raw.alias("_f"))
+
+
+def attribution(model: PipelineModel, rows: DataFrame, background: DataFrame | None = None) -> DataFrame:
+    """Exact Shapley contributions of the 7 features to the margin of the
+    boosted model, absent features averaged over the background rows:
+    (order_id, feature, contribution, base_value, value).  Contributions sum to
+    value - base_value for every row."""
     m = len(FEATURES)
-    baseline = baseline_row(rows) if baseline is None else baseline
+    background = background_rows(rows) if background is None else background
+    pool = background.agg(F.collect_list(F.struct(*FEATURES)).alias("_pool"))  # BACKGROUND rows
     mask = F.col("_mask")
-    # one row per order: fan-out copies (one per review) carry identical features.
-    # Each distinct feature tuple is scored once and joined back to its orders, so
-    # the scoring stops growing once all tuples have been seen
+    # one row per order: fan-out copies (one per review) carry identical features
     orders = rows.select("order_id", *FEATURES).distinct()
-    x = (with_scalars(orders.select(*FEATURES).distinct().withColumn("_tuple", F.xxhash64(*FEATURES)), baseline)
-         .withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2 ** m - 1)))))
-    x = x.select("_tuple", "_mask", *[
-        F.when((mask.bitwiseAND(F.lit(1 << i))) != 0, F.col(c)).otherwise(F.col(f"_base_{c}")).alias(c)
-        for i, c in enumerate(FEATURES)])
-    scored = model.transform(x).select(
-        "_tuple", "_mask", vector_to_array(F.col("probability"))[1].alias("_f"))
+    tuples = orders.select(*FEATURES).distinct()
+    x = (with_scalars(tuples, pool).withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2 ** m - 1))))
+         .withColumn("_b", F.explode("_pool")))
+    mixed = [F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.col(c)).otherwise(F.col("_b")[c]).alias(f"_x_{c}") for i, c in enumerate(FEATURES)]
+    x = x.select(*FEATURES, "_mask", *mixed)
     w = _shapley_weights(m)
-    wsize = F.array(*[F.lit(v) for v in w])
     size = F.bit_count(mask)
+    wsize = F.array(*[F.lit(v) for v in w])
+    # the mixed tuples repeat (few features present, the rest from few rows): each is scored once
+    asked = x.groupBy(*[f"_x_{c}" for c in FEATURES]).agg(F.count(F.lit(1)).alias("_asked")).drop("_asked")
+    scored = margin(model, asked.select(*[F.col(f"_x_{c}").alias(c) for c in FEATURES]))
+    scored = scored.select(*[F.col(c).alias(f"_x_{c}") for c in FEATURES], "_f")
+    rows_of = F.count(F.lit(1)) / (2 ** m)
     aggs = []
     for i, c in enumerate(FEATURES):
         has = (mask.bitwiseAND(F.lit(1 << i))) != 0
         coef = F.when(has, F.element_at(wsize, size)).otherwise(-F.element_at(wsize, size + 1))
-        aggs.append(F.sum(F.col("_f") * coef).alias(c))
-    aggs += [F.max(F.when(mask == 0, F.col("_f"))).alias("base_value"),
-             F.max(F.when(mask == 2 ** m - 1, F.col("_f"))).alias("value")]
-    per_tuple = scored.groupBy("_tuple").agg(*aggs)
-    per_row = (orders.select("order_id", F.xxhash64(*FEATURES).alias("_tuple"))
-               .join(per_tuple, "_tuple").drop("_tuple"))
-    return per_row.unpivot(["order_id", "base_value", "value"], FEATURES, "feature", "contribution")
+        aggs.append((F.sum(F.col("_f") * coef) / rows_of).alias(f"_c_{c}"))
+    aggs += [F.avg(F.when(mask == 0, F.col("_f"))).alias("base_value"),
+             F.avg(F.when(mask == 2 ** m - 1, F.col("_f"))).alias("value")]
+    per_tuple = x.join(scored, [f"_x_{c}" for c in FEATURES]).groupBy(*FEATURES).agg(*aggs)
+    per_row = orders.join(per_tuple, FEATURES).drop(*FEATURES)
+    return per_row.select("order_id", "base_value", "value", *[F.col(f"_c_{c}").alias(c) for c in FEATURES]).unpivot(
+        ["order_id", "base_value", "value"], FEATURES, "feature", "contribution")
 
 
 def attribution_global(contrib: DataFrame) -> DataFrame:

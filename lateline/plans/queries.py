@@ -1108,7 +1108,7 @@ def _chi2_risk(c: Ctx):
 
 @register("attribution")
 def _attribution(c: Ctx):
-    """Exact single-baseline Shapley contributions of all rows."""
+    """Exact Shapley contributions of all rows to the margin, against the background set."""
     return R.attribution(_model(c, "boosted"), R.ml_features(c.facts(*R.FACT_COLS)))
 
 
@@ -1118,7 +1118,7 @@ def _attribution_row(c: Ctx):
     the baseline of all rows."""
     rows = R.ml_features(c.facts(*R.FACT_COLS))
     pick = rows.agg(F.min("order_id").alias("order_id"))
-    contrib = R.attribution(_model(c, "boosted"), rows.join(pick, "order_id"), R.baseline_row(rows))
+    contrib = R.attribution(_model(c, "boosted"), rows.join(pick, "order_id"), R.background_rows(rows))
     return R.attribution_row(contrib, rows, pick)
 
 
