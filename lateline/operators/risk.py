@@ -35,6 +35,7 @@ from lateline.config import DEFAULT_CONFIG, Config
 from lateline.functions.buckets import risk_level
 from lateline.functions.columns import with_scalars
 from lateline.operators.quantiles import running_totals, select_quantiles
+from lateline.session import staged
 
 #: Fixed values of the reference: features, the categorical ones, result columns.
 FEATURES = ["customer_state", "seller_state", "purchase_month", "purchase_dayofweek",
@@ -87,16 +88,6 @@ def _stages(classifier):
     return Pipeline(stages=[idx, ordinal, asm, classifier])
 
 
-def _fit(stages: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fitting passes over the input several times (indexer, assembler, tree
-    levels): keep the weighted rows cached for the fit only."""
-    train = train.persist()
-    try:
-        return stages.fit(train)
-    finally:
-        train.unpersist()
-
-
 def max_bins(train: DataFrame, least: int = 64) -> int:
     """Bins for the trees: as many as the widest categorical feature has
     values, with a slot for unseen ones (one aggregate), so that every
@@ -112,19 +103,20 @@ LEAST_GAIN = 1e-9
 
 
 def train_boosted(train: DataFrame, cfg: Config = DEFAULT_CONFIG, grouped: bool = True) -> PipelineModel:
-    rows = grouped_rows(train) if grouped else train
+    # one table for the indexer, the bins, the weights and every tree
+    rows = staged(grouped_rows(train) if grouped else train, "risk-train")
     gbt = GBTClassifier(labelCol="is_late", featuresCol="features", weightCol="weight",
                         maxIter=cfg.gbt_trees, maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step,
                         seed=cfg.seed, maxBins=max_bins(rows), minInfoGain=LEAST_GAIN)
-    return _fit(_stages(gbt), with_class_weight(rows, "positive"))
+    return _stages(gbt).fit(with_class_weight(rows, "positive"))
 
 
 def train_forest(train: DataFrame, cfg: Config = DEFAULT_CONFIG) -> PipelineModel:
-    rows = grouped_rows(train, FOREST_SHARDS)
+    rows = staged(grouped_rows(train, FOREST_SHARDS), "risk-train")
     rf = RandomForestClassifier(labelCol="is_late", featuresCol="features", weightCol="weight",
                                 numTrees=cfg.forest_trees, maxDepth=cfg.forest_depth,
                                 seed=cfg.seed, maxBins=max_bins(rows), minInfoGain=LEAST_GAIN)
-    return _fit(_stages(rf), with_class_weight(rows, "balanced"))
+    return _stages(rf).fit(with_class_weight(rows, "balanced"))
 
 
 def score_risk(model: PipelineModel, df: DataFrame) -> DataFrame:

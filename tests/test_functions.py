@@ -94,3 +94,16 @@ def test_quarter_and_month_labels(spark):
     assert _one(spark, C.quarter_label("t"), "t timestamp", rows) == ["2017Q3"]
     assert _one(spark, C.year_month("t"), "t timestamp", rows) == ["2017-08"]
     assert _one(spark, C.day_name(F.weekday("t")), "t timestamp", rows) == ["Selasa"]
+
+
+def test_duplicate_rows_by_hash(spark):
+    from lateline.operators import profile as PR
+    rows = [("a", None), (None, "a"), ("a", None), ("a", "a"), ("a", "a"), ("a", "a"), (None, None), (None, None), ("", None)]
+    df = spark.createDataFrame(rows, "x string, y string").repartition(3)
+    assert PR.duplicate_rows(df).first()[0] == len(rows) - len(set(rows)) == 4
+    assert PR.duplicate_rows(df.limit(0)).first()[0] == 0
+    r = PR.table_profile({"t": df}).first()
+    assert (r.rows, r.null_total, r.duplicate_rows) == (9, 8, 4)
+    # the first exchange carries hashes, not the rows
+    plan = PR.duplicate_rows(df)._jdf.queryExecution().executedPlan().toString()
+    assert any("hashpartitioning(_h1" in x for x in plan.split("\n"))
