@@ -106,24 +106,43 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLS) -> DataFr
     return one.select(F.inline(rows))
 
 
-def histogram(df: DataFrame, col: str, bins: int, cap: float | None = None) -> DataFrame:
-    """Equal-width bins between the observed min and max (after an optional
-    cap); the maximum falls into the last bin like numpy."""
-    v = F.col(col).cast("double")
-    d = df.where(v.isNotNull() & ~F.isnan(v))
-    if cap is not None:
-        d = d.where(v <= cap)
-    mm = d.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    idx = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
-        F.least(F.floor((v - F.col("_lo")) / width), F.lit(bins - 1))).cast("int")
-    out = (C.with_scalars(d, mm).groupBy(idx.alias("bin"), "_lo", "_hi")
-           .agg(F.count(F.lit(1)).alias("n")))
+def histograms(df: DataFrame, charts: Sequence[tuple[str, str, float | None, float | None]], bins: int) -> DataFrame:
+    """Equal-width bins of several charts ``(name, column, cap, quantile cap)``
+    between each chart's observed min and max (after its cap, a number or the
+    column's quantile); the maximum falls into the last bin like numpy.  All
+    caps, then all borders, then all counts are one pass each, whatever the
+    number of charts."""
+    cols = list(dict.fromkeys(c for _, c, _, _ in charts))
+    base = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    cut = {i: (F.col(c), {f"_cap{i}": p}) for i, (_, c, _, p) in enumerate(charts) if p is not None}
+    if cut:
+        caps = select_quantiles(base, {f"k{i}": v for i, v in cut.items()})
+        base = C.with_scalars(base, caps.select(*[f"_cap{i}" for i in cut]))
+    v = {}
+    for i, (_, c, cap, _) in enumerate(charts):
+        ok = F.col(c).isNotNull() & ~F.isnan(c)
+        for most in ([F.lit(cap)] if cap is not None else []) + ([F.col(f"_cap{i}")] if i in cut else []):
+            ok = ok & (F.col(c) <= most)
+        v[i] = F.when(ok, F.col(c)).alias(f"_v{i}")
+    base = base.select(*v.values())
+    ends = base.agg(*[x for i in v for x in (F.min(f"_v{i}").alias(f"_lo{i}"), F.max(f"_v{i}").alias(f"_hi{i}"))])
+    rows = []
+    for i, (name, *_) in enumerate(charts):
+        x, lo, hi = (F.col(f"{c}{i}") for c in ("_v", "_lo", "_hi"))
+        at = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((x - lo) / F.nullif((hi - lo) / bins, F.lit(0.0))), F.lit(bins - 1))).cast("int")
+        rows.append(F.when(x.isNotNull(), F.struct(F.lit(name).alias("chart"), at.alias("bin"), lo.alias("_lo"), hi.alias("_hi"))))
+    out = (C.with_scalars(base, ends).select(F.inline(F.array_compact(F.array(*rows))))
+           .groupBy("chart", "bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("n")))
     w = (F.col("_hi") - F.col("_lo")) / bins
-    return out.select("bin", (F.col("_lo") + F.col("bin") * w).alias("bin_lo"),
+    return out.select("chart", "bin", (F.col("_lo") + F.col("bin") * w).alias("bin_lo"),
                       (F.col("_lo") + (F.col("bin") + 1) * w).alias("bin_hi"), "n")
 
 
+def histogram(df: DataFrame, col: str, bins: int, cap: float | None = None) -> DataFrame:
+    """One chart of ``histograms``."""
+    return histograms(df, [(col, col, cap, None)], bins).drop("chart")
+
+
 def five_number_summary(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """Box-plot numbers: quartiles, whiskers (most extreme values within 1.5
     IQR of the box) and the count of values outside them."""

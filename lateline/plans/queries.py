@@ -798,14 +798,7 @@ GROUP BY bin, lo, hi"""
 def _hist(c: Ctx):
     """40 equal-width bins of the ratio up to 3, the delivery days, each stage
     up to its P95, and approval up to 200 h."""
-    out = None
-    for name, col, cap, prob in _HISTS:
-        d = c.nb
-        if prob:
-            d = B.capped_at_quantile(d, col, prob)
-        h = ST.histogram(d, col, 40, cap=cap).select(F.lit(name).alias("chart"), "*")
-        out = h if out is None else out.unionByName(h)
-    return out
+    return ST.histograms(c.nb, _HISTS, 40)
 
 
 def _five_sql(name: str, col: str, src: str) -> str:
