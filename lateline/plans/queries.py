@@ -259,7 +259,7 @@ def _agg_cohort(c: Ctx):
     return marts.agg_cohort_performance(c.facts(*marts.COHORT_COLS))
 
 
-@register("kpi_summary", """
+_KPI_SQL = """
 WITH v AS (
   SELECT avg(1 - is_late) * 100 AS on_time,
     avg(CAST(coalesce(days_late, 0) > 3 AS INTEGER)) * 100 AS breach,
@@ -281,7 +281,10 @@ FROM (
   UNION ALL SELECT 'Late Rate per Seller (avg aktif)', round_even(seller_late, 2), 5.0, '<',
     CASE WHEN seller_late <= 5 THEN '✅' ELSE '❌' END, '%' FROM s
   UNION ALL SELECT 'Processing Time Compliance', round_even(processing, 2), 80.0, '>',
-    CASE WHEN processing >= 80 THEN '✅' ELSE '❌' END, '%' FROM v) k""")
+    CASE WHEN processing >= 80 THEN '✅' ELSE '❌' END, '%' FROM v) k"""
+
+
+@register("kpi_summary", _KPI_SQL)
 def _kpi_summary(c: Ctx):
     """Five KPIs with target, displayed operator and status."""
     return kpi.kpi_summary(c.facts(*kpi.KPI_COLS, reuse=True), CFG)
@@ -1093,6 +1096,63 @@ def _top_features(c: Ctx):
     return R.top_features(R.feature_importance(_model(c, "boosted"), "boosted"))
 
 
+# The reports of a scored table on a score that both engines can compute: a rule of calendar features.
+_RULE = """(SELECT *, CAST(late_probability >= 0.5 AS INTEGER) AS late_prediction,
+    CASE WHEN late_probability > 0 AND late_probability <= 0.3 THEN 'Low Risk' WHEN late_probability > 0.3 AND late_probability <= 0.6 THEN 'Medium Risk'
+         WHEN late_probability > 0.6 AND late_probability <= 1 THEN 'High Risk' END AS risk_level
+  FROM (SELECT order_id, is_late, (purchase_month * 37 + purchase_hour * 11 + purchase_dayofweek * 5) % 101 / 100.0 AS late_probability
+        FROM fact WHERE customer_state IS NOT NULL AND seller_state IS NOT NULL AND freight_bucket IS NOT NULL AND seller_cohort IS NOT NULL) f)"""
+
+
+def _rule_scored(c: Ctx) -> DataFrame:
+    rows = R.ml_features(c.facts(*R.FACT_COLS))
+    p = (F.col("purchase_month") * 37 + F.col("purchase_hour") * 11 + F.col("purchase_dayofweek") * 5) % 101 / F.lit(100.0)
+    return (rows.withColumn("late_probability", p).withColumn("late_prediction", (F.col("late_probability") >= 0.5).cast("int"))
+            .withColumn("risk_level", R.risk_level("late_probability")))
+
+
+@register("rule_roc_auc", f"""
+WITH n AS (SELECT late_probability AS s, count_if(is_late = 1) AS pos, count_if(is_late = 0) AS neg FROM {_RULE} r GROUP BY 1),
+b AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM n)
+SELECT round(sum(pos * (before + 0.5 * neg)) / (sum(pos) * sum(neg)), 4) AS roc_auc, CAST(sum(pos) AS BIGINT) AS positives,
+  CAST(sum(neg) AS BIGINT) AS negatives FROM b""")
+def _rule_auc(c: Ctx):
+    """Exact ROC-AUC of the rule's score."""
+    return R.roc_auc_exact(_rule_scored(c))
+
+
+@register("rule_confusion_matrix", f"""
+SELECT CAST(is_late AS INTEGER) AS actual, late_prediction AS predicted, count(*) AS n FROM {_RULE} r GROUP BY 1, 2""")
+def _rule_confusion(c: Ctx):
+    return R.confusion_matrix(_rule_scored(c))
+
+
+@register("rule_classification_report", f"""
+WITH c AS (SELECT count_if(is_late = 1 AND late_prediction = 1) * 1.0 AS tp, count_if(is_late = 0 AND late_prediction = 1) * 1.0 AS fp,
+             count_if(is_late = 1 AND late_prediction = 0) * 1.0 AS fn, count_if(is_late = 0 AND late_prediction = 0) * 1.0 AS tn FROM {_RULE} r),
+k AS (SELECT '0' AS label, tn AS hit, fn AS extra, fp AS missed FROM c UNION ALL SELECT '1', tp, fp, fn FROM c),
+p AS (SELECT label, CASE WHEN hit + extra > 0 THEN hit / (hit + extra) ELSE 0 END AS pr,
+             CASE WHEN hit + missed > 0 THEN hit / (hit + missed) ELSE 0 END AS re, hit + missed AS s FROM k),
+f AS (SELECT *, CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0 END AS f1 FROM p)
+SELECT label, round(pr, 4) AS "precision", round(re, 4) AS recall, round(f1, 4) AS f1, CAST(s AS BIGINT) AS support FROM f
+UNION ALL SELECT 'macro avg', round(avg(pr), 4), round(avg(re), 4), round(avg(f1), 4), CAST(sum(s) AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', round(sum(pr * s) / sum(s), 4), round(sum(re * s) / sum(s), 4), round(sum(f1 * s) / sum(s), 4), CAST(sum(s) AS BIGINT) FROM f""")
+def _rule_report(c: Ctx):
+    return R.classification_report(_rule_scored(c))
+
+
+@register("rule_risk_distribution", f"""
+SELECT risk_level, count(*) AS n, round(count(*) * 1.0 / sum(count(*)) OVER (), 4) AS share FROM {_RULE} r GROUP BY risk_level""")
+def _rule_distribution(c: Ctx):
+    return R.risk_distribution(_rule_scored(c))
+
+
+@register("rule_chi2_risk_pair", _chi2_sql(_late_counts(_RULE + " r", "risk_level", "'High Risk'", "'Low Risk'")))
+def _rule_chi2(c: Ctx):
+    """High vs Low risk by the rule's score."""
+    return ST.chi2_risk_pair(_rule_scored(c))
+
+
 @register("chi2_risk_pair")
 def _chi2_risk(c: Ctx):
     """High vs Low risk on all rows, scored by the model of the training split."""
@@ -1196,31 +1256,47 @@ _FACT_CHECKS = [
     "avg(is_late) BETWEEN 0.06 AND 0.12",
     "count_if(NOT coalesce(purchase_month BETWEEN 1 AND 12, false)) = 0",
 ]
-_KPI_SQL_ROWS = """(SELECT 'On-Time Delivery Rate' AS kpi_name, round_even(avg(1 - is_late) * 100, 2) AS actual_value FROM fact
-  UNION ALL SELECT 'b', 0 UNION ALL SELECT 'c', 0 UNION ALL SELECT 'd', 0 UNION ALL SELECT 'e', 0)"""
+_KPI_SQL_ROWS = f"({_KPI_SQL})"
 _AGG_S = "(SELECT * FROM (" + _SELLER_ALL_SQL + ") a WHERE total_orders >= 95)"
 
 
+def _check_sql() -> str:
+    """One row (check, status) per hard check, but for the risk table's."""
+    names = ["dq_rows_fact_min", "dq_rows_fact_max", "dq_t1_max", "dq_t3_max",
+             *[f"dq_not_null_{c}" for c in ["order_id", "is_late", "customer_state", "purchase_month", "seller_cohort", "freight_bucket"]],
+             *[f"dq_non_negative_{c}" for c in ["t1_approval_h", "t2_processing_h", "t3_shipping_h"]],
+             "dq_is_late_domain", "dq_late_rate_range", "dq_month_range"]
+    rest = [("dq_rows_sellers", "count(*) > 3000", "(SELECT DISTINCT * FROM src_sellers)"),
+            ("dq_rows_customers", "count(*) > 90000", "(SELECT DISTINCT * FROM src_customers)"),
+            ("dq_rows_products", "count(*) > 30000", "dim_products"),
+            ("dq_chronic_rule", "count_if(is_chronic = 1 AND total_orders < 95) = 0", _AGG_S),
+            ("dq_agg_seller_nonempty", "count(*) > 0", _AGG_S),
+            ("dq_agg_regional_nonempty", "count(*) > 0", "(SELECT DISTINCT customer_state FROM fact WHERE customer_state IS NOT NULL)"),
+            ("dq_monthly_min", "count(*) >= 12", "(SELECT DISTINCT strftime(make_timestamp(ps * 1000000), '%Y-%m') FROM fact)"),
+            ("dq_agg_cohort_nonempty", "count(*) > 0", "(SELECT DISTINCT seller_cohort FROM fact WHERE seller_cohort IS NOT NULL)"),
+            ("dq_kpi_rows", "count(*) = 5", _KPI_SQL_ROWS)]
+    rows = [(n, _st(c), "fact") for n, c in zip(names, _FACT_CHECKS, strict=True)] + [(n, _st(c), t) for n, c, t in rest]
+    ontime = _st("max(CASE WHEN kpi_name = 'On-Time Delivery Rate' THEN actual_value END) BETWEEN 80 AND 100")
+    rows.append(("dq_kpi_ontime_range", f"CASE WHEN count(*) <> 5 THEN 'SKIP' ELSE {ontime} END", _KPI_SQL_ROWS))
+    return " UNION ALL ".join(f"""SELECT '{n}' AS "check", {c} AS status FROM {t} t{i}""" for i, (n, c, t) in enumerate(rows))
+
+
+def _hard_results(c: Ctx) -> DataFrame:
+    return Q.run_checks(_published(c, with_risk=False), [k for k in Q.hard_checks(CFG) if k.table != "fact_late_risk"])
+
+
+@register("quality_checks", _check_sql())
+def _quality_checks(c: Ctx):
+    """Every hard check but the risk table's, with its status."""
+    return _hard_results(c).select("check", "status")
+
+
 @register("quality_summary", f"""
-WITH st AS (
-  {' UNION ALL '.join(f"SELECT {_st(c)} AS status FROM fact" for c in _FACT_CHECKS)}
-  UNION ALL SELECT {_st('count(*) > 3000')} FROM (SELECT DISTINCT * FROM src_sellers) d
-  UNION ALL SELECT {_st('count(*) > 90000')} FROM (SELECT DISTINCT * FROM src_customers) d
-  UNION ALL SELECT {_st('count(*) > 30000')} FROM dim_products
-  UNION ALL SELECT {_st('count_if(is_chronic = 1 AND total_orders < 95) = 0')} FROM {_AGG_S} s
-  UNION ALL SELECT {_st('count(*) > 0')} FROM {_AGG_S} s
-  UNION ALL SELECT {_st('count(*) > 0')} FROM (SELECT DISTINCT customer_state FROM fact WHERE customer_state IS NOT NULL) r
-  UNION ALL SELECT {_st('count(*) >= 12')} FROM (SELECT DISTINCT strftime(make_timestamp(ps * 1000000), '%Y-%m') FROM fact) m
-  UNION ALL SELECT {_st('count(*) > 0')} FROM (SELECT DISTINCT seller_cohort FROM fact WHERE seller_cohort IS NOT NULL) c
-  UNION ALL SELECT {_st('count(*) = 5')} FROM {_KPI_SQL_ROWS} k
-  UNION ALL SELECT CASE WHEN count(*) <> 5 THEN 'SKIP' ELSE {_st("max(CASE WHEN kpi_name = 'On-Time Delivery Rate' THEN actual_value END) BETWEEN 80 AND 100")} END
-    FROM {_KPI_SQL_ROWS} k)
 SELECT CAST(count(*) AS BIGINT) AS total, CAST(count_if(status = 'PASS') AS BIGINT) AS passed,
   CAST(count_if(status = 'FAIL') AS BIGINT) AS failed, CAST(count_if(status = 'SKIP') AS BIGINT) AS skipped
-FROM st""")
+FROM ({_check_sql()}) st""")
 def _quality_summary(c: Ctx):
-    return Q.summary(Q.run_checks(_published(c, with_risk=False),
-                                  [k for k in Q.hard_checks(CFG) if k.table != "fact_late_risk"]))
+    return Q.summary(_hard_results(c))
 
 
 # =================================================================== impact
