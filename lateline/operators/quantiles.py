@@ -131,8 +131,8 @@ def select_quantiles(df: DataFrame, columns: dict[str, tuple[Column, dict[str, f
     # per bracket the cuts around its rank: one lambda over the targets keeps the code small
     rows = ", ".join(f"struct({i} as i, (_r.n_{x} - 1) * {p!r}D - below{i} as rank)" for i, (x, _, p) in enumerate(targets))
     two = cut.select(*by, F.expr(
-        f"transform(array({rows}), t -> transform(filter(_cuts, c -> c.i = t.i), c -> transform(array(-1, 3), d -> element_at(c.g, "
-        f"1 + int(least(greatest(floor(t.rank / c.m * {GRID}) + d, 0), {GRID})))))[0]) as cuts"), *many(f"_r.n_{x} as n_{x}" for x in v))
+        f"transform(array({rows}), t -> get(transform(filter(_cuts, c -> c.i = t.i), c -> transform(array(-1, 3), d -> element_at(c.g, "
+        f"1 + int(least(greatest(floor(t.rank / c.m * {GRID}) + d, 0), {GRID}))))), 0)) as cuts"), *many(f"_r.n_{x} as n_{x}" for x in v))
 
     last = attach(base, two)
     low, high = ([f"_r.cuts[{i}][{j}]" for i in range(len(targets))] for j in (0, 1))
@@ -147,14 +147,14 @@ def select_quantiles(df: DataFrame, columns: dict[str, tuple[Column, dict[str, f
     three = with_found(attach(three, two), found_in(last, [f"{x} > {low[i]} and {x} < {high[i]}" for i, (x, *_) in enumerate(targets)],
                                        "sort_array(collect_list(x)) as xs", "_inner"))
     # the value at a rank: the one below the bracket, its low end, inside, its high end, the one above
-    rows = ", ".join(f"struct((_r.n_{x} - 1) * {p!r}D as h, {low[i]} as lo, {high[i]} as hi, below{i} as below, at_lo{i} as at_lo, at_hi{i} as at_hi, "
+    rows = ", ".join(f"struct(if(_r.n_{x} > 0, (_r.n_{x} - 1) * {p!r}D, null) as h, {low[i]} as lo, {high[i]} as hi, below{i} as below, at_lo{i} as at_lo, at_hi{i} as at_hi, "
                      f"prev{i} as prev, next{i} as next, coalesce(get(filter(_inner, r -> r.i = {i}), 0).xs, array()) as inner)"
                      for i, (x, _, p) in enumerate(targets))
     at = ("transform(array(floor(t.h), ceil(t.h)), k -> case when k = t.below - 1 then t.prev when k >= t.below and k < t.below + t.at_lo then t.lo "
           "when k >= t.below + t.at_lo and k < t.below + t.at_lo + size(t.inner) then get(t.inner, int(k - t.below - t.at_lo)) "
           "when k >= t.below + t.at_lo + size(t.inner) and k < t.below + t.at_lo + size(t.inner) + t.at_hi then t.hi "
           "when k = t.below + t.at_lo + size(t.inner) + t.at_hi then t.next else raise_error('a rank lies outside its bracket') end)")
-    done = three.select(*by, F.expr(f"transform(transform(array({rows}), t -> if(t.h >= 0, struct({at} as two, t.h - floor(t.h) as part), null)), "
+    done = three.select(*by, F.expr(f"transform(transform(array({rows}), t -> if(t.h is not null, struct({at} as two, t.h - floor(t.h) as part), null)), "
                                     "t -> t.two[0] + t.part * (t.two[1] - t.two[0])) as _found"),
                         *many(f"coalesce(_r.n_{x}, 0) as `n_{k}`" for k, x in zip(keys, v, strict=True)), *[f"`{c}`" for c in more])
     return done.select(*by, *[F.expr(f"_found[{i}] as `{name}`") for i, (_, name, _) in enumerate(targets)],

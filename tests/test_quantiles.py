@@ -91,3 +91,36 @@ def test_bucket_is_monotone_with_nulls_nan_and_infinities(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     rows = df.select("v", value_bucket(F.col("v"), bucket_borders(df, F.col("v"))).alias("b")).orderBy("v").collect()
     assert [r.b for r in rows] == sorted(r.b for r in rows)
+
+
+def test_many_columns_at_once_with_moments(spark):
+    """Ties, nulls, NaN, an empty and a constant column; per group and overall."""
+    import numpy as np
+
+    from lateline.operators.quantiles import select_quantiles
+    rng = np.random.default_rng(11)
+    n = 30_000
+    data = pd.DataFrame({"g": rng.integers(0, 3, n).astype(str), "a": rng.lognormal(0, 3, n), "b": rng.integers(0, 5, n).astype(float),
+                         "c": np.where(rng.random(n) < 0.4, np.nan, rng.normal(size=n)), "d": 7.0, "e": np.nan})
+    data.loc[data.g == "2", "c"] = np.nan
+    probs = {"lo": 0.0, "q": 0.25, "m": 0.5, "p": 0.977, "hi": 1.0}
+    df = spark.createDataFrame(data).withColumn("d", F.when(F.rand(3) < 2, F.col("d"))).repartition(13)
+    what = {k: (F.col(k), {f"{name}_{k}": p for name, p in probs.items()}) for k in "abcde"}
+
+    def check(row, part):
+        for k in "abcde":
+            v = part[k].dropna()
+            assert row[f"n_{k}"] == len(v)
+            for name, p in probs.items():
+                want = None if v.empty else v.quantile(p)
+                assert row[f"{name}_{k}"] == (None if want is None else pytest.approx(want, rel=1e-12, abs=1e-300)), (k, name)
+            if len(v):
+                assert row[f"mean_{k}"] == pytest.approx(v.mean()) and row[f"min_{k}"] == v.min() and row[f"max_{k}"] == v.max()
+
+    check(select_quantiles(df, what, moments=True).first(), data)
+    got = select_quantiles(df, what, by=["g"], moments=True).collect()
+    assert len(got) == 3
+    for r in got:
+        check(r, data[data.g == r.g])
+    empty = select_quantiles(df.limit(0), what).first()
+    assert empty.n_a == 0 and empty.m_a is None
