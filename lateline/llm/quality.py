@@ -53,9 +53,9 @@ def repeats(ws: list[bytes]) -> int:
     return sum(map(operator.eq, ws, ws[1:]))
 
 
-def count_features(ws: list[bytes], buckets: int, max_words: int | None = None) -> Counter:
+def count_features(ws: list[bytes], buckets: int) -> Counter:
     total: Counter = Counter()
-    for w, c in Counter(ws).most_common(max_words):
+    for w, c in Counter(ws).most_common():
         for f in features(w, buckets):
             total[f] += c
     if again := repeats(ws):
@@ -114,12 +114,12 @@ def train(docs: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray,
 
 
 def fit(labelled: DataFrame, *, text: str = "text", label: str = "quality", key: str = "doc_id",
-        max_docs: int = 3_000, max_words: int = 2_000, buckets: int = 1 << 18, **kw) -> QualityModel | None:
+        max_docs: int = 3_000, buckets: int = 1 << 18, **kw) -> QualityModel | None:
     """Learn from rows with a text and a label 0 or 1; None if there is none.
 
     About ``max_docs`` rows at most are learned from, picked by a hash of
-    ``key``, and of each the ``max_words`` most frequent words: the bounds on
-    what the driver holds.  Scoring has no such bounds.
+    ``key``, all words of each; a row has ``buckets`` features at most, which
+    bounds what the driver holds.  Scoring has no such bounds.
     """
     rows = labelled.where(F.col(label).isin(0, 1) & F.col(text).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
@@ -129,7 +129,7 @@ def fit(labelled: DataFrame, *, text: str = "text", label: str = "quality", key:
         for b in batches:
             ids, counts = [], []
             for x in b.column(1):
-                total = count_features(words(x.as_py()), buckets, max_words)
+                total = count_features(words(x.as_py()), buckets)
                 ids.append(list(total))
                 counts.append(list(total.values()))
             yield pa.RecordBatch.from_arrays(

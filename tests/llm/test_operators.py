@@ -523,3 +523,10 @@ def test_op4_knows_the_rare_words_of_a_small_language(spark):
     assert len(m.words) == 70_004 and {"zwölf", "boxkämpfer", "jagen", "viktor"} <= set(m.words)
     assert {"^zwöl", "pfer$"} <= set(m.grams)
     assert langid.Scorer(m).score("viktor jagen")[0] == "de"
+
+
+def test_op2_learns_from_whole_texts():
+    """A rare word after 2,000 more frequent ones is a feature like any other."""
+    ws = [f"w{i}".encode() for i in range(3_000) for _ in range(2)] + [b"zebra"]
+    got = quality.count_features(ws, 1 << 18)
+    assert all(f in got for f in quality.features(b"zebra", 1 << 18))
