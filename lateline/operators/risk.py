@@ -14,22 +14,28 @@ scores, evaluation and attribution, all on Spark ML.
 * evaluation uses a hash-stratified 80/20 split whose per-class cut is an
   exact distributed quantile of the hash, exact ROC-AUC from distributed
   running totals, and one-pass confusion counts;
-* attribution is exact Shapley of the probability against a single baseline
-  row (the per-feature mode): each distinct feature tuple expands to the 2^7
-  coalitions by a generator, is scored once by the fitted pipeline, and
-  contributions are one grouped sum, joined back to the orders.
+* attribution is exact Shapley of the margin against a few background rows:
+  each distinct feature tuple is looked at once, in its task, leaf by leaf of
+  the fitted trees (what a leaf adds to a coalition depends on whether the row
+  or the background passes each of its conditions, so its share of the 2^7
+  coalitions is a closed form), and joined back to the orders.
 """
 
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from lateline.config import DEFAULT_CONFIG, Config
 from lateline.functions.buckets import risk_level
@@ -268,8 +274,84 @@ def baseline_row(rows: DataFrame) -> DataFrame:
     return rows.agg(*[F.mode(F.col(c), True).alias(c) for c in FEATURES])
 
 
-def _shapley_weights(m: int) -> list[float]:
-    return [math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)]
+def tree_leaves(model: PipelineModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Leaves of the boosted model's trees: what each adds to the margin, and
+    per feature the open lower and closed upper end that a row must lie in."""
+    value, low, high = [], [], []
+    weight, path = 1.0, []
+    for line in model.stages[-1].toDebugString.split("\n"):
+        if m := re.match(r"\s*Tree \d+ \(weight (\S+)\)", line):
+            weight, path = float(m[1]), []
+        elif m := re.match(r"\s*(If|Else) \(feature (\d+) (<=|>) (\S+)\)", line):
+            if m[1] == "Else":  # the other branch of the last node whose first is done
+                while path.pop()[0] != "If":
+                    pass
+            path.append((m[1], int(m[2]), m[3], float(m[4])))
+        elif m := re.match(r"\s*Predict: (\S+)", line):
+            lo, hi = np.full(len(FEATURES), -np.inf), np.full(len(FEATURES), np.inf)
+            for _, f, op, at in path:
+                if op == "<=":
+                    hi[f] = min(hi[f], at)
+                else:
+                    lo[f] = max(lo[f], at)
+            value.append(2 * weight * float(m[1]))
+            low.append(lo)
+            high.append(hi)
+    return np.array(value), np.array(low), np.array(high)
+
+
+def _leaf_shares() -> np.ndarray:
+    """(needed, spoilt) -> Shapley value of each feature in the game that a
+    coalition wins when it has all features of ``needed`` and none of
+    ``spoilt``; both are bit masks, without a common feature."""
+    m = len(FEATURES)
+    f = math.factorial
+    out = np.zeros((2 ** m, 2 ** m, m))
+    for need in range(2 ** m):
+        for spoil in range(2 ** m):
+            if need & spoil:
+                continue
+            a, k = need.bit_count(), spoil.bit_count()
+            for i in range(m):
+                if need >> i & 1:
+                    out[need, spoil, i] = f(a - 1) * f(k) / f(a + k)
+                elif spoil >> i & 1:
+                    out[need, spoil, i] = -f(a) * f(k - 1) / f(a + k)
+    return out
+
+
+def passed(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Per row and leaf the bit mask of the features that lie in the leaf's ends."""
+    out = np.zeros((len(x), len(low)), np.uint8)
+    for i in range(x.shape[1]):
+        values, at = np.unique(x[:, i], return_inverse=True)
+        ok = (values[:, None] > low[:, i]) & (values[:, None] <= high[:, i])
+        out |= (ok.astype(np.uint8) << i)[at]
+    return out
+
+
+def leaf_shapley(x: np.ndarray, background: np.ndarray, leaves: tuple[np.ndarray, np.ndarray, np.ndarray],
+                 shares: np.ndarray) -> np.ndarray:
+    """Per row of ``x``: the contributions, the mean margin of the background, the row's margin."""
+    value, low, high = leaves
+    m = len(FEATURES)
+    every = np.uint8(2 ** m - 1)
+    mine, back = passed(x, low, high), passed(background, low, high)
+    flat = shares.reshape(-1, m)
+    out = np.zeros((len(x), m + 2))
+    out[:, m] = np.where(back == every, value, 0.0).sum(1).mean()
+    out[:, m + 1] = (mine == every) @ value
+    for b in back:
+        need = every & ~b                     # only the row can pass these
+        at = np.flatnonzero((mine & need) == need)
+        row = at // len(value)
+        leaf = at - row * len(value)
+        spoil = every & ~mine.reshape(-1).take(at)  # only the background passes these
+        part = flat.take(need.take(leaf).astype(np.intp) * len(shares) + spoil, 0)
+        part *= value.take(leaf)[:, None]
+        # every tree has a leaf that the background reaches alone, so no row is without one
+        out[:, :m] += np.add.reduceat(part, np.searchsorted(row, np.arange(len(x)))) / len(back)
+    return out
 
 
 def margin(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -283,33 +365,25 @@ def attribution(model: PipelineModel, rows: DataFrame, background: DataFrame | N
     boosted model, absent features averaged over the background rows:
     (order_id, feature, contribution, base_value, value).  Contributions sum to
     value - base_value for every row."""
-    m = len(FEATURES)
     background = background_rows(rows) if background is None else background
-    pool = background.agg(F.collect_list(F.struct(*FEATURES)).alias("_pool"))  # BACKGROUND rows
-    mask = F.col("_mask")
+    encoder = PipelineModel(model.stages[:-1])
+    back = [r.x for r in encoder.transform(background).select(vector_to_array("features").alias("x")).collect()]  # BACKGROUND rows
+    shared = rows.sparkSession.sparkContext.broadcast((np.array(back), tree_leaves(model), _leaf_shares()))
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def shapley(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in batches:
+            x = np.stack(b.to_numpy()) if len(b) else np.zeros((0, len(FEATURES)))
+            out = [leaf_shapley(x[at:at + 128], *shared.value) for at in range(0, len(x), 128)]
+            yield pd.Series([r for o in out for r in o], dtype=object)
+
     # one row per order: fan-out copies (one per review) carry identical features
     orders = rows.select("order_id", *FEATURES).distinct()
     tuples = orders.select(*FEATURES).distinct()
-    x = (with_scalars(tuples, pool).withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2 ** m - 1))))
-         .withColumn("_b", F.explode("_pool")))
-    mixed = [F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.col(c)).otherwise(F.col("_b")[c]).alias(f"_x_{c}") for i, c in enumerate(FEATURES)]
-    x = x.select(*FEATURES, "_mask", *mixed)
-    w = _shapley_weights(m)
-    size = F.bit_count(mask)
-    wsize = F.array(*[F.lit(v) for v in w])
-    # the mixed tuples repeat (few features present, the rest from few rows): each is scored once
-    asked = x.groupBy(*[f"_x_{c}" for c in FEATURES]).agg(F.count(F.lit(1)).alias("_asked")).drop("_asked")
-    scored = margin(model, asked.select(*[F.col(f"_x_{c}").alias(c) for c in FEATURES]))
-    scored = scored.select(*[F.col(c).alias(f"_x_{c}") for c in FEATURES], "_f")
-    rows_of = F.count(F.lit(1)) / (2 ** m)
-    aggs = []
-    for i, c in enumerate(FEATURES):
-        has = (mask.bitwiseAND(F.lit(1 << i))) != 0
-        coef = F.when(has, F.element_at(wsize, size)).otherwise(-F.element_at(wsize, size + 1))
-        aggs.append((F.sum(F.col("_f") * coef) / rows_of).alias(f"_c_{c}"))
-    aggs += [F.avg(F.when(mask == 0, F.col("_f"))).alias("base_value"),
-             F.avg(F.when(mask == 2 ** m - 1, F.col("_f"))).alias("value")]
-    per_tuple = x.join(scored, [f"_x_{c}" for c in FEATURES]).groupBy(*FEATURES).agg(*aggs)
+    if not back:
+        tuples = tuples.where(F.lit(False))
+    found = encoder.transform(tuples).select(*FEATURES, shapley(vector_to_array("features")).alias("_s"))
+    per_tuple = found.select(*FEATURES, *[F.col("_s")[i].alias(c) for i, c in enumerate([*[f"_c_{c}" for c in FEATURES], "base_value", "value"])])
     per_row = orders.join(per_tuple, FEATURES).drop(*FEATURES)
     return per_row.select("order_id", "base_value", "value", *[F.col(f"_c_{c}").alias(c) for c in FEATURES]).unpivot(
         ["order_id", "base_value", "value"], FEATURES, "feature", "contribution")

@@ -22,6 +22,7 @@ from lateline.operators import breakdowns as B
 from lateline.operators import enrich, fact as FT, kpi, marts
 from lateline.oracle_sql import q
 from lateline.plans.present import present
+from lateline.session import staged
 from lateline.sources.synthetic import synthetic_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +83,12 @@ class Ctx:
         """The fact with these columns only, built by the joins they need."""
         return FT.fact_deliveries(self.t, CFG, columns=columns, reuse=reuse)
 
+    @cached_property
+    def risk_rows(self):
+        """The risk model's rows, written once: the split, the fit and the reports
+        read this narrow table, not the fact's joins."""
+        return staged(R.ml_features(self.facts(*R.FACT_COLS)), "risk-rows")
+
     @cached_property
     def oi(self):
         return _memo(self, "oi", lambda: B.orders_items(self.nb, self.t.items))
@@ -1020,7 +1027,7 @@ def _model(c: Ctx, kind: str):
     """Fitted pipelines are reused within a session (training is the cost)."""
     key = (_session_key(c.spark), c.sf_dir, kind)
     if key not in _MODELS:
-        rows = R.ml_features(c.facts(*R.FACT_COLS))
+        rows = c.risk_rows
         if kind == "boosted_all":
             _MODELS[key] = R.train_boosted(rows, CFG)
         else:
@@ -1031,18 +1038,18 @@ def _model(c: Ctx, kind: str):
 
 
 def _test_rows(c: Ctx):
-    return R.stratified_split(R.ml_features(c.facts(*R.FACT_COLS)), CFG.test_fraction, CFG.seed)[1]
+    return R.stratified_split(c.risk_rows, CFG.test_fraction, CFG.seed)[1]
 
 
 @register("fact_late_risk")
 def _fact_late_risk(c: Ctx):
     """Boosted model fitted on all feature rows, scoring the same rows."""
-    return R.fact_late_risk(c.facts(*R.FACT_COLS), CFG, _model(c, "boosted_all"))
+    return R.fact_late_risk(c.risk_rows, CFG, _model(c, "boosted_all"))
 
 
 @register("risk_distribution")
 def _risk_dist(c: Ctx):
-    return R.risk_distribution(R.fact_late_risk(c.facts(*R.FACT_COLS), CFG, _model(c, "boosted_all")))
+    return R.risk_distribution(R.fact_late_risk(c.risk_rows, CFG, _model(c, "boosted_all")))
 
 
 @register("stratified_split", f"""
@@ -1060,7 +1067,7 @@ SELECT CAST(sum(n) AS BIGINT) AS n, split FROM (
 GROUP BY split""")
 def _split(c: Ctx):
     """Sizes of the stratified 80/20 split (per-class exact proportions)."""
-    tr, te = R.stratified_split(R.ml_features(c.facts(*R.FACT_COLS)).distinct(), CFG.test_fraction, CFG.seed)
+    tr, te = R.stratified_split(c.risk_rows.distinct(), CFG.test_fraction, CFG.seed)
     return R.split_report(tr, te).select(F.col("n").cast("long").alias("n"), "split")
 
 
@@ -1105,7 +1112,7 @@ _RULE = """(SELECT *, CAST(late_probability >= 0.5 AS INTEGER) AS late_predictio
 
 
 def _rule_scored(c: Ctx) -> DataFrame:
-    rows = R.ml_features(c.facts(*R.FACT_COLS))
+    rows = c.risk_rows
     p = (F.col("purchase_month") * 37 + F.col("purchase_hour") * 11 + F.col("purchase_dayofweek") * 5) % 101 / F.lit(100.0)
     return (rows.withColumn("late_probability", p).withColumn("late_prediction", (F.col("late_probability") >= 0.5).cast("int"))
             .withColumn("risk_level", R.risk_level("late_probability")))
@@ -1156,20 +1163,20 @@ def _rule_chi2(c: Ctx):
 @register("chi2_risk_pair")
 def _chi2_risk(c: Ctx):
     """High vs Low risk on all rows, scored by the model of the training split."""
-    return ST.chi2_risk_pair(R.score_risk(_model(c, "boosted"), R.ml_features(c.facts(*R.FACT_COLS))))
+    return ST.chi2_risk_pair(R.score_risk(_model(c, "boosted"), c.risk_rows))
 
 
 @register("attribution")
 def _attribution(c: Ctx):
     """Exact Shapley contributions of all rows to the margin, against the background set."""
-    return R.attribution(_model(c, "boosted"), R.ml_features(c.facts(*R.FACT_COLS)))
+    return R.attribution(_model(c, "boosted"), c.risk_rows)
 
 
 @register("attribution_row")
 def _attribution_row(c: Ctx):
     """Contributions and decoded values of one order (smallest id), against
     the baseline of all rows."""
-    rows = R.ml_features(c.facts(*R.FACT_COLS))
+    rows = c.risk_rows
     pick = rows.agg(F.min("order_id").alias("order_id"))
     contrib = R.attribution(_model(c, "boosted"), rows.join(pick, "order_id"), R.background_rows(rows))
     return R.attribution_row(contrib, rows, pick)
@@ -1177,7 +1184,7 @@ def _attribution_row(c: Ctx):
 
 @register("attribution_global")
 def _attribution_global(c: Ctx):
-    return R.attribution_global(R.attribution(_model(c, "boosted"), R.ml_features(c.facts(*R.FACT_COLS))))
+    return R.attribution_global(R.attribution(_model(c, "boosted"), c.risk_rows))
 
 
 # =================================================================== quality

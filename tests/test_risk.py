@@ -112,3 +112,20 @@ def test_model_finds_a_signal(spark):
     train, test = R.stratified_split(rows, 0.2, 42)
     for model in (R.train_boosted(train, CFG), R.train_forest(train, CFG)):
         assert R.roc_auc_exact(R.score_risk(model, test)).first().roc_auc > 0.6
+
+
+def test_attribution_reads_leaves_and_expands_no_coalitions(spark):
+    import numpy as np
+    rows = _rows(spark, 200).persist()
+    model = R.train_boosted(rows, CFG)
+    value, low, high = R.tree_leaves(model)
+    got = R.margin(model, rows).select(*R.FEATURES, "_f").distinct().collect()
+    x = model.transform(spark.createDataFrame([g[:-1] for g in got], rows.select(*R.FEATURES).schema)).select("features").collect()
+    x = np.array([r.features.toArray() for r in x])
+    inside = R.passed(x, low, high) == 2 ** len(R.FEATURES) - 1
+    assert (inside.sum(1) == CFG.gbt_trees).all()          # one leaf of every tree
+    assert np.allclose(inside @ value, [g._f for g in got], atol=1e-12)
+    plan = R.attribution(model, rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "bit_count" not in plan
+    # no row to take absent features from: no contribution
+    assert R.attribution(model, rows, rows.where("false")).count() == 0
