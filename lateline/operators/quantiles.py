@@ -86,8 +86,8 @@ def select_quantiles(df: DataFrame, columns: dict[str, tuple[Column, dict[str, f
        counted: the value at a rank is exact.  A rank outside its bracket (the
        sketch's error is bounded, so it cannot be) would raise, not be guessed.
 
-    A round's result is a scalar subquery of the next (with ``by``: one row per
-    group, joined), so building the plan runs nothing and no row is copied for
+    A round's result is a scalar subquery of the next (with ``by``, which is for
+    few groups: one row per group, broadcast), so building the plan runs nothing and no row is copied for
     a column.  Nulls and NaN are skipped; without values the result is null
     (with ``by``: no row for a group that has none in any column).  With
     ``moments`` the last round also yields ``mean_, std_, min_`` and ``max_<key>``."""
@@ -104,7 +104,8 @@ def select_quantiles(df: DataFrame, columns: dict[str, tuple[Column, dict[str, f
     def attach(rows: DataFrame, one: DataFrame) -> DataFrame:
         # a round's results are one struct: its plan is in the next round's once
         row = one.select(*by, F.struct(*[c for c in one.columns if c not in by]).alias("_r"))
-        return rows.join(row, by) if by else rows.withColumn("_r", row.select("_r").scalar())
+        # broadcast: a join by the key would put all rows of a group into one task
+        return rows.join(F.broadcast(row), by) if by else rows.withColumn("_r", row.select("_r").scalar())
 
     ends = {x: [e for y, _, p in targets if y == x for e in (max(0.0, p - SLACK), min(1.0, p + SLACK))] for x in v}
     sketch = base.groupBy(*by).agg(*many([f"percentile_approx({x}, array({', '.join(f'{e!r}D' for e in ends[x])}), {SKETCH}) as s_{x}" for x in v]
@@ -120,7 +121,7 @@ def select_quantiles(df: DataFrame, columns: dict[str, tuple[Column, dict[str, f
         return hits.groupBy(*by, "i").agg(F.expr(f"struct(i, {agg}) as row")).groupBy(*by).agg(F.expr(f"collect_list(row) as {name}"))
 
     def with_found(df: DataFrame, found: DataFrame) -> DataFrame:
-        return df.join(found, by, "left") if by else df.withColumn(found.columns[-1], found.scalar())
+        return df.join(F.broadcast(found), by, "left") if by else df.withColumn(found.columns[-1], found.scalar())
 
     first = attach(base, one)
     grid = "cast(split('" + ",".join(f"{i / GRID!r}" for i in range(GRID + 1)) + "', ',') as array<double>)"

@@ -152,9 +152,9 @@ def five_number_summary(df: DataFrame, col: str, by: Sequence[str] = ()) -> Data
     qs = exact_quantiles(d, "_v", [0.25, 0.5, 0.75], by=by, names=["q1", "median", "q3"])
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-    # one quantile row per group: an equi-join on the group keys (Spark picks
-    # the strategy from its size); globally the quartiles are scalar subqueries
-    j = d.join(qs, by, "inner") if by else C.with_scalars(d, qs)
+    # one quantile row per group, broadcast: the rows stay where they are, and are
+    # aggregated there before the exchange; globally the quartiles are scalar subqueries
+    j = d.join(F.broadcast(qs), by, "inner") if by else C.with_scalars(d, qs)
     inside = (F.col("_v") >= lo) & (F.col("_v") <= hi)
     keys = by + ["q1", "median", "q3"]
     return (j.groupBy(*keys).agg(

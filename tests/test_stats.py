@@ -66,3 +66,17 @@ def test_native_p_value_matches_published_values(spark):
     df = spark.createDataFrame([(c,) for c in known], "c double").select("c", F.sqrt(F.col("c") / 2).alias("x"))
     for r in df.select("c", F.expr(C.erfc_sql("x")).alias("p")).collect():
         assert r.p == pytest.approx(known[r.c], rel=1e-10)
+
+
+def test_box_plot_numbers_keep_a_group_out_of_one_task(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 4000, 1, 8).select((F.col("id") % 2).cast("int").alias("g"), (F.col("id") % 100).cast("double").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where Spark cannot tell how small a group's row is
+    try:
+        out = ST.five_number_summary(df, "v", by=["g"])
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        got = {r.g: tuple(r)[1:] for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {0: (24.0, 49.0, 74.0, 0.0, 98.0, 0, 2000), 1: (25.0, 50.0, 75.0, 1.0, 99.0, 0, 2000)}
