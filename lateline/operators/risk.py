@@ -33,7 +33,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
@@ -102,6 +102,12 @@ def max_bins(train: DataFrame, least: int = 64) -> int:
     return max(least, *[(row[c] or 0) + 2 for c in CATEGORICAL])
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A staged table in as many parts as the cluster has cores: its files are
+    few and small, and the trees read it some hundred times."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 #: Rows a tuple of the forest's training table.
 FOREST_SHARDS = 16
 #: A split gains more than rounding: equal sums in another order then grow the same trees.
@@ -114,7 +120,7 @@ def train_boosted(train: DataFrame, cfg: Config = DEFAULT_CONFIG, grouped: bool
     gbt = GBTClassifier(labelCol="is_late", featuresCol="features", weightCol="weight",
                         maxIter=cfg.gbt_trees, maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step,
                         seed=cfg.seed, maxBins=max_bins(rows), minInfoGain=LEAST_GAIN)
-    return _stages(gbt).fit(with_class_weight(rows, "positive"))
+    return _stages(gbt).fit(spread(with_class_weight(rows, "positive")))
 
 
 def train_forest(train: DataFrame, cfg: Config = DEFAULT_CONFIG) -> PipelineModel:
@@ -122,7 +128,7 @@ def train_forest(train: DataFrame, cfg: Config = DEFAULT_CONFIG) -> PipelineMode
     rf = RandomForestClassifier(labelCol="is_late", featuresCol="features", weightCol="weight",
                                 numTrees=cfg.forest_trees, maxDepth=cfg.forest_depth,
                                 seed=cfg.seed, maxBins=max_bins(rows), minInfoGain=LEAST_GAIN)
-    return _stages(rf).fit(with_class_weight(rows, "balanced"))
+    return _stages(rf).fit(spread(with_class_weight(rows, "balanced")))
 
 
 def score_risk(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -176,6 +182,7 @@ def roc_auc_exact(scored: DataFrame, score: str = "late_probability", label: str
     per distinct score and distributed running counts of negatives below."""
     per = scored.groupBy(F.col(score).alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+    per = staged(per, "auc-counts")  # read three times; the rows are scored once
     run = running_totals(per, "_s", ["neg"])
     return run.agg(((F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))))
                     / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("roc_auc"),
@@ -218,7 +225,7 @@ def classification_report(scored: DataFrame) -> DataFrame:
 
 def evaluate(model: PipelineModel, test: DataFrame, name: str) -> DataFrame:
     """One row per model: AUC, recall and precision of the late class, counts."""
-    s = score_risk(model, test)
+    s = staged(score_risk(model, test).select("late_probability", "late_prediction", "is_late"), "risk-scored")
     y, p = F.col("is_late"), F.col("late_prediction")
     c = s.agg(F.count_if((y == 1) & (p == 1)).alias("true_positives"),
               F.count_if((y == 1) & (p == 0)).alias("misses"),
@@ -253,9 +260,9 @@ def top_features(importances: DataFrame, n: int = 3) -> DataFrame:
 
 def risk_distribution(scored: DataFrame) -> DataFrame:
     counts = scored.groupBy("risk_level").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("_t"))
-    return with_scalars(counts, total).select(
-        "risk_level", "n", (F.col("n") / F.col("_t")).alias("share"))
+    # a row for each level: a window over them, so that the rows are scored once
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    return counts.select("risk_level", "n", (F.col("n") / total).alias("share"))
 
 
 # ------------------------------------------------------------------ attribution

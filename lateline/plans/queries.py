@@ -87,7 +87,13 @@ class Ctx:
     def risk_rows(self):
         """The risk model's rows, written once: the split, the fit and the reports
         read this narrow table, not the fact's joins."""
-        return staged(R.ml_features(self.facts(*R.FACT_COLS)), "risk-rows")
+        fact = self.fact_table if "fact_table" in self.__dict__ else self.facts(*R.FACT_COLS)
+        return staged(R.ml_features(fact), "risk-rows")
+
+    @cached_property
+    def fact_table(self):
+        """The whole fact written once, for the many readers of a published version."""
+        return staged(self.fact, "fact")
 
     @cached_property
     def oi(self):
@@ -1038,7 +1044,8 @@ def _model(c: Ctx, kind: str):
 
 
 def _test_rows(c: Ctx):
-    return R.stratified_split(c.risk_rows, CFG.test_fraction, CFG.seed)[1]
+    # staged: the split's cuts are found once, whatever reads the rows
+    return staged(R.stratified_split(c.risk_rows, CFG.test_fraction, CFG.seed)[1], "risk-test")
 
 
 @register("fact_late_risk")
@@ -1192,7 +1199,7 @@ from lateline.operators import dash as DS, impact as IM, quality as Q  # noqa: E
 
 
 def _published(c: Ctx, with_risk: bool = True) -> dict:
-    f = c.fact
+    f = c.fact_table
     out = {"fact_deliveries": f, "dim_sellers": FT.dim_sellers(c.t.sellers),
            "dim_customers": FT.dim_customers(c.t.customers),
            "dim_products": FT.dim_products(c.t.products, c.t.cat_trans),
@@ -1202,7 +1209,7 @@ def _published(c: Ctx, with_risk: bool = True) -> dict:
            "agg_cohort_performance": marts.agg_cohort_performance(f),
            "kpi_summary": kpi.kpi_summary(f, CFG)}
     if with_risk:
-        out["fact_late_risk"] = R.fact_late_risk(f, CFG, _model(c, "boosted_all"))
+        out["fact_late_risk"] = R.fact_late_risk(c.risk_rows, CFG, _model(c, "boosted_all"))
     return out
 
 
