@@ -530,3 +530,51 @@ def test_op2_learns_from_whole_texts():
     ws = [f"w{i}".encode() for i in range(3_000) for _ in range(2)] + [b"zebra"]
     got = quality.count_features(ws, 1 << 18)
     assert all(f in got for f in quality.features(b"zebra", 1 << 18))
+
+
+def test_op8_windows_hold_every_id_once(spark):
+    rows = [(0, "One two " * 100), (1, ""), (2, None), (3, "zebra"), (4, " ".join(f"w{i}" for i in range(70)))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    path = lm.default_vocabulary()
+    ids = lm.Ids(path)
+    w = lm.as_windows(lm.cut_windows(d, "text", "doc_id", path).toArrow().column("ids")).astype(int)
+    got = Counter((x, y) for r in w.tolist() for x, y in zip(r, r[1:]) if (x, y) != (lm.END, lm.END))
+    streams = [[lm.END, *ids.stream(lm.lower_words(t)).tolist(), lm.END] for _, t in rows if t is not None]
+    assert got == Counter((x, y) for s in streams for x, y in zip(s, s[1:]) if (x, y) != (lm.END, lm.END))
+
+
+def test_op1_a_passage_is_found_wherever_it_is():
+    rng = np.random.default_rng(4)
+    p, noise = rng.integers(0, 1 << 30, 60), lambda n: rng.integers(1 << 30, 1 << 31, n)
+    # the passage's tokens occur before it as well, more than 64 times, far apart
+    stray = [np.concatenate([noise(30), p[i:i + 1]]) for i in range(60) for _ in range(70)]
+    b = np.concatenate([*stray, noise(40), p])
+    a = np.concatenate([noise(20), p, noise(20)])
+    least = substring.least_tokens()
+    assert (20, 80, len(b) - 60, len(b)) in substring.both_ways(a, b, least)
+    # twice in the other text: both places are passages
+    twice = np.concatenate([p, noise(50), p])
+    assert {(f, g) for _, _, f, g in substring.both_ways(a, twice, least)} == {(0, 60), (110, 170)}
+
+
+def test_op1_passages_that_met_different_leaders_are_linked(spark):
+    rng = np.random.default_rng(5)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 1 << 30, n)]
+    # a chain of near copies: each differs from the next in few words, the ends in many
+    base = word(80)
+    texts = []
+    for k in range(40):
+        t = list(base)
+        for i in range(k % 8):
+            t[(i * 9 + k) % 80] = f"x{k}_{i}"
+        texts.append(" ".join(t))
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = substring.repeated_passages(d).collect()
+    least = substring.least_tokens()
+    shingler = substring.Shingler(substring.SHINGLE)
+    toks = [substring.ordered_tokens(shingler, t) for t in texts]
+    of = {i: {r.passage_id for r in got if r.doc_id == i} for i in range(40)}
+    for i in range(40):
+        for j in range(i):
+            if substring.both_ways(toks[i], toks[j], least):
+                assert of[i] & of[j], (i, j)
