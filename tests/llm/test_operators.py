@@ -578,3 +578,28 @@ def test_op1_passages_that_met_different_leaders_are_linked(spark):
         for j in range(i):
             if substring.both_ways(toks[i], toks[j], least):
                 assert of[i] & of[j], (i, j)
+
+
+def test_op1_only_shared_signatures_are_staged(spark, monkeypatch):
+    """Signatures that one text alone has are in their exchange and in no staged table."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(50_000, 120).astype(str)) for _ in range(20)]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts[:2], None, ""])], "doc_id long, text string")
+    save, staged = substring.Stage.save, []
+    monkeypatch.setattr(substring.Stage, "save", lambda self, df, name: staged.append(save(self, df, name)) or staged[-1])
+    got = {(r.doc_id, r.start_word, r.end_word, r.passage_id) for r in substring.repeated_passages(d).collect()}
+    assert got == {(0, 0, 120, 0), (20, 0, 120, 0), (1, 0, 120, 1), (21, 0, 120, 1)}
+    assert sum(t.count() for t in staged if "sig" in t.schema.simpleString()) == 0
+
+
+def test_op1_texts_with_few_shared_tokens_are_not_walked(monkeypatch):
+    rng = np.random.default_rng(4)
+    least = substring.least_tokens()
+    a, b = rng.integers(0, 1 << 30, (2, 500)).astype(np.int32)
+    b[100:100 + least // 2 - 1] = a[200:200 + least // 2 - 1]
+    walked = []
+    real = substring.passages
+    monkeypatch.setattr(substring, "passages", lambda *x: walked.append(1) or real(*x))
+    assert substring.both_ways(a, b, least) == [] and not walked
+    b[100:100 + least] = a[200:200 + least]
+    assert substring.both_ways(a, b, least) == [(200, 200 + least, 100, 100 + least)] and walked
