@@ -14,11 +14,12 @@ scores, evaluation and attribution, all on Spark ML.
 * evaluation uses a hash-stratified 80/20 split whose per-class cut is an
   exact distributed quantile of the hash, exact ROC-AUC from distributed
   running totals, and one-pass confusion counts;
-* attribution is exact Shapley of the margin against a few background rows:
-  each distinct feature tuple is looked at once, in its task, leaf by leaf of
-  the fitted trees (what a leaf adds to a coalition depends on whether the row
-  or the background passes each of its conditions, so its share of the 2^7
-  coalitions is a closed form), and joined back to the orders.
+* attribution is exact Shapley of the margin against all background rows:
+  what a leaf adds to a coalition depends on whether the row or the background
+  passes each of its conditions, so its share of the 2^7 coalitions is a closed
+  form.  One pass counts the background rows of each leaf and set of passed
+  conditions; each distinct feature tuple is then looked at once, in its task,
+  leaf by leaf of the fitted trees, and joined back to the orders.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
@@ -260,12 +262,12 @@ def risk_distribution(scored: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ attribution
-#: Rows of the background set: the least seeded hashes of distinct feature tuples.
+#: Rows of a small background set: the least seeded hashes of distinct feature tuples.
 BACKGROUND = 4
 
 
 def background_rows(rows: DataFrame, n: int = BACKGROUND, seed: int = 42) -> DataFrame:
-    """A fixed, repeatable set of ``n`` rows that absent features are taken from."""
+    """A fixed, repeatable set of ``n`` rows that absent features can be taken from."""
     tuples = rows.select(*FEATURES).distinct()
     return tuples.orderBy(F.xxhash64(*FEATURES, F.lit(seed)), *FEATURES).limit(n)
 
@@ -331,27 +333,37 @@ def passed(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return out
 
 
-def leaf_shapley(x: np.ndarray, background: np.ndarray, leaves: tuple[np.ndarray, np.ndarray, np.ndarray],
-                 shares: np.ndarray) -> np.ndarray:
-    """Per row of ``x``: the contributions, the mean margin of the background, the row's margin."""
-    value, low, high = leaves
-    m = len(FEATURES)
-    every = np.uint8(2 ** m - 1)
-    mine, back = passed(x, low, high), passed(background, low, high)
-    flat = shares.reshape(-1, m)
-    out = np.zeros((len(x), m + 2))
-    out[:, m] = np.where(back == every, value, 0.0).sum(1).mean()
-    out[:, m + 1] = (mine == every) @ value
-    for b in back:
-        need = every & ~b                     # only the row can pass these
-        at = np.flatnonzero((mine & need) == need)
-        row = at // len(value)
-        leaf = at - row * len(value)
-        spoil = every & ~mine.reshape(-1).take(at)  # only the background passes these
-        part = flat.take(need.take(leaf).astype(np.intp) * len(shares) + spoil, 0)
-        part *= value.take(leaf)[:, None]
-        # every tree has a leaf that the background reaches alone, so no row is without one
-        out[:, :m] += np.add.reduceat(part, np.searchsorted(row, np.arange(len(x)))) / len(back)
+def background_counts(masks: np.ndarray, n: np.ndarray, block: int = 256) -> np.ndarray:
+    """Per leaf and bit mask the number of rows; a row of ``masks`` stands for ``n`` of them."""
+    leaves, size = masks.shape[1], 2 ** len(FEATURES)
+    out = np.zeros((leaves, size))
+    for at in range(0, leaves, block):
+        some = masks[:, at:at + block]
+        k = some.shape[1]
+        out[at:at + k] = np.bincount((some + np.arange(k) * size).ravel(), np.repeat(n, k), k * size).reshape(k, size)
+    return out
+
+
+def leaf_table(value: np.ndarray, counts: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """Per leaf and bit mask of a row: what the leaf adds to the row's
+    contributions, averaged over all background rows, and to its margin."""
+    m, size = len(FEATURES), len(shares)
+    # only the row can pass what the background fails; only the background passes what the row fails
+    game = shares[::-1, ::-1].reshape(size, size * m)
+    rows = counts[0].sum()
+    out = np.zeros((len(value), size, m + 1))
+    out[:, :, :m] = (counts / rows @ game).reshape(len(value), size, m) * value[:, None, None]
+    out[:, size - 1, m] = value
+    return out
+
+
+def leaf_shapley(masks: np.ndarray, table: np.ndarray, block: int = 64) -> np.ndarray:
+    """Per row its contributions and its margin, leaf by leaf."""
+    out = np.zeros((len(masks), table.shape[2]))
+    for at in range(0, len(table), block):
+        part = table[at:at + block]
+        slot = masks[:, at:at + block] + np.arange(len(part)) * table.shape[1]
+        out += (np.ones((1, len(part))) @ part.reshape(-1, table.shape[2]).take(slot, 0))[:, 0]
     return out
 
 
@@ -361,31 +373,64 @@ def margin(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).select(*df.columns, raw.alias("_f"))
 
 
+def _background(encoder: PipelineModel, background: DataFrame, leaves: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """``background_counts`` of all rows of ``background``: every task counts its tuples."""
+    shared = background.sparkSession.sparkContext.broadcast(leaves)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        value, low, high = shared.value
+        total = np.zeros((len(value), 2 ** len(FEATURES)))
+        for b in batches:
+            x, n = _matrix(b.column(0)), b.column(1).to_numpy()
+            for at in range(0, len(x), 512):
+                total += background_counts(passed(x[at:at + 512], low, high), n[at:at + 512])
+        slot = np.flatnonzero(total)
+        for at in range(0, len(slot), 1 << 16):
+            some = slot[at:at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total.take(some).astype(np.int64))], ["slot", "n"])
+
+    tuples = background.groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n"))
+    part = encoder.transform(tuples).select(vector_to_array("features").alias("x"), "n").mapInArrow(count, "slot long, n long")
+    found = part.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most the leaves' masks
+    out = np.zeros((len(leaves[0]), 2 ** len(FEATURES)))
+    np.put(out, found["slot"].to_numpy(), found["n"].to_numpy())
+    return out
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(-1, len(FEATURES))
+
+
 def attribution(model: PipelineModel, rows: DataFrame, background: DataFrame | None = None) -> DataFrame:
     """Exact Shapley contributions of the 7 features to the margin of the
-    boosted model, absent features averaged over the background rows:
-    (order_id, feature, contribution, base_value, value).  Contributions sum to
-    value - base_value for every row."""
-    background = background_rows(rows) if background is None else background
+    boosted model, absent features averaged over all background rows, by
+    default all ``rows``: (order_id, feature, contribution, base_value, value).
+    Contributions sum to value - base_value for every row."""
+    background = rows if background is None else background
     encoder = PipelineModel(model.stages[:-1])
-    back = [r.x for r in encoder.transform(background).select(vector_to_array("features").alias("x")).collect()]  # BACKGROUND rows
-    shared = rows.sparkSession.sparkContext.broadcast((np.array(back), tree_leaves(model), _leaf_shares()))
+    leaves = tree_leaves(model)
+    counts = _background(encoder, background, leaves)
+    known = bool(counts.any())
+    base = float(leaves[0] @ counts[:, -1] / counts[0].sum()) if known else 0.0
+    shared = rows.sparkSession.sparkContext.broadcast((leaves, counts))
 
     @F.pandas_udf(ArrayType(DoubleType()))
     def shapley(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        (value, low, high), counts = shared.value
+        table = leaf_table(value, counts, _leaf_shares())
         for b in batches:
             x = np.stack(b.to_numpy()) if len(b) else np.zeros((0, len(FEATURES)))
-            out = [leaf_shapley(x[at:at + 128], *shared.value) for at in range(0, len(x), 128)]
+            out = [leaf_shapley(passed(x[at:at + 512], low, high), table) for at in range(0, len(x), 512)]
             yield pd.Series([r for o in out for r in o], dtype=object)
 
     # one row per order: fan-out copies (one per review) carry identical features
     orders = rows.select("order_id", *FEATURES).distinct()
     tuples = orders.select(*FEATURES).distinct()
-    if not back:
+    if not known:
         tuples = tuples.where(F.lit(False))
     found = encoder.transform(tuples).select(*FEATURES, shapley(vector_to_array("features")).alias("_s"))
-    per_tuple = found.select(*FEATURES, *[F.col("_s")[i].alias(c) for i, c in enumerate([*[f"_c_{c}" for c in FEATURES], "base_value", "value"])])
-    per_row = orders.join(per_tuple, FEATURES).drop(*FEATURES)
+    per_tuple = found.select(*FEATURES, *[F.col("_s")[i].alias(c) for i, c in enumerate([*[f"_c_{c}" for c in FEATURES], "value"])])
+    per_row = orders.join(per_tuple, FEATURES).drop(*FEATURES).withColumn("base_value", F.lit(base))
     return per_row.select("order_id", "base_value", "value", *[F.col(f"_c_{c}").alias(c) for c in FEATURES]).unpivot(
         ["order_id", "base_value", "value"], FEATURES, "feature", "contribution")
 

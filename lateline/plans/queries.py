@@ -1175,7 +1175,7 @@ def _chi2_risk(c: Ctx):
 
 @register("attribution")
 def _attribution(c: Ctx):
-    """Exact Shapley contributions of all rows to the margin, against the background set."""
+    """Exact Shapley contributions of all rows to the margin, against all rows."""
     return R.attribution(_model(c, "boosted"), c.risk_rows)
 
 

@@ -129,3 +129,39 @@ def test_attribution_reads_leaves_and_expands_no_coalitions(spark):
     assert "Generate" not in plan and "bit_count" not in plan
     # no row to take absent features from: no contribution
     assert R.attribution(model, rows, rows.where("false")).count() == 0
+
+
+def test_attribution_takes_absent_features_from_all_rows(spark):
+    import itertools
+    import math
+
+    import numpy as np
+    rows = _rows(spark, 120).persist()
+    model = R.train_boosted(rows, CFG)
+    some = rows.where("order_id in ('o1', 'o2', 'o3')")
+    value, low, high = R.tree_leaves(model)
+    enc = {r.order_id: r.features.toArray() for r in model.transform(rows).select("order_id", "features").collect()}
+    back = np.array([*enc.values()])
+    m = len(R.FEATURES)
+    f = lambda x: ((R.passed(x, low, high) == 2 ** m - 1) @ value).mean()
+    base = R.margin(model, rows).agg(F.avg("_f")).first()[0]
+    got = R.attribution(model, some, rows).collect()
+    assert len(got) == 3 * m and len({(tuple(b)) for b in back}) > R.BACKGROUND
+    v = {}
+    for r in got:
+        x, i = enc[r.order_id], R.FEATURES.index(r.feature)
+        want = 0.0
+        for k in range(m):
+            for s in itertools.combinations([j for j in range(m) if j != i], k):
+                both = []
+                for t in ((*s, i), s):
+                    if (r.order_id, frozenset(t)) not in v:
+                        mixed = back.copy()
+                        mixed[:, list(t)] = x[list(t)]
+                        v[r.order_id, frozenset(t)] = f(mixed)
+                    both.append(v[r.order_id, frozenset(t)])
+                want += math.factorial(k) * math.factorial(m - k - 1) / math.factorial(m) * (both[0] - both[1])
+        assert abs(r.contribution - want) < 1e-9 and abs(r.base_value - base) < 1e-9
+    # by default the rows themselves are the background: all margins average to the base value
+    own = R.attribution(model, rows).agg(F.max("base_value").alias("b"), F.avg("value").alias("v")).first()
+    assert abs(own.b - base) < 1e-9 and abs(own.v - base) < 1e-9
