@@ -1185,7 +1185,7 @@ def _attribution_row(c: Ctx):
     the baseline of all rows."""
     rows = c.risk_rows
     pick = rows.agg(F.min("order_id").alias("order_id"))
-    contrib = R.attribution(_model(c, "boosted"), rows.join(pick, "order_id"), R.background_rows(rows))
+    contrib = R.attribution(_model(c, "boosted"), rows.join(pick, "order_id"), rows)
     return R.attribution_row(contrib, rows, pick)
 
 

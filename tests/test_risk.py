@@ -165,3 +165,17 @@ def test_attribution_takes_absent_features_from_all_rows(spark):
     # by default the rows themselves are the background: all margins average to the base value
     own = R.attribution(model, rows).agg(F.max("base_value").alias("b"), F.avg("value").alias("v")).first()
     assert abs(own.b - base) < 1e-9 and abs(own.v - base) < 1e-9
+
+
+def test_attribution_row_has_the_baseline_of_all_rows(spark, monkeypatch):
+    from lateline.plans import queries as Q
+    rows = _rows(spark, 120).persist()
+    model = R.train_boosted(rows, CFG)
+    monkeypatch.setattr(Q, "_model", lambda c, kind: model)
+
+    class Given:
+        risk_rows = rows
+    base = R.margin(model, rows).agg(F.avg("_f")).first()[0]
+    got = Q._attribution_row(Given()).collect()
+    assert len(got) == len(R.FEATURES) and {r.order_id for r in got} == {"o0"}
+    assert all(abs(r.base_value - base) < 1e-9 for r in got)
