@@ -7,7 +7,7 @@ scores, evaluation and attribution, all on Spark ML.
   ``n / (2 n_c)`` per class (forest, "balanced");
 * fit on sufficient statistics: one row per distinct (features, label) with
   the sum of its rows' weights, so the fit stops growing once all tuples have
-  been seen; the forest keeps 16 rows a tuple, for its bootstrap to draw from;
+  been seen; the forest (``forest.py``) draws Poisson(rows) of each tuple;
 * boosted trees: ``GBTClassifier`` (first-order boosting, so scores are not
   numerically equal to the reference's second-order library; ranking quality
   and repeatability are what is promised);
@@ -42,6 +42,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 from lateline.config import DEFAULT_CONFIG, Config
 from lateline.functions.buckets import risk_level
 from lateline.functions.columns import with_scalars
+from lateline.operators.forest import fit_forest
 from lateline.operators.quantiles import running_totals, select_quantiles
 from lateline.session import staged
 
@@ -63,11 +64,9 @@ def _encoded_names() -> list[str]:
     return [f"{c}_ord" if c in CATEGORICAL else c for c in FEATURES]
 
 
-def grouped_rows(rows: DataFrame, shards: int = 1) -> DataFrame:
-    """Distinct (features, label) with the number ``n`` of their rows.  With
-    ``shards`` each falls into so many parts by a hash of the order."""
-    part = F.pmod(F.xxhash64("order_id"), F.lit(shards)) if shards > 1 else F.lit(0)
-    return rows.groupBy(*FEATURES, "is_late", part.alias("_part")).agg(F.count(F.lit(1)).alias("n")).drop("_part")
+def grouped_rows(rows: DataFrame) -> DataFrame:
+    """Distinct (features, label) with the number ``n`` of their rows."""
+    return rows.groupBy(*FEATURES, "is_late").agg(F.count(F.lit(1)).alias("n"))
 
 
 def with_class_weight(df: DataFrame, mode: str = "positive") -> DataFrame:
@@ -87,13 +86,13 @@ def with_class_weight(df: DataFrame, mode: str = "positive") -> DataFrame:
     return j.withColumn("weight", w * n).drop("_neg", "_pos")
 
 
-def _stages(classifier):
+def _encoding() -> list:
     idx = StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}_code" for c in CATEGORICAL],
                         stringOrderType="alphabetAsc", handleInvalid="keep")
     # an expression of a code has no nominal attribute: the trees see an ordered number
     ordinal = SQLTransformer(statement="SELECT *, " + ", ".join(f"{c}_code + 0D AS {c}_ord" for c in CATEGORICAL) + " FROM __THIS__")
     asm = VectorAssembler(inputCols=_encoded_names(), outputCol="features")
-    return Pipeline(stages=[idx, ordinal, asm, classifier])
+    return [idx, ordinal, asm]
 
 
 def max_bins(train: DataFrame, least: int = 64) -> int:
@@ -104,8 +103,6 @@ def max_bins(train: DataFrame, least: int = 64) -> int:
     return max(least, *[(row[c] or 0) + 2 for c in CATEGORICAL])
 
 
-#: Rows a tuple of the forest's training table.
-FOREST_SHARDS = 16
 #: A split gains more than rounding: equal sums in another order then grow the same trees.
 LEAST_GAIN = 1e-9
 
@@ -116,15 +113,15 @@ def train_boosted(train: DataFrame, cfg: Config = DEFAULT_CONFIG, grouped: bool
     gbt = GBTClassifier(labelCol="is_late", featuresCol="features", weightCol="weight",
                         maxIter=cfg.gbt_trees, maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step,
                         seed=cfg.seed, maxBins=max_bins(rows), minInfoGain=LEAST_GAIN)
-    return _stages(gbt).fit(with_class_weight(rows, "positive"))
+    return Pipeline(stages=[*_encoding(), gbt]).fit(with_class_weight(rows, "positive"))
 
 
 def train_forest(train: DataFrame, cfg: Config = DEFAULT_CONFIG) -> PipelineModel:
-    rows = staged(grouped_rows(train, FOREST_SHARDS), "risk-train")
+    rows = staged(grouped_rows(train), "risk-train")
     rf = RandomForestClassifier(labelCol="is_late", featuresCol="features", weightCol="weight",
                                 numTrees=cfg.forest_trees, maxDepth=cfg.forest_depth,
-                                seed=cfg.seed, maxBins=max_bins(rows), minInfoGain=LEAST_GAIN)
-    return _stages(rf).fit(with_class_weight(rows, "balanced"))
+                                seed=cfg.seed, minInfoGain=LEAST_GAIN)
+    return fit_forest(Pipeline(stages=_encoding()).fit(rows), rows, rf)
 
 
 def score_risk(model: PipelineModel, df: DataFrame) -> DataFrame:
